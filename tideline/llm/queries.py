@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality
+from . import decontaminate, quality, substrings
 from .arrays import table
 
 
@@ -32,5 +32,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
-ORACLES = {"op4_decontaminate": OP4_SQL}
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, list_slice(w, i, i + 12) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+m AS (SELECT k, min(doc_id) AS first_doc FROM g GROUP BY k HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN m USING (k) WHERE doc_id > first_doc),
+lost AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(w, lambda x, i: ps IS NULL OR NOT list_contains(ps, i)), ' '), '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id)
+"""
+
+
+QUERIES = {"op7_substring_dedup": op7_substring_dedup, "op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
+ORACLES = {"op7_substring_dedup": OP7_SQL, "op4_decontaminate": OP4_SQL}
