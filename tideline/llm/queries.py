@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, substrings
+from . import decontaminate, neardup, quality, substrings
 from .arrays import table
 
 
@@ -48,5 +48,23 @@ FROM d LEFT JOIN lost USING (doc_id)
 """
 
 
-QUERIES = {"op7_substring_dedup": op7_substring_dedup, "op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
-ORACLES = {"op7_substring_dedup": OP7_SQL, "op4_decontaminate": OP4_SQL}
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(list_slice(w, i, i + least(5, len(w)) - 1)) AS g, least(5, len(w)) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN c ON c.node = d.doc_id LEFT JOIN n USING (doc_id)
+"""
+
+
+QUERIES = {"op9_near_duplicates": op9_near_duplicates, "op7_substring_dedup": op7_substring_dedup, "op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
+ORACLES = {"op9_near_duplicates": OP9_SQL, "op7_substring_dedup": OP7_SQL, "op4_decontaminate": OP4_SQL}
