@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, quality, substrings
+from . import decontaminate, language, neardup, quality, substrings
 from .arrays import table
 
 
@@ -66,5 +67,12 @@ FROM d JOIN c ON c.node = d.doc_id LEFT JOIN n USING (doc_id)
 """
 
 
-QUERIES = {"op9_near_duplicates": op9_near_duplicates, "op7_substring_dedup": op7_substring_dedup, "op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = language.train(docs.where(~language.held_out()))
+    found = language.identify(docs, field)
+    return found.select("doc_id", F.coalesce(language.held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op9_near_duplicates": op9_near_duplicates, "op7_substring_dedup": op7_substring_dedup, "op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
 ORACLES = {"op9_near_duplicates": OP9_SQL, "op7_substring_dedup": OP7_SQL, "op4_decontaminate": OP4_SQL}
