@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, neardup, quality, substrings
+from . import decontaminate, language, neardup, packing, quality, substrings
 from .arrays import table
 
 
+def vocabulary() -> str:
+    """Place of the tokenizer file that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -74,5 +81,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(language.held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op9_near_duplicates": op9_near_duplicates, "op7_substring_dedup": op7_substring_dedup, "op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+QUERIES = {"op3_packing": op3_packing, "op1_language_id": op1_language_id, "op9_near_duplicates": op9_near_duplicates, "op7_substring_dedup": op7_substring_dedup, "op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
 ORACLES = {"op9_near_duplicates": OP9_SQL, "op7_substring_dedup": OP7_SQL, "op4_decontaminate": OP4_SQL}
