@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, neardup, packing, quality, rollups, substrings
+from . import chat, decontaminate, language, licenses, neardup, packing, quality, rollups, substrings, urls
 from .arrays import table
 
 
@@ -131,5 +131,15 @@ FROM s GROUP BY source, lang, tokenizer_version
 """
 
 
-QUERIES = {"op2_token_rollups": op2_token_rollups, "op6_chat_formatting": op6_chat_formatting, "op3_packing": op3_packing, "op1_language_id": op1_language_id, "op9_near_duplicates": op9_near_duplicates, "op7_substring_dedup": op7_substring_dedup, "op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of documents are taken for the pages of the same number: bad is toxic or of low quality."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.greatest("toxic", 1 - F.col("quality")).alias("bad"))
+    return urls.judge(table(spark, sf_dir, "pages"), labels)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op5_url_filter": op5_url_filter, "op8_license_scan": op8_license_scan, "op2_token_rollups": op2_token_rollups, "op6_chat_formatting": op6_chat_formatting, "op3_packing": op3_packing, "op1_language_id": op1_language_id, "op9_near_duplicates": op9_near_duplicates, "op7_substring_dedup": op7_substring_dedup, "op4_decontaminate": op4_decontaminate, "op10_quality_rules": op10_quality_rules}
 ORACLES = {"op2_token_rollups": OP2_SQL, "op6_chat_formatting": OP6_SQL, "op9_near_duplicates": OP9_SQL, "op7_substring_dedup": OP7_SQL, "op4_decontaminate": OP4_SQL}
