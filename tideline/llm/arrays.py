@@ -6,12 +6,12 @@ Words of the byte kind are found in UTF-8, where every byte of a character beyon
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z became a-z.
@@ -58,7 +58,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
             self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:

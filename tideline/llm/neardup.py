@@ -93,32 +93,64 @@ def sketches(docs: DataFrame, k: int = 5) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), sketch, "doc_id bigint, n_shingles bigint, set_key binary, registers binary")
 
 
-def _join_alike(rows: pa.Table, least: float) -> pa.Table:
-    """Of one bucket: an edge from each member to the least member of its cluster of similar estimates."""
-    ids = rows.column("rep").to_numpy()
-    order = np.argsort(ids, kind="stable")
-    ids, n = ids[order], rows.column("n_shingles").to_numpy()[order].astype(float)
-    regs = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS)[order]
-    root = np.arange(len(ids))
-    done = np.zeros(len(ids), bool)
+def _alike(one: tuple, many: tuple, least: float) -> np.ndarray:
+    """Whether estimates and sizes allow similarity ``least``; each side is (registers, sizes)."""
+    (a, n), (b, m) = one, many
+    estimate, error = corrected(a, b, n, m)
+    return (np.minimum(n, m) >= least * np.maximum(n, m)) & (estimate >= least - 5 * error)
+
+
+def _settle(regs: np.ndarray, n: np.ndarray, root: np.ndarray, least: float) -> np.ndarray:
+    """Clusters of a bucket, from ``root``, which the comparison with row 0 gave: rows outside the largest cluster are
+    compared with all that are not in theirs."""
+    done = np.zeros(len(root), bool)
+    done[0] = True
     while True:
-        sizes = np.bincount(root, minlength=len(ids))
-        left = np.flatnonzero(~done & (root != sizes.argmax()))
-        if not done.any():
-            left = np.zeros(1, int)
+        left = np.flatnonzero(~done & (root != np.bincount(root, minlength=len(root)).argmax()))
         if not len(left):
-            break
+            return root
         x = left[0]
         done[x] = True
         other = np.flatnonzero(root != root[x])
-        if not len(other):
-            break
-        estimate, error = corrected(regs[other], regs[x], n[other], n[x])
-        alike = (np.minimum(n[other], n[x]) >= least * np.maximum(n[other], n[x])) & (estimate >= least - 5 * error)
-        joined = np.unique(np.append(root[other[alike]], root[x]))
-        root[np.isin(root, joined)] = joined[0]
-    far = root != np.arange(len(ids))
-    return pa.table({"a": ids[far], "b": ids[root[far]]}, schema=schema_of("a bigint, b bigint"))
+        if len(other):
+            near = _alike((regs[other], n[other]), (regs[x], n[x]), least)
+            joined = np.unique(np.append(root[other[near]], root[x]))
+            root[np.isin(root, joined)] = joined[0]
+
+
+def _buckets(rows: pa.Table, least: float) -> list[np.ndarray]:
+    """Of whole buckets, sorted: an edge from each member to the first one of its cluster of similar estimates."""
+    bucket, ids = rows.column("bucket").to_numpy(), rows.column("rep").to_numpy()
+    n = rows.column("n_shingles").to_numpy().astype(float)
+    regs = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    sizes = np.diff(np.append(starts, len(bucket)))
+    head = np.repeat(starts, sizes)
+    near = _alike((regs, n), (regs[head], n[head]), least)
+    to = np.where(near, head, np.arange(len(ids)))
+    for k in np.flatnonzero((sizes > 2) & ~np.logical_and.reduceat(near, starts)):
+        part = slice(starts[k], starts[k] + sizes[k])
+        to[part] = starts[k] + _settle(regs[part], n[part], to[part] - starts[k], least)
+    far = to != np.arange(len(ids))
+    return [pa.array(ids[far]), pa.array(ids[to[far]])]
+
+
+def join_alike(meets: DataFrame, least: float) -> DataFrame:
+    """Edges inside buckets (bucket, rep, n_shingles, registers); rows of a bucket follow each other in a partition."""
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            bucket = held.column("bucket").to_numpy()
+            cut = int(np.argmax(bucket == bucket[-1]))
+            if cut:
+                yield _buckets(held.slice(0, cut), least)
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield _buckets(held, least)
+
+    return map_batches(meets.repartition("bucket").sortWithinPartitions("bucket", "rep"), run, "a bigint, b bigint")
 
 
 def _links(ids: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, left: np.ndarray, percent: int) -> np.ndarray:
@@ -171,16 +203,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bucket_rows:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
     sketch = written(sketches(docs, k), "sketches")
     known = sketch.where("doc_id is not null and n_shingles > 0")
-    classes = known.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    reps = written(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")).drop("set_key"), "reps")
+    reps = written(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "reps")
 
     empty = "f" * (2 * ROWS)
     bands = reps.select("rep", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("registers", i * ROWS + 1, F.lit(ROWS))))).where(F.hex("col") != empty.upper()).select(F.xxhash64("pos", "col").alias("bucket"), "rep")
-    shared = bands.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("least")).where("members > 1")
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("least"), F.expr("bit_xor(xxhash64(rep))").alias("who")).where("members > 1")
+    shared = shared.groupBy("members", "least", "who").agg(F.min("bucket").alias("bucket"))  # of buckets with the same members, one
     meets = written(bands.join(shared, "bucket"), "meets")
-    alike = meets.where(F.col("members") <= bucket_rows).join(reps, "rep").select("bucket", "rep", "n_shingles", "registers").groupBy("bucket").applyInArrow(lambda t: _join_alike(t, percent / 100), "a bigint, b bigint")
+    alike = meets.where(F.col("members") <= bucket_rows).join(reps, "rep").select("bucket", "rep", "n_shingles", "registers")
     crowd = meets.where(F.col("members") > bucket_rows).select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    cluster = components(alike.union(crowd)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    cluster = components(join_alike(alike, percent / 100).union(crowd)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
 
     sized = cluster.join(reps.select("rep", "n_shingles"), "rep")
     blocks = sized.groupBy("cluster").agg(F.sum("n_shingles").alias("total"))
@@ -197,7 +229,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bucket_rows:
     links = written(pairs.groupBy("cluster", "one", "two").applyInArrow(lambda t: _confirm(t, percent), "a bigint, b bigint"), "links")
     found = links if placed.where("blocks > 1").isEmpty() else components(links).select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
 
-    final = classes.join(found.select(F.col("a").alias("rep"), F.col("b").alias("least")), "rep", "left").select("set_key", F.coalesce("least", "rep").alias("least"))
+    final = reps.select("set_key", "rep").join(found.select(F.col("a").alias("rep"), F.col("b").alias("least")), "rep", "left").select("set_key", F.coalesce("least", "rep").alias("least"))
     out = sketch.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
