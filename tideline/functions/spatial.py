@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,9 +168,6 @@ def representative_point(line: Column) -> Column:
 
 def wkb_point(x: Column, y: Column) -> Column:
     """Little-endian WKB of a point, by an Arrow-vectorised function: there is no built-in from doubles to bytes."""
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def pack(xs: pd.Series, ys: pd.Series) -> pd.Series:
         out = np.zeros(len(xs), dtype=[("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
