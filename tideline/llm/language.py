@@ -16,11 +16,11 @@ A text that is null or has no letter is ``und`` with score 0. With no labelled r
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,16 +28,31 @@ from .arrays import map_batches, slices
 
 #: Runs of letters of any script.
 LETTERS = re.compile(r"[^\W\d_]+")
-BUCKETS = 1 << 16
+BITS = 16
+BUCKETS = 1 << BITS
+_STEP, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 BLOCK = 32
 
 
-def features(word: str) -> np.ndarray:
-    """Hashed features of a lower-cased word: affixes of 1 to 3, n-grams of 2 to 4 letters, the word."""
-    w = f"<{word}>"
-    names = [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3)] + [f"l{word}"]
-    names += [w[i : i + k] for k in (2, 3, 4) for i in range(min(len(w), 40) - k + 1)]
-    return np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names], np.int64)
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of lower-cased words: (feature numbers of all words in a row, how many each word has).
+
+    Of ``<word>`` all n-grams of 2 to 4 letters, of which those at the brackets are its affixes, and the word itself.
+    """
+    letters = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(sizes)
+    room = np.repeat(ends, sizes) - np.arange(len(letters))  # letters from here to the word's end
+    word = np.repeat(np.arange(len(words)), sizes)
+    gram = letters * _STEP
+    hashed, owner = [np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))], [np.arange(len(words))]
+    for k in (2, 3, 4):
+        gram = (gram[:-1] ^ (gram[:-1] >> _SHIFT)) * _STEP + letters[k - 1 :]
+        inside = room[: len(gram)] >= k
+        hashed.append(gram[inside] + np.uint64(k))
+        owner.append(word[: len(gram)][inside])
+    flat, owner = np.concatenate(hashed) * _STEP >> np.uint64(64 - BITS), np.concatenate(owner)
+    return flat[np.argsort(owner, kind="stable")].astype(np.int64), np.bincount(owner, minlength=len(words))
 
 
 @dataclass
@@ -59,19 +74,26 @@ class Emissions(dict):
 
     def reset(self):
         self.clear()
-        self.table = np.zeros((4096, len(self.field.labels)), np.float32)
+        self.new: list[str] = []
+        self.parts = [np.zeros((0, len(self.field.labels)), np.float32)]
 
     def __missing__(self, word: str) -> int:
         row = self[word] = len(self)
-        if row >= len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        f = features(word)
-        self.table[row] = self.field.weights[f].sum(axis=0) / np.sqrt(len(f))
+        self.new.append(word)
         return row
 
     def rows(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
+    def table(self) -> np.ndarray:
+        """Scores of all words known, after those of new words have been computed."""
+        if self.new:
+            flat, sizes = features(self.new)
+            sums = np.add.reduceat(self.field.weights[flat], np.cumsum(sizes) - sizes, axis=0)
+            self.parts = [np.concatenate([*self.parts, sums / np.sqrt(sizes)[:, None].astype(np.float32)])]
+            self.new = []
+        return self.parts[0]
+
 
 def marginals(scores: np.ndarray, transitions: np.ndarray, starts: np.ndarray, messages: bool = False):
     """Label probabilities of each word. ``scores``: words x labels of all texts in a row; ``starts``: where texts begin.
@@ -170,7 +192,6 @@ def fit(rows: list[tuple[str, str]], passes: int = 3, rate: float = 0.3, passage
     if k < 1 or not passages:
         return field
     rng = np.random.default_rng(seed)
-    known: dict[str, np.ndarray] = {}
     square_w, square_t = np.full((BUCKETS, k), 1e-2, np.float32), np.full((k, k), 1e-2)
     per = 24
     for _ in range(passes):
@@ -181,12 +202,7 @@ def fit(rows: list[tuple[str, str]], passes: int = 3, rate: float = 0.3, passage
             gold = np.repeat([y for _, y in group], [len(ws) for ws, _ in group])
             ends = np.cumsum([len(ws) for ws, _ in group])
             starts = np.append(0, ends[2:-1:3]) if len(ends) > 3 else np.zeros(1, int)
-            for w in words:
-                if w not in known:
-                    known[w] = features(w)
-            fs = [known[w] for w in words]
-            sizes = np.array([len(f) for f in fs])
-            flat = np.concatenate(fs)
+            flat, sizes = features(words)
             scale = 1 / np.sqrt(sizes)
             scores = np.add.reduceat(field.weights[flat], np.append(0, np.cumsum(sizes)[:-1]), axis=0) * scale[:, None]
             g, gt = _gradient(scores, field.transitions, gold, starts)
@@ -239,7 +255,7 @@ def identify(docs: DataFrame, field: Field, words_at_once: int = 60_000) -> Data
                 rows = np.concatenate([r for _, r, _ in group])
                 letters = np.concatenate([n for _, _, n in group])
                 starts = np.cumsum([0, *(len(r) for _, r, _ in group)])[:-1]
-                p = marginals(cache.table[rows], model.transitions, starts) * letters[:, None]
+                p = marginals(cache.table()[rows], model.transitions, starts) * letters[:, None]
                 shares[[i for i, _, _ in group]] = np.add.reduceat(p, starts, axis=0) / np.add.reduceat(letters, starts)[:, None]
 
             group, held = [], 0
