@@ -1,15 +1,79 @@
-"""The corpus pipeline: five filters and shapers, each reading what the one before kept."""
+"""The corpus pipeline: five stages, each reading what the one before kept.
+
+1. ``language``: documents whose language is unknown (no letter) or not told with more than ``LEAST_SCORE`` go;
+   ``lang`` is kept where it was given and filled with the predicted one where it was null.
+2. ``near_duplicates``: of each group of near-duplicates the document with the smallest id stays.
+3. ``substrings``: passages of ``SPAN`` words or more that also start in a document of a smaller id are cut out; a
+   document that loses all its words goes. ``n_chars`` follows the text.
+4. ``benchmark``: documents that hold ten consecutive words of a benchmark item go.
+5. ``packing``: what is left is packed into sequences of tokens; the rows are pieces.
+
+Of rows that repeat a doc_id stage 2 keeps the first by text. Rows whose doc_id is null go.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tideline.llm import decontaminate, language, neardup, packing, substrings
+from tideline.llm.queries import vocabulary
+from tideline.llm.tables import written
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+#: A language counts as told from this share of a text's letters on.
+LEAST_SCORE = 0.4
+
+#: Words in the shortest repeated passage that goes.
+SPAN = 13
+
+
+def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS).where("doc_id is not null")
+    found = language.identify(docs, language.train(docs), carry=("text", "lang", "source", "n_chars"))
+    told = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return told.select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        first = docs.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("first"))
+        docs = written(first.select("doc_id", "first.*"), "documents")
+    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(docs, SPAN, keep_text=True, carry=("lang", "source", "n_chars"))
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return cut.where("n_removed < n_words").select("doc_id", "text", "lang", "source", n_chars.alias("n_chars"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.decontaminate(docs, benchmark, carry=("text", "lang", "source", "n_chars"))
+    return found.where("n_hit = 0").select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, vocabulary())
+
+
+STAGES = [
+    ("language", by_language),
+    ("near_duplicates", near_duplicates),
+    ("substrings", without_repeats),
+    ("benchmark", without_benchmark),
+    ("packing", packed),
+]
 
-STAGES: list = []
+#: The field of stage 1 and the tokens of stage 5 are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -77,9 +77,8 @@ def searches(items: list[tuple[str, str]], window: int) -> list[Search]:
     return [Search(length, {k: tuple(sorted(v)) for k, v in patterns.items()}) for length, patterns in sorted(by.items())]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, item_ids (sorted as strings),
-    hit_words (positions).
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_chars: int = BLOCK_CHARS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_words, n_hit, item_ids (sorted as strings), hit_words (positions) and the columns to ``carry``.
 
     The benchmark is searched in blocks of about ``block_chars`` characters, each block in a narrow pass over
     the documents: nothing is shuffled, and what is broadcast is bounded whatever the benchmark's size.
@@ -90,7 +89,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
     blocks = max(1, -(-total // block_chars))
     bench = bench.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)))
 
-    out = docs.select("doc_id", "text", F.lit(None).cast("array<int>").alias("hit_words"), F.lit(None).cast("array<string>").alias("item_ids"))
+    out = docs.select("doc_id", "text", F.lit(None).cast("array<int>").alias("hit_words"), F.lit(None).cast("array<string>").alias("item_ids"), *(F.col(c).alias(f"_{c}") for c in carry))
+    kinds = dict(docs.dtypes)
+    carried = "".join(f", _{c} {kinds[c]}" for c in carry)
     for block in range(blocks):
         rows = bench.where(F.col("block") == block).select("item_id", "text").collect()
         shared = spark.sparkContext.broadcast(searches([(r.item_id, r.text) for r in rows], window))
@@ -108,16 +109,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
                     n_words.append(len(words))
                     marks.append(sorted(hit))
                     items.append(sorted(got))
+                rest = [b.column(f"_{c}") for c in carry]
                 if last:
-                    yield [b.column("doc_id"), n_words, [len(x) for x in marks], items, marks]
+                    yield [b.column("doc_id"), n_words, [len(x) for x in marks], items, marks, *rest]
                 else:
-                    yield [b.column("doc_id"), b.column("text"), marks, items]
+                    yield [b.column("doc_id"), b.column("text"), marks, items, *rest]
 
         if block < blocks - 1:
-            out = map_batches(out, scan, "doc_id bigint, text string, hit_words array<int>, item_ids array<string>")
+            out = map_batches(out, scan, "doc_id bigint, text string, hit_words array<int>, item_ids array<string>" + carried)
         else:
-            out = map_batches(out, scan, "doc_id bigint, n_words bigint, n_hit bigint, item_ids array<string>, hit_words array<int>")
-    return out
+            out = map_batches(out, scan, "doc_id bigint, n_words bigint, n_hit bigint, item_ids array<string>, hit_words array<int>" + carried)
+    return out.withColumnsRenamed({f"_{c}": c for c in carry})
 
 
 def digest(found: DataFrame) -> DataFrame:

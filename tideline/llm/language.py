@@ -239,8 +239,8 @@ def train(docs: DataFrame, sample: int = 300, chars: int = 2000, **options) -> F
     return fit(training_rows(docs, sample, chars), **options)
 
 
-def identify(docs: DataFrame, field: Field, words_at_once: int = 60_000) -> DataFrame:
-    """Per row: doc_id, lang_pred, score, shares (of letters, in the order of the labels)."""
+def identify(docs: DataFrame, field: Field, carry: tuple[str, ...] = (), words_at_once: int = 60_000) -> DataFrame:
+    """Per row: doc_id, lang_pred, score, shares (of letters, in the order of the labels) and the columns to ``carry``."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def predict(batches):
@@ -275,9 +275,12 @@ def identify(docs: DataFrame, field: Field, words_at_once: int = 60_000) -> Data
             best = shares.argmax(axis=1)
             score = shares.max(axis=1)
             pred = [model.labels[j] if s > 0 else "und" for j, s in zip(best.tolist(), score.tolist(), strict=True)]
-            yield [b.column("doc_id"), pred, pa.array(np.clip(score, 0.0, 1.0)), pa.array(shares[:, :k].tolist(), pa.list_(pa.float64()))]
+            yield [b.column("doc_id"), pred, pa.array(np.clip(score, 0.0, 1.0)), pa.array(shares[:, :k].tolist(), pa.list_(pa.float64())), *(b.column(f"_{c}") for c in carry)]
 
-    return map_batches(docs.select("doc_id", "text"), predict, "doc_id bigint, lang_pred string, score double, shares array<double>")
+    kinds = dict(docs.dtypes)
+    carried = "".join(f", _{c} {kinds[c]}" for c in carry)
+    found = map_batches(docs.select("doc_id", "text", *(F.col(c).alias(f"_{c}") for c in carry)), predict, "doc_id bigint, lang_pred string, score double, shares array<double>" + carried)
+    return found.withColumnsRenamed({f"_{c}": c for c in carry})
 
 
 def held_out():

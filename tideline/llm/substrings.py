@@ -55,7 +55,9 @@ class Batch:
         ids, texts = rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()
         order = sorted((k for k in range(len(ids)) if ids[k] is not None), key=lambda k: (ids[k], texts[k] or ""))
         self.rows = [(ids[k], texts[k]) for k in order]
-        self.whole = [(None, texts[k]) for k in range(len(ids)) if ids[k] is None]
+        apart = [k for k in range(len(ids)) if ids[k] is None]
+        self.whole = [(None, texts[k]) for k in apart]
+        self.order = [*order, *apart]
         hashes, parts = WordHashes(), []
         for _, text in self.rows:
             parts.append(hashes.of(utf8(text).split()))
@@ -159,8 +161,8 @@ def _answers(rows: pa.Table) -> dict:
     return out
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, shortest: int = 7, keep_text: bool = False) -> DataFrame:
-    """Per row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, text of the kept words.
+def remove_repeats(docs: DataFrame, window: int = 13, shortest: int = 7, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, n_words, n_removed, kept_sha256, the columns to ``carry`` and, if asked for, the text that is left.
 
     ``window``: words in the shortest repeat that goes. Kept words are joined by one space; a text that
     loses nothing stays as it was.
@@ -168,7 +170,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, shortest: int = 7, keep_te
     plan = lengths(window, shortest)
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     batches, ranges = max(1, -(-size // BATCH_CHARS)), max(1, -(-2 * size // RANGE_BYTES))
-    dealt = docs.select("doc_id", "text", F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(batches)).alias("batch"))
+    dealt = docs.select("doc_id", "text", *(F.col(c).alias(f"_{c}") for c in carry), F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(batches)).alias("batch"))
 
     def extending(level: int):
         def extend(t: pa.Table, told: pa.Table) -> pa.Table:
@@ -184,7 +186,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, shortest: int = 7, keep_te
             sent = dealt.groupBy("batch").cogroup(reduce(DataFrame.union, answers).groupBy("batch")).applyInArrow(extending(level), _SENT)
         answers.append(sent.groupBy("hash_range").applyInArrow(_answer, _ANSWER))
 
-    ddl = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", text string" * keep_text
+    kinds = dict(docs.dtypes)
+    ddl = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", text string" * keep_text + "".join(f", _{c} {kinds[c]}" for c in carry)
     last = len(plan) - 1
 
     def cut(t: pa.Table, told: pa.Table) -> pa.Table:
@@ -207,6 +210,9 @@ def remove_repeats(docs: DataFrame, window: int = 13, shortest: int = 7, keep_te
         for doc, text in batch.whole:
             words = utf8(text).split()
             out.append((doc, len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest(), *([text] * keep_text)))
-        return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        rest = [t.column(f"_{c}").take(pa.array(batch.order)).combine_chunks() for c in carry]
+        made = [pa.array(list(c), f.type) for c, f in zip(zip(*out, strict=True), schema, strict=False)]
+        return pa.Table.from_arrays([*made, *rest], schema=schema)
 
-    return dealt.groupBy("batch").cogroup(reduce(DataFrame.union, answers).groupBy("batch")).applyInArrow(cut, ddl)
+    found = dealt.groupBy("batch").cogroup(reduce(DataFrame.union, answers).groupBy("batch")).applyInArrow(cut, ddl)
+    return found.withColumnsRenamed({f"_{c}": c for c in carry})
