@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat, decontaminate, language, licenses, neardup, packing, quality, rollups, substrings, urls
 from .arrays import table
+from .tables import written
 
 
 def vocabulary() -> str:
@@ -107,15 +108,16 @@ FROM r GROUP BY conv_id
 def op2_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches and one of them again: all documents come, toxic ones go, and of those labelled as of low quality
     the words are counted anew, with marks as tokens of their own."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    labels = table(spark, sf_dir, "labels")
+    counts = written(rollups.token_counts(table(spark, sf_dir, "documents")), "counts")
     marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-    toxic = docs.join(marked.where("toxic = 1"), "doc_id", "left_semi")
-    poor = docs.join(marked.where("toxic = 0 and quality = 0"), "doc_id", "left_semi")
+    first = counts.where("tokenizer_version in ('bytes-1', 'words-1')")
+    poor = counts.join(marked.where("toxic = 0 and quality = 0"), "doc_id", "left_semi")
     ledger = rollups.Ledger(spark)
-    ledger.commit("1-all", rollups.inserts(rollups.byte_tokens(docs).union(rollups.word_tokens(docs))))
+    ledger.commit("1-all", rollups.inserts(first))
     for _ in range(2):  # as a retry would
-        ledger.commit("2-toxic", rollups.deletes(rollups.byte_tokens(toxic).union(rollups.word_tokens(toxic))))
-    ledger.commit("3-poor", rollups.revisions(rollups.word_tokens(poor), rollups.word_and_mark_tokens(poor)))
+        ledger.commit("2-toxic", rollups.deletes(first.join(marked.where("toxic = 1"), "doc_id", "left_semi")))
+    ledger.commit("3-poor", rollups.revisions(poor.where("tokenizer_version = 'words-1'"), poor.where("tokenizer_version = 'words-2'")))
     return ledger.totals()
 
 

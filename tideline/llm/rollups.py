@@ -25,23 +25,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_OR_MARK = r"[A-Za-z0-9\x{80}-\x{10FFFF}]+|[^A-Za-z0-9\x{80}-\x{10FFFF}\x20\x09-\x0D]"
 
 
-def byte_tokens(docs: DataFrame) -> DataFrame:
-    """One token a UTF-8 byte."""
-    return _counted(docs, "bytes-1", F.octet_length(F.coalesce("text", F.lit(""))))
-
-
-def word_tokens(docs: DataFrame) -> DataFrame:
-    """One token a word between white space."""
-    return _counted(docs, "words-1", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)))
-
-
-def word_and_mark_tokens(docs: DataFrame) -> DataFrame:
-    """One token a run of letters and digits, or any other character that is no white space."""
-    return _counted(docs, "words-2", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_OR_MARK)))
-
-
-def _counted(docs: DataFrame, version: str, tokens) -> DataFrame:
-    return docs.select("doc_id", "source", "lang", F.lit(version).alias("tokenizer_version"), tokens.cast("bigint").alias("tokens"))
+#: Tokenizers that SQL can say, by version: bytes of UTF-8, words between white space, and runs of letters and digits
+#: with every other mark as a token of its own.
+VERSIONS = {
+    "bytes-1": lambda text: F.octet_length(text),
+    "words-1": lambda text: F.regexp_count(text, F.lit(WORD)),
+    "words-2": lambda text: F.regexp_count(text, F.lit(WORD_OR_MARK)),
+}
+
+
+def token_counts(docs: DataFrame, versions: tuple[str, ...] = tuple(VERSIONS)) -> DataFrame:
+    """(doc_id, source, lang, tokenizer_version, tokens) of every document by every version, in one pass over the texts."""
+    text = F.coalesce("text", F.lit(""))
+    counted = F.array(*(F.struct(F.lit(v).alias("tokenizer_version"), VERSIONS[v](text).cast("bigint").alias("tokens")) for v in versions))
+    return docs.select("doc_id", "source", "lang", F.inline(counted))
 
 
 def vocabulary_tokens(docs: DataFrame, vocabulary: str, version: str) -> DataFrame:
