@@ -1,6 +1,6 @@
 """All registered queries with their SQL."""
 
-from . import columns, tables_in_out
+from . import columns, managed, pipelines, relations, tables_in_out
 from .base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "columns", "tables_in_out"]
+__all__ = ["ORACLES", "QUERIES", "columns", "managed", "pipelines", "relations", "tables_in_out"]
