@@ -46,10 +46,11 @@ def in_ring(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:
 
 
 def cell_id(lat: Column, lon: Column, res: int) -> Column:
+    """Null if a coordinate is (``least`` alone would skip nulls)."""
     n = BITS[res]
     row = F.least(F.floor((lat + 90) / 180 * float(1 << n)), F.lit((1 << n) - 1))
     col = F.least(F.floor((lon + 180) / 360 * float(1 << (n + 1))), F.lit((1 << (n + 1)) - 1))
-    return (F.lit(res << 52) + row * _ROW + col).cast("bigint")
+    return F.when(lat.isNotNull() & lon.isNotNull(), (F.lit(res << 52) + row * _ROW + col).cast("bigint"))
 
 
 def cell_res(cell: Column) -> Column:

@@ -42,7 +42,7 @@ BITS = {5: 11, 7: 14, 8: 15, 9: 17, 10: 18}
 
 def cell_sql(lat: str, lon: str, res: int) -> str:
     n = BITS[res]
-    return f"({res << 52} + least(CAST(floor(({lat} + 90) / 180 * {1 << n}) AS BIGINT), {(1 << n) - 1}) * 67108864 + least(CAST(floor(({lon} + 180) / 360 * {2 << n}) AS BIGINT), {(2 << n) - 1}))"
+    return f"(CASE WHEN {lat} IS NOT NULL AND {lon} IS NOT NULL THEN {res << 52} + least(CAST(floor(({lat} + 90) / 180 * {1 << n}) AS BIGINT), {(1 << n) - 1}) * 67108864 + least(CAST(floor(({lon} + 180) / 360 * {2 << n}) AS BIGINT), {(2 << n) - 1}) END)"
 
 
 def parent_sql(cell: str, res: int, to: int) -> str:

@@ -23,14 +23,14 @@ def pipe_news_events(spark, d):
 
 
 @query("""WITH c AS (SELECT CAST(c_nationkey AS VARCHAR) AS city, c_mktsegment AS country_code, c_custkey FROM customer WHERE CAST(c_acctbal * 100 AS BIGINT) >= 200000 QUALIFY row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY CAST(c_acctbal * 100 AS BIGINT) DESC, CAST(c_custkey % 90 AS DOUBLE), CAST(c_custkey AS DOUBLE)) = 1),
-v AS (SELECT CAST(vec_id % 25 AS VARCHAR) AS city, ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][CAST(vec_id // 25 % 5 AS INTEGER) + 1] AS country_code, embedding FROM embeddings WHERE vec_id < 125)
+v AS (SELECT CAST(vec_id % 25 AS VARCHAR) AS city, ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][CAST(vec_id // 25 % 5 AS INTEGER) + 1] AS country_code, embedding FROM embeddings)
 SELECT city, country_code, CAST(c_custkey % 90 AS DOUBLE) AS latitude, CAST(c_custkey AS DOUBLE) AS longitude, CAST(i - 1 AS VARCHAR) AS time, embedding[i] AS temperature, CASE WHEN i <= 40 THEN embedding[i] END AS humidity FROM (SELECT *, unnest(range(1, 65)) AS i FROM v) JOIN c USING (city, country_code)""")
 def pipe_weather(spark, d):
     cities = table(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("city"), F.col("c_mktsegment").alias("country_code"), (F.col("c_custkey") % 90).cast("double").alias("latitude"), F.col("c_custkey").cast("double").alias("longitude"), F.round(F.col("c_acctbal") * 100).cast("bigint").alias("population"))
     hours = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: i.cast("string"))
     segments = F.array(*map(F.lit, ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")))
     hourly = F.struct(hours.alias("time"), F.col("embedding").alias("temperature"), F.slice("embedding", 1, 40).alias("humidity"))
-    docs = table(spark, d, "embeddings").where("vec_id < 125").select((F.col("vec_id") % 25).cast("string").alias("city"), F.get(segments, (F.floor(F.col("vec_id") / 25) % 5).cast("int")).alias("country_code"), hourly.alias("hourly"), F.struct(hours.alias("time"), F.col("embedding").alias("most")).alias("daily"))
+    docs = table(spark, d, "embeddings").select((F.col("vec_id") % 25).cast("string").alias("city"), F.get(segments, (F.floor(F.col("vec_id") / 25) % 5).cast("int")).alias("country_code"), hourly.alias("hourly"), F.struct(hours.alias("time"), F.col("embedding").alias("most")).alias("daily"))
     return feeds.weather(cities, docs, RUN)["weather_hourly"].drop("snapshot_time")
 
 
@@ -163,7 +163,7 @@ def pipe_infrastructure(spark, d):
     return parts[0].union(parts[1])
 
 
-_T = f"""px AS (SELECT * FROM {_PIXELS} WHERE CAST(scene AS INTEGER) % 5 = 0), l AS ({_box_sql({'m': 'b.value', 's': 'b.value * b.value'})}), o AS (SELECT scene, band, var_pop(value) AS o FROM px GROUP BY ALL),
+_T = f"""px AS {_PIXELS}, l AS ({_box_sql({'m': 'b.value', 's': 'b.value * b.value'})}), o AS (SELECT scene, band, var_pop(value) AS o FROM px GROUP BY ALL),
 f AS (SELECT scene, period, band, y, x, CASE WHEN o > 0 THEN m + greatest(s - m * m, 0) / (greatest(s - m * m, 0) + o) * (value - m) ELSE value END AS value FROM px JOIN l USING (scene, band, y, x) JOIN o USING (scene, band)),
 n AS (SELECT count(DISTINCT scene) FILTER (WHERE period = 'pre') AS n0, count(DISTINCT scene) FILTER (WHERE period = 'post') AS n1 FROM f),
 s AS (SELECT y, x, band, avg(value) FILTER (WHERE period = 'pre') AS m0, avg(value) FILTER (WHERE period = 'post') AS m1, stddev_samp(value) FILTER (WHERE period = 'pre') AS s0, stddev_samp(value) FILTER (WHERE period = 'post') AS s1 FROM f GROUP BY ALL),
@@ -174,7 +174,7 @@ _PX_CELL = cell_sql("lat", "lon", 7)
 @query(f"""WITH {_T}, c AS (SELECT {_PX_CELL} AS cell_r7, t FROM (SELECT t, 42.0::DOUBLE - y * (30.0::DOUBLE / 3) AS lat, 20.0::DOUBLE + x * (45.0::DOUBLE / 7) AS lon FROM t WHERE y % 2 = 0 AND x % 2 = 0))
 SELECT cell_r7, count(*) AS total, count(*) FILTER (WHERE t > 0.5) AS damaged, round(avg(t), 3) AS mean_value, round(max(t), 3) AS max_value, {cell_sql(lat_sql('cell_r7', 7), lon_sql('cell_r7', 7), 9)} AS cell_r9, lower(printf('%x', cell_r7)) AS cell_text FROM c GROUP BY cell_r7""")
 def pipe_damage(spark, d):
-    px = _pixels(spark, d).where("cast(scene as int) % 5 = 0")
+    px = _pixels(spark, d)
     dated = px.select("scene", F.when(F.col("period") == "pre", F.lit("2024-01-01")).otherwise("2024-02-01").cast("date").alias("scene_date"), "band", "y", "x", "value")
     out = feeds.damage(dated, BOX, 4, 8, "2024-01-15", RUN, threshold=0.5, step=2)["damage_cells"]
     return out.select("cell_r7", "total", "damaged", "mean_value", "max_value", "cell_r9", "cell_text")

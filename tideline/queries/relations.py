@@ -35,12 +35,12 @@ def cross_schema_join(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_orderstatus").join(lines, "o_orderkey").select("o_orderkey", "l_linenumber", "o_orderstatus", "l_quantity")
 
 
-@query(f"""WITH g AS (SELECT {_C5} AS grid, count(*) AS people FROM {POINTS} WHERE event_id % 2 = 0 GROUP BY 1)
-SELECT event_id, grid, people FROM (SELECT event_id, {parent_sql(_C8, 8, 5)} AS grid FROM {POINTS} WHERE event_id % 2 = 1) JOIN g USING (grid)""")
+@query(f"""WITH g AS (SELECT {_C5} AS grid, count(*) AS people FROM {POINTS} GROUP BY 1)
+SELECT event_id, grid, people FROM (SELECT event_id, {parent_sql(_C8, 8, 5)} AS grid FROM {POINTS}) JOIN g USING (grid)""")
 def cell_join(spark, d):
     p = points(spark, d)
-    grid = spatial.with_cells(p.where("event_id % 2 = 0"), "lat", "lon", [5]).groupBy("cell_r5").agg(F.count("*").alias("people")).withColumnRenamed("cell_r5", "grid")
-    fine = spatial.with_cells(p.where("event_id % 2 = 1"), "lat", "lon", [8]).select("event_id", "cell_r8")
+    grid = spatial.with_cells(p, "lat", "lon", [5]).groupBy("cell_r5").agg(F.count("*").alias("people")).withColumnRenamed("cell_r5", "grid")
+    fine = spatial.with_cells(p, "lat", "lon", [8]).select("event_id", "cell_r8")
     return relate.cell_join(fine, grid, "cell_r8", 8, "grid", 5).select("event_id", "grid", "people")
 
 
@@ -205,16 +205,16 @@ def _box_sql(columns: dict[str, str]) -> str:
     return f"SELECT k.scene, k.band, k.y, k.x, {means} FROM {at} k JOIN px b ON b.scene = k.scene AND b.band = k.band AND b.y = k.by AND b.x = k.bx GROUP BY ALL"
 
 
-@query(f"WITH px AS (SELECT * FROM {_PIXELS} WHERE CAST(scene AS INTEGER) % 5 = 0) SELECT scene, band, y, x, round(m, 6) AS m FROM ({_box_sql({'m': 'b.value'})})")
+@query(f"WITH px AS {_PIXELS} SELECT scene, band, y, x, round(m, 6) AS m FROM ({_box_sql({'m': 'b.value'})})")
 def box_mean_2d(spark, d):
-    px = _pixels(spark, d).where("cast(scene as int) % 5 = 0")
+    px = _pixels(spark, d)
     return raster.box_mean(px.select("scene", "band", "y", "x", F.col("value").alias("m")), ["m"]).select("scene", "band", "y", "x", F.round("m", 6).alias("m"))
 
 
-@query(f"""WITH px AS (SELECT * FROM {_PIXELS} WHERE CAST(scene AS INTEGER) % 5 = 0), l AS ({_box_sql({'m': 'b.value', 's': 'b.value * b.value'})}), o AS (SELECT scene, band, var_pop(value) AS o FROM px GROUP BY ALL)
+@query(f"""WITH px AS {_PIXELS}, l AS ({_box_sql({'m': 'b.value', 's': 'b.value * b.value'})}), o AS (SELECT scene, band, var_pop(value) AS o FROM px GROUP BY ALL)
 SELECT scene, band, y, x, round(CASE WHEN o > 0 THEN m + greatest(s - m * m, 0) / (greatest(s - m * m, 0) + o) * (value - m) ELSE value END, 6) AS value FROM px JOIN l USING (scene, band, y, x) JOIN o USING (scene, band)""")
 def lee_filter(spark, d):
-    px = _pixels(spark, d).where("cast(scene as int) % 5 = 0")
+    px = _pixels(spark, d)
     return raster.lee_filter(px).select("scene", "band", "y", "x", F.round("value", 6).alias("value"))
 
 
