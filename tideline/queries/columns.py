@@ -84,9 +84,9 @@ def cell_center_bbox(spark, d):
     return cells.where(spatial.center_in_bbox(F.col("cell"), 5, BOX))
 
 
-@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey IN (0, 2, 4)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_nationkey IN (0, 2, 4, 7, 20)")
 def in_list(spark, d):
-    return table(spark, d, "nation").where(F.col("n_regionkey").isin(0, 2, 4)).select("n_nationkey", "n_name")
+    return table(spark, d, "customer").where(F.col("c_nationkey").isin(0, 2, 4, 7, 20)).select("c_custkey", "c_name")
 
 
 @query("SELECT d.doc_id, quality FROM documents d LEFT JOIN labels USING (doc_id) WHERE quality IS NOT NULL")
@@ -331,11 +331,11 @@ def haversine_length(spark, d):
 # Nested values
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query("SELECT c_custkey, upper(c_name) AS name FROM customer")
 def unnest_features(spark, d):
     from .tables_in_out import scan_json_document
 
-    return scan_json_document(spark, d).select("n_nationkey", "n_name")
+    return scan_json_document(spark, d).select("c_custkey", F.upper("c_name").alias("name"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS value, event_id % 2 = 0 AS even FROM events WHERE event_id % 9 <> 0")

@@ -54,10 +54,9 @@ def lateral_unnest(spark, d):
     return table(spark, d, "embeddings").select("vec_id", "label", F.explode("embedding").alias("v"))
 
 
-@query("SELECT n_nationkey, CASE r_name WHEN 'AFRICA' THEN 'AF' WHEN 'AMERICA' THEN 'AM' WHEN 'ASIA' THEN 'AS' WHEN 'EUROPE' THEN 'EU' END AS code FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT c_custkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'AU' WHEN 'BUILDING' THEN 'BU' WHEN 'FURNITURE' THEN 'FU' END AS code FROM customer")
 def lookup_constant_dim(spark, d):
-    df = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    return relate.lookup(df, {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU"}, F.col("r_name"), "code").select("n_nationkey", "code")
+    return relate.lookup(table(spark, d, "customer"), {"AUTOMOBILE": "AU", "BUILDING": "BU", "FURNITURE": "FU"}, F.col("c_mktsegment"), "code").select("c_custkey", "code")
 
 
 # Aggregations

@@ -11,9 +11,9 @@ from ..sources import readers, sinks
 from .base import POINTS, hilbert_sql, points, query, table
 
 
-@query("SELECT r_regionkey, r_name FROM region")
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def scan_parquet(spark, d):
-    return readers.scan_parquet(spark, f"{d}/region.parquet").select("r_regionkey", "r_name")
+    return readers.scan_parquet(spark, f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query("SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE year(o_orderdate) >= 1996 AND o_orderstatus = 'F'")
@@ -31,32 +31,31 @@ def scan_csv(spark, d):
     return readers.scan_csv(spark, path, df.schema)
 
 
-_DOC = "features array<struct<properties: struct<n_nationkey: int, n_name: string, n_regionkey: int>>>"
+_DOC = "features array<struct<properties: struct<c_custkey: bigint, c_name: string, c_mktsegment: string>>>"
 
 
-def _documents(spark, d, by=None):
-    """Nations as JSON documents, one in all or one for each region; a dimension of fixed size."""
+def _documents(spark, d):
+    """Customers as JSON documents, a file for each nation: its path and the nations."""
     path = scratch(spark, "json")
-    feature = F.struct(F.struct("n_nationkey", "n_name", "n_regionkey").alias("properties"))
-    nations = table(spark, d, "nation")
-    doc = nations.groupBy(*([by] if by else [])).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
-    doc.select("value").repartition(5 if by else 1).write.text(path)
-    return path
+    feature = F.struct(F.struct("c_custkey", "c_name", "c_mktsegment").alias("properties"))
+    docs = table(spark, d, "customer").groupBy("c_nationkey").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+    docs.repartition("c_nationkey").write.partitionBy("c_nationkey").text(path)
+    return path, [r[0] for r in spark.read.text(path).select("c_nationkey").distinct().collect()]
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def _flat(documents):
+    return documents.select(F.explode("features.properties").alias("p")).select("p.*")
+
+
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def scan_json_document(spark, d):
-    return readers.scan_json_doc(spark, _documents(spark, d), _DOC).select(F.explode("features.properties").alias("p")).select("p.*")
+    return _flat(readers.scan_json_doc(spark, _documents(spark, d)[0], _DOC))
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def scan_json_pages(spark, d):
-    # A page is a file; several documents in one file would not be one.
-    pages = scratch(spark, "pages")
-    feature = F.struct(F.struct("n_nationkey", "n_name", "n_regionkey").alias("properties"))
-    docs = table(spark, d, "nation").groupBy("n_regionkey").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
-    docs.repartition("n_regionkey").write.partitionBy("n_regionkey").text(pages)
-    return readers.scan_json_doc(spark, [f"{pages}/n_regionkey={k}" for k in range(5)], _DOC).select(F.explode("features.properties").alias("p")).select("p.*")
+    path, nations = _documents(spark, d)
+    return _flat(readers.scan_json_doc(spark, [f"{path}/c_nationkey={k}" for k in nations], _DOC))
 
 
 @query("SELECT p_partkey, p_name, p_size FROM part")
@@ -71,10 +70,10 @@ def generate_rows(spark, d):
     return readers.generate(spark, table(spark, d, "orders").count()).select("id", "code", "name", "kind")
 
 
-@query("SELECT code, count(*) AS nations FROM nation JOIN (VALUES (0, 'AF'), (1, 'AM'), (2, 'AS'), (3, 'EU'), (4, 'ME')) v(k, code) ON n_regionkey = k GROUP BY code")
+@query("SELECT code, count(*) AS customers FROM customer JOIN (VALUES (0, 'AF'), (1, 'AM'), (2, 'AS'), (3, 'EU'), (4, 'ME')) v(k, code) ON c_nationkey % 5 = k GROUP BY code")
 def rows_to_table(spark, d):
-    codes = readers.rows_to_table(spark, [(0, "AF"), (1, "AM"), (2, "AS"), (3, "EU"), (4, "ME")], "n_regionkey int, code string")
-    return table(spark, d, "nation").join(F.broadcast(codes), "n_regionkey").groupBy("code").agg(F.count("*").alias("nations"))
+    codes = readers.rows_to_table(spark, [(0, "AF"), (1, "AM"), (2, "AS"), (3, "EU"), (4, "ME")], "k int, code string")
+    return table(spark, d, "customer").join(F.broadcast(codes), F.col("c_nationkey") % 5 == F.col("k")).groupBy("code").agg(F.count("*").alias("customers"))
 
 
 @query("SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderstatus")
