@@ -62,7 +62,7 @@ def test_words():
 
 
 def test_windows_tell_sequences_apart():
-    h = arrays.WordHashes().of([b"a", b"b", b"a", b"b", b"a", b"c"] * 5)
+    h = arrays.word_hashes([b"a", b"b", b"a", b"b", b"a", b"c"] * 5)
     for k in (1, 2, 3, 5, 8, 13):
         w = arrays.windows(h, k)
         keys = [tuple(h[i : i + k]) for i in range(len(h) - k + 1)]

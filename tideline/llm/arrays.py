@@ -48,21 +48,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _S31)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, the same in every process; forgets all at ``most`` words to bound memory."""
-
-    def __init__(self, most: int = 400_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, the same in every process."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def windows(h: np.ndarray, length: int) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import WordHashes, alnum_words, map_batches, slices, windows
+from .arrays import alnum_words, map_batches, slices, windows, word_hashes
 
 #: The base phrases and their labels.
 BASE = {
@@ -54,10 +54,10 @@ _HEAD = -1
 
 def template_rows(base: dict[str, str], notices: dict[str, str]) -> list[tuple[int, int, int, int, bool, str]]:
     """(hash, template, position, pairs, is_base, label) of every pair of words of every template."""
-    hashes, out = WordHashes(), []
+    out = []
     texts = [(t, label, True) for t, label in base.items()] + [(t, label, False) for label, t in notices.items()]
     for number, (text, label, is_base) in enumerate(texts):
-        pairs = windows(hashes.of(alnum_words(text)), 2).view(np.int64)
+        pairs = windows(word_hashes(alnum_words(text)), 2).view(np.int64)
         out += [(int(h), number, at, len(pairs), is_base, label) for at, h in enumerate(pairs)]
     return out
 
@@ -74,13 +74,13 @@ def scan(docs: DataFrame, base: dict[str, str] | None = None, notices: dict[str,
     templates = spark.createDataFrame(template_rows(base, notices), "hash bigint, template int, at int, pairs int, is_base boolean, label string")
 
     def pairs(batches):
-        hashes, made = WordHashes(), 0
+        made = 0
         first = TaskContext.get().partitionId() << 36
         for b in slices(batches):
             uid, doc, at, word = [], [], [], []
             for text in b.column("text").to_pylist():
                 words = alnum_words(text)
-                h = windows(hashes.of(words), 2).view(np.int64)
+                h = windows(word_hashes(words), 2).view(np.int64)
                 uid.append(np.full(len(h) + 1, first + made))
                 at.append(np.append(np.arange(len(h), dtype=np.int32), np.int32(len(words))))
                 word.append(np.append(h, np.int64(0)))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import WordHashes, map_batches, mix, schema_of, slices, utf8, windows
+from .arrays import map_batches, mix, schema_of, slices, utf8, windows, word_hashes
 from .components import components
 from .tables import written
 
@@ -41,12 +41,12 @@ EMPTY = 255
 _EDGES = np.array([(i << 64) // REGISTERS for i in range(REGISTERS)], dtype=np.uint64)
 
 
-def shingle_set(text: str | None, hashes: WordHashes, k: int = 5) -> np.ndarray:
+def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the k-word shingles; a shorter text is one shingle."""
     words = utf8(text).lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = hashes.of(words)
+    h = word_hashes(words)
     return np.unique(windows(h, k)) if len(h) >= k else mix(windows(h, len(h)) + np.uint64(len(h)))
 
 
@@ -85,9 +85,8 @@ def sketches(docs: DataFrame, k: int = 5) -> DataFrame:
     """Per row: doc_id, n_shingles, set_key (null for an empty set) and registers."""
 
     def sketch(batches):
-        hashes = WordHashes()
         for b in slices(batches):
-            sets = [shingle_set(t, hashes, k) for t in b.column("text").to_pylist()]
+            sets = [shingle_set(t, k) for t in b.column("text").to_pylist()]
             yield [b.column("doc_id"), [len(s) for s in sets], [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], [registers(s).tobytes() if len(s) else None for s in sets]]
 
     return map_batches(docs.select("doc_id", "text"), sketch, "doc_id bigint, n_shingles bigint, set_key binary, registers binary")
@@ -219,9 +218,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bucket_rows:
     placed = written(sized.join(blocks.select("cluster", F.ceil(F.col("total") / block_shingles).cast("int").alias("blocks")), "cluster").select("rep", "cluster", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")), "clusters")
 
     def full_sets(batches):
-        hashes = WordHashes()
         for b in slices(batches):
-            yield [*(b.column(c) for c in ("rep", "cluster", "blocks", "block")), [shingle_set(t, hashes, k).tobytes() for t in b.column("text").to_pylist()]]
+            yield [*(b.column(c) for c in ("rep", "cluster", "blocks", "block")), [shingle_set(t, k).tobytes() for t in b.column("text").to_pylist()]]
 
     members = docs.select(F.col("doc_id").alias("rep"), "text").join(placed, "rep")
     sets = map_batches(members.select("rep", "cluster", "blocks", "block", "text"), full_sets, "rep bigint, cluster bigint, blocks int, block int, shingles binary").where(F.length("shingles") > 0)

@@ -5,7 +5,7 @@ doc_id. Counting every window at that length would move as many hashes as the co
 rise by doubling and only windows that repeat at one length are extended to twice that length:
 
 * The shortest length is about half of the next one, and thinned: of all such windows inside a longer
-  window only the one with the smallest hash is an anchor. Equal long windows have the same anchor, so
+  window only the one that comes first in a hashed order is an anchor. Equal long windows have the same anchor, so
   one that repeats in two documents has an anchor that does, and anchors that do not repeat end here.
 * At each further length a window is a candidate only if its two overlapping halves repeated, or at the
   first such length if its anchor did. Levels end at ``window``, or when no candidate is left.
@@ -31,10 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import WordHashes, schema_of, utf8, windows
+from .arrays import mix, schema_of, utf8, windows, word_hashes
 
 #: Characters of text in a batch, and bytes of hashes at one reducer, on average.
-BATCH_CHARS, RANGE_BYTES = 8_000_000, 8_000_000
+BATCH_CHARS, RANGE_BYTES = 4_000_000, 4_000_000
+
+_ORDER = np.uint64(0xD6E8FEB86659FD93)
 
 _SENT = "hash_range bigint, batch bigint, level int, hashes binary, firsts binary, many binary"
 _ANSWER = "batch bigint, hash_range bigint, level int, repeats binary, earlier binary"
@@ -58,10 +60,7 @@ class Batch:
         apart = [k for k in range(len(ids)) if ids[k] is None]
         self.whole = [(None, texts[k]) for k in apart]
         self.order = [*order, *apart]
-        hashes, parts = WordHashes(), []
-        for _, text in self.rows:
-            parts.append(hashes.of(utf8(text).split()))
-        del hashes
+        parts = [word_hashes(utf8(text).split()) for _, text in self.rows]
         sizes = np.array([len(p) for p in parts], np.int64)
         self.ends = np.cumsum(sizes)
         self.word = np.concatenate([*parts, np.zeros(0, np.uint64)])
@@ -81,7 +80,8 @@ class Batch:
             short = windows(self.word, self.plan[0])
             span = self.plan[1] - self.plan[0] + 1
             if len(first):
-                view = np.lib.stride_tricks.sliding_window_view(short, span)
+                # Of another order than the hashes themselves, whose small values would crowd the first ranges.
+                view = np.lib.stride_tricks.sliding_window_view(mix(short ^ _ORDER), span)
                 self.anchor = np.concatenate([first[k : k + 262_144] + view[first[k : k + 262_144]].argmin(axis=1) for k in range(0, len(first), 262_144)])
             else:
                 self.anchor = first
