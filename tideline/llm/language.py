@@ -67,7 +67,7 @@ class Field:
 class Emissions(dict):
     """Row numbers of words in a growing table of emission scores; forgets all beyond ``most`` words."""
 
-    def __init__(self, field: Field, most: int = 200_000):
+    def __init__(self, field: Field, most: int = 100_000):
         super().__init__()
         self.field, self.most = field, most
         self.reset()
