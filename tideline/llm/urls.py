@@ -98,9 +98,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, depth: int = 6, weig
     host, path = split_url(F.col("url"))
     split = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("parts", generalised(F.col("path"), depth))
     tree = templates(split, labels)
-    overall = tree.agg(((F.sum("bad") + 1) / (F.sum("labelled") + 2)).alias("prior"))
-    sums = tree.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).crossJoin(F.broadcast(overall))
-    purity = sums.select("host", "template", ((F.col("b") + weight * F.col("prior")) / (F.col("n") + weight)).alias("purity"))
+    bad, labelled = tree.agg(F.sum("bad"), F.sum("labelled")).first()
+    prior = ((bad or 0) + 1) / ((labelled or 0) + 2)
+    sums = tree.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+    purity = sums.select("host", "template", ((F.col("b") + weight * prior) / (F.col("n") + weight)).alias("purity"))
     known = tree.select("host", "parts", "template").join(purity, ["host", "template"])
     rule, verdict = by_rules(F.col("host"), F.col("path"), rules)
     judged = split.join(known, ["host", "parts"], "left")
