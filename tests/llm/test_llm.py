@@ -433,7 +433,7 @@ def test_corrected_estimates():
             k = int(2000 * 2 * share / (1 + share))
             other = rng.integers(0, 2**63, 2000 - k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
             a, b = np.unique(both), np.unique(np.concatenate([both[:k], other]))
-            estimate, _ = neardup.corrected(neardup.registers(a), neardup.registers(b), np.array(2000.0), np.array(2000.0))
+            estimate, _ = neardup.corrected(neardup.registers(*neardup.minima(a)), neardup.registers(*neardup.minima(b)), np.array(2000.0), np.array(2000.0))
             errors.append(float(estimate) - share)
         assert abs(np.mean(errors)) < 0.03
 

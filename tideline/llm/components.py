@@ -9,8 +9,11 @@ from .tables import written
 
 
 def _to_least(pairs: DataFrame) -> DataFrame:
-    """Adds the least neighbour of u (or u itself); the minimum is combined before the shuffle, so hubs are cheap."""
-    return pairs.join(pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "u")
+    """Adds the least neighbour of u (or u itself). The minimum is combined before the shuffle. The second key makes the
+    join deal both sides anew instead of along the grouping, so adaptive execution can split a hub's pairs."""
+    least = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    again = F.shiftright("u", 1).alias("half")
+    return pairs.select("u", "v", again).join(least.select("u", "m", again), ["u", "half"]).drop("half")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1,8 +1,12 @@
 """Near-duplicate documents by HyperMinHash.
 
 Each document's distinct shingle hashes are dealt into registers by their high bits. A register keeps the
-leading zeros of its smallest hash and a few bits that follow them: one byte instead of eight, at the price
+leading zeros of its smallest hash and ten bits that follow them: two bytes instead of eight, at the price
 of rare collisions, for which the Jaccard estimate is corrected. Bands of registers find candidates.
+A band needs three filled registers to tell documents apart. Sets of fewer than ``2 * REGISTERS`` shingles
+leave more of them empty, so these documents use the uncompressed minima of each band with any; sets within a
+quarter below that size use both kinds, so two sets that can be similar always share a kind. A set of one or
+two shingles is similar only to its equals, which are found without bands.
 
 1. Documents with equal shingle sets become one class, represented by the smallest doc_id.
 2. Representatives that agree on all registers of a band meet in a bucket. There, those whose corrected
@@ -13,8 +17,8 @@ of rare collisions, for which the Jaccard estimate is corrected. Bands of regist
    counts intersections, and documents already in the largest component are compared only with those outside.
    A cluster beyond ``block_shingles`` is split into blocks and every two blocks meet in a task of their own.
 
-With 40 bands of 4 registers a pair at similarity 0.75 misses all buckets with probability 3e-7, at 0.8
-with 7e-10. Nothing grows with the square of a group except the confirmation among documents that are
+With 40 bands of 4 registers a pair at similarity 0.75 misses all buckets with probability of about 1e-6, at
+0.8 with 5e-9. Unrelated documents share a band with probability 1e-13 or less. Nothing grows with the square of a group except the confirmation among documents that are
 alike but not linked.
 
 Null and blank texts have an empty set and are linked with nothing, as are rows whose doc_id is null
@@ -36,8 +40,9 @@ from .tables import written
 
 BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
-MANTISSA = 4
-EMPTY = 255
+MANTISSA = 10
+EMPTY = 65535
+SMALL = 2 * REGISTERS
 _EDGES = np.array([(i << 64) // REGISTERS for i in range(REGISTERS)], dtype=np.uint64)
 
 
@@ -50,23 +55,44 @@ def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
     return np.unique(windows(h, k)) if len(h) >= k else mix(windows(h, len(h)) + np.uint64(len(h)))
 
 
-def registers(shingles: np.ndarray) -> np.ndarray:
-    """One byte a register: up to 15 leading zeros in the high half, the bits after the first one in the low half."""
-    out = np.full(REGISTERS, EMPTY, np.uint8)
+def minima(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest hash of each register, whether there is one) of sorted hashes."""
     at = np.searchsorted(shingles, _EDGES)
     there = at < np.append(at[1:], len(shingles))
-    if there.any():
-        # Position within the register as a fraction of 2**52: the low bits of the product are uniform again.
-        low = shingles[at[there]] - _EDGES[there]
-        spread = (low >> np.uint64(12)).astype(np.float64) / (2.0**52 / REGISTERS)
-        fraction, exponent = np.frexp(np.maximum(spread, 2.0**-60))
-        zeros = np.minimum(-exponent, 15)
-        bits = np.where(-exponent > 15, 0, np.floor((fraction * 2 - 1) * (1 << MANTISSA))).astype(np.int64)
-        code = zeros * (1 << MANTISSA) + np.clip(bits, 0, (1 << MANTISSA) - 1)
-        out[there] = np.minimum(code, EMPTY - 1).astype(np.uint8)
+    out = np.zeros(REGISTERS, np.uint64)
+    out[there] = shingles[at[there]]
+    return out, there
+
+
+def registers(least: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Two bytes a register: up to 63 leading zeros in the high six bits, the bits after the first one in the others."""
+    out = np.full(REGISTERS, EMPTY, np.uint16)
+    # The position within the register as a fraction of its width is uniform again.
+    place = ((least[there] - _EDGES[there]) >> np.uint64(12)).astype(np.float64) / (2.0**52 / REGISTERS)
+    fraction, exponent = np.frexp(np.maximum(place, 2.0**-63))
+    zeros = np.clip(-exponent, 0, 63)
+    code = zeros * (1 << MANTISSA) + ((fraction * 2 - 1) * (1 << MANTISSA)).astype(np.int64)
+    out[there] = np.minimum(code, EMPTY - 1)
     return out
 
 
+def band_keys(n: int, least: np.ndarray, there: np.ndarray, packed: np.ndarray) -> np.ndarray:
+    """Keys of the bands under which a set of n shingles is looked up."""
+    filled = there.reshape(BANDS, ROWS).sum(axis=1)
+    kinds = []
+    if 2 < n < SMALL:
+        kinds.append((least, filled > 0, np.uint64(1)))
+    if n >= 0.75 * SMALL:
+        kinds.append((packed.astype(np.uint64), filled >= 3, np.uint64(2)))
+    out = [np.zeros(0, np.uint64)]
+    for values, usable, kind in kinds:
+        key = np.arange(BANDS, dtype=np.uint64) * np.uint64(4) + kind
+        for column in values.reshape(BANDS, ROWS).T:
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
+        out.append(key[usable])
+    return np.concatenate(out).view(np.int64)
+
+
 def corrected(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Jaccard estimates of register rows ``a`` and ``b`` of sets of sizes n and m, and their standard error at 0.75.
 
@@ -82,14 +108,22 @@ def corrected(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tup
 
 
 def sketches(docs: DataFrame, k: int = 5) -> DataFrame:
-    """Per row: doc_id, n_shingles, set_key (null for an empty set) and registers."""
+    """Per row: doc_id, n_shingles, set_key (null for an empty set), registers and keys of bands."""
 
     def sketch(batches):
         for b in slices(batches):
-            sets = [shingle_set(t, k) for t in b.column("text").to_pylist()]
-            yield [b.column("doc_id"), [len(s) for s in sets], [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], [registers(s).tobytes() if len(s) else None for s in sets]]
+            rows = []
+            for text in b.column("text").to_pylist():
+                s = shingle_set(text, k)
+                if not len(s):
+                    rows.append((0, None, None, None))
+                    continue
+                least, there = minima(s)
+                packed = registers(least, there)
+                rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), packed.tobytes(), band_keys(len(s), least, there, packed)))
+            yield [b.column("doc_id"), *(list(c) for c in zip(*rows, strict=True))]
 
-    return map_batches(docs.select("doc_id", "text"), sketch, "doc_id bigint, n_shingles bigint, set_key binary, registers binary")
+    return map_batches(docs.select("doc_id", "text"), sketch, "doc_id bigint, n_shingles bigint, set_key binary, registers binary, keys array<bigint>")
 
 
 def _alike(one: tuple, many: tuple, least: float) -> np.ndarray:
@@ -121,7 +155,7 @@ def _buckets(rows: pa.Table, least: float) -> list[np.ndarray]:
     """Of whole buckets, sorted: an edge from each member to the first one of its cluster of similar estimates."""
     bucket, ids = rows.column("bucket").to_numpy(), rows.column("rep").to_numpy()
     n = rows.column("n_shingles").to_numpy().astype(float)
-    regs = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    regs = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
     starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     sizes = np.diff(np.append(starts, len(bucket)))
     head = np.repeat(starts, sizes)
@@ -202,10 +236,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bucket_rows:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
     sketch = written(sketches(docs, k), "sketches")
     known = sketch.where("doc_id is not null and n_shingles > 0")
-    reps = written(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "reps")
+    reps = written(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"), F.first("keys").alias("keys")), "reps")
 
-    empty = "f" * (2 * ROWS)
-    bands = reps.select("rep", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("registers", i * ROWS + 1, F.lit(ROWS))))).where(F.hex("col") != empty.upper()).select(F.xxhash64("pos", "col").alias("bucket"), "rep")
+    bands = reps.select(F.explode("keys").alias("bucket"), "rep")
     shared = bands.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("least"), F.expr("bit_xor(xxhash64(rep))").alias("who")).where("members > 1")
     shared = shared.groupBy("members", "least", "who").agg(F.min("bucket").alias("bucket"))  # of buckets with the same members, one
     meets = written(bands.join(shared, "bucket"), "meets")
