@@ -195,7 +195,7 @@ class Plan:
         return out
 
 
-def pack(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 0, slack: int = 4, rounds: int = 300, salt_rows: int = 20_000) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 0, slack: int = 4, rounds: int = 300, salt_rows: int = 4_000) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
 
     def encode(batches):
