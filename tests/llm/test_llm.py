@@ -180,6 +180,17 @@ def test_packing_awkward(spark):
     assert packing.pack(docs_of(spark, ["x"]).where("false"), queries.vocabulary()).isEmpty()
 
 
+def test_encoder_of_long_runs_and_odd_white_space():
+    from tokenizers import Tokenizer
+
+    encode, tokenizer = packing.encoder(queries.vocabulary()), Tokenizer.from_file(queries.vocabulary())
+    rng = np.random.default_rng(3)
+    pieces = [" ", "  ", "\n", "\t", "\xa0", "\u2003", "\x1c", "\x85", "\r", "a", "é", "!", "1", "'s", "<|endoftext|>", "日本", "\u200b"]
+    texts = ["".join(rng.choice(pieces, rng.integers(1, 15))) for _ in range(3000)]
+    for t in [*texts, "a" + " " * 1_200_000 + "b", "\n" * 1_200_000, "x\t" + " \n" * 600_000]:
+        assert np.array_equal(encode(t), tokenizer.encode(t, add_special_tokens=False).ids)
+
+
 def test_column_generation_reaches_the_bound():
     rng = np.random.default_rng(0)
     for size, n in ((20, 300), (64, 2000)):

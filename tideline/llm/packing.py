@@ -16,6 +16,7 @@ are packed as often as they occur. Rows whose doc_id is null are packed like oth
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Callable
 from functools import lru_cache
@@ -28,12 +29,18 @@ from .arrays import map_batches, slices
 from .tables import written
 
 
+#: Runs of white-space (all that Unicode counts as such), and the length from which on a run is not left to ``tiktoken``.
+SPACE = re.compile(r"\s+")
+LONG_RUN = 100_000
+
+
 @lru_cache(maxsize=4)
 def encoder(vocabulary: str) -> Callable[[str], np.ndarray]:
     """Ids of a text by the tokenizer file ``vocabulary`` (``tokenizers`` format, no special tokens added).
 
-    Where the same vocabulary also lies beside it as ranks, those are used, which give the same ids faster;
-    texts that hold a special token's string go to the tokenizer itself.
+    Where the same vocabulary also lies beside it as ranks, ``tiktoken`` stands in with those, which give the same ids
+    faster; texts that hold a special token's string, or a run of ``LONG_RUN`` white-space characters, over which
+    ``tiktoken`` fails at about a million, go to the tokenizer itself.
     """
     import os
 
@@ -51,7 +58,7 @@ def encoder(vocabulary: str) -> Callable[[str], np.ndarray]:
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
-        if any(s in text for s in special):
+        if any(s in text for s in special) or (len(text) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in SPACE.finditer(text))):
             return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
