@@ -113,6 +113,27 @@ def test_language_of_switched_and_awkward_texts(spark, small):
 # 2 rollups
 
 
+def test_language_keeps_every_label(spark):
+    letters = "abcdefghijklmnop"
+    name = lambda i: letters[i // 16] + letters[i % 16]
+    rows = [(j * 1000 + i, " ".join(f"{name(i)}{name(i)}{name((i * 7 + w) % 256)}" for w in range(12)), name(i), "s", None, 1.5, 7, "b", "u") for i in range(210) for j in range(3 if i % 2 else 4)]
+    docs = spark.createDataFrame(rows, DOC)
+    sample = language.training_rows(docs)
+    assert collections.Counter(lang for _, lang in sample) == collections.Counter(r[2] for r in rows)
+    assert collections.Counter(lang for _, lang in language.training_rows(docs, total=420)) == {name(i): 2 for i in range(210)}
+    assert language.training_rows(docs.where("false")) == []
+    found = {r.doc_id: r.lang_pred for r in language.identify(docs, language.fit(sample)).collect()}
+    assert sum(found[r[0]] == r[2] for r in rows) > 0.95 * len(rows)
+
+
+def test_marginals_of_many_labels(monkeypatch):
+    rng = np.random.default_rng(5)
+    scores, transitions, starts = rng.normal(size=(200, 6)), rng.normal(size=(6, 6)), np.array([0, 1, 90, 100])
+    plain = language.marginals(scores, transitions, starts)
+    monkeypatch.setattr(language, "MOST_LABELS", 2)
+    assert np.allclose(language.marginals(scores, transitions, starts), plain)
+
+
 def test_rollups_are_idempotent_and_additive(spark):
     docs = docs_of(spark, [*AWKWARD, (None, "null id"), (1, "again"), (1, "again")])
     counts = rollups.token_counts(docs)

@@ -16,12 +16,13 @@ A text that is null or has no letter is ``und`` with score 0. With no labelled r
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import map_batches, slices
@@ -32,6 +33,8 @@ BITS = 16
 BUCKETS = 1 << BITS
 _STEP, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 BLOCK = 32
+#: Up to so many labels blocks are reduced to matrices.
+MOST_LABELS = 32
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -105,13 +108,14 @@ def marginals(scores: np.ndarray, transitions: np.ndarray, starts: np.ndarray, m
     t = np.exp(transitions - transitions.max())
     first = np.zeros(n, bool)
     first[starts] = True
-    # Blocks of at most BLOCK words that do not cross texts.
+    # Blocks of at most BLOCK words that do not cross texts; with many labels a matrix costs more than it saves, and a text is one block.
     sizes = np.diff(np.append(starts, n))
-    counts = -(-sizes // BLOCK)
+    block = BLOCK if k <= MOST_LABELS else int(sizes.max())
+    counts = -(-sizes // block)
     text = np.repeat(np.arange(len(starts)), counts)
     inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    begin = starts[text] + inner * BLOCK
-    length = np.minimum(BLOCK, sizes[text] - inner * BLOCK)
+    begin = starts[text] + inner * block
+    length = np.minimum(block, sizes[text] - inner * block)
     blocks = len(begin)
     head = inner == 0
 
@@ -121,8 +125,9 @@ def marginals(scores: np.ndarray, transitions: np.ndarray, starts: np.ndarray, m
         m[fresh] = (np.ones((k, k)) / k)[None] * e[at[fresh]][:, None, :]
         return m
 
-    whole = np.broadcast_to(np.eye(k), (blocks, k, k)).copy()
-    for j in range(BLOCK):
+    several = bool((counts > 1).any())
+    whole = np.broadcast_to(np.eye(k), (blocks, k, k)).copy() if several else None
+    for j in range(block if several else 0):
         on = length > j
         whole[on] = whole[on] @ step_matrix(begin[on] + j)
         if j % 8 == 7:
@@ -144,7 +149,7 @@ def marginals(scores: np.ndarray, transitions: np.ndarray, starts: np.ndarray, m
             out[b] = v / v.sum(axis=1, keepdims=True)
     forward = np.empty((n, k))
     state = into.copy()
-    for j in range(BLOCK):
+    for j in range(block):
         on = np.flatnonzero(length > j)
         at = begin[on] + j
         v = np.where(first[at][:, None], 1.0 / k, state[on] @ t) * e[at]
@@ -153,7 +158,7 @@ def marginals(scores: np.ndarray, transitions: np.ndarray, starts: np.ndarray, m
         state[on] = v
     alpha = forward.copy() if messages else None
     back = out.copy()
-    for j in range(BLOCK - 1, -1, -1):
+    for j in range(block - 1, -1, -1):
         on = np.flatnonzero(length > j)
         at = begin[on] + j
         p = forward[at] * back[on]
@@ -173,10 +178,10 @@ def _gradient(scores, transitions, gold, starts):
     inside[starts] = False
     at = np.flatnonzero(inside)
     # Pair marginals: from the message into a word, the share of each label before it.
-    pair = alpha[at - 1][:, :, None] * np.exp(transitions - transitions.max())[None]
-    pair *= (p[at] / np.maximum(pair.sum(axis=1), 1e-300))[:, None, :]
+    t = np.exp(transitions - transitions.max())
+    pairs = t * (alpha[at - 1].T @ (p[at] / np.maximum(alpha[at - 1] @ t, 1e-300)))
     want = np.bincount(gold[at - 1] * k + gold[at], minlength=k * k).reshape(k, k)
-    return g, want - pair.sum(axis=0)
+    return g, want - pairs
 
 
 def fit(rows: list[tuple[str, str]], passes: int = 3, rate: float = 0.3, passage: int = 60, seed: int = 7) -> Field:
@@ -218,21 +223,30 @@ def fit(rows: list[tuple[str, str]], passes: int = 3, rate: float = 0.3, passage
     return field
 
 
-def training_rows(docs: DataFrame, sample: int = 300, chars: int = 2000) -> list[tuple[str, str]]:
-    """The sample that the field is fitted on: of each of the (at most 200) commonest languages up to ``sample`` labelled
-    documents, those with the smallest hashes of their ids, and of each its first ``chars`` characters."""
-    known = docs.where("text is not null and lang is not null and doc_id is not null").select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("at"))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()
+def training_rows(docs: DataFrame, sample: int = 300, chars: int = 2000, total: int = 6000) -> list[tuple[str, str]]:
+    """The sample that the field is fitted on: of each language up to ``sample`` labelled documents, those with the smallest
+    hashes of ids and texts, and of each its first ``chars`` characters. With more languages than ``total`` / ``sample``
+    each has fewer documents, but one at least."""
+    known = docs.where("text is not null and lang is not null and doc_id is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("at"))
+    known = known.withColumn("text", F.substring("text", 1, chars)).where(F.col("text").rlike(r"[\p{L}\p{Nl}\p{No}]"))
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return []
-    # For each language a hash range with about twice the sample; what comes to the driver is trimmed there.
-    ranges = F.create_map(*(F.lit(x) for r in counts for x in (r.lang, min(1_000_000, 1_000 + int(2e6 * sample / r.n)))))
-    some = known.where(F.col("at") < ranges[F.col("lang")]).select("lang", "at", "doc_id", F.substring("text", 1, chars).alias("text"))
-    rows: dict[str, list] = {r.lang: [] for r in counts}
-    for r in sorted(some.collect(), key=lambda r: (r.at, r.doc_id, r.text)):
-        if len(rows[r.lang]) < sample and LETTERS.search(r.text):
-            rows[r.lang].append((r.text, r.lang))
-    return [x for lang in sorted(rows) for x in rows[lang]]
+    each = max(1, min(sample, total // len(counts)))
+
+    def smallest(rows):
+        # Spark keeps the first ``each`` of a language in every task before it deals them out.
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id", "text"))
+        return rows.withColumn("rank", rank).where(F.col("rank") <= each).select("lang", "rank", "text").collect()
+
+    # For each language a hash range that surely holds the sample spares sorting the rest; copies, which share a hash, may leave too few in it.
+    ends = {lang: min((1 << 63) - 1, int((1 << 64) * min(1.0, (2 * each + 30) / n)) - (1 << 63)) for lang, n in counts.items()}
+    some = smallest(known.where(F.col("at") <= F.create_map(*(F.lit(x) for e in ends.items() for x in e))[F.col("lang")]))
+    got = Counter(r.lang for r in some)
+    short = [lang for lang, n in counts.items() if got[lang] < min(each, n)]
+    if short:
+        some = [r for r in some if r.lang not in set(short)] + smallest(known.where(F.col("lang").isin(short)))
+    return [(r.text, r.lang) for r in sorted(some, key=lambda r: (r.lang, r["rank"])) if LETTERS.search(r.text)]
 
 
 def train(docs: DataFrame, sample: int = 300, chars: int = 2000, **options) -> Field:
@@ -246,7 +260,8 @@ def identify(docs: DataFrame, field: Field, carry: tuple[str, ...] = (), words_a
     def predict(batches):
         model = shared.value
         k = len(model.labels)
-        cache = Emissions(model)
+        few = MOST_LABELS / max(k, MOST_LABELS)  # tables of words x labels stay as large as with few labels
+        cache = Emissions(model, int(100_000 * few))
         for b in slices(batches, 256):
             texts = b.column("text").to_pylist()
             shares = np.zeros((len(texts), max(k, 1)))
@@ -265,7 +280,7 @@ def identify(docs: DataFrame, field: Field, carry: tuple[str, ...] = (), words_a
                     continue
                 group.append((i, cache.rows(words), np.fromiter(map(len, words), np.float64, len(words))))
                 held += len(words)
-                if held >= words_at_once or len(cache) > cache.most:
+                if held >= words_at_once * few or len(cache) > cache.most:
                     flush(group)
                     group, held = [], 0
                     if len(cache) > cache.most:
