@@ -8,7 +8,9 @@
 4. ``benchmark``: documents that hold ten consecutive words of a benchmark item go.
 5. ``packing``: what is left is packed into sequences of tokens; the rows are pieces.
 
-Of rows that repeat a doc_id stage 2 keeps the first by text. Rows whose doc_id is null go.
+Rows whose doc_id is null and rows that share a doc_id are documents of their own: stage 2 judges them by a key of 64
+hashed bits, after documents with an id, and keeps rows of the same id and text once. Of an id's texts the first keeps
+the id's place. Stage 3 takes passages from no row without an id, nor from one row of an id what another one has.
 """
 
 from __future__ import annotations
@@ -30,18 +32,28 @@ SPAN = 13
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS).where("doc_id is not null")
+    docs = docs.select(*COLUMNS)
     found = language.identify(docs, language.train(docs), carry=("text", "lang", "source", "n_chars"))
     told = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
     return told.select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a ``key`` of their own: the id, but a hash above all usual ids for rows without one and for further texts
+    under one id. Rows of the same id and text are one."""
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        return docs.withColumn("key", F.col("doc_id"))
+    texts = written(docs.groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("first")).select("doc_id", "text", "first.*"), "texts")
+    clashing = texts.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    other = F.col("doc_id").isNull() | (F.col("least").isNotNull() & ~F.col("text").eqNullSafe(F.col("least")))
+    hashed = F.lit(1 << 62) + F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 62))
+    return written(texts.join(clashing, "doc_id", "left").select(*COLUMNS, F.when(other, hashed).otherwise(F.col("doc_id")).alias("key")), "documents")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        first = docs.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("first"))
-        docs = written(first.select("doc_id", "first.*"), "documents")
-    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    docs = keyed(docs)
+    gone = neardup.near_duplicates(docs.select(F.col("key").alias("doc_id"), "text")).where("not kept").select(F.col("doc_id").alias("key"))
+    return docs.join(gone, "key", "left_anti").select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

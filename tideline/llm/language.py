@@ -227,7 +227,7 @@ def training_rows(docs: DataFrame, sample: int = 300, chars: int = 2000, total:
     """The sample that the field is fitted on: of each language up to ``sample`` labelled documents, those with the smallest
     hashes of ids and texts, and of each its first ``chars`` characters. With more languages than ``total`` / ``sample``
     each has fewer documents, but one at least."""
-    known = docs.where("text is not null and lang is not null and doc_id is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("at"))
+    known = docs.where("text is not null and lang is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("at"))
     known = known.withColumn("text", F.substring("text", 1, chars)).where(F.col("text").rlike(r"[\p{L}\p{Nl}\p{No}]"))
     counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
