@@ -438,8 +438,9 @@ def brute_components(docs):
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
-@pytest.mark.parametrize("limits", [{}, {"bucket_rows": 3, "block_shingles": 300}])
-def test_near_duplicates_against_brute_force(spark, limits):
+@pytest.mark.parametrize("pivot_rows", [128, 2])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, pivot_rows):
+    monkeypatch.setattr(neardup, "PIVOT_ROWS", pivot_rows)
     rng = np.random.default_rng(5)
     texts = [*AWKWARD[:6], "a b c", "A B c", "a b"]
     for size in (8, 30, 120):
@@ -455,7 +456,7 @@ def test_near_duplicates_against_brute_force(spark, limits):
             texts.append(" ".join(base))
     order = rng.permutation(len(texts))
     docs = [(int(i), texts[k]) for i, k in enumerate(order)]
-    out = neardup.near_duplicates(docs_of(spark, docs), **limits).collect()
+    out = neardup.near_duplicates(docs_of(spark, docs)).collect()
     expected = brute_components(docs)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == expected
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
@@ -478,11 +479,47 @@ def test_corrected_estimates():
             k = int(2000 * 2 * share / (1 + share))
             other = rng.integers(0, 2**63, 2000 - k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
             a, b = np.unique(both), np.unique(np.concatenate([both[:k], other]))
-            estimate, _ = neardup.corrected(neardup.registers(*neardup.minima(a)), neardup.registers(*neardup.minima(b)), np.array(2000.0), np.array(2000.0))
+            regs = [neardup.stored(*neardup.registers(s)) for s in (a, b)]
+            estimate, _, _ = neardup.corrected(*regs, np.array(2000.0), np.array(2000.0))
             errors.append(float(estimate) - share)
+            assert share < 0.75 or neardup.alike(*regs, np.array(2000.0), np.array(2000.0), 0.75)
         assert abs(np.mean(errors)) < 0.03
 
 
+def test_bands_meet_at_every_size():
+    rng = np.random.default_rng(1)
+    for n in (3, 4, 8, 20, 60, 150, 320, 1000):
+        met = estimated = 0
+        for _ in range(150):
+            extra = int(n / 0.75) - n  # the larger set holds the smaller one, at the least similarity that is linked
+            both = np.unique(rng.integers(0, 2**64, n + extra, dtype=np.uint64))
+            a, b = both, np.sort(rng.permutation(both)[:n])
+            regs = [neardup.registers(s) for s in (a, b)]
+            met += len(np.intersect1d(neardup.band_keys(*regs[0]), neardup.band_keys(*regs[1]))) > 0
+            estimated += bool(neardup.alike(*(neardup.stored(*r) for r in regs), np.array(float(len(a))), np.array(float(n)), 0.75))
+        assert met == estimated == 150
+    far = [neardup.band_keys(*neardup.registers(np.unique(rng.integers(0, 2**64, 5, dtype=np.uint64)))) for _ in range(2000)]
+    assert len(np.unique(np.concatenate(far))) == 2000 * neardup.BANDS
+
+
+def test_near_duplicates_that_no_pivot_links(spark):
+    """Groups that share half of their words: pivots are linked with few members, the rest is found by rare shingles."""
+    rng = np.random.default_rng(8)
+    common = [f"w{k}" for k in range(150)]
+    texts = []
+    for _ in range(25):
+        own = [f"o{rng.integers(10**9)}" for _ in range(60)]
+        for _ in range(2):
+            words = [*common, *own]
+            for _ in range(3):
+                words[rng.integers(len(words))] = f"e{rng.integers(10**9)}"
+            texts.append(" ".join(words))
+    docs = [(int(i), texts[k]) for i, k in enumerate(rng.permutation(len(texts)))]
+    out = neardup.near_duplicates(docs_of(spark, docs)).collect()
+    expected = brute_components(docs)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == expected and len({c for _, c in expected.values()}) > 10
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 101), (7, 7), (None, 3)] + [(200, 200 + k) for k in range(50)]
     out = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

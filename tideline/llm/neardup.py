@@ -1,28 +1,33 @@
 """Near-duplicate documents by HyperMinHash.
 
-Each document's distinct shingle hashes are dealt into registers by their high bits. A register keeps the
-leading zeros of its smallest hash and ten bits that follow them: two bytes instead of eight, at the price
-of rare collisions, for which the Jaccard estimate is corrected. Bands of registers find candidates.
-A band needs three filled registers to tell documents apart. Sets of fewer than ``2 * REGISTERS`` shingles
-leave more of them empty, so these documents use the uncompressed minima of each band with any; sets within a
-quarter below that size use both kinds, so two sets that can be similar always share a kind. A set of one or
-two shingles is similar only to its equals, which are found without bands.
+Each document's distinct shingle hashes are dealt into registers by their high bits. A register keeps the leading
+zeros of its smallest hash and the bits that follow them (six and 26 bits). Bands of four registers find candidates;
+for the estimate the registers are kept without their last 16 bits, as two bytes instead of the eight of a hash.
+
+Small sets leave registers empty. In a band an empty register takes the value and number of another one: of those
+that a fixed random sequence of this register's own visits, the first that is filled. Two sets see the same value
+there as often as at a filled register, so all sizes are banded alike, by one kind of key.
 
 1. Documents with equal shingle sets become one class, represented by the smallest doc_id.
-2. Representatives that agree on all registers of a band meet in a bucket. There, those whose corrected
-   estimate is within five standard errors of the threshold are joined to clusters; a bucket gives one edge
-   for each member at most. A bucket beyond ``bucket_rows`` joins all members, which only makes clusters
-   coarser. Clusters are the connected components of these edges.
-3. Full shingle sets are sent once, to their cluster, where links are confirmed exactly: an inverted index
-   counts intersections, and documents already in the largest component are compared only with those outside.
-   A cluster beyond ``block_shingles`` is split into blocks and every two blocks meet in a task of their own.
+2. Representatives that agree on all registers of a band meet in a bucket. Each is compared with two pivots of its
+   bucket, the smallest and the greatest id: first the collision-corrected estimate of the registers must be within
+   five standard errors of the threshold, then the full sets are compared. Links found so give components.
+3. A bucket of more than three members that still lie in different components may hide a link between two of them
+   that neither pivot has. The members of such buckets go on to an exact join: every document's shingles in the
+   order of their frequency among these documents, of which the first n - ceil(0.75 n) + 1 must hold one of any
+   partner's. Pairs of different components that share one, have fitting sizes and pass the estimate are compared in full.
+
+Nothing is gathered by bucket or cluster: candidates are pairs, at most two for each member and bucket in step 2, and
+full sets are sent to pairs. The set of a pivot that many documents have is sent in as many copies as there are
+``PIVOT_ROWS`` of them, and each copy serves a part. Step 3 compares only documents that the pivots left apart.
 
 With 40 bands of 4 registers a pair at similarity 0.75 misses all buckets with probability of about 1e-6, at
-0.8 with 5e-9. Unrelated documents share a band with probability 1e-13 or less. Nothing grows with the square of a group except the confirmation among documents that are
-alike but not linked.
+0.8 with 5e-9. Unrelated documents share a band with probability 1e-13 or less.
 
-Null and blank texts have an empty set and are linked with nothing, as are rows whose doc_id is null
-(component null, kept). Rows that repeat a doc_id count as one document.
+Results of edge cases. Null and blank texts have an empty set (n_shingles 0) and are linked with nothing, as are rows
+whose doc_id is null (component null, kept). Rows that repeat a doc_id with the same text count as one document; with
+different texts the id has the links of all of them. An empty table gives an empty result. Ties: of equal sets the
+smallest doc_id stays. Texts of any length are read whole. Columns besides doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -34,16 +39,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import map_batches, mix, schema_of, slices, utf8, windows, word_hashes
+from .arrays import map_batches, mix, slices, utf8, windows, word_hashes
 from .components import components
 from .tables import written
 
 BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
-MANTISSA = 10
+#: Bits of the mantissa in a band's key and in the stored registers.
+MANTISSA, KEPT = 26, 10
 EMPTY = 65535
-SMALL = 2 * REGISTERS
+#: Pairs that one copy of a pivot's set serves.
+PIVOT_ROWS = 128
 _EDGES = np.array([(i << 64) // REGISTERS for i in range(REGISTERS)], dtype=np.uint64)
+#: The registers that each register visits in turn when it is empty; any filled one is found, as every row ends with all of them.
+_VISITS = np.random.default_rng(9).permuted(np.tile(np.arange(REGISTERS), (REGISTERS, 1)), axis=1)
 
 
 def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
@@ -55,46 +64,41 @@ def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
     return np.unique(windows(h, k)) if len(h) >= k else mix(windows(h, len(h)) + np.uint64(len(h)))
 
 
-def minima(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(smallest hash of each register, whether there is one) of sorted hashes."""
+def registers(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, whether there is one) of a sorted set: up to 63 leading zeros of each register's smallest hash in the high
+    six bits of a code, the bits after the first one in the others."""
     at = np.searchsorted(shingles, _EDGES)
     there = at < np.append(at[1:], len(shingles))
-    out = np.zeros(REGISTERS, np.uint64)
-    out[there] = shingles[at[there]]
-    return out, there
+    # The position within the register as a fraction of its width is uniform again.
+    place = ((shingles[at[there]] - _EDGES[there]) >> np.uint64(8)).astype(np.float64) / (2.0**56 / REGISTERS)
+    fraction, exponent = np.frexp(np.clip(place, 2.0**-63, 1 - 2.0**-53))
+    codes = np.zeros(REGISTERS, np.uint64)
+    codes[there] = np.clip(-exponent, 0, 63).astype(np.uint64) << np.uint64(MANTISSA) | ((fraction * 2 - 1) * (1 << MANTISSA)).astype(np.uint64)
+    return codes, there
 
 
-def registers(least: np.ndarray, there: np.ndarray) -> np.ndarray:
-    """Two bytes a register: up to 63 leading zeros in the high six bits, the bits after the first one in the others."""
-    out = np.full(REGISTERS, EMPTY, np.uint16)
-    # The position within the register as a fraction of its width is uniform again.
-    place = ((least[there] - _EDGES[there]) >> np.uint64(12)).astype(np.float64) / (2.0**52 / REGISTERS)
-    fraction, exponent = np.frexp(np.maximum(place, 2.0**-63))
-    zeros = np.clip(-exponent, 0, 63)
-    code = zeros * (1 << MANTISSA) + ((fraction * 2 - 1) * (1 << MANTISSA)).astype(np.int64)
-    out[there] = np.minimum(code, EMPTY - 1)
-    return out
-
-
-def band_keys(n: int, least: np.ndarray, there: np.ndarray, packed: np.ndarray) -> np.ndarray:
-    """Keys of the bands under which a set of n shingles is looked up."""
-    filled = there.reshape(BANDS, ROWS).sum(axis=1)
-    kinds = []
-    if 2 < n < SMALL:
-        kinds.append((least, filled > 0, np.uint64(1)))
-    if n >= 0.75 * SMALL:
-        kinds.append((packed.astype(np.uint64), filled >= 3, np.uint64(2)))
-    out = [np.zeros(0, np.uint64)]
-    for values, usable, kind in kinds:
-        key = np.arange(BANDS, dtype=np.uint64) * np.uint64(4) + kind
-        for column in values.reshape(BANDS, ROWS).T:
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
-        out.append(key[usable])
-    return np.concatenate(out).view(np.int64)
-
-
-def corrected(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard estimates of register rows ``a`` and ``b`` of sets of sizes n and m, and their standard error at 0.75.
+def stored(codes: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Two bytes a register: the codes without their last bits."""
+    return np.where(there, np.minimum(codes >> np.uint64(MANTISSA - KEPT), EMPTY - 1), EMPTY).astype(np.uint16)
+
+
+def band_keys(codes: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """One key for each band of the registers, empty ones filled from others."""
+    source = np.arange(REGISTERS)
+    gaps = np.flatnonzero(~there)
+    if len(gaps):
+        visits = _VISITS[gaps]
+        source[gaps] = visits[np.arange(len(gaps)), there[visits].argmax(axis=1)]
+    values = (codes[source] * np.uint64(256) + source.astype(np.uint64)).reshape(BANDS, ROWS)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for column in values.T:
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
+    return key.view(np.int64)
+
+
+def corrected(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of stored register rows ``a`` and ``b`` of sets of sizes n and m: Jaccard estimates, their standard error at 0.75,
+    and the number of unequal registers.
 
     Of the registers filled in either set the equal ones are counted, less those expected to be equal by
     chance among the unequal ones: two independent minima share a code with probability about
@@ -102,13 +106,26 @@ def corrected(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tup
     """
     filled = (a != EMPTY) | (b != EMPTY)
     total = np.maximum(filled.sum(axis=-1), 1)
-    equal = ((a == b) & filled).sum(axis=-1) / total
-    chance = 0.169919487159739 * 2.0**-MANTISSA * 4.0 * n * m / (n + m) ** 2
-    return np.maximum(0.0, (equal - chance) / (1 - chance)), np.sqrt(0.75 * 0.25 / total)
+    same = ((a == b) & filled).sum(axis=-1)
+    chance = 0.169919487159739 * 2.0**-KEPT * 4.0 * n * m / np.maximum(n + m, 1) ** 2
+    return np.maximum(0.0, (same / total - chance) / (1 - chance)), np.sqrt(0.75 * 0.25 / total), total - same
+
+
+def alike(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
+    """Whether estimates and sizes allow similarity ``least``.
+
+    An unequal register has a shingle of one set alone as its smallest, and each such shingle lies in one register: sets
+    that similar have at most (n + m)(1 - least)/(1 + least) of them, which decides small sets without any error.
+    """
+    estimate, error, unequal = corrected(a, b, n, m)
+    fits = np.minimum(n, m) >= least * np.maximum(n, m)
+    return fits & (estimate >= least - 5 * error) & (unequal <= (n + m) * (1 - least) / (1 + least) + 1e-9)
 
 
 def sketches(docs: DataFrame, k: int = 5) -> DataFrame:
-    """Per row: doc_id, n_shingles, set_key (null for an empty set), registers and keys of bands."""
+    """Per row: doc_id, n_shingles, set_key (null for an empty set), registers and keys of bands.
+
+    A set of one or two shingles is that similar only to its equals, so it has no keys."""
 
     def sketch(batches):
         for b in slices(batches):
@@ -118,149 +135,111 @@ def sketches(docs: DataFrame, k: int = 5) -> DataFrame:
                 if not len(s):
                     rows.append((0, None, None, None))
                     continue
-                least, there = minima(s)
-                packed = registers(least, there)
-                rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), packed.tobytes(), band_keys(len(s), least, there, packed)))
+                codes = registers(s)
+                rows.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), stored(*codes).tobytes(), band_keys(*codes) if len(s) > 2 else ()))
             yield [b.column("doc_id"), *(list(c) for c in zip(*rows, strict=True))]
 
     return map_batches(docs.select("doc_id", "text"), sketch, "doc_id bigint, n_shingles bigint, set_key binary, registers binary, keys array<bigint>")
 
 
-def _alike(one: tuple, many: tuple, least: float) -> np.ndarray:
-    """Whether estimates and sizes allow similarity ``least``; each side is (registers, sizes)."""
-    (a, n), (b, m) = one, many
-    estimate, error = corrected(a, b, n, m)
-    return (np.minimum(n, m) >= least * np.maximum(n, m)) & (estimate >= least - 5 * error)
-
-
-def _settle(regs: np.ndarray, n: np.ndarray, root: np.ndarray, least: float) -> np.ndarray:
-    """Clusters of a bucket, from ``root``, which the comparison with row 0 gave: rows outside the largest cluster are
-    compared with all that are not in theirs."""
-    done = np.zeros(len(root), bool)
-    done[0] = True
-    while True:
-        left = np.flatnonzero(~done & (root != np.bincount(root, minlength=len(root)).argmax()))
-        if not len(left):
-            return root
-        x = left[0]
-        done[x] = True
-        other = np.flatnonzero(root != root[x])
-        if len(other):
-            near = _alike((regs[other], n[other]), (regs[x], n[x]), least)
-            joined = np.unique(np.append(root[other[near]], root[x]))
-            root[np.isin(root, joined)] = joined[0]
-
-
-def _buckets(rows: pa.Table, least: float) -> list[np.ndarray]:
-    """Of whole buckets, sorted: an edge from each member to the first one of its cluster of similar estimates."""
-    bucket, ids = rows.column("bucket").to_numpy(), rows.column("rep").to_numpy()
-    n = rows.column("n_shingles").to_numpy().astype(float)
-    regs = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-    sizes = np.diff(np.append(starts, len(bucket)))
-    head = np.repeat(starts, sizes)
-    near = _alike((regs, n), (regs[head], n[head]), least)
-    to = np.where(near, head, np.arange(len(ids)))
-    for k in np.flatnonzero((sizes > 2) & ~np.logical_and.reduceat(near, starts)):
-        part = slice(starts[k], starts[k] + sizes[k])
-        to[part] = starts[k] + _settle(regs[part], n[part], to[part] - starts[k], least)
-    far = to != np.arange(len(ids))
-    return [pa.array(ids[far]), pa.array(ids[to[far]])]
-
-
-def join_alike(meets: DataFrame, least: float) -> DataFrame:
-    """Edges inside buckets (bucket, rep, n_shingles, registers); rows of a bucket follow each other in a partition."""
-
-    def run(batches):
-        held = None
-        for batch in batches:
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            bucket = held.column("bucket").to_numpy()
-            cut = int(np.argmax(bucket == bucket[-1]))
-            if cut:
-                yield _buckets(held.slice(0, cut), least)
-                held = held.slice(cut)
-        if held is not None and held.num_rows:
-            yield _buckets(held, least)
-
-    return map_batches(meets.repartition("bucket").sortWithinPartitions("bucket", "rep"), run, "a bigint, b bigint")
-
-
-def _links(ids: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, left: np.ndarray, percent: int) -> np.ndarray:
-    """Component roots (indexes into ids, ascending by id) under exact links with an end in ``left``."""
-    m = len(ids)
-    _, token = np.unique(tokens, return_inverse=True)
-    owner = np.repeat(np.arange(m), sizes)
-    by_token = np.argsort(token, kind="stable")
-    postings, starts = owner[by_token], np.searchsorted(token[by_token], np.arange(token.max() + 2))
-    at = np.cumsum(np.append(0, sizes))
-    root, done, first = np.arange(m), ~left, True
-    while True:
-        todo = np.flatnonzero(~done & (first | (root != np.bincount(root, minlength=m).argmax()) if left.all() else ~done))
-        if not len(todo):
-            break
-        first = False
-        x = todo[0]
-        done[x] = True
-        if (root == root[x]).all():
-            break
-        mine = token[at[x] : at[x + 1]]
-        lengths = starts[mine + 1] - starts[mine]
-        flat = np.arange(lengths.sum()) + np.repeat(starts[mine] - np.append(0, np.cumsum(lengths)[:-1]), lengths)
-        common = np.bincount(postings[flat], minlength=m)
-        linked = 100 * common >= percent * (sizes + sizes[x] - common)
-        linked[x] = True
-        joined = np.unique(root[linked])
-        if len(joined) > 1:
-            root[np.isin(root, joined)] = joined[0]
-    return root
-
-
-def _confirm(rows: pa.Table, percent: int) -> pa.Table:
-    """Of one cluster, or two blocks of one: an edge from each document to the least one it reaches by exact links."""
-    ids = rows.column("rep").to_numpy()
-    order = np.argsort(ids, kind="stable")
-    sets = rows.column("shingles").to_pylist()
-    arrays = [np.frombuffer(sets[k], np.uint64) for k in order]
-    del sets
-    ids = ids[order]
-    one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
-    block = rows.column("block").to_numpy()[order]
-    left = np.ones(len(ids), bool) if one == two else block == one
-    root = _links(ids, np.array([len(a) for a in arrays]), np.concatenate(arrays), left, percent)
-    far = ids[root] != ids
-    return pa.table({"a": ids[far], "b": ids[root[far]]}, schema=schema_of("a bigint, b bigint"))
-
-
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bucket_rows: int = 4096, block_shingles: int = 2_000_000) -> DataFrame:
+def _both(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, parts) with the other columns of ``table`` (rep, ...) for a, and for b under names that begin with
+    ``other_``. A row of ``b`` is sent in ``parts`` copies, each for a part of its pairs."""
+    rest = [c for c in table.columns if c != "rep"]
+    part = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+    copies = pairs.groupBy("b").agg(F.max("parts").alias("parts"))
+    spread = table.withColumnRenamed("rep", "b").join(copies, "b").select("b", *(F.col(c).alias(f"other_{c}") for c in rest), F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("part"))
+    mine = pairs.join(table.withColumnRenamed("rep", "a"), "a").withColumn("part", part)
+    return mine.join(spread, ["b", "part"]).drop("part")
+
+
+def similar_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of the ``pairs`` (a, b, parts) that are linked: first by their registers, then by their full sets."""
+
+    def estimate(batches):
+        for b in batches:
+            one, two = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("registers", "other_registers"))
+            n, m = (b.column(c).to_numpy().astype(float) for c in ("n_shingles", "other_n_shingles"))
+            near = pa.array(alike(one, two, n, m, percent / 100))
+            yield [b.column(c).filter(near) for c in ("a", "b", "parts")]
+
+    likely = written(map_batches(_both(pairs, reps.select("rep", "n_shingles", "registers")), estimate, "a bigint, b bigint, parts bigint"), "likely")
+
+    def compare(batches):
+        for b in slices(batches, 2048):
+            one, two = ([np.frombuffer(x, np.uint64) for x in b.column(c).to_pylist()] for c in ("shingles", "other_shingles"))
+            linked = [100 * c >= percent * (len(x) + len(y) - c) for x, y in zip(one, two, strict=True) for c in (len(np.intersect1d(x, y, assume_unique=True)),)]
+            linked = pa.array(linked, pa.bool_())
+            yield [b.column("a").filter(linked), b.column("b").filter(linked)]
+
+    needed = likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct()
+    return written(map_batches(_both(likely, full_sets(docs, needed, k)), compare, "a bigint, b bigint"), "links")
+
+
+def full_sets(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """(rep, shingles) of the documents ``reps``, from their whole texts; of rows that repeat an id one for each text."""
+
+    def sets(batches):
+        for b in slices(batches):
+            yield [b.column("rep"), [shingle_set(t, k).tobytes() for t in b.column("text").to_pylist()]]
+
+    members = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep")
+    return map_batches(members.select("rep", "text"), sets, "rep bigint, shingles binary")
+
+
+def candidate_pairs(meets: DataFrame) -> DataFrame:
+    """(a, b, parts) from members of buckets (rep, members, least, greatest): each with its bucket's two pivots."""
+    pivots = F.explode(F.array("least", "greatest")).alias("b")
+    pairs = meets.select(F.col("rep").alias("a"), pivots, "members", "least", "greatest").where("a <> b and not (a = least and b = greatest)")
+    return pairs.groupBy("a", "b").agg(F.ceil(F.max("members") / PIVOT_ROWS).alias("parts"))
+
+
+def pairs_left(meets: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """Pairs (a, b, parts) of different components (``found``: rep, component) that buckets of more than three members may
+    hide; None if there is no such bucket."""
+    split = meets.where("members > 3").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    apart = split.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    left = written(split.join(apart, "bucket").select("rep", "component").distinct(), "left")
+    if left.isEmpty():
+        return None
+
+    def tokens(batches):
+        for b in slices(batches, 64):
+            sets = [np.frombuffer(x, np.int64) for x in b.column("shingles").to_pylist()]
+            sizes = np.array([len(x) for x in sets])
+            yield [b.column("rep").take(pa.array(np.repeat(np.arange(len(sets)), sizes))), pa.array(np.concatenate(sets))]
+
+    shingles = map_batches(full_sets(docs, left.select("rep"), k), tokens, "rep bigint, token bigint").join(left, "rep")
+    shingles = written(shingles, "tokens")
+    common = shingles.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("n > 1").select("token", "n", (F.col("low") < F.col("high")).alias("across"))
+    ranked = shingles.join(common, "token", "left").groupBy("rep", "component").agg(F.count("*").alias("size"), F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token", "across"))).alias("order"))
+    first = F.slice("order", F.lit(1), (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).cast("int"))
+    prefix = written(ranked.select("rep", "component", "size", F.explode(F.filter(first, lambda t: t.across)).alias("t")).select("rep", "component", "size", "t.token", "t.n"), "prefixes")
+    x, y = (prefix.select("token", "n", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "size"))) for s in "xy")
+    near = (100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y")) & (F.col("component_x") != F.col("component_y")) & (F.col("rep_x") < F.col("rep_y"))
+    return x.join(y.drop("n"), "token").where(near).groupBy(F.col("rep_y").alias("a"), F.col("rep_x").alias("b")).agg(F.ceil(F.max("n") / PIVOT_ROWS).alias("parts"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
     sketch = written(sketches(docs, k), "sketches")
     known = sketch.where("doc_id is not null and n_shingles > 0")
     reps = written(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"), F.first("keys").alias("keys")), "reps")
 
     bands = reps.select(F.explode("keys").alias("bucket"), "rep")
-    shared = bands.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("least"), F.expr("bit_xor(xxhash64(rep))").alias("who")).where("members > 1")
-    shared = shared.groupBy("members", "least", "who").agg(F.min("bucket").alias("bucket"))  # of buckets with the same members, one
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("least"), F.max("rep").alias("greatest"), F.expr("bit_xor(xxhash64(rep))").alias("who")).where("members > 1")
+    shared = shared.groupBy("members", "least", "greatest", "who").agg(F.min("bucket").alias("bucket")).drop("who")  # of buckets with the same members, one
     meets = written(bands.join(shared, "bucket"), "meets")
-    alike = meets.where(F.col("members") <= bucket_rows).join(reps, "rep").select("bucket", "rep", "n_shingles", "registers")
-    crowd = meets.where(F.col("members") > bucket_rows).select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    cluster = components(join_alike(alike, percent / 100).union(crowd)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-
-    sized = cluster.join(reps.select("rep", "n_shingles"), "rep")
-    blocks = sized.groupBy("cluster").agg(F.sum("n_shingles").alias("total"))
-    placed = written(sized.join(blocks.select("cluster", F.ceil(F.col("total") / block_shingles).cast("int").alias("blocks")), "cluster").select("rep", "cluster", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")), "clusters")
-
-    def full_sets(batches):
-        for b in slices(batches):
-            yield [*(b.column(c) for c in ("rep", "cluster", "blocks", "block")), [shingle_set(t, k).tobytes() for t in b.column("text").to_pylist()]]
 
-    members = docs.select(F.col("doc_id").alias("rep"), "text").join(placed, "rep")
-    sets = map_batches(members.select("rep", "cluster", "blocks", "block", "text"), full_sets, "rep bigint, cluster bigint, blocks int, block int, shingles binary").where(F.length("shingles") > 0)
-    pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("rep", "cluster", "block", "shingles", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    links = written(pairs.groupBy("cluster", "one", "two").applyInArrow(lambda t: _confirm(t, percent), "a bigint, b bigint"), "links")
-    found = links if placed.where("blocks > 1").isEmpty() else components(links).select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
+    links = similar_pairs(candidate_pairs(meets), reps, docs, k, percent)
+    found = written(components(links), "found").select(F.col("node").alias("rep"), "component")
+    left = pairs_left(meets, found, reps, docs, k, percent)
+    if left is not None:
+        more = similar_pairs(left, reps, docs, k, percent)
+        if not more.isEmpty():
+            found = components(links.union(more)).select(F.col("node").alias("rep"), "component")
 
-    final = reps.select("set_key", "rep").join(found.select(F.col("a").alias("rep"), F.col("b").alias("least")), "rep", "left").select("set_key", F.coalesce("least", "rep").alias("least"))
+    final = reps.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("least"))
     out = sketch.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
