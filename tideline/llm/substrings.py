@@ -1,57 +1,73 @@
 """Substring dedup by level-wise doubling.
 
 A window of ``window`` words is removed where its word sequence also starts in a document with a smaller
-doc_id. Counting every window at that length would move as many hashes as the corpus has words, so lengths
-rise by doubling and only windows that repeat at one length are extended to twice that length:
-
-* The shortest length is about half of the next one, and thinned: of all such windows inside a longer
-  window only the one that comes first in a hashed order is an anchor. Equal long windows have the same anchor, so
-  one that repeats in two documents has an anchor that does, and anchors that do not repeat end here.
-* At each further length a window is a candidate only if its two overlapping halves repeated, or at the
-  first such length if its anchor did. Levels end at ``window``, or when no candidate is left.
-
-Documents are dealt into batches by their ids. A batch sends each distinct hash once, packed by hash range;
-the range's reducer answers with two bits for each hash: it repeats in another document, and it starts in a
-document of a smaller id than the batch's smallest. So a passage that a third of all documents share costs
-one entry for each batch, a group of copies is never gathered anywhere, and texts are shuffled once (the
-exchange of the batches is reused by every level).
-
-Null or short texts have no windows. A row whose doc_id is null is neither judged nor a source. Rows
-that repeat an id do not remove each other's words. Hashes have 64 bits, so of W distinct candidate windows
-about W*W/2**65 collide; each would cost some words of one document.
+doc_id. Lengths rise by doubling from ``SHORTEST`` words on, and only windows that repeat at one length are extended:
+
+* At the first length all windows are judged: does the same one start in another document?
+* At each further length a window is a candidate only if both windows of the length before that it begins and ends
+  with repeat. The last length is reached by overlap (4, 8, 13 for 13 words: two windows of 8 that share three).
+* A batch of documents in which no candidate survives sends nothing more, and its texts stay as they are.
+
+Documents are dealt into batches. A batch sends each distinct hash once, packed by hash range; the range's reducer answers
+with two bits for each hash: it repeats in another document, and it starts in a document of a smaller id than the
+batch's smallest. So a passage that a third of all documents share costs one entry for each batch, a group of
+copies is never gathered anywhere, and texts are shuffled once (the exchange of the batches is reused by every level).
+Before the last length a hash is its range and 24 bits, of which the gaps to the one before are sent: two bytes instead
+of eight. A few in a hundred meet another window's hash by chance and go on to the next length, where it shows. At the last length
+hashes have 64 bits: of W distinct candidate windows about W*W/2**65 collide; each would cost some words of one document.
+
+Results of edge cases. Null, blank and short texts have no windows and lose nothing. A row whose doc_id is null is neither
+judged nor a source. Rows that repeat an id do not remove each other's words, and may lie in different batches, as may equal rows from
+different partitions. An empty table gives an empty result. A text is cut whole in one task, whatever its length. Columns besides
+those named are ignored, those to ``carry`` may have any name.
 """
 
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import mix, schema_of, utf8, windows, word_hashes
+from .arrays import schema_of, utf8, windows, word_hashes
 
-#: Characters of text in a batch, and bytes of hashes at one reducer, on average.
-BATCH_CHARS, RANGE_BYTES = 4_000_000, 4_000_000
+#: Characters of text in a batch, and of text for each range of hashes, on average.
+BATCH_CHARS, RANGE_CHARS = 4_000_000, 2_000_000
+#: Words of the shortest windows, and bits of a hash within its range before the last length.
+SHORTEST, CODE_BITS = 4, 24
 
-_ORDER = np.uint64(0xD6E8FEB86659FD93)
+_SKIP = 65535
+#: The range under which a batch keeps note of its own candidates is -1 - batch.
+_SENT = "hash_range bigint, batch bigint, hashes binary, firsts binary, many binary"
+_ANSWER = "batch bigint, hash_range bigint, repeats binary, earlier binary"
 
-_SENT = "hash_range bigint, batch bigint, level int, hashes binary, firsts binary, many binary"
-_ANSWER = "batch bigint, hash_range bigint, level int, repeats binary, earlier binary"
 
+def lengths(window: int, shortest: int = SHORTEST) -> list[int]:
+    """Window lengths: doubling from ``shortest`` until ``window``."""
+    out = [shortest]
+    while out[-1] < window:
+        out.append(2 * out[-1])
+    return [*out[:-1], window]
 
-def lengths(window: int, shortest: int = 7) -> list[int]:
-    """Anchor length first, then the window lengths up to ``window``, each at most twice the one before."""
-    out = [window]
-    while out[0] > 2 * shortest - 1:
-        out.insert(0, -(-out[0] // 2))
-    return [max(1, -(-out[0] // 2)), *out]
+
+def gaps(codes: np.ndarray) -> bytes:
+    """Ascending distinct codes as two-byte gaps; longer ones are several skips and a rest."""
+    step = np.diff(codes.astype(np.int64), prepend=-1)
+    skips = step // _SKIP
+    out = np.full(len(codes) + int(skips.sum()), _SKIP, np.uint16)
+    out[np.arange(len(codes)) + np.cumsum(skips)] = step % _SKIP
+    return out.tobytes()
+
+
+def codes_of(packed: bytes) -> np.ndarray:
+    step = np.frombuffer(packed, np.uint16)
+    return (np.cumsum(step, dtype=np.int64)[step != _SKIP] - 1).astype(np.uint64)
 
 
 class Batch:
-    """Words of a batch of documents as one flat array of hashes, and the candidates of each level."""
+    """Words of a batch of documents as one flat array of hashes."""
 
     def __init__(self, rows: pa.Table, plan: list[int], ranges: int):
         ids, texts = rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()
@@ -60,81 +76,76 @@ class Batch:
         apart = [k for k in range(len(ids)) if ids[k] is None]
         self.whole = [(None, texts[k]) for k in apart]
         self.order = [*order, *apart]
+        self.plan, self.ranges = plan, np.uint64(ranges)
+
+    def hash_words(self) -> None:
         parts = [word_hashes(utf8(text).split()) for _, text in self.rows]
         sizes = np.array([len(p) for p in parts], np.int64)
         self.ends = np.cumsum(sizes)
         self.word = np.concatenate([*parts, np.zeros(0, np.uint64)])
         self.doc = np.repeat(np.array([d for d, _ in self.rows], np.int64), sizes)
         self.end = np.repeat(self.ends, sizes)
-        self.plan, self.ranges = plan, ranges
 
     def starts(self, length: int) -> np.ndarray:
         """Flat positions where a window of ``length`` words of one document starts."""
         at = np.arange(len(self.word), dtype=np.int64)
         return at[at + length <= self.end]
 
-    def level(self, level: int, answers: dict[int, dict[int, tuple]]) -> tuple[np.ndarray, ...]:
-        """Candidates of a level: (positions, hash index of each, distinct hashes, first and last doc of each hash)."""
-        if level == 0:
-            first = self.starts(self.plan[1])
-            short = windows(self.word, self.plan[0])
-            span = self.plan[1] - self.plan[0] + 1
-            if len(first):
-                # Of another order than the hashes themselves, whose small values would crowd the first ranges.
-                view = np.lib.stride_tricks.sliding_window_view(mix(short ^ _ORDER), span)
-                self.anchor = np.concatenate([first[k : k + 262_144] + view[first[k : k + 262_144]].argmin(axis=1) for k in range(0, len(first), 262_144)])
-            else:
-                self.anchor = first
-            at = np.unique(self.anchor)
-            hashes = short[at]
-        else:
-            old_at, old_index, old_hashes, _, _ = self.level(level - 1, answers)
-            repeats = self.answer(level - 1, old_hashes, answers)[0]
-            alive = np.zeros(len(self.word) + 1, bool)
-            alive[old_at[repeats[old_index]]] = True
-            if level == 1:
-                first = self.starts(self.plan[1])
-                at = first[alive[self.anchor]]
-            else:
-                step = self.plan[level] - self.plan[level - 1]
-                first = self.starts(self.plan[level])
-                at = first[alive[first] & alive[first + step]]
-            hashes = windows(self.word, self.plan[level])[at] if len(at) else np.zeros(0, np.uint64)
-        distinct, index = np.unique(hashes, return_inverse=True)
-        firsts, lasts = np.full(len(distinct), np.iinfo(np.int64).max), np.full(len(distinct), np.iinfo(np.int64).min)
-        docs = self.doc[at]
-        np.minimum.at(firsts, index, docs)
-        np.maximum.at(lasts, index, docs)
-        return at, index, distinct, firsts, lasts
-
-    def cuts(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted hashes fall into ranges as slices: the ranges that have any, and where each starts."""
-        return np.unique(((hashes >> np.uint64(32)) * np.uint64(self.ranges)) >> np.uint64(32), return_index=True)
-
-    def answer(self, level: int, hashes: np.ndarray, answers: dict) -> tuple[np.ndarray, np.ndarray]:
-        """The reducers' two bits for each of the distinct hashes."""
-        out = (np.zeros(len(hashes), bool), np.zeros(len(hashes), bool))
-        ranges, at = self.cuts(hashes)
-        for r, a, b in zip(ranges.tolist(), at, [*at[1:], len(hashes)], strict=True):
-            for bits, packed in zip(out, answers[level][r], strict=True):
-                bits[a:b] = np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a).astype(bool)
-        return out
-
-
-def _sent(batch: Batch, number: int, level: int, answers: dict) -> pa.Table:
-    _, _, hashes, firsts, lasts = batch.level(level, answers)
-    ranges, at = batch.cuts(hashes)
+    def keys(self, level: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(distinct keys in the order of their ranges, the index into them of each window at ``at``)."""
+        key = windows(self.word, self.plan[level])[at] if len(at) else np.zeros(0, np.uint64)
+        if level < len(self.plan) - 1:
+            key = self.range_of(key) << np.uint64(CODE_BITS) | key & np.uint64((1 << CODE_BITS) - 1)
+        return np.unique(key, return_inverse=True)
+
+    def range_of(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes >> np.uint64(32)) * self.ranges) >> np.uint64(32)
+
+    def cuts(self, level: int, keys: np.ndarray) -> list[tuple[int, int, int]]:
+        """(range, first, end) of the slices of sorted keys."""
+        found, at = np.unique(self.range_of(keys) if level == len(self.plan) - 1 else keys >> np.uint64(CODE_BITS), return_index=True)
+        return list(zip(found.tolist(), at.tolist(), [*at[1:].tolist(), len(keys)], strict=True))
+
+    def told(self, level: int, answers: dict) -> tuple[np.ndarray, ...]:
+        """Of a level's candidates: (positions, whether each repeats, whether it starts in a document before the batch's first with it)."""
+        at = np.flatnonzero(np.unpackbits(np.frombuffer(answers[-1][0], np.uint8), count=len(self.word)))
+        keys, index = self.keys(level, at)
+        out = (np.zeros(len(keys), bool), np.zeros(len(keys), bool))
+        for r, a, b in self.cuts(level, keys):
+            for bits, packed in zip(out, answers[r], strict=True):
+                bits[a:b] = np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a) if packed else 0
+        return at, out[0][index], out[1][index]
+
+
+def _table(rows: list[tuple], ddl: str) -> pa.Table:
+    schema = schema_of(ddl)
+    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema) if rows else schema.empty_table()
+
+
+def _sent(batch: Batch, number: int, level: int, at: np.ndarray) -> pa.Table:
+    """What a batch tells the ranges about its windows at the positions ``at``, and its note of these."""
+    if not len(at):
+        return _table([], _SENT)
+    keys, index = batch.keys(level, at)
+    firsts, lasts = np.full(len(keys), np.iinfo(np.int64).max), np.full(len(keys), np.iinfo(np.int64).min)
+    np.minimum.at(firsts, index, batch.doc[at])
+    np.maximum.at(lasts, index, batch.doc[at])
+    last = level == len(batch.plan) - 1
     rows = []
-    for r, a, b in zip(ranges.tolist(), at, [*at[1:], len(hashes)], strict=True):
-        rows.append((r, number, level, hashes[a:b].tobytes(), firsts[a:b].tobytes() if level else b"", np.packbits(firsts[a:b] != lasts[a:b]).tobytes()))
-    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema_of(_SENT), strict=True)] if rows else [pa.array([], f.type) for f in schema_of(_SENT)], schema=schema_of(_SENT))
-
-
-def _answer(rows: pa.Table) -> pa.Table:
-    """Of one hash range: what each batch's hashes are told."""
-    hashes = [np.frombuffer(x, np.uint64) for x in rows.column("hashes").to_pylist()]
+    for r, a, b in batch.cuts(level, keys):
+        packed = keys[a:b].tobytes() if last else gaps(keys[a:b] & np.uint64((1 << CODE_BITS) - 1))
+        rows.append((r, number, packed, firsts[a:b].tobytes() if last else b"", np.packbits(firsts[a:b] != lasts[a:b]).tobytes()))
+    noted = np.zeros(len(batch.word), bool)
+    noted[at] = True
+    return _table([*rows, (-1 - number, number, np.packbits(noted).tobytes(), b"", b"")], _SENT)
+
+
+def _answer(rows: pa.Table, last: bool) -> pa.Table:
+    """Of one hash range: what each batch's hashes are told. A batch's note goes back as it is."""
+    if rows.column("hash_range")[0].as_py() < 0:
+        return _table([(b, -1, packed, b"") for b, packed in zip(rows.column("batch").to_pylist(), rows.column("hashes").to_pylist(), strict=True)], _ANSWER)
+    hashes = [np.frombuffer(x, np.uint64) if last else codes_of(x) for x in rows.column("hashes").to_pylist()]
     sizes = [len(x) for x in hashes]
-    level = rows.column("level")[0].as_py()
     flat = np.concatenate(hashes)
     many = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(rows.column("many").to_pylist(), sizes, strict=True)]).astype(bool)
     order = np.argsort(flat, kind="stable")
@@ -144,67 +155,87 @@ def _answer(rows: pa.Table) -> pa.Table:
     group[order] = np.cumsum(new) - 1
     starts = np.flatnonzero(new)
     repeats = ((np.diff([*starts, len(flat)]) > 1) | np.logical_or.reduceat(many[order], starts))[group]
-    if level:
+    if last:
         firsts = np.concatenate([np.frombuffer(x, np.int64) for x in rows.column("firsts").to_pylist()])
         earlier = np.minimum.reduceat(firsts[order], starts)[group] < firsts
-    else:
-        earlier = np.zeros(len(flat), bool)
     at = np.cumsum([0, *sizes])
-    pack = lambda bits: pa.array([np.packbits(bits[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
-    return pa.Table.from_arrays([rows.column("batch").combine_chunks(), rows.column("hash_range").combine_chunks(), rows.column("level").combine_chunks(), pack(repeats), pack(earlier)], schema=schema_of(_ANSWER))
+    pack = lambda bits, k: np.packbits(bits[at[k] : at[k + 1]]).tobytes()
+    return _table([(b, r, pack(repeats, k), pack(earlier, k) if last else b"") for k, (b, r) in enumerate(zip(rows.column("batch").to_pylist(), rows.column("hash_range").to_pylist(), strict=True))], _ANSWER)
 
 
-def _answers(rows: pa.Table) -> dict:
-    out: dict = {}
-    for r, level, repeats, earlier in zip(*(rows.column(c).to_pylist() for c in ("hash_range", "level", "repeats", "earlier")), strict=True):
-        out.setdefault(level, {})[r] = (repeats, earlier)
-    return out
+def _answers(rows: pa.Table) -> dict[int, tuple]:
+    """{range: (repeats, earlier)} of one batch; empty if none of its candidates repeats."""
+    out = {r: both for r, *both in zip(*(rows.column(c).to_pylist() for c in ("hash_range", "repeats", "earlier")), strict=True)}
+    return out if any(both[0].strip(b"\0") for r, both in out.items() if r >= 0) else {}
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, shortest: int = 7, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256, the columns to ``carry`` and, if asked for, the text that is left.
 
     ``window``: words in the shortest repeat that goes. Kept words are joined by one space; a text that
     loses nothing stays as it was.
     """
-    plan = lengths(window, shortest)
+    plan = lengths(window)
+    last = len(plan) - 1
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    batches, ranges = max(1, -(-size // BATCH_CHARS)), max(1, -(-2 * size // RANGE_BYTES))
-    dealt = docs.select("doc_id", "text", *(F.col(c).alias(f"_{c}") for c in carry), F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(batches)).alias("batch"))
+    batches, ranges = max(1, -(-size // BATCH_CHARS)), max(1, -(-size // RANGE_CHARS))
+    # The partition's number spreads rows that are equal in all.
+    dealt = docs.select("doc_id", "text", *(F.col(c).alias(f"_{c}") for c in carry), F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(batches)).alias("batch"))
+
+    def first(t: pa.Table) -> pa.Table:
+        batch = Batch(t, plan, ranges)
+        batch.hash_words()
+        return _sent(batch, t.column("batch")[0].as_py(), 0, batch.starts(plan[0]))
 
     def extending(level: int):
         def extend(t: pa.Table, told: pa.Table) -> pa.Table:
-            return _sent(Batch(t, plan, ranges), t.column("batch")[0].as_py(), level, _answers(told)) if t.num_rows else schema_of(_SENT).empty_table()
+            answers = _answers(told)
+            if not answers or not t.num_rows:
+                return _table([], _SENT)
+            batch = Batch(t, plan, ranges)
+            batch.hash_words()
+            at, repeats, _ = batch.told(level - 1, answers)
+            alive = np.zeros(len(batch.word) + 1, bool)
+            alive[at[repeats]] = True
+            begins = batch.starts(plan[level])
+            return _sent(batch, t.column("batch")[0].as_py(), level, begins[alive[begins] & alive[begins + plan[level] - plan[level - 1]]])
 
         return extend
 
-    answers: list[DataFrame] = []
+    def answering(level: int):
+        return lambda t: _answer(t, level == last)
+
+    answers = None
     for level in range(len(plan)):
-        if level == 0:
-            sent = dealt.groupBy("batch").applyInArrow(lambda t: _sent(Batch(t, plan, ranges), t.column("batch")[0].as_py(), 0, {}), _SENT)
-        else:
-            sent = dealt.groupBy("batch").cogroup(reduce(DataFrame.union, answers).groupBy("batch")).applyInArrow(extending(level), _SENT)
-        answers.append(sent.groupBy("hash_range").applyInArrow(_answer, _ANSWER))
+        sent = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(extending(level), _SENT) if level else dealt.groupBy("batch").applyInArrow(first, _SENT)
+        answers = sent.groupBy("hash_range").applyInArrow(answering(level), _ANSWER)
 
     kinds = dict(docs.dtypes)
     ddl = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", text string" * keep_text + "".join(f", _{c} {kinds[c]}" for c in carry)
-    last = len(plan) - 1
 
     def cut(t: pa.Table, told: pa.Table) -> pa.Table:
         schema = schema_of(ddl)
         if not t.num_rows:
             return schema.empty_table()
-        batch, got = Batch(t, plan, ranges), _answers(told)
-        at, index, hashes, firsts, _ = batch.level(last, got)
-        gone = batch.answer(last, hashes, got)[1][index] | (batch.doc[at] > firsts[index])
-        edge = np.zeros(len(batch.word) + 1, np.int64)
-        np.add.at(edge, at[gone], 1)
-        np.add.at(edge, at[gone] + window, -1)
-        covered = np.cumsum(edge)[:-1] > 0
+        batch, answers = Batch(t, plan, ranges), _answers(told)
+        covered = None
+        if answers:
+            batch.hash_words()
+            at, _, earlier = batch.told(last, answers)
+            # A repeat inside the batch: the window also starts in a document of the batch with a smaller id.
+            keys, index = batch.keys(last, at)
+            least = np.full(len(keys), np.iinfo(np.int64).max)
+            np.minimum.at(least, index, batch.doc[at])
+            gone = at[earlier | (batch.doc[at] > least[index])]
+            edge = np.zeros(len(batch.word) + 1, np.int64)
+            np.add.at(edge, gone, 1)
+            np.add.at(edge, gone + window, -1)
+            covered = np.cumsum(edge)[:-1] > 0
         out, start = [], 0
-        for (doc, text), end in zip(batch.rows, batch.ends.tolist(), strict=True):
-            mask = covered[start:end]
-            words, removed, start = utf8(text).split(), int(mask.sum()), end
+        for doc, text in batch.rows:
+            words = utf8(text).split()
+            mask = np.zeros(0, bool) if covered is None else covered[start : start + len(words)]
+            removed, start = int(mask.sum()), start + len(words)
             kept = b" ".join([w for w, x in zip(words, mask.tolist(), strict=True) if not x] if removed else words)
             out.append((doc, len(words), removed, hashlib.sha256(kept).hexdigest(), *([text if not removed else kept.decode("utf-8", "replace")] * keep_text)))
         for doc, text in batch.whole:
@@ -214,5 +245,5 @@ def remove_repeats(docs: DataFrame, window: int = 13, shortest: int = 7, keep_te
         made = [pa.array(list(c), f.type) for c, f in zip(zip(*out, strict=True), schema, strict=False)]
         return pa.Table.from_arrays([*made, *rest], schema=schema)
 
-    found = dealt.groupBy("batch").cogroup(reduce(DataFrame.union, answers).groupBy("batch")).applyInArrow(cut, ddl)
+    found = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(cut, ddl)
     return found.withColumnsRenamed({f"_{c}": c for c in carry})
