@@ -1,7 +1,8 @@
 """Language identification by a linear-chain conditional random field over the words of a text.
 
-Every word has a label. Its emission scores are sums of hashed weights of its affixes, its character
-n-grams and the word itself (the lexicon); neighbouring labels have transition weights. Both are learned by
+Every word has a label. Its emission scores are sums of weights of three kinds of features, each with a table of its own: its
+affixes (the first and last one to four letters), its character n-grams (of two to four letters) and the word itself (the
+lexicon). Neighbouring labels have transition weights. All are learned by
 gradient ascent on the conditional likelihood, on sequences that join passages of documents in different
 languages, so that switches inside a text are seen in training. A text is labelled by forward-backward: its
 language is the label with the largest expected share of its letters, and the score is that share.
@@ -10,7 +11,12 @@ Forward and backward messages are computed for many blocks of words at once: the
 reduced to one matrix, blocks are joined in order, and the messages inside follow from the block's ends. The
 result is the exact marginals whatever the text's length.
 
-A text that is null or has no letter is ``und`` with score 0. With no labelled row every text is ``und``.
+Letters are the characters of Unicode category L; numbers such as superscripts, fractions and Roman numerals are none.
+
+Results of edge cases. A text that is null, empty or has no letter is ``und`` with score 0. With no labelled row every text
+is ``und``. An empty table gives an empty result. Repeated rows and rows whose doc_id is null are each judged. Of labels with
+equal shares the first in the alphabet is taken. Texts of any length are read whole. Columns besides those named
+are ignored, those to ``carry`` may have any name.
 """
 
 from __future__ import annotations
@@ -21,41 +27,56 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import map_batches, slices
 
-#: Runs of letters of any script.
-LETTERS = re.compile(r"[^\W\d_]+")
-BITS = 16
-BUCKETS = 1 << BITS
+#: Runs of letters of any script, and of letters and numbers that are no decimal digits, which ``re`` finds faster.
+LETTERS, NEARLY = regex.compile(r"\p{L}+"), re.compile(r"[^\W\d_]+")
 _STEP, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
+#: Tables of weights by kind of feature: (first bucket, bits of the number of buckets).
+KINDS = {"affix": (0, 14), "ngram": (1 << 14, 15), "lexicon": (3 << 14, 14)}
+BUCKETS = 1 << 16
 BLOCK = 32
 #: Up to so many labels blocks are reduced to matrices.
 MOST_LABELS = 32
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of lower-cased words: (feature numbers of all words in a row, how many each word has).
+def words_of(text: str | None) -> list[str]:
+    """Lower-cased runs of letters."""
+    words = NEARLY.findall(text.lower()) if text else []
+    return words if not words or "".join(words).isalpha() else LETTERS.findall(text.lower())
+
 
-    Of ``<word>`` all n-grams of 2 to 4 letters, of which those at the brackets are its affixes, and the word itself.
-    """
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the features of lower-cased words: (those of all words in a row, how many each word has)."""
     letters = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    ends = np.cumsum(sizes)
-    room = np.repeat(ends, sizes) - np.arange(len(letters))  # letters from here to the word's end
+    begins = np.cumsum(sizes) - sizes
+    place = np.arange(len(letters)) - np.repeat(begins, sizes)
+    room = np.repeat(sizes, sizes) - place  # letters from here to the word's end, brackets counted
     word = np.repeat(np.arange(len(words)), sizes)
+
+    def bucket(kind: str, hashes: np.ndarray) -> np.ndarray:
+        first, bits = KINDS[kind]
+        return (hashes * _STEP >> np.uint64(64 - bits)).astype(np.int64) + first
+
+    whole = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+    found, owner = [bucket("lexicon", whole)], [np.arange(len(words))]
     gram = letters * _STEP
-    hashed, owner = [np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))], [np.arange(len(words))]
-    for k in (2, 3, 4):
+    for k in (2, 3, 4, 5):  # with a bracket, affixes of one to four letters
         gram = (gram[:-1] ^ (gram[:-1] >> _SHIFT)) * _STEP + letters[k - 1 :]
-        inside = room[: len(gram)] >= k
-        hashed.append(gram[inside] + np.uint64(k))
-        owner.append(word[: len(gram)][inside])
-    flat, owner = np.concatenate(hashed) * _STEP >> np.uint64(64 - BITS), np.concatenate(owner)
-    return flat[np.argsort(owner, kind="stable")].astype(np.int64), np.bincount(owner, minlength=len(words))
+        at, left = place[: len(gram)], room[: len(gram)]
+        edge = (left >= k) & ((at == 0) != (left == k))
+        kinds = [("affix", edge)] + [("ngram", (at > 0) & (left > k))] * (k < 5)
+        for kind, here in kinds:
+            found.append(bucket(kind, gram[here] + np.uint64(k)))
+            owner.append(word[: len(gram)][here])
+    flat, owner = np.concatenate(found), np.concatenate(owner)
+    return flat[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
 
 @dataclass
@@ -191,7 +212,7 @@ def fit(rows: list[tuple[str, str]], passes: int = 3, rate: float = 0.3, passage
     field = Field(labels, np.zeros((BUCKETS, k), np.float32), np.zeros((k, k)))
     passages = []
     for text, lang in rows:
-        words = LETTERS.findall(text.lower())
+        words = words_of(text)
         passages += [(words[i : i + passage], labels.index(lang)) for i in range(0, len(words), passage)]
     passages = [p for p in passages if p[0]]
     if k < 1 or not passages:
@@ -223,12 +244,12 @@ def fit(rows: list[tuple[str, str]], passes: int = 3, rate: float = 0.3, passage
     return field
 
 
-def training_rows(docs: DataFrame, sample: int = 300, chars: int = 2000, total: int = 6000) -> list[tuple[str, str]]:
-    """The sample that the field is fitted on: of each language up to ``sample`` labelled documents, those with the smallest
-    hashes of ids and texts, and of each its first ``chars`` characters. With more languages than ``total`` / ``sample``
-    each has fewer documents, but one at least."""
-    known = docs.where("text is not null and lang is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("at"))
-    known = known.withColumn("text", F.substring("text", 1, chars)).where(F.col("text").rlike(r"[\p{L}\p{Nl}\p{No}]"))
+def training_rows(docs: DataFrame, sample: int = 300, passages: int = 5, letters: int = 400, total: int = 6000) -> list[tuple[str, str]]:
+    """The sample that the field is fitted on, as (passage, label): of each language up to ``sample`` labelled documents, those
+    with the smallest hashes of ids and texts. With more languages than ``total`` / ``sample`` each has fewer documents, but
+    one at least. Of each document, without all that is no letter, up to ``passages`` passages of about ``letters``
+    characters at hashed places of the whole text; a text that is no longer than that is taken whole."""
+    known = docs.where("text is not null and lang is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("at")).where(F.col("text").rlike(r"\p{L}"))
     counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return []
@@ -237,7 +258,11 @@ def training_rows(docs: DataFrame, sample: int = 300, chars: int = 2000, total:
     def smallest(rows):
         # Spark keeps the first ``each`` of a language in every task before it deals them out.
         rank = F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id", "text"))
-        return rows.withColumn("rank", rank).where(F.col("rank") <= each).select("lang", "rank", "text").collect()
+        some = rows.withColumn("rank", rank).where(F.col("rank") <= each)
+        some = some.select("lang", "rank", "at", F.trim(F.regexp_replace("text", r"\P{L}+", " ")).alias("text"))
+        room = F.length("text") - letters
+        places = F.array(*(F.substring("text", F.pmod(F.xxhash64("at", F.lit(k)), room).cast("int") + 1, F.lit(letters)) for k in range(passages)))
+        return some.select("lang", "rank", F.when(F.length("text") <= passages * letters, F.array("text")).otherwise(places).alias("parts")).collect()
 
     # For each language a hash range that surely holds the sample spares sorting the rest; copies, which share a hash, may leave too few in it.
     ends = {lang: min((1 << 63) - 1, int((1 << 64) * min(1.0, (2 * each + 30) / n)) - (1 << 63)) for lang, n in counts.items()}
@@ -246,11 +271,17 @@ def training_rows(docs: DataFrame, sample: int = 300, chars: int = 2000, total:
     short = [lang for lang, n in counts.items() if got[lang] < min(each, n)]
     if short:
         some = [r for r in some if r.lang not in set(short)] + smallest(known.where(F.col("lang").isin(short)))
-    return [(r.text, r.lang) for r in sorted(some, key=lambda r: (r.lang, r["rank"])) if LETTERS.search(r.text)]
+    out = []
+    for r in sorted(some, key=lambda r: (r.lang, r["rank"])):
+        for part in r.parts:
+            words = part.split(" ")
+            # A passage from inside a text begins and ends within words.
+            out.append((" ".join(words[1:-1] if len(r.parts) > 1 and len(words) > 4 else words), r.lang))
+    return out
 
 
-def train(docs: DataFrame, sample: int = 300, chars: int = 2000, **options) -> Field:
-    return fit(training_rows(docs, sample, chars), **options)
+def train(docs: DataFrame, sample: int = 300, **options) -> Field:
+    return fit(training_rows(docs, sample), **options)
 
 
 def identify(docs: DataFrame, field: Field, carry: tuple[str, ...] = (), words_at_once: int = 60_000) -> DataFrame:
@@ -275,7 +306,7 @@ def identify(docs: DataFrame, field: Field, carry: tuple[str, ...] = (), words_a
 
             group, held = [], 0
             for i, text in enumerate(texts):
-                words = LETTERS.findall(text.lower()) if text and k else []
+                words = words_of(text) if k else []
                 if not words:
                     continue
                 group.append((i, cache.rows(words), np.fromiter(map(len, words), np.float64, len(words))))
