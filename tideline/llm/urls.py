@@ -3,12 +3,16 @@
 Per host, the segments of paths are generalised where they vary by form (numbers, hexadecimal ids, long slugs), which
 leaves a counted table of templates. The tree over it is pruned from the root on: at each depth, siblings whose rate
 of bad labels does not differ from what all siblings under that node have are merged into a wildcard, the others
-stay branches of their own. A merged template is rejected if its smoothed share of bad labels reaches a bound.
-Rules for hosts and path prefixes come first.
+stay branches of their own. A merged template is rejected if the odds of its smoothed share of bad labels are ``lift`` times
+those of all labels or more: the bound follows the data, whatever the overall share is. Rules for hosts and path prefixes come first.
 
 Only counts are shuffled: pages are summed to templates before, and each round of branches is a grouping of the summed table.
-A null url or one without ``://`` has an empty host and path. Labels of pages that do not occur are ignored, and
-repeated labels of a page count once, as bad if one of them is. Rows that repeat a page_id are each judged.
+
+Results of edge cases. A null url or one without ``://`` has an empty host and path. Labels of pages that do not occur are
+ignored, and repeated labels of a page count once, as bad if one of them is. Rows that repeat a page_id, and rows whose
+page_id is null, are each judged, the latter without a label. Without any label all that no rule blocks is allowed. An
+empty table gives an empty result. Of rules of equal length the last listed wins. Paths of any depth are split whole.
+Columns besides those named are ignored.
 """
 
 from __future__ import annotations
@@ -101,16 +105,18 @@ def templates(pages: DataFrame, labels: DataFrame, alike: float = 2.0) -> DataFr
     return reduce(DataFrame.union, ended).select("host", "parts", "pages", "labelled", "bad", F.array_join("done", "/").alias("template"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules=RULES, weight: float = 8.0, bound: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules=RULES, weight: float = 8.0, lift: float = 1.5) -> DataFrame:
     """Per row of ``pages``: page_id, host, path, rule, verdict, template, purity (smoothed share of bad labels).
 
-    ``weight``: labels that the overall share of bad ones counts for in the smoothing. ``bound``: share that blocks.
+    ``weight``: labels that the overall share of bad ones counts for in the smoothing. ``lift``: how many times the overall
+    odds of a bad label the odds of a template are that is blocked.
     """
     host, path = split_url(F.col("url"))
     split = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("parts", generalised(F.col("path")))
     tree = templates(split, labels)
     bad, labelled = tree.agg(F.sum("bad"), F.sum("labelled")).first()
     prior = ((bad or 0) + 1) / ((labelled or 0) + 2)
+    bound = lift * prior / (1 - prior + lift * prior)
     sums = tree.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
     purity = sums.select("host", "template", ((F.col("b") + weight * prior) / (F.col("n") + weight)).alias("purity"))
     known = tree.select("host", "parts", "template").join(purity, ["host", "template"])
