@@ -1,115 +1,111 @@
 """License scans by diagonal voting.
 
-Templates are license texts and short phrases. Every two neighbouring words of a document are one hash, and Spark
-joins all of them to the positions that the same pair has in the templates (a table of some hundred rows, which is
-broadcast after its size is checked). A match votes for its diagonal, the difference of the two positions. Votes
-are summed by diagonal; neighbouring diagonals, as an inserted or missing word leaves them, are merged. A span is
-verified by the share of the template's pairs that its diagonals cover, each once.
+Templates are license texts, notices and short phrases. Every two neighbouring words of a document are one rolling hash, and Spark
+joins all of them to the positions that the same pair has in the templates; the words of both are compared in the join,
+so that a match is never a collision. Template positions are a table made by tasks, of any size: it is broadcast if it is
+of at most ``MOST_CHARS`` characters, else the pairs are shuffled. A match votes for its diagonal, the difference of the
+two positions. Votes are summed by diagonal; neighbouring diagonals, as an inserted or missing word leaves them, are merged. A
+span is verified by the share of the template's pairs that its diagonals cover, each once.
 
 A base phrase must stand whole: all its pairs on one diagonal. Every such diagonal is one place.
 
-Null and empty texts have no words. Rows that repeat an id are each reported. The score is the largest verified
-share, 1 for a base phrase and 0 without any span.
+Results of edge cases. Null and empty texts have no words, no place and score 0. Rows that repeat an id, or are equal, are
+each reported, as are rows whose doc_id is null. An empty table gives an empty result. The score is the largest verified
+share, 1 for a base phrase and 0 without any span; of several spans all labels are given. Texts of any length are read
+whole. Columns besides doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrays import alnum_words, map_batches, slices, windows, word_hashes
-
-#: The base phrases and their labels.
-BASE = {
-    "gnu general public license": "gpl",
-    "apache license": "apache",
-    "cc by": "cc-by",
-    "mit license": "mit",
-}
-
-#: Notices of public licenses, with the label that a verified span of them gives.
-NOTICES = {
-    "mit-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "apache-2.0-notice": "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "gpl-3.0": "licensed under the GNU General Public License, version 3",
-    "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "lgpl": "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
-    "bsd-notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "isc-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
-    "unlicense": "This is free and unencumbered software released into the public domain",
-    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike License",
-    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-}
-
-#: Template text, in characters, that may be broadcast.
+from .arrays import alnum_words, map_batches, slices, utf8, windows, word_hashes
+from .license_texts import BASE, NOTICES, TEXTS
+
+#: Template text, in characters, that is broadcast.
 MOST_CHARS = 2_000_000
 
-_HEAD = -1
 
+def pairs_of(text: str | None) -> tuple[int, np.ndarray, list[bytes]]:
+    """(number of words, hashes of all pairs of neighbouring words, the pairs)."""
+    words = alnum_words(text)
+    return len(words), windows(word_hashes(words), 2).view(np.int64), [a + b" " + b for a, b in zip(words, words[1:], strict=False)]
+
+
+def template_table(spark: SparkSession, base: dict[str, str], notices: dict[str, str]) -> DataFrame:
+    """(template, text, is_base, label) of phrases (by phrase) and of notices or texts (by label)."""
+    rows = [(f"phrase {k}", t, True, label) for k, (t, label) in enumerate(base.items())] + [(f"text {k}", t, False, label) for k, (label, t) in enumerate(notices.items())]
+    return spark.createDataFrame(rows, "template string, text string, is_base boolean, label string")
+
+
+def positions(templates: DataFrame) -> DataFrame:
+    """(hash, pair, template, place, pairs, is_base, label) of every pair of words of every template."""
+
+    def cut(batches):
+        for b in slices(batches, 16):
+            for name, text, is_base, label in zip(*(b.column(c).to_pylist() for c in ("template", "text", "is_base", "label")), strict=True):
+                _, hashes, pairs = pairs_of(text)
+                n = len(pairs)
+                yield [pa.array(hashes), pairs, [name] * n, pa.array(np.arange(n, dtype=np.int32)), [n] * n, [is_base] * n, [label] * n]
 
-def template_rows(base: dict[str, str], notices: dict[str, str]) -> list[tuple[int, int, int, int, bool, str]]:
-    """(hash, template, position, pairs, is_base, label) of every pair of words of every template."""
-    out = []
-    texts = [(t, label, True) for t, label in base.items()] + [(t, label, False) for label, t in notices.items()]
-    for number, (text, label, is_base) in enumerate(texts):
-        pairs = windows(word_hashes(alnum_words(text)), 2).view(np.int64)
-        out += [(int(h), number, at, len(pairs), is_base, label) for at, h in enumerate(pairs)]
-    return out
+    return map_batches(templates, cut, "hash bigint, pair binary, template string, place int, pairs int, is_base boolean, label string")
 
 
-def scan(docs: DataFrame, base: dict[str, str] | None = None, notices: dict[str, str] | None = None, share: float = 0.7, drift: int = 3) -> DataFrame:
+def scan(docs: DataFrame, base: dict[str, str] | None = None, notices: dict[str, str] | None = None, share: float = 0.7, drift: int = 3, templates: DataFrame | None = None) -> DataFrame:
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     ``share``: pairs of a notice that a span must cover. ``drift``: words by which neighbouring diagonals may differ.
+    ``templates``: instead of ``base`` and ``notices`` a table of (template, text, is_base, label), of any size.
     """
-    base, notices = BASE if base is None else base, NOTICES if notices is None else notices
-    if sum(map(len, [*base, *notices.values()])) > MOST_CHARS:
-        raise ValueError("the templates are too large to broadcast; scan with parts of them")
-    spark = docs.sparkSession
-    templates = spark.createDataFrame(template_rows(base, notices), "hash bigint, template int, at int, pairs int, is_base boolean, label string")
-
-    def pairs(batches):
-        made = 0
-        first = TaskContext.get().partitionId() << 36
+    if templates is None:
+        templates = template_table(docs.sparkSession, BASE if base is None else base, NOTICES | TEXTS if notices is None else notices)
+    known = positions(templates)
+    if (templates.agg(F.sum(F.length("text"))).first()[0] or 0) <= MOST_CHARS:
+        known = F.broadcast(known)
+
+    def cut(batches):
+        # A row's number comes from its content, and among equal rows of a task from their count, so that it is the
+        # same when a lost task is run again, whatever the order of its rows.
+        task, seen = TaskContext.get().partitionId(), Counter()
         for b in slices(batches):
-            uid, doc, at, word = [], [], [], []
-            for text in b.column("text").to_pylist():
-                words = alnum_words(text)
-                h = windows(word_hashes(words), 2).view(np.int64)
-                uid.append(np.full(len(h) + 1, first + made))
-                at.append(np.append(np.arange(len(h), dtype=np.int32), np.int32(len(words))))
-                word.append(np.append(h, np.int64(0)))
-                doc.append(len(h) + 1)
-                made += 1
-            counts = np.array(doc)
-            ids = b.column("doc_id").take(pa.array(np.repeat(np.arange(len(doc)), counts)))
-            head = np.zeros(counts.sum(), bool)
-            head[np.cumsum(counts) - 1] = True
-            yield [pa.array(np.concatenate(uid)), ids, pa.array(np.concatenate(at)), pa.array(np.concatenate(word)), pa.array(head)]
-
-    flat = map_batches(docs.select("doc_id", "text"), pairs, "uid bigint, doc_id bigint, at int, hash bigint, head boolean")
-    # A document's last row holds its number of words; a pseudo-template lets it through the join.
-    marked = flat.withColumn("is_head", F.col("head").cast("int")).drop("head")
-    known = templates.withColumn("is_head", F.lit(0)).union(spark.createDataFrame([(0, _HEAD, 0, 0, False, None, 1)], "hash bigint, template int, at int, pairs int, is_base boolean, label string, is_head int"))
-    votes = marked.join(F.broadcast(known.withColumnRenamed("at", "place")), ["hash", "is_head"])
+            uid, at, found, pairs, sizes = [], [], [], [], []
+            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                n, hashes, ps = pairs_of(text)
+                content = xxhash.xxh3_64_intdigest(b"%d " % (-1 if doc is None else doc) + (b"-" if text is None else utf8(text)))
+                seen[content] += 1
+                number = np.uint64(xxhash.xxh3_64_intdigest(f"{content} {task} {seen[content]}".encode())).astype(np.int64)
+                uid.append(np.full(len(ps) + 1, number))
+                at.append(np.append(np.arange(len(ps), dtype=np.int32), np.int32(n)))
+                found += [hashes, np.array([number])]  # a document's last row holds its number of words
+                pairs += [*ps, None]
+                sizes.append(len(ps) + 1)
+            ids = b.column("doc_id").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            head = np.zeros(sum(sizes), bool)
+            head[np.cumsum(sizes) - 1] = True
+            yield [pa.array(np.concatenate(uid)), ids, pa.array(np.concatenate(at)), pa.array(np.concatenate(found)), pa.array(pairs, pa.binary()), pa.array(head)]
+
+    flat = map_batches(docs.select("doc_id", "text"), cut, "uid bigint, doc_id bigint, at int, hash bigint, pair binary, head boolean")
+    votes = flat.join(known, ["hash", "pair"], "left").where(F.col("head") | F.col("template").isNotNull()).withColumn("place", F.coalesce("place", F.lit(0)))
     diagonals = votes.groupBy("uid", "doc_id", "template", "pairs", "is_base", "label", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.count("*").alias("votes"), F.collect_set("place").alias("places"))
     # Single votes of a long notice are common pairs of words.
-    diagonals = diagonals.where((F.col("template") == _HEAD) | (F.col("is_base") & (F.col("votes") == F.col("pairs"))) | (~F.col("is_base") & (F.col("votes") >= 2)))
+    diagonals = diagonals.where(F.col("template").isNull() | (F.col("is_base") & (F.col("votes") == F.col("pairs"))) | (~F.col("is_base") & (F.col("votes") >= 2)))
     run = Window.partitionBy("uid", "template").orderBy("diagonal")
-    apart = F.coalesce((F.col("is_base") | (F.col("diagonal") - F.lag("diagonal").over(run) > drift)).cast("int"), F.lit(1))
+    apart = F.coalesce((F.coalesce("is_base", F.lit(True)) | (F.col("diagonal") - F.lag("diagonal").over(run) > drift)).cast("int"), F.lit(1))
     spans = diagonals.withColumn("apart", apart).withColumn("span", F.sum("apart").over(run))
     covered = spans.groupBy("uid", "doc_id", "template", "span").agg(
         F.first("pairs").alias("pairs"), F.first("is_base").alias("is_base"), F.first("label").alias("label"), F.min("diagonal").alias("start"), F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("covered")
     )
-    good = covered.withColumn("part", F.when(F.col("template") != _HEAD, F.col("covered") / F.col("pairs")))
-    based, named = F.col("is_base") & (F.col("template") != _HEAD), (F.col("template") != _HEAD) & (F.col("part") >= share)
+    good = covered.withColumn("part", F.col("covered") / F.col("pairs"))
+    based, named = F.col("is_base"), F.col("part") >= share
     out = good.groupBy("uid", "doc_id").agg(
-        F.max(F.when(F.col("template") == _HEAD, F.col("start"))).cast("bigint").alias("n_words"),
+        F.max(F.when(F.col("template").isNull(), F.col("start"))).cast("bigint").alias("n_words"),
         F.count(F.when(based, 1)).alias("n_base"),
         F.min(F.when(based, F.col("start"))).cast("bigint").alias("first_word"),
         F.max(F.when(based, F.col("start"))).cast("bigint").alias("last_word"),
