@@ -5,8 +5,11 @@ documents (``sample`` rows, those with the smallest hashes) and kept as flat nod
 documents is scored by a few numpy gathers. Along chosen features the score may only fall: candidate
 splits that would break the order are refused and the children's values are clamped at the middle.
 
-Null or empty texts have no words and fail the base rule. Without any label of one of the two classes the
-trees are empty and only the base rules decide.
+Results of edge cases. Null or empty texts have no words and fail the base rule. Without any label of one of the two classes the
+trees are empty and only the base rules decide. A label repeated for a document counts once, as good if one of them
+is; of rows that repeat a doc_id with different texts the first text by order is learned from. Every row is judged, those that repeat
+an id or have none too, and equal texts alike. An empty table gives an empty result. Texts of any length are read whole.
+Columns besides those named are ignored.
 """
 
 from __future__ import annotations
@@ -155,7 +158,8 @@ def sample_of(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """Documents with a label of quality: the ``sample`` with the smallest hashes of their ids."""
     marked = labels.select("doc_id", "quality").where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     few = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")  # at most ``sample`` rows of three numbers
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))  # combined before the shuffle
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 8000, **options) -> Trees:
