@@ -2,30 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset, as in tests, a temporary one that is then set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tideline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from ..session import scratch
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read again: cuts lineage and survives lost executors.
 
-    The table goes when the driver's JVM ends.
+    The table goes when ``session.clear_scratch`` is called or the driver's JVM ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tideline-{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
