@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import decontaminate, language, neardup, packing, substrings
-from tideline.llm.queries import vocabulary
+from tideline.llm.queries import ranks, vocabulary
 from tideline.llm.tables import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -69,7 +69,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, vocabulary())
+    return packing.pack(docs, vocabulary(), ranks())
 
 
 STAGES = [

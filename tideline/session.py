@@ -27,9 +27,12 @@ def session(master: str = "local[*]", partitions: int | None = None, **more: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; where unset, a temporary one that is then set."""
+    """The folder of spark.checkpoint.dir, which driver and executors share. Where it is unset a temporary one is set, on a
+    local master only: elsewhere executors could not see it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tideline-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -41,9 +44,23 @@ def hadoop_path(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver's JVM ends."""
+    """A new path in the shared folder, removed by ``clear_scratch`` or when the driver's JVM ends."""
     path = f"{shared_folder(spark)}/tideline-{name}-{uuid.uuid4().hex}"
     where, fs = hadoop_path(spark, path)
     fs.deleteOnExit(where)
+    _SCRATCH.append(path)
     return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Removes the intermediate tables made so far; for drivers that live long, once their results are written. How many there were."""
+    paths, _SCRATCH[:] = list(_SCRATCH), []
+    for path in paths:
+        where, fs = hadoop_path(spark, path)
+        fs.delete(where, True)
+        fs.cancelDeleteOnExit(where)
+    return len(paths)
