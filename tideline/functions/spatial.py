@@ -9,7 +9,8 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,22 +120,32 @@ def with_cells(df: DataFrame, lat: str, lon: str, resolutions: list[int]) -> Dat
     return df.withColumns({f"cell_r{r}": cell_id(F.col(lat), F.col(lon), r) for r in resolutions})
 
 
-def hilbert_index(lon: Column, lat: Column, order: int = 16) -> Column:
-    """Position along a Hilbert curve over the globe. A fold over the bits, so the plan stays small."""
-    side = (1 << order) - 1
-    x, y = F.floor((lon + 180) / 360 * float(side)), F.floor((lat + 90) / 180 * float(side))
+def _curve() -> tuple[int, int]:
+    """The Hilbert curve as a machine: for each state (whether coordinates are swapped, whether flipped) and bit of x and y the
+    digit and the next state, two bits each, packed by ``8 * swapped + 4 * flipped + 2 * x + y``."""
+    digits = states = 0
+    for at in range(16):
+        swap, flip, x, y = at >> 3, at >> 2 & 1, at >> 1 & 1, at & 1
+        rx, ry = (y ^ flip, x ^ flip) if swap else (x ^ flip, y ^ flip)
+        digits |= (3 * rx ^ ry) << 2 * at
+        states |= (2 * (swap ^ (ry == 0)) + (flip ^ (rx & (ry == 0)))) << 2 * at
+    return digits, states
+
 
-    def step(acc: Column, bit: Column) -> Column:
-        s = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
-        rx = F.when(acc.x.bitwiseAND(s) > 0, F.lit(1)).otherwise(F.lit(0))
-        ry = F.when(acc.y.bitwiseAND(s) > 0, F.lit(1)).otherwise(F.lit(0))
-        d = acc.d + s * s * (rx * 3).bitwiseXOR(ry)
-        flip = (ry == 0) & (rx == 1)
-        fx, fy = F.when(flip, F.lit(side) - acc.x).otherwise(acc.x), F.when(flip, F.lit(side) - acc.y).otherwise(acc.y)
-        return F.struct(d.cast("bigint").alias("d"), F.when(ry == 0, fy).otherwise(fx).cast("bigint").alias("x"), F.when(ry == 0, fx).otherwise(fy).cast("bigint").alias("y"))
+_DIGITS, _STATES = _curve()
 
-    zero = F.struct(F.lit(0).cast("bigint").alias("d"), x.cast("bigint").alias("x"), y.cast("bigint").alias("y"))
-    return F.aggregate(F.sequence(F.lit(order - 1), F.lit(0), F.lit(-1)), zero, step, lambda acc: acc.d)
+
+def hilbert_index(lon: Column, lat: Column, order: int = 16) -> Column:
+    """Position along a Hilbert curve over the globe, a digit of two bits at a time. Plain arithmetic, so it stays in generated
+    code; a sort takes it from a column (``shape.hilbert_sort``), as an expression in the order would be computed in every comparison."""
+    side = float((1 << order) - 1)
+    x, y = F.floor((lon + 180) / 360 * side), F.floor((lat + 90) / 180 * side)
+    packed = lambda table, at: F.call_function("shiftright", F.lit(table).cast("bigint"), at).bitwiseAND(F.lit(3))
+    state = index = F.lit(0).cast("bigint")
+    for bit in range(order - 1, -1, -1):
+        at = (state * 8 + F.shiftright(x, bit).bitwiseAND(F.lit(1)) * 4 + F.shiftright(y, bit).bitwiseAND(F.lit(1)) * 2).cast("int")
+        index, state = index * 4 + packed(_DIGITS, at), packed(_STATES, at)
+    return index
 
 
 def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
@@ -168,13 +179,17 @@ def representative_point(line: Column) -> Column:
 
 
 def wkb_point(x: Column, y: Column) -> Column:
-    """Little-endian WKB of a point, by an Arrow-vectorised function: there is no built-in from doubles to bytes."""
-    @F.pandas_udf("binary")
-    def pack(xs: pd.Series, ys: pd.Series) -> pd.Series:
+    """Little-endian WKB of a point, by an Arrow function: there is no built-in from doubles to bytes. A batch is one buffer."""
+
+    @F.arrow_udf("binary")
+    def pack(xs: pa.Array, ys: pa.Array) -> pa.Array:
         out = np.zeros(len(xs), dtype=[("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
-        out["order"], out["kind"], out["x"], out["y"] = 1, 1, xs.to_numpy(float), ys.to_numpy(float)
-        raw = [v.tobytes() for v in out]
-        return pd.Series([None if a or b else r for r, a, b in zip(raw, xs.isna(), ys.isna(), strict=True)], dtype=object)
+        out["order"], out["kind"] = 1, 1
+        for name, values in (("x", xs), ("y", ys)):
+            out[name] = pc.fill_null(values, 0.0).to_numpy(zero_copy_only=False)
+        both = pc.and_(pc.is_valid(xs), pc.is_valid(ys)).to_numpy(zero_copy_only=False)
+        offsets = np.arange(len(out) + 1, dtype=np.int32) * out.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(out), [pa.py_buffer(np.packbits(both, bitorder="little").tobytes()), pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
 
     return pack(x, y)
 

@@ -58,9 +58,17 @@ def top_k(df: DataFrame, by: list, k: int) -> DataFrame:
 
 def hilbert_sort(df: DataFrame, lon: str, lat: str, then: list | None = None) -> DataFrame:
     """Rows without a position last, the others along the curve."""
-    missing = F.col(lon).isNull() | F.col(lat).isNull()
-    key = hilbert_index(F.coalesce(F.col(lon), F.lit(0.0)), F.coalesce(F.col(lat), F.lit(0.0)))
-    return df.orderBy(missing.cast("int"), key, *(then or []))
+    keyed = df.withColumn("_h", hilbert_index(F.col(lon).cast("double"), F.col(lat).cast("double")))
+    return keyed.orderBy(F.asc_nulls_last("_h"), *(then or [])).drop("_h")
+
+
+def hash_sample(df: DataFrame, keys: list[str], rows: int | None = None, share: float = 1.0, seed: int = 0) -> DataFrame:
+    """A sample that any run repeats: rows whose hashed keys lie in a ``share`` of all hashes, of which the ``rows`` with the
+    smallest hashes if a number is asked for (equal keys go together into the share, and by the keys' order into the number)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
+    hashed = df.withColumn("_at", F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint"))
+    some = hashed.where(F.col("_at") < int(share * (1 << 48)))
+    return (some if rows is None else some.orderBy("_at", *keys).limit(rows)).drop("_at")
 
 
 def union_aligned(sources: dict[str, tuple[DataFrame, dict[str, Column]]], tag: str = "sensor") -> DataFrame:

@@ -38,7 +38,7 @@ def write_geo(df: DataFrame, path: str, lon: str, lat: str, cluster: bool = Fals
     out = with_geometry(df, lon, lat)
     if not cluster:
         return write_table(out, path, **options)
-    keyed = out.withColumn("_h", hilbert_index(F.coalesce(F.col(lon), F.lit(0.0)), F.coalesce(F.col(lat), F.lit(0.0))))
+    keyed = out.withColumn("_h", hilbert_index(F.col(lon).cast("double"), F.col(lat).cast("double")))
     return write_table(keyed.repartitionByRange("_h").sortWithinPartitions("_h", *(then or [])).drop("_h"), path, **options)
 
 
