@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import spatial
 from ..operators import manifest as M
 from ..operators import quality as C
 from ..operators import relate
 from ..session import scratch
+from ..sources import sinks
 from ..streaming import streams
-from .base import POINTS, points, query, table
+from .base import POINTS, cell_sql, points, query, table
+
+_CELL = cell_sql("lat", "lon", 5)
 
 # Versioned tables. Months of orders stand for files: one row of the manifest for each month, in the order of months.
 
@@ -127,10 +131,28 @@ def rollback_version(spark, d):
     keys = table(spark, d, "orders").select("o_orderkey")
     catalog.add("sales", "orders", keys.where("o_orderkey % 2 = 0"), "2024-01-01 00:00:00")
     catalog.add("sales", "orders", keys.where("o_orderkey % 2 = 1"), "2024-01-02 00:00:00")
-    catalog.save(M.rollback(catalog.manifest(), 1, "2024-01-03 00:00:00"))
+    catalog.rollback("sales", "orders", 1, "2024-01-03 00:00:00")
     return catalog.table("sales", "orders")
 
 
+@query(f"""SELECT 'events' AS name, count(*) AS n, sum(event_id)::BIGINT AS ids, count(DISTINCT {_CELL}) AS cells FROM {POINTS}
+UNION ALL SELECT 'latest', count(*), sum(event_id)::BIGINT, 1 FROM {POINTS} WHERE event_id % 3 = 1 UNION ALL SELECT 'rejected', 1, 0, 0""")
+def merge_catalog(spark, d):
+    """From a pipeline's tables to SQL: two runs are written, found, checked, registered by mode and published; a table that
+    fails its check is not registered, and a second merge finds nothing new."""
+    lake, catalog = scratch(spark, "lake"), M.Catalog(spark, scratch(spark, "catalog"))
+    cells = spatial.with_cells(points(spark, d).select("event_id", "lat", "lon"), "lat", "lon", [5])
+    for k, run in enumerate(("20240101T000000", "20240102T000000")):
+        sinks.write_all({"events": cells.where(F.col("event_id") % 2 == k), "latest": cells.where(F.col("event_id") % 3 == k), "broken": cells.withColumn("lat", F.lit(None).cast("double"))}, lake, run, "feed")
+    spec = {"*": {"min_rows": 1, "not_null": ["event_id", "lat"], "unique_cols": ["event_id"]}, "broken": {"unique_cols": ["event_id", "lat"]}}
+    first = catalog.merge(lake, "2024-01-03 00:00:00", {"latest": "replace"}, spec)
+    again = catalog.merge(lake, "2024-01-04 00:00:00", {"latest": "replace"}, spec).where("status = 'registered' and table = 'events'")
+    rejected = first.where("status like 'rejected%'").agg(F.lit("rejected").alias("name"), F.count("*").alias("n"), F.lit(again.count()).cast("bigint").alias("ids"), F.lit(0).cast("bigint").alias("cells"))
+    events = spark.sql("SELECT 'events' AS name, count(*) AS n, sum(event_id) AS ids, count(DISTINCT cell_r5) AS cells FROM feed_events")
+    latest = spark.sql("SELECT 'latest' AS name, count(*) AS n, sum(event_id) AS ids, 1L AS cells FROM feed_latest")
+    return events.union(latest).union(rejected)
+
+
 @query("SELECT s_suppkey AS id, s_name AS name, NULL::DOUBLE AS balance FROM supplier UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer")
 def evolve_schema(spark, d):
     old = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
@@ -142,7 +164,7 @@ def prune_by_stats(spark, d):
     path = scratch(spark, "stats")
     points(spark, d).select("event_id", "lat").repartitionByRange(8, "lat").write.parquet(path)
     files = M.prune_files(M.file_stats(spark, path, ["lat"]), lat=(12.0, 42.0))
-    return spark.read.parquet(*[r.path for r in files.select("path").collect()]).where("lat between 12.0 and 42.0")
+    return spark.read.parquet(*[r.path for r in files.select("path").collect()]).where("lat between 12.0 and 42.0")  # a path a file
 
 
 @query(f"""SELECT schema, "table", sum(rows)::BIGINT AS n_rows FROM ({_visible_sql('true')}) GROUP BY ALL""")
@@ -195,9 +217,9 @@ def check_schema_match(spark, d):
     return C.schema_diff(old.schema, new.schema, spark).withColumn("n_rows", F.lit(new.count()).cast("bigint"))
 
 
-@query(f"SELECT 'bbox' AS \"check\", CASE WHEN min(lat) >= -90 AND max(lat) <= 90 AND min(lon) >= -180 AND max(lon) <= 180 THEN 'pass' ELSE 'fail' END AS status, '-90,90,-180,180' AS expected FROM {POINTS}")
+@query(f"SELECT 'bbox' AS \"check\", CASE WHEN min(lat) >= -90 AND max(lat) <= 90 AND min(lon) >= -180 AND max(lon) <= 180 THEN 'pass' ELSE 'fail' END AS status, concat_ws(',', CAST(min(lat) AS VARCHAR), CAST(max(lat) AS VARCHAR), CAST(min(lon) AS VARCHAR), CAST(max(lon) AS VARCHAR)) AS observed, '-90,90,-180,180' AS expected FROM {POINTS}")
 def check_bbox(spark, d):
-    return C.check(points(spark, d), {"bbox": ("lat", "lon", (-90, -180, 90, 180))}).drop("observed")
+    return C.check(points(spark, d), {"bbox": ("lat", "lon", (-90, -180, 90, 180))})
 
 
 @query("SELECT 'single_value:' || c AS \"check\", CASE WHEN n = 1 THEN 'pass' ELSE 'fail' END AS status, CAST(n AS VARCHAR) AS observed, '1' AS expected FROM (SELECT 'event_type' AS c, count(DISTINCT event_type) AS n FROM events UNION ALL SELECT 'one', 1)")
@@ -276,8 +298,8 @@ def stream_hourly_counts(spark, d):
     for hours, slide in ((1, None), (6, "1 hour")):
         target = scratch(spark, "hourly")
         counts = streams.windowed(stream, "ts", f"{hours} hours", slide, n=F.count("*"), mean=F.round(F.avg("value"), 8))
-        streams.complete_to(counts, target, scratch(spark, "offsets"))
-        part = spark.read.parquet(target).select(F.lit(hours).alias("hours"), F.col("w.start").cast("timestamp_ntz").alias("start"), "n", "mean")
+        streams.changes_to(counts, target, scratch(spark, "offsets"))
+        part = streams.latest_changes(spark, target, ["w"]).select(F.lit(hours).alias("hours"), F.col("w.start").cast("timestamp_ntz").alias("start"), "n", "mean")
         out = part if out is None else out.union(part)
     return out
 
@@ -285,13 +307,5 @@ def stream_hourly_counts(spark, d):
 @query("SELECT user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def stream_latest_state(spark, d):
     target = scratch(spark, "state")
-    streams.latest_state(_arrivals(spark, d), target, scratch(spark, "offsets"), ["user_id"], ["ts", "event_id"])
-    path, fs = _path(spark, target)
-    last = max(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path))
-    return spark.read.parquet(f"{target}/state={last}").select("user_id", "event_id", "value")
-
-
-def _path(spark, target):
-    from ..session import hadoop_path
-
-    return hadoop_path(spark, target)
+    streams.latest_state(_arrivals(spark, d), target, scratch(spark, "offsets"), ["user_id"], ["ts", "event_id"], every=2)
+    return streams.read_state(spark, target, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import hadoop_path
+
 
 def scan_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
@@ -19,9 +22,9 @@ def scan_hive(spark: SparkSession, base: str, predicate: Column | str | None = N
     return df if predicate is None else df.where(predicate)
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header, quoted and escaped by the double quote."""
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, line_breaks: bool = False) -> DataFrame:
+    """CSV with a header, quoted and escaped by the double quote. With ``line_breaks`` values may hold some; then a file cannot be split."""
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
@@ -51,10 +54,14 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 
 def scan_latest_partition(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """Only the greatest value of a partition column, which stays as a column. Finding it reads folders, not data."""
-    df = scan_hive(spark, path)
-    latest = df.select(F.max(F.col(column).cast("string"))).first()[0]
-    return df.where(F.col(column).cast("string") == latest)
+    """Only the greatest value of a partition column (as text), which stays as a column. Finding it lists the folders of one
+    level, and no other value's files are listed or opened."""
+    where, fs = hadoop_path(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
+    names = [n for n in names if n.startswith(f"{column}=")]
+    if not names:
+        raise ValueError(f"no folder {column}=... under {path}")
+    return spark.read.option("basePath", path).parquet(f"{path}/{max(names, key=unquote)}")
 
 
 def rows_to_table(spark: SparkSession, rows: list[tuple], schema: StructType | str) -> DataFrame:

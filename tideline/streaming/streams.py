@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.relate import latest
+from ..session import hadoop_path
 
 
 def arrivals(spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -44,23 +45,50 @@ def windowed(stream: DataFrame, ts: str, length: str, slide: str | None = None,
     return stream.withWatermark(ts, delay).groupBy(F.window(ts, length, slide or length).alias("w")).agg(*(c.alias(n) for n, c in aggregates.items()))
 
 
-def complete_to(df: DataFrame, target: str, checkpoint: str) -> None:
-    """Keeps the latest complete result of an aggregation, so all windows are there when input ends."""
+def changes_to(df: DataFrame, target: str, checkpoint: str) -> None:
+    """Writes the rows of an aggregation that changed, a folder for each batch: state is only kept within the watermark, and a
+    batch that failed writes its own folder again and no other."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/changes={number}")
+
+    _run(df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start())
+
+
+def latest_changes(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """What ``changes_to`` wrote, of each key as the last batch left it."""
+    rows = spark.read.option("basePath", target).parquet(f"{target}/changes=*")
+    return latest(rows, keys, ["changes"]).drop("changes")
+
+
+def _numbers(spark: SparkSession, target: str, kind: str) -> list[int]:
+    where, fs = hadoop_path(spark, target)
+    names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}=") and fs.exists(hadoop_path(spark, f"{target}/{n}/_SUCCESS")[0]))
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
 
-    _run(df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start())
+def read_state(spark: SparkSession, target: str, keys: list[str], by: list[str], upto: int | None = None) -> DataFrame:
+    """The latest row of each key: the last whole state and the batches since, up to a batch."""
+    within = lambda kind: [n for n in _numbers(spark, target, kind) if upto is None or n <= upto]
+    base = max(within("state"), default=-1)
+    paths = [f"{target}/state={base}"] * (base >= 0) + [f"{target}/changes={n}" for n in within("changes") if n > base]
+    return latest(spark.read.parquet(*paths), keys, by)
 
 
-def latest_state(stream: DataFrame, target: str, checkpoint: str, keys: list[str], by: list[str]) -> None:
-    """Keeps the latest row of each key: a batch is merged with the state before it, which is a folder by batch number."""
+def latest_state(stream: DataFrame, target: str, checkpoint: str, keys: list[str], by: list[str], every: int = 20) -> None:
+    """Keeps the latest row of each key. A batch writes its own latest rows; every ``every`` batches these are merged into a whole
+    state, the one before it stays for readers under way, and what is older goes."""
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch
-        if number:
-            rows = spark.read.parquet(f"{target}/state={number - 1}").select(*batch.columns).unionByName(batch)
-        latest(rows, keys, by).write.mode("overwrite").parquet(f"{target}/state={number}")
+        latest(batch, keys, by).write.mode("overwrite").parquet(f"{target}/changes={number}")
+        if (number + 1) % every:
+            return
+        read_state(spark, target, keys, by, number).write.mode("overwrite").parquet(f"{target}/state={number}")
+        states = [n for n in _numbers(spark, target, "state") if n < number]
+        old = [("state", n) for n in states[:-1]] + [("changes", n) for n in _numbers(spark, target, "changes") if states and n <= states[-1]]
+        for kind, n in old:
+            where, fs = hadoop_path(spark, f"{target}/{kind}={n}")
+            fs.delete(where, True)
 
     _run(stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start())
