@@ -88,25 +88,23 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-#: earth's gravitational parameter (km3/s2), radius (km) and turn (degrees a minute).
-MU, EARTH_KM, TURN = 398600.4418, 6371.0, 360.98564736629 / 1440
+#: earth's gravitational parameter (km3/s2), radius (km) and sidereal day (s).
+MU, EARTH_KM, SIDEREAL = 398600.4418, 6371.0, 86164.0905
 
 
-def subsatellite(epoch: Column, motion: Column, inclination: Column, node: Column, perigee: Column, anomaly: Column, at: Column) -> Column:
-    """struct<lat, lon, alt_km> below a satellite on a circular orbit at time ``at``; null without epoch or positive motion.
+def subsatellite(epoch: Column, motion: Column, inclination: Column, node: Column, anomaly: Column, at: Column) -> Column:
+    """struct<lat, lon, alt_km>: an approximate ground track for displays, null without epoch or positive motion.
 
-    ``motion`` is in turns a day, angles in degrees.
+    ``motion`` is in turns a day, angles in degrees, missing ones count as 0. The mean anomaly, advanced to time ``at``, stands
+    for the argument of latitude; longitude is the node plus that, less the earth's rotation since the epoch.
     """
-    minutes = (F.unix_micros(at) - F.unix_micros(epoch)) / 60e6
-    period = F.lit(86400.0) / motion
-    axis = F.pow(F.lit(MU) * F.pow(period / (2 * 3.141592653589793), F.lit(2.0)), F.lit(1.0 / 3.0))
-    mean = F.pmod(anomaly + 360.0 * motion * minutes / 1440.0, F.lit(360.0))
-    u = F.radians(F.pmod(perigee + mean, F.lit(360.0)))
-    i = F.radians(inclination)
-    lat = F.degrees(F.asin(F.sin(i) * F.sin(u)))
-    lon = node + F.degrees(F.atan2(F.cos(i) * F.sin(u), F.cos(u))) - TURN * minutes
-    wrapped = F.pmod(lon + 180.0, F.lit(360.0)) - 180.0
-    out = F.struct(F.round(lat, 4).alias("lat"), F.round(wrapped, 4).alias("lon"), F.round(axis - EARTH_KM, 1).alias("alt_km"))
+    seconds = (F.unix_micros(at) - F.unix_micros(epoch)) / 1e6
+    angle = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
+    axis = F.pow(F.lit(MU) * F.pow(F.lit(86400.0) / motion / (2 * 3.141592653589793), F.lit(2.0)), F.lit(1.0 / 3.0))
+    u = F.pmod(angle(anomaly) + 360.0 * motion * seconds / 86400.0, F.lit(360.0))
+    lat = F.degrees(F.asin(F.sin(F.radians(angle(inclination))) * F.sin(F.radians(u))))
+    lon = F.pmod(angle(node) + u - F.pmod(seconds, F.lit(SIDEREAL)) / SIDEREAL * 360.0, F.lit(360.0))
+    out = F.struct(F.round(lat, 4).alias("lat"), F.round(F.when(lon > 180, lon - 360.0).otherwise(lon), 4).alias("lon"), F.round(axis - EARTH_KM, 1).alias("alt_km"))
     return F.when(epoch.isNotNull() & (motion > 0), out)
 
 

@@ -5,7 +5,7 @@ Every function takes DataFrames with the feed's schema and returns {table: DataF
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars, spatial
@@ -23,40 +23,58 @@ def news_events(feed: DataFrame, as_of: str, run_ts: str, days: int = 30) -> dic
     return {"events": shape.hilbert_sort(out, "longitude", "latitude", ["event_date", "globaleventid"])}
 
 
-def weather(cities: DataFrame, documents: DataFrame, run_ts: str, least_population: int = 200_000) -> dict[str, DataFrame]:
-    """Hourly and daily rows of the largest city of each (city, country). ``documents``: city, country_code and structs
-    ``hourly`` and ``daily`` of parallel arrays whose first is ``time``."""
+def _present(df: DataFrame, columns: dict[str, tuple[str, str]]) -> list[Column]:
+    """Columns {name: (source, type)} of ``df``; those it lacks are null."""
+    return [(F.col(source) if source in df.columns else F.lit(None)).cast(kind).alias(name) for name, (source, kind) in columns.items()]
+
+
+def weather(cities: DataFrame, documents: DataFrame, run_ts: str, air: DataFrame | None = None, least_population: int = 200_000) -> dict[str, DataFrame]:
+    """Hourly and daily rows and, given documents of air quality, their hourly rows, of the largest city of each (city, country).
+
+    ``documents``: city, country_code, structs ``hourly`` and ``daily`` of parallel arrays whose first is ``time``, and where known the
+    latitude, longitude and elevation that values are for. ``air``: the same with ``hourly`` alone.
+    """
     big = cities.where(F.col("city").isNotNull() & (F.col("population") >= least_population))
-    chosen = relate.dedup(big, ["city", "country_code"], [F.desc("population"), "latitude", "longitude"])
-    joined = documents.join(chosen, ["city", "country_code"])
+    chosen = relate.dedup(big, ["city", "country_code"], [F.desc("population"), "latitude", "longitude"]).select("city", "country_code", "population", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
     out = {}
-    for name in ("hourly", "daily"):
-        fields = documents.schema[name].dataType.names
-        zipped = scalars.zip_arrays(**{f: F.col(f"{name}.{f}") for f in fields})
-        rows = joined.select("city", "country_code", "latitude", "longitude", F.inline(zipped)).where(F.col("time").isNotNull())
-        out[f"weather_{name}"] = shape.stamp(rows, run_ts, with_date=False)
+    for name, df, field, kind in (("weather_hourly", documents, "hourly", "timestamp_ntz"), ("weather_daily", documents, "daily", "date"), ("air_quality", air, "hourly", "timestamp_ntz")):
+        if df is None:
+            continue
+        zipped = scalars.zip_arrays(**{f: F.col(f"{field}.{f}") for f in df.schema[field].dataType.names})
+        place = [F.coalesce(F.col(c), F.col(own)).alias(c) if c in df.columns else F.col(own).alias(c) for c, own in (("latitude", "_lat"), ("longitude", "_lon"))]
+        if name != "air_quality":
+            place.append((F.coalesce("elevation", F.lit(0.0)) if "elevation" in df.columns else F.lit(0.0)).alias("elevation"))
+        rows = df.join(chosen, ["city", "country_code"]).select("city", "country_code", "population", *place, F.inline(zipped)).where(F.col("time").isNotNull())
+        at = F.col("time").cast(kind)
+        rows = rows.withColumn("time", at) if kind != "date" else rows.withColumn("time", at).withColumnRenamed("time", "date")
+        out[name] = shape.hilbert_sort(shape.stamp(rows, run_ts, with_date=False), "longitude", "latitude", ["date" if kind == "date" else "time"])
     return out
 
 
-def flights(states: DataFrame, completed: DataFrame | None, run_ts: str) -> dict[str, DataFrame]:
-    """Aircraft states from positional arrays of text (``states``: array<array<string>>), and completed flights if given."""
-    s = states.select(F.explode("states").alias("s"))
-    at = lambda i: F.get("s", F.lit(i))
-    located = s.where(at(5).isNotNull() & (at(5) != "null") & at(6).isNotNull() & (at(6) != "null"))
-    rows = located.select(
-        at(0).alias("icao24"),
-        scalars.clean_empty(at(1)).alias("callsign"),
-        at(2).alias("origin_country"),
-        F.timestamp_seconds(at(3).cast("bigint")).cast("timestamp_ntz").alias("time_position"),
-        at(5).cast("double").alias("longitude"),
-        at(6).cast("double").alias("latitude"),
-        at(8).cast("boolean").alias("on_ground"),
-        at(9).cast("double").alias("velocity"),
-    )
-    out = {"states": shape.hilbert_sort(shape.stamp(rows, run_ts, with_date=False), "longitude", "latitude", ["icao24"])}
+#: The places of an aircraft state's values, with their names and types.
+STATE = {
+    "icao24": (0, "string"), "callsign": (1, "string"), "origin_country": (2, "string"), "time_position": (3, "bigint"), "last_contact": (4, "bigint"), "longitude": (5, "double"), "latitude": (6, "double"),
+    "baro_altitude": (7, "double"), "on_ground": (8, "boolean"), "velocity": (9, "double"), "true_track": (10, "double"), "vertical_rate": (11, "double"), "geo_altitude": (13, "double"), "squawk": (14, "string"), "spi": (15, "boolean"), "position_source": (16, "int"),
+}
+#: Names and types of a completed flight's values.
+FLIGHT = {
+    "departure_airport": ("estDepartureAirport", "string"), "arrival_airport": ("estArrivalAirport", "string"), "departure_horiz_distance": ("estDepartureAirportHorizDistance", "int"), "departure_vert_distance": ("estDepartureAirportVertDistance", "int"),
+    "arrival_horiz_distance": ("estArrivalAirportHorizDistance", "int"), "arrival_vert_distance": ("estArrivalAirportVertDistance", "int"), "departure_candidates": ("departureAirportCandidatesCount", "int"), "arrival_candidates": ("arrivalAirportCandidatesCount", "int"),
+}
+
+
+def flights(states: DataFrame, completed: DataFrame | None) -> dict[str, DataFrame]:
+    """Aircraft states from documents (``time`` in seconds, ``states``: array<array<string>> of values by place), and completed
+    flights if given. A state without a position goes."""
+    seconds = lambda c: F.timestamp_seconds(c.cast("bigint")).cast("timestamp_ntz")
+    known = lambda i: F.nullif(F.get("s", F.lit(i)), F.lit("null"))
+    s = states.select("time", F.explode("states").alias("s")).where(known(5).isNotNull() & known(6).isNotNull())
+    rows = s.select(*(known(i).cast(kind).alias(name) for name, (i, kind) in STATE.items()), seconds(F.col("time")).alias("snapshot_time"))
+    rows = rows.withColumns({"callsign": scalars.clean_empty(F.col("callsign")), "time_position": seconds(F.col("time_position")), "last_contact": seconds(F.col("last_contact"))})
+    out = {"states": shape.hilbert_sort(rows, "longitude", "latitude", ["icao24"])}
     if completed is not None:
-        seconds = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
-        out["flights"] = completed.select("icao24", scalars.clean_empty(F.col("callsign")).alias("callsign"), seconds("firstSeen").alias("first_seen"), seconds("lastSeen").alias("last_seen")).orderBy("first_seen", "icao24")
+        done = completed.select("icao24", scalars.clean_empty(F.col("callsign")).alias("callsign"), seconds(F.col("firstSeen")).alias("first_seen"), seconds(F.col("lastSeen")).alias("last_seen"), *_present(completed, FLIGHT))
+        out["flights"] = done.orderBy("first_seen", "icao24")
     return out
 
 
@@ -98,12 +116,22 @@ def natural_events(opened: DataFrame, closed: DataFrame, run_ts: str) -> dict[st
     return {"events": shape.hilbert_sort(shape.stamp(good, run_ts, with_date=False), "longitude", "latitude", ["event_id"]), "rejects": rows.where(~F.col("_point")).select("event_id", "title")}
 
 
+#: Properties of an earthquake, with their names and types.
+QUAKE = {
+    "mag": ("mag", "double"), "mag_type": ("magType", "string"), "place": ("place", "string"), "event_type": ("type", "string"), "status": ("status", "string"), "tsunami": ("tsunami", "int"), "sig": ("sig", "int"), "felt": ("felt", "int"),
+    "cdi": ("cdi", "double"), "mmi": ("mmi", "double"), "alert": ("alert", "string"), "net": ("net", "string"), "code": ("code", "string"), "ids": ("ids", "string"), "sources": ("sources", "string"), "nst": ("nst", "int"),
+    "dmin": ("dmin", "double"), "rms": ("rms", "double"), "gap": ("gap", "double"), "title": ("title", "string"), "url": ("url", "string"), "event_time": ("time", "bigint"), "updated_time": ("updated", "bigint"),
+}
+
+
 def earthquakes(documents: DataFrame, run_ts: str) -> dict[str, DataFrame]:
-    """Features of GeoJSON documents; depth is the third coordinate, which may be absent."""
-    f = documents.select(F.explode("features").alias("f"))
-    c = lambda i: F.get("f.geometry.coordinates", F.lit(i))
-    rows = f.select(F.col("f.id").alias("event_id"), F.col("f.properties.mag").alias("magnitude"), F.col("f.properties.place").alias("place"), F.timestamp_millis("f.properties.time").cast("timestamp_ntz").alias("event_time"), c(0).alias("longitude"), c(1).alias("latitude"), c(2).alias("depth_km"))
-    return {"events": shape.hilbert_sort(shape.stamp(spatial.with_cells(rows, "latitude", "longitude", [5, 8, 10]), run_ts, with_date=False), "longitude", "latitude", ["event_time", "event_id"])}
+    """Features of GeoJSON documents; depth is the third coordinate, which may be absent. Properties that a feed lacks are null."""
+    f = documents.select(F.explode("features").alias("f")).select("f.id", "f.properties.*", F.col("f.geometry.coordinates").alias("_at"))
+    c = lambda i: F.get("_at", F.lit(i))
+    millis = lambda c: F.timestamp_millis(c).cast("timestamp_ntz")
+    rows = f.select(F.col("id").alias("event_id"), *_present(f, QUAKE), c(0).alias("longitude"), c(1).alias("latitude"), c(2).alias("depth_km"))
+    rows = rows.withColumns({n: millis(F.col(n)) for n in ("event_time", "updated_time")})
+    return {"events": shape.hilbert_sort(shape.stamp(spatial.with_cells(rows, "latitude", "longitude", [5, 8]), run_ts, with_date=False), "longitude", "latitude", ["event_time", "event_id"])}
 
 
 def signals(series: DataFrame, run_ts: str) -> dict[str, DataFrame]:
@@ -113,21 +141,46 @@ def signals(series: DataFrame, run_ts: str) -> dict[str, DataFrame]:
     return {"signals": shape.stamp(out, run_ts, with_date=False).orderBy("country_code", "datasource", "subtype", "timestamp")}
 
 
-def satellites(elements: DataFrame, groups: list[str], at: str, box: tuple) -> dict[str, DataFrame]:
-    """Elements of several groups (column ``group``): each satellite once, in its first group, with the point below it."""
-    rank = F.array_position(F.array(*map(F.lit, groups)), F.col("group"))
-    once = relate.first_seen(elements.withColumn("_rank", rank), "norad_cat_id", ["_rank", "epoch", "object_name"]).drop("_rank")
-    when = F.lit(at).cast("timestamp")
-    p = scalars.subsatellite(F.col("epoch"), F.col("mean_motion"), F.col("inclination"), F.col("ra_of_asc_node"), F.col("arg_of_pericenter"), F.col("mean_anomaly"), when)
-    rows = once.withColumn("p", p).select("norad_cat_id", "object_name", "group", "p.lat", "p.lon", "p.alt_km").withColumn("in_region", spatial.in_bbox(F.col("lat"), F.col("lon"), box))
-    return {"satellites": shape.hilbert_sort(shape.stamp(spatial.with_cells(rows, "lat", "lon", [5]), at, with_date=False), "lon", "lat", ["norad_cat_id"])}
+#: Elements of a satellite's orbit, with their names and types.
+ELEMENTS = {
+    "norad_cat_id": ("NORAD_CAT_ID", "bigint"), "object_name": ("OBJECT_NAME", "string"), "object_id": ("OBJECT_ID", "string"), "epoch": ("EPOCH", "string"), "mean_motion": ("MEAN_MOTION", "double"), "eccentricity": ("ECCENTRICITY", "double"),
+    "inclination": ("INCLINATION", "double"), "ra_of_asc_node": ("RA_OF_ASC_NODE", "double"), "arg_of_pericenter": ("ARG_OF_PERICENTER", "double"), "mean_anomaly": ("MEAN_ANOMALY", "double"),
+    "classification": ("CLASSIFICATION_TYPE", "string"), "bstar": ("BSTAR", "double"), "rev_at_epoch": ("REV_AT_EPOCH", "bigint"),
+}
 
 
-def chokepoints(reference: DataFrame, transits: DataFrame) -> dict[str, DataFrame]:
+def satellites(elements: DataFrame, groups: dict[str, str], at: str, box: tuple) -> dict[str, DataFrame]:
+    """Elements of several groups (column ``group``; ``groups`` gives their order and labels): each satellite once, in its first
+    group, with the approximate point below it at time ``at``. Missing texts are empty, a missing classification is U."""
+    rows = elements.select("group", *_present(elements, ELEMENTS))
+    rank = F.array_position(F.array(*map(F.lit, groups)), F.col("group"))
+    once = relate.first_seen(rows.withColumn("_rank", rank), "norad_cat_id", ["_rank", "epoch", "object_name"]).drop("_rank")
+    once = relate.lookup(once, groups, F.col("group"), "group_label").withColumns({c: F.coalesce(c, F.lit(other)) for c, other in (("object_name", ""), ("object_id", ""), ("epoch", ""), ("classification", "U"))})
+    p = scalars.subsatellite(F.nullif("epoch", F.lit("")).try_cast("timestamp"), F.col("mean_motion"), F.col("inclination"), F.col("ra_of_asc_node"), F.col("mean_anomaly"), F.lit(at).cast("timestamp"))
+    placed = once.withColumn("_p", p).select(*once.columns, F.col("_p.lat").alias("latitude_approx"), F.col("_p.lon").alias("longitude_approx"), F.col("_p.alt_km").alias("altitude_km"))
+    placed = placed.withColumn("in_region", spatial.in_bbox(F.col("latitude_approx"), F.col("longitude_approx"), box))
+    return {"satellites": shape.hilbert_sort(shape.stamp(spatial.with_cells(placed, "latitude_approx", "longitude_approx", [5]), at, with_date=False), "longitude_approx", "latitude_approx", ["norad_cat_id"])}
+
+
+#: Names and types of a chokepoint's values, and of a day's transits.
+CHOKEPOINT = {
+    "portid": ("portid", "string"), "portname": ("portname", "string"), "country": ("country", "string"), "iso3": ("ISO3", "string"), "continent": ("continent", "string"), "fullname": ("fullname", "string"), "locode": ("LOCODE", "string"), "pageid": ("pageid", "string"),
+    "lat": ("lat", "double"), "lon": ("lon", "double"), "vessel_count_total": ("vessel_count_total", "double"), "vessel_count_container": ("vessel_count_container", "double"), "vessel_count_dry_bulk": ("vessel_count_dry_bulk", "double"),
+    "vessel_count_general_cargo": ("vessel_count_general_cargo", "double"), "vessel_count_roro": ("vessel_count_RoRo", "double"), "vessel_count_tanker": ("vessel_count_tanker", "double"), "industry_top1": ("industry_top1", "string"),
+    "industry_top2": ("industry_top2", "string"), "industry_top3": ("industry_top3", "string"), "share_maritime_import": ("share_country_maritime_import", "double"), "share_maritime_export": ("share_country_maritime_export", "double"),
+}
+_KINDS = ("container", "dry_bulk", "general_cargo", "roro", "tanker", "cargo")
+TRANSITS = {
+    "portid": ("portid", "string"), "portname": ("portname", "string"), "date": ("date", "bigint"), "year": ("year", "int"), "month": ("month", "int"), "day": ("day", "int"),
+    **{f"n_{k}": (f"n_{k}", "int") for k in (*_KINDS, "total")}, **{f"capacity_{k}": (f"capacity_{k}", "double") for k in _KINDS}, "capacity": ("capacity", "double"),
+}
+
+
+def chokepoints(reference: DataFrame, transits: DataFrame, run_ts: str) -> dict[str, DataFrame]:
     """Chokepoints with cells, and daily transits placed by their chokepoint; transits without one stay without a place."""
-    places = spatial.with_cells(reference, "lat", "lon", [5, 8])
-    daily = transits.withColumn("date", F.timestamp_millis("date").cast("date")).join(F.broadcast(reference.select("portid", "lat", "lon")), "portid", "left")
-    return {"chokepoints": places.orderBy("portid"), "daily_transits": spatial.with_cells(daily, "lat", "lon", [5, 8]).orderBy("portid", "date")}
+    places = spatial.with_cells(reference.select(*_present(reference, CHOKEPOINT)), "lat", "lon", [5])
+    daily = transits.select(*_present(transits, TRANSITS)).withColumn("date", F.timestamp_millis("date").cast("date")).join(places.select("portid", "lat", "lon", "cell_r5"), "portid", "left")
+    return {"chokepoints": shape.hilbert_sort(shape.stamp(places, run_ts, with_date=False), "lon", "lat", ["portid"]), "daily_transits": shape.stamp(daily, run_ts, with_date=False).orderBy(F.desc("date"), "portid")}
 
 
 def cables(lines: DataFrame, landings: DataFrame) -> dict[str, DataFrame]:

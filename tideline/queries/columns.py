@@ -280,22 +280,25 @@ def math_round(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") / 7, 4).alias("r1"), F.round(F.col("l_quantity") / 3, 3).alias("r3"))
 
 
-_ORBIT = {"motion": "CASE WHEN event_id % 50 = 0 THEN 0.0::DOUBLE ELSE 1 + (event_id % 150)::DOUBLE / 10 END", "inc": "(event_id % 180)::DOUBLE", "node": "(event_id % 360)::DOUBLE", "per": "(event_id * 3 % 360)::DOUBLE", "ano": "(event_id * 7 % 360)::DOUBLE"}
+_ORBIT = {"motion": "CASE WHEN event_id % 50 = 0 THEN 0.0::DOUBLE ELSE 1 + (event_id % 150)::DOUBLE / 10 END", "inc": "CASE WHEN event_id % 31 <> 0 THEN (event_id % 180)::DOUBLE END", "node": "(event_id % 360)::DOUBLE", "ano": "(event_id * 7 % 360)::DOUBLE"}
+#: (event_id, lat, lon, alt_km) of satellites made from events.
+_TRACK = "(WITH e AS (SELECT event_id, ts, " + ", ".join(f"{v} AS {k}" for k, v in _ORBIT.items()) + f""" FROM events),
+m AS (SELECT *, (epoch_us(TIMESTAMP '2024-01-20 00:00:00') - epoch_us(ts)) / 1e6::DOUBLE AS seconds FROM e WHERE motion > 0),
+a AS (SELECT *, pow({scalars.MU}::DOUBLE * pow(86400.0::DOUBLE / motion / (2 * 3.141592653589793::DOUBLE), 2.0::DOUBLE), 1.0::DOUBLE / 3.0::DOUBLE) AS axis, ano + 360.0::DOUBLE * motion * seconds / 86400.0::DOUBLE AS m0 FROM m),
+b AS (SELECT *, m0 - 360 * floor(m0 / 360) AS u, (seconds - {scalars.SIDEREAL}::DOUBLE * floor(seconds / {scalars.SIDEREAL}::DOUBLE)) / {scalars.SIDEREAL}::DOUBLE * 360 AS turned FROM a),
+p AS (SELECT *, degrees(asin(sin(radians(coalesce(inc, 0))) * sin(radians(u)))) AS la, node + u - turned AS l0 FROM b),
+q AS (SELECT *, l0 - 360 * floor(l0 / 360) AS lo FROM p)
+SELECT e.event_id, round(la, 4) AS lat, round(CASE WHEN lo > 180 THEN lo - 360 ELSE lo END, 4) AS lon, round(axis - 6371.0::DOUBLE, 1) AS alt_km FROM e LEFT JOIN q USING (event_id))"""
 
 
-@query(
-    "WITH e AS (SELECT event_id, ts, " + ", ".join(f"{v} AS {k}" for k, v in _ORBIT.items()) + f""" FROM events),
-m AS (SELECT *, (epoch_us(TIMESTAMP '2024-01-20 00:00:00') - epoch_us(ts)) / 60e6::DOUBLE AS minutes FROM e WHERE motion > 0),
-a AS (SELECT *, pow({scalars.MU}::DOUBLE * pow((86400.0::DOUBLE / motion) / (2 * 3.141592653589793::DOUBLE), 2.0::DOUBLE), 1.0::DOUBLE / 3.0::DOUBLE) AS axis, ano + 360.0::DOUBLE * motion * minutes / 1440.0::DOUBLE AS m0 FROM m),
-b AS (SELECT *, m0 - 360 * floor(m0 / 360) AS mean FROM a),
-c AS (SELECT *, radians(per + mean - 360 * floor((per + mean) / 360)) AS u, radians(inc) AS i FROM b),
-p AS (SELECT *, degrees(asin(sin(i) * sin(u))) AS la, node + degrees(atan2(cos(i) * sin(u), cos(u))) - ({scalars.TURN!r})::DOUBLE * minutes + 180 AS lo FROM c)
-SELECT e.event_id, round(la, 4) AS lat, round(lo - 360 * floor(lo / 360) - 180, 4) AS lon, round(axis - 6371.0::DOUBLE, 1) AS alt_km FROM e LEFT JOIN p USING (event_id)"""
-)
+def _orbit_columns():
+    return {k: F.expr(v.replace("0.0::DOUBLE", "0.0D").replace("::DOUBLE", "").replace("/ 10", "/ 10.0D")).cast("double") for k, v in _ORBIT.items()}
+
+
+@query(f"SELECT * FROM {_TRACK}")
 def subsatellite_point(spark, d):
-    cols = {k: F.expr(v.replace("0.0::DOUBLE", "0.0D").replace("::DOUBLE", "").replace("/ 10", "/ 10.0D")).cast("double") for k, v in _ORBIT.items()}
-    e = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("epoch"), *(c.alias(k) for k, c in cols.items()))
-    p = scalars.subsatellite(F.col("epoch"), F.col("motion"), F.col("inc"), F.col("node"), F.col("per"), F.col("ano"), F.lit("2024-01-20 00:00:00").cast("timestamp"))
+    e = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("epoch"), *(c.alias(k) for k, c in _orbit_columns().items()))
+    p = scalars.subsatellite(F.col("epoch"), F.col("motion"), F.col("inc"), F.col("node"), F.col("ano"), F.lit("2024-01-20 00:00:00").cast("timestamp"))
     return e.select("event_id", p.alias("p")).select("event_id", "p.lat", "p.lon", "p.alt_km")
 
 

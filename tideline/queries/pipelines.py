@@ -7,12 +7,24 @@ from pyspark.sql import functions as F
 from ..functions import spatial
 from ..plans import feeds
 from .base import POINTS, cell_sql, hilbert_sql, lat_sql, lon_sql, points, query, table
-from .columns import _ORBIT, _lines
+from .columns import _SEGMENTS, _TRACK, _lines, _orbit_columns
 from .relations import _PIXELS, _box_sql, _pixels
 
 RUN = "2024-02-01 06:00:00"
 BOX = (12.0, 20.0, 42.0, 65.0)
 _BOX = "lat BETWEEN 12.0 AND 42.0 AND lon BETWEEN 20.0 AND 65.0"
+_STAMP = "TIMESTAMP '2024-02-01 06:00:00' AS snapshot_time"
+
+
+def _stacked(tables):
+    """All tables of a pipeline under one another by name, with ``table`` first; SQL says UNION ALL BY NAME."""
+    out = None
+    for name, df in tables.items():
+        part = df.select(F.lit(name).alias("table"), "*")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 _CELLS = ", ".join(f"{cell_sql('lat', 'lon', r)} AS cell_r{r}" for r in (5, 8, 10))
 
 
@@ -22,32 +34,56 @@ def pipe_news_events(spark, d):
     return feeds.news_events(feed, "2024-02-10", RUN)["events"].drop("snapshot_time")
 
 
-@query("""WITH c AS (SELECT CAST(c_nationkey AS VARCHAR) AS city, c_mktsegment AS country_code, c_custkey FROM customer WHERE CAST(c_acctbal * 100 AS BIGINT) >= 200000 QUALIFY row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY CAST(c_acctbal * 100 AS BIGINT) DESC, CAST(c_custkey % 90 AS DOUBLE), CAST(c_custkey AS DOUBLE)) = 1),
-v AS (SELECT CAST(vec_id % 25 AS VARCHAR) AS city, ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][CAST(vec_id // 25 % 5 AS INTEGER) + 1] AS country_code, embedding FROM embeddings)
-SELECT city, country_code, CAST(c_custkey % 90 AS DOUBLE) AS latitude, CAST(c_custkey AS DOUBLE) AS longitude, CAST(i - 1 AS VARCHAR) AS time, embedding[i] AS temperature, CASE WHEN i <= 40 THEN embedding[i] END AS humidity FROM (SELECT *, unnest(range(1, 65)) AS i FROM v) JOIN c USING (city, country_code)""")
+_SEGMENT_NAMES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@query(f"""WITH c AS (SELECT CAST(c_nationkey AS VARCHAR) AS city, c_mktsegment AS country_code, CAST(round(c_acctbal * 100) AS BIGINT) AS population, c_custkey FROM customer WHERE round(c_acctbal * 100) >= 200000 QUALIFY row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY round(c_acctbal * 100) DESC, CAST(c_custkey % 90 AS DOUBLE), CAST(c_custkey AS DOUBLE)) = 1),
+v AS (SELECT CAST(vec_id % 25 AS VARCHAR) AS city, {list(_SEGMENT_NAMES)}[CAST(vec_id // 25 % 5 AS INTEGER) + 1] AS country_code, CASE WHEN vec_id % 2 = 0 THEN 1.5::DOUBLE END AS lat, CAST(vec_id % 7 AS DOUBLE) AS elevation, embedding FROM embeddings),
+j AS (SELECT city, country_code, population, coalesce(lat, CAST(c_custkey % 90 AS DOUBLE)) AS latitude, CAST(c_custkey AS DOUBLE) AS longitude, CAST(c_custkey % 90 AS DOUBLE) AS own, elevation, i, embedding[i] AS e FROM (SELECT *, unnest(range(1, 65)) AS i FROM v) JOIN c USING (city, country_code))
+SELECT 'weather_hourly' AS "table", city, country_code, population, latitude, longitude, elevation, TIMESTAMP '2024-01-01' + INTERVAL (i - 1) HOUR AS time, e AS temperature, CASE WHEN i <= 40 THEN e END AS humidity, {_STAMP} FROM j
+UNION ALL BY NAME SELECT 'weather_daily' AS "table", city, country_code, population, latitude, longitude, elevation, CAST(DATE '2024-01-01' + INTERVAL (i - 1) DAY AS DATE) AS date, e AS most, {_STAMP} FROM j
+UNION ALL BY NAME SELECT 'air_quality' AS "table", city, country_code, population, own AS latitude, longitude, TIMESTAMP '2024-01-01' + INTERVAL (i - 1) HOUR AS time, e AS pm10, {_STAMP} FROM j WHERE i <= 24""")
 def pipe_weather(spark, d):
     cities = table(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("city"), F.col("c_mktsegment").alias("country_code"), (F.col("c_custkey") % 90).cast("double").alias("latitude"), F.col("c_custkey").cast("double").alias("longitude"), F.round(F.col("c_acctbal") * 100).cast("bigint").alias("population"))
-    hours = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: i.cast("string"))
-    segments = F.array(*map(F.lit, ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")))
-    hourly = F.struct(hours.alias("time"), F.col("embedding").alias("temperature"), F.slice("embedding", 1, 40).alias("humidity"))
-    docs = table(spark, d, "embeddings").select((F.col("vec_id") % 25).cast("string").alias("city"), F.get(segments, (F.floor(F.col("vec_id") / 25) % 5).cast("int")).alias("country_code"), hourly.alias("hourly"), F.struct(hours.alias("time"), F.col("embedding").alias("most")).alias("daily"))
-    return feeds.weather(cities, docs, RUN)["weather_hourly"].drop("snapshot_time")
+    start = F.lit("2024-01-01").cast("timestamp")
+    hours = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.date_format(F.timestamp_add("HOUR", i, start), "yyyy-MM-dd'T'HH:mm"))
+    days = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.date_add(F.lit("2024-01-01").cast("date"), i).cast("string"))
+    where = [(F.col("vec_id") % 25).cast("string").alias("city"), F.get(F.array(*map(F.lit, _SEGMENT_NAMES)), (F.floor(F.col("vec_id") / 25) % 5).cast("int")).alias("country_code")]
+    vectors = table(spark, d, "embeddings")
+    docs = vectors.select(*where, F.when(F.col("vec_id") % 2 == 0, 1.5).alias("latitude"), (F.col("vec_id") % 7).cast("double").alias("elevation"), F.struct(hours.alias("time"), F.col("embedding").alias("temperature"), F.slice("embedding", 1, 40).alias("humidity")).alias("hourly"), F.struct(days.alias("time"), F.col("embedding").alias("most")).alias("daily"))
+    air = vectors.select(*where, F.struct(F.slice(hours, 1, 24).alias("time"), F.slice("embedding", 1, 24).alias("pm10")).alias("hourly"))
+    return _stacked(feeds.weather(cities, docs, RUN, air))
+
+
+_AT = "make_timestamp((1704067200 + {}) * 1000000)"
 
 
-@query(f"SELECT CAST(event_id AS VARCHAR) AS icao24, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS callsign, make_timestamp(1704067200000000 + event_id * 1000000) AS time_position, lon AS longitude, lat AS latitude, event_id % 2 = 0 AS on_ground, value AS velocity FROM {POINTS} WHERE event_id % 6 <> 0 AND event_id % 7 <> 0")
+@query(f"""SELECT 'states' AS "table", CAST(event_id AS VARCHAR) AS icao24, CASE WHEN event_id % 4 <> 0 THEN event_type END AS callsign, 'X' AS origin_country, {_AT.format('event_id')} AS time_position, {_AT.format('event_id + 5')} AS last_contact, lon AS longitude, lat AS latitude,
+CASE WHEN event_id % 3 <> 0 THEN value * 10 END AS baro_altitude, event_id % 2 = 0 AS on_ground, value AS velocity, CAST(event_id % 360 AS DOUBLE) AS true_track, -value AS vertical_rate, value * 11 AS geo_altitude, CAST(event_id % 7777 AS VARCHAR) AS squawk, event_id % 5 = 0 AS spi, CAST(event_id % 4 AS INTEGER) AS position_source, make_timestamp(1706745600000000) AS snapshot_time
+FROM {POINTS} WHERE event_id % 6 <> 0 AND event_id % 7 <> 0
+UNION ALL BY NAME SELECT 'flights' AS "table", CAST(event_id AS VARCHAR) AS icao24, event_type AS callsign, {_AT.format('event_id')} AS first_seen, {_AT.format('event_id * 2')} AS last_seen, 'D' || (event_id % 9) AS departure_airport, NULL::VARCHAR AS arrival_airport, CAST(event_id % 100 AS INTEGER) AS departure_horiz_distance, CAST(event_id % 10 AS INTEGER) AS departure_vert_distance,
+CAST(user_id AS INTEGER) AS arrival_horiz_distance, NULL::INTEGER AS arrival_vert_distance, 1::INTEGER AS departure_candidates, CAST(event_id % 3 AS INTEGER) AS arrival_candidates FROM events WHERE event_id % 11 = 0""")
 def pipe_flights(spark, d):
     text = lambda c: c.cast("string")
-    e, no = F.col("event_id"), F.lit(None).cast("string")
-    slots = F.array(text(e), F.when(e % 4 == 0, "  ").otherwise(F.concat(F.col("event_type"), F.lit(" "))), F.lit("X"), text(e + 1704067200), no, F.when(e % 6 == 0, no).otherwise(text(F.col("lon"))), F.when(e % 7 == 0, "null").otherwise(text(F.col("lat"))), no, text(e % 2 == 0), text(F.col("value")))
-    states = points(spark, d).groupBy("user_id").agg(F.collect_list(slots).alias("states"))
-    return feeds.flights(states, None, RUN)["states"].drop("snapshot_time", "origin_country")
+    e, v, no = F.col("event_id"), F.col("value"), F.lit(None).cast("string")
+    slots = F.array(
+        text(e), F.when(e % 4 == 0, "  ").otherwise(F.concat(F.col("event_type"), F.lit(" "))), F.lit("X"), text(e + 1704067200), text(e + 1704067205), F.when(e % 6 == 0, no).otherwise(text(F.col("lon"))), F.when(e % 7 == 0, "null").otherwise(text(F.col("lat"))),
+        F.when(e % 3 != 0, text(v * 10)), text(e % 2 == 0), text(v), text(e % 360), text(-v), no, text(v * 11), text(e % 7777), text(e % 5 == 0), text(e % 4),
+    )
+    # A document holds the states of some thousand events, however many there are.
+    states = points(spark, d).groupBy(F.floor(e / 5000)).agg(F.collect_list(slots).alias("states")).select(F.lit(1706745600).cast("bigint").alias("time"), "states")
+    completed = table(spark, d, "events").where(e % 11 == 0).select(
+        text(e).alias("icao24"), F.concat("event_type", F.lit("  ")).alias("callsign"), (e + 1704067200).alias("firstSeen"), (e * 2 + 1704067200).alias("lastSeen"), F.concat(F.lit("D"), e % 9).alias("estDepartureAirport"), no.alias("estArrivalAirport"),
+        (e % 100).alias("estDepartureAirportHorizDistance"), (e % 10).alias("estDepartureAirportVertDistance"), F.col("user_id").alias("estArrivalAirportHorizDistance"), F.lit(1).alias("departureAirportCandidatesCount"), (e % 3).alias("arrivalAirportCandidatesCount"),
+    )
+    return _stacked(feeds.flights(states, completed))
 
 
-@query("""SELECT p_partkey AS id, CASE WHEN p_size <= 10 THEN 'person' WHEN p_size <= 20 THEN 'company' WHEN p_size <= 30 THEN 'asset' ELSE 'other' END AS entity_type, string_split(replace(lower(p_type), ' ', ';'), ';') AS country_list, DATE '2024-02-01' AS snapshot_date FROM part WHERE lower(p_type) LIKE '%st%' OR lower(p_type) LIKE '%br%'""")
+@query("""SELECT p_partkey AS id, CASE WHEN p_size <= 10 THEN 'person' WHEN p_size <= 20 THEN 'company' WHEN p_size <= 30 THEN 'asset' ELSE 'other' END AS entity_type, string_split(replace(lower(p_type), ' ', ';'), ';') AS country_list, ['a', CAST(p_size AS VARCHAR)] AS sanction_list, DATE '2024-02-01' AS snapshot_date FROM part WHERE lower(p_type) LIKE '%st%' OR lower(p_type) LIKE '%br%'""")
 def pipe_sanctions(spark, d):
     kind = F.when(F.col("p_size") <= 10, "Person").when(F.col("p_size") <= 20, "Company").when(F.col("p_size") <= 30, "Vessel").otherwise("Thing")
-    entities = table(spark, d, "part").select(F.col("p_partkey").alias("id"), kind.alias("schema"), F.replace(F.lower("p_type"), F.lit(" "), F.lit(";")).alias("countries"), F.lit("a;b").alias("sanctions"), F.col("p_retailprice").alias("last_change"))
-    return feeds.sanctions(entities, ["st", "br"], RUN)["region_sanctions"].select("id", "entity_type", "country_list", "snapshot_date")
+    entities = table(spark, d, "part").select(F.col("p_partkey").alias("id"), kind.alias("schema"), F.replace(F.lower("p_type"), F.lit(" "), F.lit(";")).alias("countries"), F.concat(F.lit("a;"), F.col("p_size")).alias("sanctions"), F.col("p_retailprice").alias("last_change"))
+    return feeds.sanctions(entities, ["st", "br"], RUN)["region_sanctions"].select("id", "entity_type", "country_list", "sanction_list", "snapshot_date")
 
 
 _FIRES = f"(SELECT event_id, ts, lat, lon, value, user_id, event_type FROM {POINTS} WHERE event_type IN ('click', 'view', 'purchase') AND {_BOX})"
@@ -65,28 +101,41 @@ def pipe_fires(spark, d):
     return feeds.fires(sensors, BOX, RUN)["active_fires"].select("acq_time", "sensor", "bright_ti4", "confidence", "cell_r5", "cell_r8", "cell_r10")
 
 
-@query(f"""SELECT user_id AS event_id, user_id % 3 = 0 AS is_closed, 'c' || (user_id % 4) AS category, 'u1;u2' AS source_urls, CAST(n AS INTEGER) AS n_geometries, lon AS longitude, lat AS latitude, {cell_sql('lat', 'lon', 5)} AS cell_r5, {cell_sql('lat', 'lon', 8)} AS cell_r8
-FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM {POINTS} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1) WHERE event_id % 9 <> 0""")
+@query(f"""WITH e AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM {POINTS} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+SELECT 'events' AS "table", user_id AS event_id, user_id % 3 = 0 AS is_closed, 'c' || (user_id % 4) AS category, 'u1;u2' AS source_urls, CAST(n AS INTEGER) AS n_geometries, lon AS longitude, lat AS latitude, {cell_sql('lat', 'lon', 5)} AS cell_r5, {cell_sql('lat', 'lon', 8)} AS cell_r8 FROM e WHERE event_id % 9 <> 0
+UNION ALL BY NAME SELECT 'rejects' AS "table", user_id AS event_id, 't' AS title FROM e WHERE event_id % 9 = 0""")
 def pipe_natural_events(spark, d):
     """A user's events are the geometries of a natural event; every ninth geometry is a polygon."""
     xy = F.when(F.col("event_id") % 9 != 0, F.array("lon", "lat")).otherwise(F.array("lon", "lat", "lon", "lat"))
     g = points(spark, d).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", F.col("ts").cast("string").alias("date"), xy.alias("coordinates")))).alias("geometry"))
     url = lambda u: F.struct(F.lit("s").alias("id"), F.lit(u).alias("url"))
     feed = g.select(F.col("user_id").alias("id"), F.lit("t").alias("title"), F.when(F.col("user_id") % 3 == 0, "2024-01-31").alias("closed"), F.array(F.struct(F.lit("i").alias("id"), F.concat(F.lit("c"), F.col("user_id") % 4).alias("title"))).alias("categories"), F.array(url("u1"), url("u2")).alias("sources"), "geometry")
-    out = feeds.natural_events(feed.where("closed is null"), feed.where("closed is not null"), RUN)["events"]
-    return out.select("event_id", "is_closed", "category", "source_urls", "n_geometries", "longitude", "latitude", "cell_r5", "cell_r8")
+    out = feeds.natural_events(feed.where("closed is null"), feed.where("closed is not null"), RUN)
+    return _stacked(out | {"events": out["events"].select("event_id", "is_closed", "category", "source_urls", "n_geometries", "longitude", "latitude", "cell_r5", "cell_r8")})
+
+
+#: Properties of earthquakes made from events: {name in the feed: expression that both engines read}.
+_QUAKE = {
+    "magType": "CASE WHEN event_id % 2 = 0 THEN 'ml' ELSE 'mb' END", "place": "event_type", "type": "'earthquake'", "status": "CASE WHEN event_id % 3 = 0 THEN 'automatic' ELSE 'reviewed' END", "tsunami": "event_id % 2", "sig": "event_id % 1000", "felt": "CASE WHEN event_id % 4 = 0 THEN event_id % 50 END",
+    "cdi": "value / 2", "mmi": "value / 4", "alert": "CASE WHEN event_id % 5 = 0 THEN 'green' END", "net": "'us'", "code": "CAST(event_id AS STRING)", "ids": "concat(',us', event_id, ',')", "sources": "',us,'", "nst": "event_id % 80", "dmin": "value / 8", "rms": "value / 16", "gap": "value * 2",
+    "title": "concat('M ', event_type)", "url": "concat('https://example.org/', event_id)", "updated": "1704067200000 + event_id * 4321",
+}
 
 
-@query(f"SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 15 = 0 THEN NULL ELSE value END AS magnitude, event_type AS place, epoch_ms(1704067200000 + event_id * 1234) AS event_time, lon AS longitude, lat AS latitude, CASE WHEN event_id % 2 = 0 THEN value END AS depth_km, {_CELLS} FROM {POINTS}")
+def _quake_sql():
+    return ", ".join((f"epoch_ms({_QUAKE[source]})" if name == "updated_time" else f"CAST({_QUAKE[source].replace('STRING', 'VARCHAR')} AS {kind.replace('string', 'varchar').replace('int', 'integer')})") + f" AS {name}" for name, (source, kind) in feeds.QUAKE.items() if source in _QUAKE)
+
+
+@query(f"SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 15 = 0 THEN NULL ELSE value END AS mag, {_quake_sql()}, epoch_ms(1704067200000 + event_id * 1234) AS event_time, lon AS longitude, lat AS latitude, CASE WHEN event_id % 2 = 0 THEN value END AS depth_km, {cell_sql('lat', 'lon', 5)} AS cell_r5, {cell_sql('lat', 'lon', 8)} AS cell_r8, {_STAMP} FROM {POINTS}")
 def pipe_earthquakes(spark, d):
     e = F.col("event_id")
     feature = F.struct(
         e.cast("string").alias("id"),
-        F.struct(F.when(e % 15 != 0, F.col("value")).alias("mag"), F.col("event_type").alias("place"), (F.lit(1704067200000) + e * 1234).alias("time")).alias("properties"),
+        F.struct(F.when(e % 15 != 0, F.col("value")).alias("mag"), (F.lit(1704067200000) + e * 1234).alias("time"), *(F.expr(v).alias(k) for k, v in _QUAKE.items())).alias("properties"),
         F.struct(F.when(e % 2 == 0, F.array("lon", "lat", "value")).otherwise(F.array("lon", "lat")).alias("coordinates")).alias("geometry"),
     )
-    docs = points(spark, d).groupBy("user_id").agg(F.collect_list(feature).alias("features"))
-    return feeds.earthquakes(docs, RUN)["events"].drop("snapshot_time")
+    docs = points(spark, d).groupBy(F.floor(e / 5000)).agg(F.collect_list(feature).alias("features"))
+    return feeds.earthquakes(docs, RUN)["events"]
 
 
 @query("SELECT CAST(user_id AS VARCHAR) AS country_code, CASE WHEN user_id % 5 = 0 THEN 'unknown' ELSE 'bgp' END AS datasource, '' AS subtype, make_timestamp((1704067200 + (i - 1) * CASE WHEN user_id % 2 = 0 THEN 1800 ELSE 600 END) * 1000000) AS timestamp, v AS value FROM (SELECT user_id, unnest(vs) AS v, unnest(ids) AS id, unnest(range(1, len(vs) + 1)) AS i FROM (SELECT user_id, list(value ORDER BY event_id) AS vs, list(event_id ORDER BY event_id) AS ids FROM events GROUP BY user_id)) WHERE id % 8 <> 0")
@@ -98,33 +147,48 @@ def pipe_signals(spark, d):
     return feeds.signals(series, RUN)["signals"].drop("snapshot_time")
 
 
-@query("""SELECT event_id AS norad_cat_id, CASE WHEN event_id % 3 = 0 THEN 'b' ELSE 'a' END AS "group", motion > 0 AS placed FROM (SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 0.0 ELSE 1 END AS motion FROM events WHERE event_id % 12 <> 0)""")
+@query(f"""SELECT event_id AS norad_cat_id, event_type AS object_name, '' AS object_id, CASE WHEN event_id % 3 = 0 THEN 'b' ELSE 'a' END AS "group", CASE WHEN event_id % 3 = 0 THEN 'Second' ELSE 'First' END AS group_label, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS epoch, CASE WHEN event_id % 50 = 0 THEN 0.0 ELSE 1 + (event_id % 150)::DOUBLE / 10 END AS mean_motion,
+value / 1000 AS eccentricity, CASE WHEN event_id % 31 <> 0 THEN (event_id % 180)::DOUBLE END AS inclination, (event_id % 360)::DOUBLE AS ra_of_asc_node, (event_id * 3 % 360)::DOUBLE AS arg_of_pericenter, (event_id * 7 % 360)::DOUBLE AS mean_anomaly, CASE WHEN event_id % 2 = 0 THEN 'C' ELSE 'U' END AS classification, value AS bstar, event_id * 2 AS rev_at_epoch,
+lat AS latitude_approx, lon AS longitude_approx, alt_km AS altitude_km, {_BOX} AS in_region, {cell_sql('lat', 'lon', 5)} AS cell_r5 FROM events JOIN {_TRACK} USING (event_id) WHERE event_id % 12 <> 0""")
 def pipe_satellites(spark, d):
-    cols = {k: F.expr(v.replace("0.0::DOUBLE", "0.0D").replace("::DOUBLE", "").replace("/ 10", "/ 10.0D")).cast("double") for k, v in _ORBIT.items()}
-    e = table(spark, d, "events").select(
-        F.when(F.col("event_id") % 12 != 0, F.col("event_id")).alias("norad_cat_id"), F.col("event_type").alias("object_name"), F.col("ts").cast("timestamp").alias("epoch"),
-        cols["motion"].alias("mean_motion"), cols["inc"].alias("inclination"), cols["node"].alias("ra_of_asc_node"), cols["per"].alias("arg_of_pericenter"), cols["ano"].alias("mean_anomaly"),
+    e, own = F.col("event_id"), _orbit_columns()
+    elements = table(spark, d, "events").select(
+        F.when(e % 12 != 0, e).alias("NORAD_CAT_ID"), F.col("event_type").alias("OBJECT_NAME"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("EPOCH"), own["motion"].alias("MEAN_MOTION"), (F.col("value") / 1000).alias("ECCENTRICITY"), own["inc"].alias("INCLINATION"), own["node"].alias("RA_OF_ASC_NODE"),
+        (e * 3 % 360).alias("ARG_OF_PERICENTER"), own["ano"].alias("MEAN_ANOMALY"), F.when(e % 2 == 0, "C").alias("CLASSIFICATION_TYPE"), F.col("value").alias("BSTAR"), (e * 2).alias("REV_AT_EPOCH"),
     )
-    both = e.where("norad_cat_id is null or norad_cat_id % 3 <> 0").withColumn("group", F.lit("a")).unionByName(e.withColumn("group", F.lit("b")))
-    out = feeds.satellites(both, ["a", "b"], "2024-01-20 00:00:00", BOX)["satellites"]
-    return out.select("norad_cat_id", "group", F.col("lat").isNotNull().alias("placed"))
+    both = elements.where("NORAD_CAT_ID is null or NORAD_CAT_ID % 3 <> 0").withColumn("group", F.lit("a")).unionByName(elements.withColumn("group", F.lit("b")))
+    return feeds.satellites(both, {"a": "First", "b": "Second"}, "2024-01-20 00:00:00", BOX)["satellites"].drop("snapshot_time")
 
 
-@query(f"""WITH r AS (SELECT n_nationkey AS portid, CAST((n_nationkey * 7919) % 18000 AS DOUBLE) / 100 - 90 AS lat, CAST((n_nationkey * 104729) % 36000 AS DOUBLE) / 100 - 180 AS lon FROM nation WHERE n_nationkey % 6 <> 0)
-SELECT c_nationkey AS portid, CAST(o_orderdate AS DATE) AS date, count(*) AS n_total, any_value(lat) AS lat, any_value(lon) AS lon, any_value({cell_sql('lat', 'lon', 5)}) AS cell_r5, any_value({cell_sql('lat', 'lon', 8)}) AS cell_r8 FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN r ON portid = c_nationkey GROUP BY c_nationkey, CAST(o_orderdate AS DATE)""")
+@query(f"""WITH r AS (SELECT 'p' || n_nationkey AS portid, n_name AS portname, r_name AS continent, CAST((n_nationkey * 7919) % 18000 AS DOUBLE) / 100 - 90 AS lat, CAST((n_nationkey * 104729) % 36000 AS DOUBLE) / 100 - 180 AS lon, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 6 <> 0),
+t AS (SELECT 'p' || c_nationkey AS portid, CAST(o_orderdate AS DATE) AS date, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
+SELECT 'chokepoints' AS "table", portid, portname, NULL::VARCHAR AS country, upper(left(portname, 3)) AS iso3, continent, NULL::VARCHAR AS fullname, NULL::VARCHAR AS locode, NULL::VARCHAR AS pageid, lat, lon, CAST(n_nationkey AS DOUBLE) AS vessel_count_total, NULL::DOUBLE AS vessel_count_container, NULL::DOUBLE AS vessel_count_dry_bulk, NULL::DOUBLE AS vessel_count_general_cargo, CAST(n_nationkey * 2 AS DOUBLE) AS vessel_count_roro, NULL::DOUBLE AS vessel_count_tanker,
+'x' AS industry_top1, NULL::VARCHAR AS industry_top2, NULL::VARCHAR AS industry_top3, n_nationkey / 100 AS share_maritime_import, NULL::DOUBLE AS share_maritime_export, {cell_sql('lat', 'lon', 5)} AS cell_r5, {_STAMP} FROM r
+UNION ALL BY NAME SELECT 'daily_transits' AS "table", portid, NULL::VARCHAR AS portname, date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day, NULL::INTEGER AS n_container, NULL::INTEGER AS n_dry_bulk, NULL::INTEGER AS n_general_cargo, NULL::INTEGER AS n_roro, CAST(f AS INTEGER) AS n_tanker, NULL::INTEGER AS n_cargo, CAST(n AS INTEGER) AS n_total,
+NULL::DOUBLE AS capacity_container, NULL::DOUBLE AS capacity_dry_bulk, NULL::DOUBLE AS capacity_general_cargo, NULL::DOUBLE AS capacity_roro, NULL::DOUBLE AS capacity_tanker, NULL::DOUBLE AS capacity_cargo, total AS capacity, lat, lon, {cell_sql('lat', 'lon', 5)} AS cell_r5, {_STAMP} FROM t LEFT JOIN (SELECT portid, lat, lon FROM r) USING (portid)""")
 def pipe_chokepoints(spark, d):
     k = F.col("n_nationkey").cast("bigint")
-    ref = table(spark, d, "nation").where("n_nationkey % 6 <> 0").select(F.col("n_nationkey").alias("portid"), "n_name", (((k * 7919) % 18000).cast("double") / 100 - 90).alias("lat"), (((k * 104729) % 36000).cast("double") / 100 - 180).alias("lon"))
-    days = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_nationkey").alias("portid"), F.unix_millis(F.date_trunc("day", F.col("o_orderdate").cast("timestamp"))).alias("date")).agg(F.count("*").alias("n_total"))
-    return feeds.chokepoints(ref, days)["daily_transits"].select("portid", "date", "n_total", "lat", "lon", "cell_r5", "cell_r8")
+    named = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).where("n_nationkey % 6 <> 0")
+    ref = named.select(
+        F.concat(F.lit("p"), k).alias("portid"), F.col("n_name").alias("portname"), F.upper(F.left("n_name", F.lit(3))).alias("ISO3"), F.col("r_name").alias("continent"), (((k * 7919) % 18000).cast("double") / 100 - 90).alias("lat"), (((k * 104729) % 36000).cast("double") / 100 - 180).alias("lon"),
+        k.alias("vessel_count_total"), (k * 2).alias("vessel_count_RoRo"), F.lit("x").alias("industry_top1"), (k / 100).alias("share_country_maritime_import"),
+    )
+    day = F.date_trunc("day", F.col("o_orderdate").cast("timestamp"))
+    days = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy(F.concat(F.lit("p"), F.col("c_nationkey")).alias("portid"), F.unix_millis(day).alias("date"), F.year(day).alias("year"), F.month(day).alias("month"), F.day(day).alias("day"))
+    days = days.agg(F.count("*").alias("n_total"), F.count_if(F.col("o_orderstatus") == "F").alias("n_tanker"), F.round(F.sum("o_totalprice"), 2).alias("capacity"))
+    return _stacked(feeds.chokepoints(ref, days, RUN))
 
 
-@query(f"SELECT CAST(event_id AS VARCHAR) AS id, regexp_extract(event_type || CASE WHEN event_id % 2 = 0 THEN ', Land' || (event_id % 5) ELSE '' END, ', ([^,]+)$', 1) AS country, {cell_sql('lat', 'lon', 5)} AS cell_r5 FROM {POINTS}")
+@query(f"""WITH s AS (SELECT *, sqrt(pow(x1 - x2, 2) + pow(y1 - y2, 2)) AS l, asin(sqrt(pow(sin(radians(y2 - y1) / 2), 2) + cos(radians(y1)) * cos(radians(y2)) * pow(sin(radians(x2 - x1) / 2), 2))) * (2 * 6371.0088::DOUBLE) AS km FROM {_SEGMENTS})
+SELECT 'cables' AS "table", CAST(user_id AS VARCHAR) AS id, 'c' AS name, round(coalesce(sum(km) FILTER (WHERE abs(x1 - x2) <= 180), 0), 3) AS length_km, CAST(count(*) FILTER (WHERE abs(x1 - x2) > 180) AS INTEGER) AS skipped, round(CASE WHEN sum(l) > 0 THEN sum(l * (x1 + x2) / 2) / sum(l) ELSE first(x1 ORDER BY i) END, 6) AS lon, round(CASE WHEN sum(l) > 0 THEN sum(l * (y1 + y2) / 2) / sum(l) ELSE first(y1 ORDER BY i) END, 6) AS lat FROM s GROUP BY user_id
+UNION ALL BY NAME SELECT 'landing_points' AS "table", CAST(event_id AS VARCHAR) AS id, regexp_extract(event_type || CASE WHEN event_id % 2 = 0 THEN ', Land' || (event_id % 5) ELSE '' END, ', ([^,]+)$', 1) AS country, {cell_sql('lat', 'lon', 5)} AS cell_r5 FROM {POINTS}""")
 def pipe_cables(spark, d):
     lines = _lines(spark, d).select(F.col("user_id").cast("string").alias("id"), F.lit("c").alias("name"), "line")
     name = F.concat("event_type", F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(", Land"), F.col("event_id") % 5)).otherwise(""))
     landings = points(spark, d).select(F.col("event_id").cast("string").alias("id"), name.alias("name"), "lat", "lon")
-    return feeds.cables(lines, landings)["landing_points"].select("id", "country", "cell_r5")
+    out = feeds.cables(lines, landings)
+    cables = out["cables"].select("id", "name", F.round("length_km", 3).alias("length_km"), "skipped", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
+    return _stacked({"cables": cables, "landing_points": out["landing_points"].select("id", "country", "cell_r5")})
 
 
 @query("""SELECT l_returnflag AS ref_area, CAST(date_trunc('month', l_shipdate) AS DATE) AS time_period, CAST(l_suppkey AS VARCHAR) AS energy_product, l_linestatus AS flow_breakdown, CASE WHEN l_linenumber = 1 OR l_linenumber = 2 OR l_linenumber = 3 THEN NULL ELSE l_quantity END AS obs_value FROM lineitem WHERE l_returnflag IN ('A', 'R')""")
