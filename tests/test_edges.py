@@ -1,6 +1,7 @@
 """Edge cases that the given tables do not show, on small fixtures."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,12 +77,18 @@ def test_numbers_and_texts(spark):
 
 
 def test_satellite_without_epoch_or_motion(spark):
-    schema = "norad_cat_id bigint, object_name string, `group` string, epoch timestamp, mean_motion double, inclination double, ra_of_asc_node double, arg_of_pericenter double, mean_anomaly double"
-    t = dt.datetime(2024, 1, 1)
-    rows = [(1, "a", "x", None, 15.0, 50.0, 10.0, 0.0, 0.0), (2, "b", "x", t, 0.0, 50.0, 10.0, 0.0, 0.0), (3, "c", "y", t, 15.0, 50.0, 350.0, 10.0, 90.0), (3, "c", "x", t, 15.0, 50.0, 350.0, 10.0, 90.0), (None, "d", "x", t, 15.0, 50.0, 0.0, 0.0, 0.0)]
-    out = {r.norad_cat_id: r for r in feeds.satellites(spark.createDataFrame(rows, schema), ["x", "y"], "2023-12-31 00:00:00", (-90, -180, 90, 180))["satellites"].collect()}
-    assert set(out) == {1, 2, 3} and out[1].lat is None and out[2].lat is None and out[3].group == "x"
-    assert -180 <= out[3].lon <= 180 and abs(out[3].lat) <= 50
+    schema = "NORAD_CAT_ID bigint, OBJECT_NAME string, `group` string, EPOCH string, MEAN_MOTION double, INCLINATION double, RA_OF_ASC_NODE double, MEAN_ANOMALY double"
+    t = "2024-01-01T00:00:00Z"
+    rows = [(1, "a", "x", None, 15.0, 50.0, 10.0, 0.0), (2, "b", "x", t, 0.0, 50.0, 10.0, 0.0), (3, "c", "y", t, 15.0, 50.0, 350.0, 90.0), (3, "c", "x", t, 15.0, 50.0, 350.0, 90.0), (None, "d", "x", t, 15.0, 50.0, 0.0, 0.0), (4, None, "y", "2024-01-01T12:00:00", 1.0, None, None, None), (5, "e", "y", "soon", 1.0, 0.0, 0.0, 0.0)]
+    out = {r.norad_cat_id: r for r in feeds.satellites(spark.createDataFrame(rows, schema), {"x": "X", "y": "Y"}, "2023-12-31 00:00:00", (-90, -180, 90, 180))["satellites"].collect()}
+    assert set(out) == {1, 2, 3, 4, 5} and all(out[k].latitude_approx is None for k in (1, 2, 5)) and (out[3].group, out[3].group_label, out[4].object_name, out[4].classification) == ("x", "X", "", "U")
+    for k, (motion, inc, node, anomaly, epoch) in {3: (15.0, 50.0, 350.0, 90.0, dt.datetime(2024, 1, 1)), 4: (1.0, 0.0, 0.0, 0.0, dt.datetime(2024, 1, 1, 12))}.items():
+        seconds = (dt.datetime(2023, 12, 31) - epoch).total_seconds()
+        u = (anomaly + 360 * motion * seconds / 86400) % 360
+        lon = (node + u - seconds % scalars.SIDEREAL / scalars.SIDEREAL * 360) % 360
+        lat = math.degrees(math.asin(math.sin(math.radians(inc)) * math.sin(math.radians(u))))
+        axis = (scalars.MU * (86400 / motion / (2 * math.pi)) ** 2) ** (1 / 3)
+        assert abs(out[k].latitude_approx - lat) < 1e-3 and abs(out[k].longitude_approx - (lon - 360 if lon > 180 else lon)) < 1e-3 and abs(out[k].altitude_km - axis + 6371) < 0.1
 
 
 def test_quakes_without_depth(spark):
@@ -89,15 +96,16 @@ def test_quakes_without_depth(spark):
     schema = "features array<struct<id: string, properties: struct<mag: double, place: string, time: bigint>, geometry: struct<coordinates: array<double>>>>"
     docs = spark.createDataFrame([(doc,)], "v string").select(F.from_json("v", schema).alias("d")).select("d.*")
     row = feeds.earthquakes(docs, RUN)["events"].first()
-    assert row.depth_km is None and row.magnitude is None and row.latitude == 2.0
+    assert row.depth_km is None and row.mag is None and row.latitude == 2.0 and row.updated_time is None and row.event_time == dt.datetime(1970, 1, 1)
 
 
 def test_weather_arrays_of_unequal_length(spark):
     cities = spark.createDataFrame([("A", "x", 1.0, 2.0, 300_000), ("A", "x", 3.0, 4.0, 500_000), (None, "x", 0.0, 0.0, 900_000), ("B", "x", 0.0, 0.0, 10)], "city string, country_code string, latitude double, longitude double, population int")
-    docs = spark.createDataFrame([("A", "x", (["t0", "t1"], [1.0]), (["d0"], [2.0]))], "city string, country_code string, hourly struct<time: array<string>, temperature: array<double>>, daily struct<time: array<string>, most: array<double>>")
+    docs = spark.createDataFrame([("A", "x", (["2024-01-01T00:00", "2024-01-01T01:00"], [1.0]), (["2024-01-01"], [2.0]))], "city string, country_code string, hourly struct<time: array<string>, temperature: array<double>>, daily struct<time: array<string>, most: array<double>>")
     out = feeds.weather(cities, docs, RUN)
     hourly = sorted(out["weather_hourly"].select("time", "temperature", "latitude").collect())
-    assert [tuple(r) for r in hourly] == [("t0", 1.0, 3.0), ("t1", None, 3.0)] and out["weather_daily"].count() == 1
+    assert [tuple(r) for r in hourly] == [(dt.datetime(2024, 1, 1), 1.0, 3.0), (dt.datetime(2024, 1, 1, 1), None, 3.0)] and set(out) == {"weather_hourly", "weather_daily"}
+    assert [(r.date, r.most, r.population, r.elevation) for r in out["weather_daily"].collect()] == [(dt.date(2024, 1, 1), 2.0, 500_000, 0.0)]
 
 
 def test_raster_edges(spark):
@@ -124,7 +132,7 @@ def test_union_tolerant(spark):
 
 def test_csv_quotes(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,name\n1,"say ""hi"", you"\n2,"two\nlines"\n')
-    rows = readers.scan_csv(spark, str(tmp_path / "a.csv"), "id int, name string").orderBy("id").collect()
+    rows = readers.scan_csv(spark, str(tmp_path / "a.csv"), "id int, name string", line_breaks=True).orderBy("id").collect()
     assert [r.name for r in rows] == ['say "hi", you', "two\nlines"]
     with pytest.raises(ValueError, match="no reader"):
         readers.read_any(spark, "x.xml")
@@ -152,7 +160,7 @@ def test_catalog_versions(spark):
     count = lambda **k: catalog.table("s", "t", **k).count()
     assert (count(), count(version=2), count(version=1), count(ts="2024-01-02 12:00:00")) == (1, 5, 3, 5)
     before = sorted(r.id for r in catalog.table("s", "t", version=2).collect())
-    catalog.save(M.rollback(catalog.manifest(), 2, "2024-01-04 00:00:00"))
+    assert catalog.rollback("s", "t", 2, "2024-01-04 00:00:00") == 4
     assert sorted(r.id for r in catalog.table("s", "t").collect()) == before
     catalog.compact("s", "t", "2024-01-05 00:00:00", order=["id"])
     assert sorted(r.id for r in catalog.table("s", "t").collect()) == before
@@ -215,4 +223,98 @@ def test_stream_takes_new_files_only(spark):
 
 def test_zscore_without_spread(spark):
     df = spark.createDataFrame([(i, 1.0) for i in range(4)] + [(4, 2.0)], "t int, v double").withColumn("k", F.lit(1))
-    assert {r.z for r in relate.zscore(df, ["k"], ["t"], "v", 3).collect()} == {None}
+    assert {r.z for r in relate.zscore(df, ["k"], ["t"], "v", 3, F.floor(F.col("t") / 2)).collect()} == {None}
+
+
+def test_zscore_over_blocks_of_any_size(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    rows = [(k, int(t), float(rng.normal())) for k in (1, 2, None) for t in sorted(rng.choice(400, 120, replace=False))]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    for width in (1, 7, 100, 1000):
+        got = {(r.k, r.t): r.z for r in relate.zscore(df, ["k"], ["t"], "v", 24, F.floor(F.col("t") / width)).collect()}
+        assert len(got) == len(rows)
+        for k in (1, 2, None):
+            own = [(t, v) for key, t, v in rows if key == k]
+            for i, (t, v) in enumerate(own):
+                before = [x for _, x in own[max(0, i - 24) : i]]
+                z = (v - np.mean(before)) / np.std(before, ddof=1) if len(before) > 1 else None
+                assert got[k, t] == pytest.approx(z) if z is not None else got[k, t] is None
+
+
+def test_states_and_changes_of_streams(spark):
+    folder, target, checkpoint = (scratch(spark, n) for n in ("in", "out", "check"))
+    expected = {}
+    for n in range(7):
+        rows = [(k, n, n * 10 + k) for k in range(n, n + 3)]
+        spark.createDataFrame(rows, "k int, t int, v int").write.mode("append").parquet(folder)
+        expected |= {k: v for k, _, v in rows}
+        streams.latest_state(streams.arrivals(spark, folder, spark.createDataFrame([], "k int, t int, v int").schema), target, checkpoint, ["k"], ["t"], every=2)
+        assert {r.k: r.v for r in streams.read_state(spark, target, ["k"], ["t"]).collect()} == expected
+    assert streams._numbers(spark, target, "state") == [3, 5] and streams._numbers(spark, target, "changes") == [4, 5, 6]
+
+
+def test_hash_sample(spark):
+    df = spark.range(2000)
+    one = {r.id for r in shape.hash_sample(df, ["id"], rows=100, seed=1).collect()}
+    assert len(one) == 100 and one == {r.id for r in shape.hash_sample(df.repartition(7), ["id"], rows=100, seed=1).collect()}
+    assert one != {r.id for r in shape.hash_sample(df, ["id"], rows=100, seed=2).collect()}
+    assert 400 < shape.hash_sample(df, ["id"], share=0.25).count() < 600 and shape.hash_sample(df, ["id"], rows=5000).count() == 2000
+
+
+def test_contains_join_of_many_codes(spark):
+    texts = spark.createDataFrame([(1, "Lemon tree"), (2, "plain"), (3, None), (4, ""), (5, "MELON")], "id int, t string")
+    codes = spark.createDataFrame([("emo",), ("elon",), ("zz",), (None,)], "code string")
+    for most in (10, 1):
+        assert {r.id for r in relate.semi_join_contains(texts, codes, "t", "code", most).collect()} == {1, 5}
+
+
+def test_latest_partition(spark):
+    path = scratch(spark, "releases")
+    spark.range(6).select("id", F.when(F.col("id") < 4, "2024-01 a/b").otherwise("2024-02 c").alias("release")).write.partitionBy("release").parquet(path)
+    assert {(r.id, r.release) for r in readers.scan_latest_partition(spark, path, "release").collect()} == {(4, "2024-02 c"), (5, "2024-02 c")}
+    with pytest.raises(ValueError, match="no folder"):
+        readers.scan_latest_partition(spark, path, "other")
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from tideline import session
+
+    class Conf:
+        get = staticmethod(lambda *_: None)
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: Conf)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session)
+
+
+def test_catalog_merge_expire_and_orphans(spark):
+    lake, catalog = scratch(spark, "lake"), M.Catalog(spark, scratch(spark, "catalog"))
+    put = lambda df, table, run: sinks.write_all({table: df}, lake, run, "s")
+    status = lambda **k: {r.table: (r.version, r.rows, r.status.split(":")[0]) for r in catalog.merge(lake, **k).collect()}
+    put(spark.range(9), "r", "20231201"), put(spark.range(3), "a", "20240101"), put(spark.range(5), "r", "20240101"), put(spark.range(0), "e", "20240101")
+    checks = {"*": {"min_rows": 1}}
+    assert status(ts="2024-01-01 00:00:00", modes={"r": "replace"}, checks=checks) == {"a": (1, 3, "registered"), "r": (1, 5, "registered"), "e": (None, 0, "rejected")}
+    assert status(ts="2024-01-01 01:00:00", modes={"r": "replace"}, checks=checks) == {"e": (None, 0, "rejected")}
+    put(spark.range(3, 6).withColumn("more", F.lit("x")), "a", "20240201"), put(spark.range(2), "r", "20240201"), put(spark.range(1).select(F.lit("t").alias("id")), "b", "20240201")
+    assert status(ts="2024-02-01 00:00:00", modes={"r": "replace"})["a"] == (2, 3, "registered")
+    assert sorted((r.id, r.more) for r in spark.sql("select * from s_a").collect()) == [(0, None), (1, None), (2, None), (3, "x"), (4, "x"), (5, "x")]
+    assert spark.table("s_r").count() == 2 and catalog.table("s", "r", version=1).count() == 5
+    put(spark.range(1).select(F.lit("t").alias("id")), "a", "20240301")
+    assert status(ts="2024-03-01 00:00:00", modes={"r": "replace"})["a"] == (None, 1, "rejected")
+    before = catalog.manifest().count()
+    assert catalog.expire("2024-02-15 00:00:00") == 0 and catalog.expire("2024-06-01 00:00:00") > 0 and catalog.manifest().count() < before
+    assert spark.table("s_a").count() == 6 and catalog.table("s", "r").count() == 2
+    with pytest.raises(ValueError, match="no such"):
+        catalog.table("s", "r", version=1)
+    kept = {r.path for r in catalog.manifest().collect()}
+    assert catalog.remove_orphans("2020-01-01 00:00:00", folder=lake) == 0 and catalog.remove_orphans("2100-01-01 00:00:00", folder=lake) > 0
+    assert {r.path for r in readers.list_files(spark, lake, "*.parquet").collect()} == kept
+    assert catalog.table("s", "a").count() == 6

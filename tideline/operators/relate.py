@@ -13,9 +13,18 @@ def lookup(df: DataFrame, values: dict[str, str], key: Column, name: str) -> Dat
     return df.withColumn(name, F.create_map(*(F.lit(x) for kv in values.items() for x in kv))[key])
 
 
-def semi_join_contains(df: DataFrame, codes: DataFrame, text: str, code: str) -> DataFrame:
-    """Rows whose lower-cased text contains any code. The codes are the small side: a nested loop over a broadcast."""
-    return df.join(codes, F.contains(F.lower(F.col(text)), F.col(code)), "left_semi")
+def semi_join_contains(df: DataFrame, codes: DataFrame, text: str, code: str, most: int = 10_000) -> DataFrame:
+    """Rows whose lower-cased text contains any code. Up to ``most`` distinct codes are compared with every row where it is; of more,
+    every text is cut to the pieces that are as long as codes, and these are joined, shuffled by Spark as any other keys."""
+    codes = codes.select(F.col(code).alias("_code")).where(F.col(code).isNotNull()).distinct()
+    lower = F.lower(F.col(text))
+    if codes.limit(most + 1).count() <= most:
+        return df.join(F.broadcast(codes), F.contains(lower, F.col("_code")), "left_semi")
+    sizes = F.array(*(F.lit(r[0]) for r in codes.select(F.length("_code")).distinct().collect()))  # few: lengths of codes
+    pieces = F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("_text") - k + 1)), lambda i: F.substring(F.col("_text"), i, k))))
+    texts = df.select(lower.alias("_text")).distinct()
+    found = texts.select("_text", F.explode(F.array_distinct(pieces)).alias("_code")).join(codes, "_code").select("_text").distinct()
+    return df.withColumn("_text", lower).join(found, "_text", "left_semi").select(*df.columns)
 
 
 def cell_join(events: DataFrame, grid: DataFrame, cell: str, res: int, grid_cell: str, grid_res: int, how: str = "inner") -> DataFrame:
@@ -93,11 +102,27 @@ def latest(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     return top.select(*keys, "_top.*").select(*df.columns)
 
 
-def zscore(df: DataFrame, keys: list[str], order: list, value: str, n: int) -> DataFrame:
-    """Adds ``z``: distance from the mean of the previous n rows of the series in their sample deviations; null without spread."""
-    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-n, -1)
+def zscore(df: DataFrame, keys: list[str], order: list[str], value: str, n: int, block: Column) -> DataFrame:
+    """Adds ``z``: distance from the mean of the previous n rows of the series in their sample deviations; null without spread.
+
+    ``block`` cuts a series into ranges, such as days, that rise with ``order``; a block is computed from its own rows and
+    the last n before it, so a task holds a block however long the series is. Only the blocks' row counts are seen in a row.
+    """
+    own = df.withColumn("_block", block)
+    counts = own.groupBy(*keys, "_block").agg(F.count("*").alias("_rows"))
+    following = Window.partitionBy(*keys).orderBy("_block").rowsBetween(1, n)
+    lists = counts.withColumn("_next", F.collect_list(F.struct("_block", "_rows")).over(following))
+    # Of each block's last rows, the ones that a later block needs are n less those of the blocks between.
+    between = F.transform("_next", lambda b, i: F.struct(b["_block"].alias("_to"), F.aggregate(F.slice("_next", F.lit(1), i), F.lit(0).cast("bigint"), lambda s, x: s + x["_rows"]).alias("_between")))
+    serves = lists.select(*keys, "_block", F.inline(F.filter(between, lambda b: b["_between"] < n)))
+    last = Window.partitionBy(*keys, "_block").orderBy(*(F.desc(c) for c in order))
+    tails = own.withColumn("_back", F.row_number().over(last)).where(F.col("_back") <= n)
+    joined = tails.alias("t").join(serves.alias("s"), [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*keys, "_block"]])
+    carried = joined.where(F.col("_back") + F.col("_between") <= n).select(*(F.col(f"t.{c}").alias(c) for c in df.columns), F.col("_to").alias("_block"), F.lit(False).alias("_own"))
+    rows = own.withColumn("_own", F.lit(True)).unionByName(carried)
+    before = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(-n, -1)
     mean, spread = F.avg(value).over(before), F.stddev_samp(value).over(before)
-    return df.withColumn("z", F.when(spread > 0, (F.col(value) - mean) / spread))
+    return rows.withColumn("z", F.when(spread > 0, (F.col(value) - mean) / spread)).where("_own").drop("_own", "_block")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], by: str) -> DataFrame:

@@ -26,7 +26,7 @@ def left_join_using(spark, d):
 def semi_join_like(spark, d):
     codes = table(spark, d, "region").select(F.lower(F.left("r_name", F.lit(2))).alias("code"))
     parts = table(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("t"))
-    return relate.semi_join_contains(parts, F.broadcast(codes), "t", "code").select("p_partkey")
+    return relate.semi_join_contains(parts, codes, "t", "code").select("p_partkey")
 
 
 @query("SELECT o_orderkey, l_linenumber, o_orderstatus, l_quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity > 40")
@@ -193,7 +193,7 @@ def latest_per_key(spark, d):
 @query("""SELECT event_id, CASE WHEN s > 0 THEN round((value - m) / s, 5) END AS z FROM (
 SELECT event_id, value, avg(value) OVER w AS m, stddev_samp(value) OVER w AS s FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))""")
 def zscore_anomaly(spark, d):
-    return relate.zscore(table(spark, d, "events"), ["event_type"], ["ts", "event_id"], "value", 24).select("event_id", F.round("z", 5).alias("z"))
+    return relate.zscore(table(spark, d, "events"), ["event_type"], ["ts", "event_id"], "value", 24, F.date_trunc("day", "ts")).select("event_id", F.round("z", 5).alias("z"))
 
 
 def _box_sql(columns: dict[str, str]) -> str:
@@ -247,9 +247,9 @@ def top_k(spark, d):
     return shape.top_k(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"], 25)
 
 
-@query()
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY CAST('0x' || left(md5('5|' || o_orderkey), 12) AS BIGINT), o_orderkey LIMIT 500")
 def sample_rows(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", "o_totalprice").sample(0.1, seed=5)
+    return shape.hash_sample(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], rows=500, seed=5)
 
 
 # Sets

@@ -35,12 +35,12 @@ _DOC = "features array<struct<properties: struct<c_custkey: bigint, c_name: stri
 
 
 def _documents(spark, d):
-    """Customers as JSON documents, a file for each nation: its path and the nations."""
+    """The path of customers as JSON documents, each of a nation's customers of one block of keys, so that none grows with the table."""
     path = scratch(spark, "json")
     feature = F.struct(F.struct("c_custkey", "c_name", "c_mktsegment").alias("properties"))
-    docs = table(spark, d, "customer").groupBy("c_nationkey").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
-    docs.repartition("c_nationkey").write.partitionBy("c_nationkey").text(path)
-    return path, [r[0] for r in spark.read.text(path).select("c_nationkey").distinct().collect()]
+    docs = table(spark, d, "customer").groupBy("c_nationkey", F.floor(F.col("c_custkey") / 10_000).alias("page")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+    docs.repartition("c_nationkey", "page").write.partitionBy("c_nationkey", "page").text(path)
+    return path
 
 
 def _flat(documents):
@@ -49,13 +49,12 @@ def _flat(documents):
 
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def scan_json_document(spark, d):
-    return _flat(readers.scan_json_doc(spark, _documents(spark, d)[0], _DOC))
+    return _flat(readers.scan_json_doc(spark, _documents(spark, d), _DOC))
 
 
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def scan_json_pages(spark, d):
-    path, nations = _documents(spark, d)
-    return _flat(readers.scan_json_doc(spark, [f"{path}/c_nationkey={k}" for k in nations], _DOC))
+    return _flat(readers.scan_json_doc(spark, f"{_documents(spark, d)}/c_nationkey=*/page=*", _DOC))
 
 
 @query("SELECT p_partkey, p_name, p_size FROM part")
@@ -85,11 +84,12 @@ def read_catalog_table(spark, d):
     return catalog.table("sales", "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query()
+@query("SELECT 'o_orderstatus=' || o_orderstatus AS folder, 1::BIGINT AS files, true AS filled, true AS dated FROM orders GROUP BY o_orderstatus")
 def list_files(spark, d):
     root = scratch(spark, "files")
-    table(spark, d, "orders").repartition(4).write.parquet(root)
-    return readers.list_files(spark, root, "*.parquet")
+    table(spark, d, "orders").repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(root)
+    found = readers.list_files(spark, root, "*.parquet")
+    return found.groupBy(F.element_at(F.split("path", "/"), -2).alias("folder")).agg(F.count("*").alias("files"), F.min(F.col("bytes") > 0).alias("filled"), F.min(F.col("modified").isNotNull()).alias("dated"))
 
 
 _RELEASE = "CASE WHEN p_partkey % 3 = 0 THEN '2026-01-21.0' ELSE '2026-02-18.0' END"
@@ -125,11 +125,16 @@ def write_parquet(spark, d):
     return readers.scan_parquet(spark, path)
 
 
-@query(f"SELECT event_id, lon AS xmin, lat AS ymin, 21::INTEGER AS n_bytes, '0101000000' AS head FROM {POINTS}")
+def _double_sql(column: str) -> str:
+    """The eight bytes of a double, lowest first, as hex."""
+    return f"array_to_string(list_reverse(regexp_extract_all(hex({column}::BIT::BLOB), '..')), '')"
+
+
+@query(f"SELECT event_id, lon AS xmin, lat AS ymin, '0101000000' || {_double_sql('lon')} || {_double_sql('lat')} AS geometry FROM {POINTS}")
 def write_geoparquet(spark, d):
     path = scratch(spark, "geo")
     sinks.write_geo(points(spark, d).select("event_id", "lat", "lon"), path, "lon", "lat")
-    return readers.scan_parquet(spark, path).select("event_id", "xmin", "ymin", F.length("geometry").alias("n_bytes"), F.substring(F.hex("geometry"), 1, 10).alias("head"))
+    return readers.scan_parquet(spark, path).select("event_id", "xmin", "ymin", F.hex("geometry").alias("geometry"))
 
 
 @query(f"SELECT event_id, lat, lon FROM {POINTS}")
