@@ -841,3 +841,25 @@ def test_pipeline_keeps_rows_without_and_with_clashing_ids(spark, small):
     known = small.where("lang is not null").select(*corpus_pipeline.COLUMNS)
     without = known.withColumn("doc_id", F.lit(None).cast("bigint"))
     assert corpus_pipeline.by_language(spark, without, SF).count() == corpus_pipeline.by_language(spark, known, SF).count()
+
+
+def test_pipeline_of_empty_and_wide_tables(spark, small):
+    wide = small.limit(30).withColumns({c: F.lit("x") for c in ("key", "rep", "batch", "uid", "score", "start", "least", "at", "hash")})
+    for docs, full in ((wide.where("false"), False), (wide, True)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            assert out.isEmpty() != full and (name == "packing" or out.columns == list(corpus_pipeline.COLUMNS))
+
+
+def test_chat_of_long_and_repeated_turns(spark):
+    rows = [(1, 0, "user", "x" * 2_000_000), (1, 0, "user", "x" * 2_000_000), (1, 1, "assistant", ""), (2, 0, "assistant", None)]
+    df = spark.createDataFrame([(*r, "f") for r in rows], "conv_id bigint, turn bigint, role string, text string, formatted string")
+    out = {r.conv_id: r for r in chat.read_back(chat.format_chats(df, 1_000_000)).collect()}
+    assert (out[1].n_turns, out[1].loss_chars, out[2].n_turns, out[2].loss_chars) == (3, 0, 1, 0) and out[1].formatted_chars > 4_000_000
+
+
+def test_near_duplicates_of_very_long_texts(spark):
+    words = [f"w{k % 70_000}" for k in range(200_000)]
+    other = [*words[:150_000], *(f"n{k}" for k in range(2_000))]
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs_of(spark, [" ".join(words), "short one", " ".join(other), " ".join(words[:40_000])])).collect()}
+    assert out == {d: v for d, v in brute_components([(0, " ".join(words)), (1, "short one"), (2, " ".join(other)), (3, " ".join(words[:40_000]))]).items()} and out[2][1] == 0

@@ -8,8 +8,9 @@ The template of a turn is ``<|im_start|>ROLE\\nTEXT<|im_end|>\\n``. Inside a rol
 ``|`` gets one more backslash, so a control string never occurs in a text and the escape can be undone. A line
 break in a role becomes ``<|nl|>``. The loss mask covers the text of turns whose role is ``assistant``, as byte spans.
 
-Null roles and texts are empty. Rows without a conv_id form one conversation of null id. Rows of equal turn are
-ordered by role and text. A conversation that is longer than ``part_bytes`` is returned in several parts, in
+Results of edge cases. Null roles and texts are empty. Rows without a conv_id form one conversation of null id. Rows of equal turn
+are ordered by role and text, and repeated rows are turns of their own. An empty table gives an empty result. Texts of any length are
+kept whole. Columns besides conv_id, turn, role and text are ignored, whatever their names. A conversation that is longer than ``part_bytes`` is returned in several parts, in
 order and within one partition, so that memory does not grow with it.
 """
 
