@@ -11,6 +11,9 @@
 Rows whose doc_id is null and rows that share a doc_id are documents of their own: stage 2 judges them by a key of 64
 hashed bits, after documents with an id, and keeps rows of the same id and text once. Of an id's texts the first keeps
 the id's place. Stage 3 takes passages from no row without an id, nor from one row of an id what another one has.
+
+An empty table gives empty stages. Null, empty and blank texts go in stage 1; texts of any length are read whole. Columns
+besides those of documents are dropped, whatever their names. Every stage may be run on its own.
 """
 
 from __future__ import annotations
@@ -51,7 +54,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = keyed(docs)
+    docs = keyed(docs.select(*COLUMNS))
     gone = neardup.near_duplicates(docs.select(F.col("key").alias("doc_id"), "text")).where("not kept").select(F.col("doc_id").alias("key"))
     return docs.join(gone, "key", "left_anti").select(*COLUMNS)
 
