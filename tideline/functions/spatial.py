@@ -120,31 +120,37 @@ def with_cells(df: DataFrame, lat: str, lon: str, resolutions: list[int]) -> Dat
     return df.withColumns({f"cell_r{r}": cell_id(F.col(lat), F.col(lon), r) for r in resolutions})
 
 
-def _curve() -> tuple[int, int]:
-    """The Hilbert curve as a machine: for each state (whether coordinates are swapped, whether flipped) and bit of x and y the
-    digit and the next state, two bits each, packed by ``8 * swapped + 4 * flipped + 2 * x + y``."""
-    digits = states = 0
-    for at in range(16):
-        swap, flip, x, y = at >> 3, at >> 2 & 1, at >> 1 & 1, at & 1
-        rx, ry = (y ^ flip, x ^ flip) if swap else (x ^ flip, y ^ flip)
-        digits |= (3 * rx ^ ry) << 2 * at
-        states |= (2 * (swap ^ (ry == 0)) + (flip ^ (rx & (ry == 0)))) << 2 * at
-    return digits, states
+def _curve() -> tuple[list[int], list[int]]:
+    """The Hilbert curve as a machine that takes two bits of x and y at a time: for each state (2 * swapped + flipped) the digits
+    (four bits each) and the next states (two bits each), packed by ``4 * bits of x + bits of y``."""
+    digits, states = [0] * 4, [0] * 4
+    for state in range(4):
+        for at in range(16):
+            swap, flip, digit = state >> 1, state & 1, 0
+            for bit in (1, 0):
+                x, y = at >> 2 + bit & 1, at >> bit & 1
+                rx, ry = (y ^ flip, x ^ flip) if swap else (x ^ flip, y ^ flip)
+                digit = 4 * digit + (3 * rx ^ ry)
+                swap, flip = swap ^ (ry == 0), flip ^ (rx & (ry == 0))
+            digits[state] |= digit << 4 * at
+            states[state] |= (2 * swap + flip) << 2 * at
+    return [d - (1 << 64) if d >> 63 else d for d in digits], states
 
 
 _DIGITS, _STATES = _curve()
 
 
 def hilbert_index(lon: Column, lat: Column, order: int = 16) -> Column:
-    """Position along a Hilbert curve over the globe, a digit of two bits at a time. Plain arithmetic, so it stays in generated
+    """Position along a Hilbert curve over the globe, of ``order`` (even) bits a coordinate. Plain arithmetic, so it stays in generated
     code; a sort takes it from a column (``shape.hilbert_sort``), as an expression in the order would be computed in every comparison."""
     side = float((1 << order) - 1)
     x, y = F.floor((lon + 180) / 360 * side), F.floor((lat + 90) / 180 * side)
-    packed = lambda table, at: F.call_function("shiftright", F.lit(table).cast("bigint"), at).bitwiseAND(F.lit(3))
-    state = index = F.lit(0).cast("bigint")
-    for bit in range(order - 1, -1, -1):
-        at = (state * 8 + F.shiftright(x, bit).bitwiseAND(F.lit(1)) * 4 + F.shiftright(y, bit).bitwiseAND(F.lit(1)) * 2).cast("int")
-        index, state = index * 4 + packed(_DIGITS, at), packed(_STATES, at)
+    tables = [F.array(*(F.lit(v).cast("bigint") for v in t)) for t in (_DIGITS, _STATES)]
+    packed = lambda table, state, at, bits: F.call_function("shiftright", F.get(table, state), at * bits).bitwiseAND(F.lit((1 << bits) - 1))
+    state, index = F.lit(0), F.lit(0).cast("bigint")
+    for bit in range(order - 2, -1, -2):
+        at = (F.shiftright(x, bit).bitwiseAND(F.lit(3)) * 4 + F.shiftright(y, bit).bitwiseAND(F.lit(3))).cast("int")
+        index, state = index * 16 + packed(tables[0], state, at, 4), packed(tables[1], state, at, 2).cast("int")
     return index
 
 
