@@ -318,3 +318,13 @@ def test_catalog_merge_expire_and_orphans(spark):
     assert catalog.remove_orphans("2020-01-01 00:00:00", folder=lake) == 0 and catalog.remove_orphans("2100-01-01 00:00:00", folder=lake) > 0
     assert {r.path for r in readers.list_files(spark, lake, "*.parquet").collect()} == kept
     assert catalog.table("s", "a").count() == 6
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from tideline import session
+
+    path = scratch(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.clear_scratch(spark) >= 1 and session.clear_scratch(spark) == 0
+    where, fs = session.hadoop_path(spark, path)
+    assert not fs.exists(where)
