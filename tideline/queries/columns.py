@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars, spatial
@@ -254,14 +255,17 @@ def event_window_bounds(spark, d):
 
 @query("SELECT user_id, CAST(1704067200 + (i - 1) * 1800 AS BIGINT) AS at, v AS value FROM (SELECT user_id, unnest(vs) AS v, unnest(range(1, len(vs) + 1)) AS i FROM (SELECT user_id, list(value ORDER BY event_id) AS vs FROM events GROUP BY user_id)) WHERE v IS NOT NULL")
 def series_timestamp(spark, d):
-    values = _user_series(spark, d)
-    return values.select("user_id", F.inline(scalars.series(F.lit(1704067200), F.lit(1800), F.col("vs"))))
+    values = user_series(table(spark, d, "events").select("user_id", "event_id", F.col("value").alias("v")))
+    return values.select("user_id", F.inline(scalars.series(F.col("first") * 1800 + 1704067200, F.lit(1800), F.col("vs"))))
 
 
-def _user_series(spark, d):
-    """Events of each user as an array in order."""
-    pairs = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", "value"))).alias("p"))
-    return pairs.select("user_id", F.transform("p", lambda s: s.value).alias("vs"))
+def user_series(events, rows: int = 1000):
+    """(user_id, first, vs) from (user_id, event_id, v): each user's values in the order of events, as arrays of at most ``rows``
+    from place ``first`` on, so that no array grows with a user."""
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    placed = events.withColumn("place", place).withColumn("first", (F.floor(F.col("place") / rows) * rows).cast("bigint"))
+    arrays = placed.groupBy("user_id", "first").agg(F.array_sort(F.collect_list(F.struct("place", "v"))).alias("p"))
+    return arrays.select("user_id", "first", F.transform("p", lambda s: s.v).alias("vs"))
 
 
 # Numbers
@@ -374,12 +378,14 @@ def flatten_mixed_list(spark, d):
 
 @query("SELECT user_id, last(value ORDER BY event_id) AS last, CAST(count(*) AS INTEGER) AS n FROM events GROUP BY user_id")
 def latest_of_array(spark, d):
-    return _user_series(spark, d).select("user_id", scalars.last_of(F.col("vs")).alias("last"), F.size("vs").alias("n"))
+    parts = user_series(table(spark, d, "events").select("user_id", "event_id", F.col("value").alias("v"))).select("user_id", "first", scalars.last_of(F.col("vs")).alias("last"), F.size("vs").alias("n"))
+    return parts.groupBy("user_id").agg(F.max_by("last", "first").alias("last"), F.sum("n").cast("int").alias("n"))
 
 
 @query("SELECT user_id, first(value ORDER BY event_id) AS first FROM events GROUP BY user_id")
 def first_of_array(spark, d):
-    return _user_series(spark, d).select("user_id", scalars.first_of(F.col("vs")).alias("first"))
+    parts = user_series(table(spark, d, "events").select("user_id", "event_id", F.col("value").alias("v")))
+    return parts.where("first = 0").select("user_id", scalars.first_of(F.col("vs")).alias("first"))
 
 
 @query("""SELECT event_id, '{"event_id":' || event_id || ',"t":"' || event_type || '"}' AS doc, json_extract_string(props, '$.k') AS k FROM events""")

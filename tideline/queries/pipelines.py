@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import spatial
 from ..plans import feeds
 from .base import POINTS, cell_sql, hilbert_sql, lat_sql, lon_sql, points, query, table
-from .columns import _SEGMENTS, _TRACK, _lines, _orbit_columns
+from .columns import _SEGMENTS, _TRACK, _lines, _orbit_columns, user_series
 from .relations import _PIXELS, _box_sql, _pixels
 
 RUN = "2024-02-01 06:00:00"
@@ -141,9 +141,9 @@ def pipe_earthquakes(spark, d):
 @query("SELECT CAST(user_id AS VARCHAR) AS country_code, CASE WHEN user_id % 5 = 0 THEN 'unknown' ELSE 'bgp' END AS datasource, '' AS subtype, make_timestamp((1704067200 + (i - 1) * CASE WHEN user_id % 2 = 0 THEN 1800 ELSE 600 END) * 1000000) AS timestamp, v AS value FROM (SELECT user_id, unnest(vs) AS v, unnest(ids) AS id, unnest(range(1, len(vs) + 1)) AS i FROM (SELECT user_id, list(value ORDER BY event_id) AS vs, list(event_id ORDER BY event_id) AS ids FROM events GROUP BY user_id)) WHERE id % 8 <> 0")
 def pipe_signals(spark, d):
     v = F.when(F.col("event_id") % 8 == 0, "n/a").otherwise(F.col("value").cast("string"))
-    pairs = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", v.alias("v")))).alias("p"))
     even = F.col("user_id") % 2 == 0
-    series = pairs.select(F.col("user_id").cast("string").alias("country_code"), F.when(F.col("user_id") % 5 != 0, "bgp").alias("datasource"), F.lit(None).cast("string").alias("subtype"), F.lit(1704067200).cast("bigint").alias("from"), F.when(~even, 600).cast("bigint").alias("step"), F.transform("p", lambda s: s.v).alias("values"))
+    start = F.lit(1704067200) + F.col("first") * F.when(even, 1800).otherwise(600)
+    series = user_series(table(spark, d, "events").select("user_id", "event_id", v.alias("v"))).select(F.col("user_id").cast("string").alias("country_code"), F.when(F.col("user_id") % 5 != 0, "bgp").alias("datasource"), F.lit(None).cast("string").alias("subtype"), start.cast("bigint").alias("from"), F.when(~even, 600).cast("bigint").alias("step"), F.col("vs").alias("values"))
     return feeds.signals(series, RUN)["signals"].drop("snapshot_time")
 
 
