@@ -297,7 +297,7 @@ def stream_hourly_counts(spark, d):
     stream, out = _arrivals(spark, d), None
     for hours, slide in ((1, None), (6, "1 hour")):
         target = scratch(spark, "hourly")
-        counts = streams.windowed(stream, "ts", f"{hours} hours", slide, n=F.count("*"), mean=F.round(F.avg("value"), 8))
+        counts = streams.windowed(stream, "ts", f"{hours} hours", slide, delay="40 days", n=F.count("*"), mean=F.round(F.avg("value"), 8))
         streams.changes_to(counts, target, scratch(spark, "offsets"))
         part = streams.latest_changes(spark, target, ["w"]).select(F.lit(hours).alias("hours"), F.col("w.start").cast("timestamp_ntz").alias("start"), "n", "mean")
         out = part if out is None else out.union(part)
