@@ -15,7 +15,9 @@ there as often as at a filled register, so all sizes are banded alike, by one ki
 3. A bucket of more than three members that still lie in different components may hide a link between two of them
    that neither pivot has. The members of such buckets go on to an exact join: every document's shingles in the
    order of their frequency among these documents, of which the first n - ceil(0.75 n) + 1 must hold one of any
-   partner's. Pairs of different components that share one, have fitting sizes and pass the estimate are compared in full.
+   partner's, and so early that enough can follow in both. Pairs of different components for which sizes and places
+   allow a link, and that pass the estimate, are compared in full. A shingle that all members of a group share comes
+   late in the order, so groups that share much and link little give few pairs.
 
 Nothing is gathered by bucket or cluster: candidates are pairs, at most two for each member and bucket in step 2, and
 full sets are sent to pairs. The set of a pivot that many documents have is sent in as many copies as there are
@@ -166,25 +168,39 @@ def similar_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, pe
     likely = written(map_batches(_both(pairs, reps.select("rep", "n_shingles", "registers")), estimate, "a bigint, b bigint, parts bigint"), "likely")
 
     def compare(batches):
-        for b in slices(batches, 2048):
+        for b in slices(batches, 512):
             one, two = ([np.frombuffer(x, np.uint64) for x in b.column(c).to_pylist()] for c in ("shingles", "other_shingles"))
             linked = [100 * c >= percent * (len(x) + len(y) - c) for x, y in zip(one, two, strict=True) for c in (len(np.intersect1d(x, y, assume_unique=True)),)]
             linked = pa.array(linked, pa.bool_())
             yield [b.column("a").filter(linked), b.column("b").filter(linked)]
 
-    needed = likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct()
+    needed = written(likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct(), "needed")
     return written(map_batches(_both(likely, full_sets(docs, needed, k)), compare, "a bigint, b bigint"), "links")
 
 
-def full_sets(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
-    """(rep, shingles) of the documents ``reps``, from their whole texts; of rows that repeat an id one for each text."""
+def full_sets(docs: DataFrame, reps: DataFrame, k: int, packed: bool = True) -> DataFrame:
+    """(rep, shingles) of the documents ``reps``, from their whole texts, as bytes or as an array; of rows that repeat an id one
+    for each text."""
 
     def sets(batches):
-        for b in slices(batches):
-            yield [b.column("rep"), [shingle_set(t, k).tobytes() for t in b.column("text").to_pylist()]]
+        for b in slices(batches, 128):
+            found = [shingle_set(t, k) for t in b.column("text").to_pylist()]
+            if packed:
+                yield [b.column("rep"), [s.tobytes() for s in found]]
+            else:
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                yield [b.column("rep"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))]
 
     members = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep")
-    return map_batches(members.select("rep", "text"), sets, "rep bigint, shingles binary")
+    return map_batches(members.select("rep", "text"), sets, "rep bigint, shingles " + ("binary" if packed else "array<bigint>"))
+
+
+def of_buckets(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``rows`` (bucket, rep, members, ...) of the ``buckets`` (bucket, members), each sent in a copy for every ``PIVOT_ROWS`` of its
+    members, so that a large one is no single task."""
+    parts = F.ceil(F.col("members") / PIVOT_ROWS)
+    copied = buckets.select("bucket", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("copy"))
+    return rows.withColumn("copy", F.pmod(F.xxhash64("rep"), parts).cast("int")).join(copied, ["bucket", "copy"]).drop("copy")
 
 
 def candidate_pairs(meets: DataFrame) -> DataFrame:
@@ -198,25 +214,24 @@ def pairs_left(meets: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFr
     """Pairs (a, b, parts) of different components (``found``: rep, component) that buckets of more than three members may
     hide; None if there is no such bucket."""
     split = meets.where("members > 3").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    apart = split.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    left = written(split.join(apart, "bucket").select("rep", "component").distinct(), "left")
+    apart = split.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("members").alias("members")).where("low < high").select("bucket", "members")
+    left = written(of_buckets(split, apart).select("rep", "component").distinct(), "left")
     if left.isEmpty():
         return None
 
-    def tokens(batches):
-        for b in slices(batches, 64):
-            sets = [np.frombuffer(x, np.int64) for x in b.column("shingles").to_pylist()]
-            sizes = np.array([len(x) for x in sets])
-            yield [b.column("rep").take(pa.array(np.repeat(np.arange(len(sets)), sizes))), pa.array(np.concatenate(sets))]
-
-    shingles = map_batches(full_sets(docs, left.select("rep"), k), tokens, "rep bigint, token bigint").join(left, "rep")
+    shingles = full_sets(docs, left.select("rep"), k, packed=False).join(left, "rep").select("rep", "component", F.explode("shingles").alias("token"))
     shingles = written(shingles, "tokens")
     common = shingles.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("n > 1").select("token", "n", (F.col("low") < F.col("high")).alias("across"))
     ranked = shingles.join(common, "token", "left").groupBy("rep", "component").agg(F.count("*").alias("size"), F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token", "across"))).alias("order"))
     first = F.slice("order", F.lit(1), (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).cast("int"))
-    prefix = written(ranked.select("rep", "component", "size", F.explode(F.filter(first, lambda t: t.across)).alias("t")).select("rep", "component", "size", "t.token", "t.n"), "prefixes")
-    x, y = (prefix.select("token", "n", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "size"))) for s in "xy")
-    near = (100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y")) & (F.col("component_x") != F.col("component_y")) & (F.col("rep_x") < F.col("rep_y"))
+    prefix = written(ranked.select("rep", "component", "size", F.posexplode(first).alias("place", "t")).where("t.across").select("rep", "component", "size", "place", "t.token", "t.n"), "prefixes")
+    # Of two linked sets the common shingles are ``least`` or more, so after their first common one each has that many less one;
+    # the smaller set then has it in a shorter prefix.
+    small = prefix.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * 2 * percent / (100 + percent)))
+    x, y = (df.select("token", "n", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "size", "place"))) for df, s in ((small, "x"), (prefix, "y")))
+    least = F.ceil((F.col("size_x") + F.col("size_y")) * percent / (100 + percent))
+    smaller = (F.col("size_x") < F.col("size_y")) | ((F.col("size_x") == F.col("size_y")) & (F.col("rep_x") < F.col("rep_y")))
+    near = smaller & (100 * F.col("size_x") >= percent * F.col("size_y")) & (F.col("component_x") != F.col("component_y")) & (F.col("place_x") <= F.col("size_x") - least) & (F.col("place_y") <= F.col("size_y") - least)
     return x.join(y.drop("n"), "token").where(near).groupBy(F.col("rep_y").alias("a"), F.col("rep_x").alias("b")).agg(F.ceil(F.max("n") / PIVOT_ROWS).alias("parts"))
 
 
@@ -231,11 +246,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     shared = shared.groupBy("members", "least", "greatest", "who").agg(F.min("bucket").alias("bucket")).drop("who")  # of buckets with the same members, one
     meets = written(bands.join(shared, "bucket"), "meets")
 
-    links = similar_pairs(candidate_pairs(meets), reps, docs, k, percent)
+    links = similar_pairs(written(candidate_pairs(meets), "pairs"), reps, docs, k, percent)
     found = written(components(links), "found").select(F.col("node").alias("rep"), "component")
     left = pairs_left(meets, found, reps, docs, k, percent)
     if left is not None:
-        more = similar_pairs(left, reps, docs, k, percent)
+        more = similar_pairs(written(left, "pairs"), reps, docs, k, percent)
         if not more.isEmpty():
             found = components(links.union(more)).select(F.col("node").alias("rep"), "component")
 
