@@ -6,8 +6,10 @@ Words of the byte kind are found in UTF-8, where every byte of a character beyon
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z became a-z.
 ALNUM = re.compile(rb"[0-9a-z\x80-\xff]+")
 
+#: Most rows of an Arrow batch, and the setting that says so.
+BATCH_ROWS, _ROWS = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
@@ -81,13 +86,34 @@ def schema_of(ddl: str) -> pa.Schema:
     return pa.schema(fields)
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """glibc's ``malloc_trim``; None where the C library has none."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives freed memory back to the system: Python workers live on between tasks, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[list]], ddl: str) -> DataFrame:
-    """``mapInArrow`` for a function that yields lists of columns in the order of ``ddl``."""
+    """``mapInArrow`` for a function that yields lists of columns in the order of ``ddl``.
+
+    Rows hold texts, so the session's Arrow batches are limited to ``BATCH_ROWS`` rows: each exists in the JVM and in Python.
+    """
     schema = schema_of(ddl)
+    if not 0 < int(df.sparkSession.conf.get(_ROWS)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(_ROWS, str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in fn(batches):
+        for n, columns in enumerate(fn(batches), 1):
+            if n % 16 == 0:
+                release()
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
+        release()
 
     return df.mapInArrow(run, ddl)
 

@@ -111,11 +111,12 @@ class Emissions(dict):
 
     def table(self) -> np.ndarray:
         """Scores of all words known, after those of new words have been computed."""
-        if self.new:
-            flat, sizes = features(self.new)
+        for at in range(0, len(self.new), 4096):
+            flat, sizes = features(self.new[at : at + 4096])
             sums = np.add.reduceat(self.field.weights[flat], np.cumsum(sizes) - sizes, axis=0)
-            self.parts = [np.concatenate([*self.parts, sums / np.sqrt(sizes)[:, None].astype(np.float32)])]
-            self.new = []
+            self.parts.append(sums / np.sqrt(sizes)[:, None].astype(np.float32))
+        if self.new:
+            self.parts, self.new = [np.concatenate(self.parts)], []
         return self.parts[0]
 
 
@@ -249,13 +250,14 @@ def training_rows(docs: DataFrame, sample: int = 300, passages: int = 5, letters
     with the smallest hashes of ids and texts. With more languages than ``total`` / ``sample`` each has fewer documents, but
     one at least. Of each document, without all that is no letter, up to ``passages`` passages of about ``letters``
     characters at hashed places of the whole text; a text that is no longer than that is taken whole."""
-    known = docs.where("text is not null and lang is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("at")).where(F.col("text").rlike(r"\p{L}"))
+    known = docs.where("text is not null and lang is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("at"))
     counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return []
     each = max(1, min(sample, total // len(counts)))
 
     def smallest(rows):
+        rows = rows.where(F.col("text").rlike(r"\p{L}"))
         # Spark keeps the first ``each`` of a language in every task before it deals them out.
         rank = F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id", "text"))
         some = rows.withColumn("rank", rank).where(F.col("rank") <= each)
@@ -264,7 +266,7 @@ def training_rows(docs: DataFrame, sample: int = 300, passages: int = 5, letters
         places = F.array(*(F.substring("text", F.pmod(F.xxhash64("at", F.lit(k)), room).cast("int") + 1, F.lit(letters)) for k in range(passages)))
         return some.select("lang", "rank", F.when(F.length("text") <= passages * letters, F.array("text")).otherwise(places).alias("parts")).collect()
 
-    # For each language a hash range that surely holds the sample spares sorting the rest; copies, which share a hash, may leave too few in it.
+    # For each language a hash range that surely holds the sample spares sorting the rest; copies, which share a hash, and texts without a letter may leave too few in it.
     ends = {lang: min((1 << 63) - 1, int((1 << 64) * min(1.0, (2 * each + 30) / n)) - (1 << 63)) for lang, n in counts.items()}
     some = smallest(known.where(F.col("at") <= F.create_map(*(F.lit(x) for e in ends.items() for x in e))[F.col("lang")]))
     got = Counter(r.lang for r in some)

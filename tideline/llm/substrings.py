@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import schema_of, utf8, windows, word_hashes
+from .arrays import release, schema_of, utf8, windows, word_hashes
 
 #: Characters of text in a batch, and of text for each range of hashes, on average.
-BATCH_CHARS, RANGE_CHARS = 4_000_000, 2_000_000
+BATCH_CHARS, RANGE_CHARS = 3_000_000, 2_000_000
 #: Words of the shortest windows, and bits of a hash within its range before the last length.
 SHORTEST, CODE_BITS = 4, 24
 
@@ -118,6 +118,7 @@ class Batch:
 
 
 def _table(rows: list[tuple], ddl: str) -> pa.Table:
+    release()
     schema = schema_of(ddl)
     return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema) if rows else schema.empty_table()
 
@@ -231,6 +232,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
             np.add.at(edge, gone, 1)
             np.add.at(edge, gone + window, -1)
             covered = np.cumsum(edge)[:-1] > 0
+        release()
         out, start = [], 0
         for doc, text in batch.rows:
             words = utf8(text).split()
