@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tideline.functions import scalars, spatial
 from tideline.operators import manifest as M
 from tideline.operators import quality, raster, relate, shape
+from tideline.operators.catalog import Catalog
 from tideline.plans import feeds
 from tideline.session import scratch
 from tideline.sources import readers, sinks
@@ -153,7 +154,7 @@ def test_wkb(spark):
 
 
 def test_catalog_versions(spark):
-    catalog = M.Catalog(spark, scratch(spark, "catalog"))
+    catalog = Catalog(spark, scratch(spark, "catalog"))
     catalog.add("s", "t", spark.range(3), "2024-01-01 00:00:00")
     catalog.add("s", "t", spark.range(3, 5), "2024-01-02 00:00:00")
     catalog.add("s", "t", spark.range(1), "2024-01-03 00:00:00", mode="replace")
@@ -162,7 +163,7 @@ def test_catalog_versions(spark):
     before = sorted(r.id for r in catalog.table("s", "t", version=2).collect())
     assert catalog.rollback("s", "t", 2, "2024-01-04 00:00:00") == 4
     assert sorted(r.id for r in catalog.table("s", "t").collect()) == before
-    catalog.compact("s", "t", "2024-01-05 00:00:00", order=["id"])
+    catalog.compact("s", "t", "2024-01-05 00:00:00", order="id")
     assert sorted(r.id for r in catalog.table("s", "t").collect()) == before
     assert M.manifest_duplicates(catalog.manifest()).isEmpty()
     with pytest.raises(ValueError, match="no such table"):
@@ -173,7 +174,7 @@ def test_registering_twice_is_once(spark):
     empty = spark.createDataFrame([], M.MANIFEST)
     files = spark.createDataFrame([("s", "t", "p1", 10, 1), ("s", "t", "p2", 10, 1)], "schema string, table string, path string, bytes bigint, rows bigint")
     once = M.register_append(empty, files, RUN)
-    assert once.count() == 2 and M.register_append(once, files, RUN).exceptAll(once).isEmpty()
+    assert once.count() == 2 and M.register_append(once, files, RUN).drop("stats").exceptAll(once.drop("stats")).isEmpty()
 
 
 def test_prune_by_stats_keeps_unknown(spark):
@@ -296,9 +297,9 @@ def test_shared_folder_is_needed_on_a_cluster():
 
 
 def test_catalog_merge_expire_and_orphans(spark):
-    lake, catalog = scratch(spark, "lake"), M.Catalog(spark, scratch(spark, "catalog"))
+    lake, catalog = scratch(spark, "lake"), Catalog(spark, scratch(spark, "catalog"))
     put = lambda df, table, run: sinks.write_all({table: df}, lake, run, "s")
-    status = lambda **k: {r.table: (r.version, r.rows, r.status.split(":")[0]) for r in catalog.merge(lake, **k).collect()}
+    status = lambda **k: {r.table: (r.version, r.rows, r.status.split(":")[0]) for r in catalog.merge(lake, **k).collect() if r.run is not None}
     put(spark.range(9), "r", "20231201"), put(spark.range(3), "a", "20240101"), put(spark.range(5), "r", "20240101"), put(spark.range(0), "e", "20240101")
     checks = {"*": {"min_rows": 1}}
     assert status(ts="2024-01-01 00:00:00", modes={"r": "replace"}, checks=checks) == {"a": (1, 3, "registered"), "r": (1, 5, "registered"), "e": (None, 0, "rejected")}
@@ -309,12 +310,12 @@ def test_catalog_merge_expire_and_orphans(spark):
     assert spark.table("s_r").count() == 2 and catalog.table("s", "r", version=1).count() == 5
     put(spark.range(1).select(F.lit("t").alias("id")), "a", "20240301")
     assert status(ts="2024-03-01 00:00:00", modes={"r": "replace"})["a"] == (None, 1, "rejected")
-    before = catalog.manifest().count()
-    assert catalog.expire("2024-02-15 00:00:00") == 0 and catalog.expire("2024-06-01 00:00:00") > 0 and catalog.manifest().count() < before
+    assert catalog.expire("2024-01-15 00:00:00") == 0 and catalog.expire("2024-06-01 00:00:00") > 0 and catalog.expire("2024-06-01 00:00:00") == 0
     assert spark.table("s_a").count() == 6 and catalog.table("s", "r").count() == 2
     with pytest.raises(ValueError, match="no such"):
         catalog.table("s", "r", version=1)
-    kept = {r.path for r in catalog.manifest().collect()}
+    assert not any(r.status == "registered" for r in catalog.merge(lake, "2024-06-02 00:00:00", {"r": "replace"}, checks).collect())
+    kept = {r.path for r in catalog.manifest().where("mode <> 'expired'").collect()}
     assert catalog.remove_orphans("2020-01-01 00:00:00", folder=lake) == 0 and catalog.remove_orphans("2100-01-01 00:00:00", folder=lake) > 0
     assert {r.path for r in readers.list_files(spark, lake, "*.parquet").collect()} == kept
     assert catalog.table("s", "a").count() == 6

@@ -1,24 +1,24 @@
-"""Versioned tables over a manifest: a table of (schema, table, version, ts, path, bytes, rows, mode, columns) that lists data files.
+"""Versioned tables over a manifest: a table that lists data files, with what is known of each.
 
-Operators on the manifest are DataFrame queries. A ``Catalog`` keeps a manifest on disk: every change writes a
-new version folder next to the old ones and never touches a data file. One writer at a time.
+A row says what a version did with a file: ``append`` adds it, ``replace`` adds it and hides all that came before, ``remove`` takes
+it away, and ``expired`` only remembers that it was there, so that it is not found anew. ``columns`` is the file's schema, ``stats`` the
+bounds and nulls of its columns, ``source`` and ``run`` say which run of which lake or stream brought it, and ``place`` whose place in the
+order of arrival a file takes that stands for others.
+
+The operators here are DataFrame queries on a manifest; ``catalog.Catalog`` keeps one on disk.
 """
 
 from __future__ import annotations
 
-import json
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
-from ..session import hadoop_path
-from ..sources.readers import list_files
-from . import quality
+from ..sources.footers import read_footers
 from .relate import dedup
 
-MANIFEST = "schema string, table string, version int, ts timestamp_ntz, path string, bytes bigint, rows bigint, mode string, columns string"
+STATS = "map<string, struct<lo: string, hi: string, nulls: bigint>>"
+MANIFEST = f"schema string, table string, version int, ts timestamp_ntz, path string, bytes bigint, rows bigint, mode string, columns string, stats {STATS}, source string, run string, place string"
 
 
 def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -48,14 +48,30 @@ def manifest_duplicates(manifest: DataFrame) -> DataFrame:
 
 
 def visible(manifest: DataFrame, version: int | None = None, ts: str | None = None) -> DataFrame:
-    """Files of the state at a version or time: since the table's last replacing version, all up to the asked one."""
-    upto = manifest
+    """Files of the state at a version or time: since the table's last replacing version, all up to the asked one that no later
+    version removed."""
+    upto = manifest.where("mode <> 'expired'")
     if version is not None:
         upto = upto.where(F.col("version") <= version)
     if ts is not None:
         upto = upto.where(F.col("ts") <= F.lit(ts).cast("timestamp_ntz"))
     reset = upto.groupBy("schema", "table").agg(F.max(F.when(F.col("mode") == "replace", F.col("version"))).alias("_reset"))
-    return upto.join(reset, ["schema", "table"]).where(F.col("version") >= F.coalesce("_reset", F.lit(0))).drop("_reset")
+    removed = upto.where("mode = 'remove'").groupBy("schema", "table", "path").agg(F.max("version").alias("_removed"))
+    live = upto.where("mode <> 'remove'").join(reset, ["schema", "table"]).where(F.col("version") >= F.coalesce("_reset", F.lit(0)))
+    return live.join(removed, ["schema", "table", "path"], "left").where(F.col("_removed").isNull() | (F.col("_removed") < F.col("version"))).select(*manifest.columns)
+
+
+def arrival() -> Column:
+    """The place of a file among those of its table, in the order in which their rows came."""
+    return F.coalesce("place", F.format_string("%09d %s", "version", "path"))
+
+
+def file_changes(manifest: DataFrame, since: int, upto: int | None = None) -> DataFrame:
+    """(schema, table, path, change) of the files that one state has and the other has not; files of both hold the same rows."""
+    old, new = visible(manifest, version=since), visible(manifest, version=upto)
+    keys = ["schema", "table", "path"]
+    came = new.select(*keys).distinct().join(old.select(*keys), keys, "left_anti").withColumn("change", F.lit("insert"))
+    return came.unionByName(old.select(*keys).distinct().join(new.select(*keys), keys, "left_anti").withColumn("change", F.lit("delete")))
 
 
 def table_info(manifest: DataFrame) -> DataFrame:
@@ -75,7 +91,7 @@ def expire_versions(manifest: DataFrame, as_of: str, days: int = 30) -> DataFram
 
 def orphan_files(files: DataFrame, manifest: DataFrame, as_of: str | None = None, days: int = 7) -> DataFrame:
     """Files that no version lists and, given a time, that are older than ``days``."""
-    out = new_files(files, manifest)
+    out = new_files(files, manifest.where("mode <> 'expired'") if "mode" in manifest.columns else manifest)
     return out if as_of is None else out.where(F.col("modified") < F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS"))
 
 
@@ -95,10 +111,20 @@ def prune_files(stats: DataFrame, **bounds: tuple) -> DataFrame:
     return out
 
 
-def file_stats(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """path, rows and min_C, max_C of every file of a table."""
-    df = spark.read.parquet(path).withColumn("path", F.col("_metadata.file_path"))
-    return df.groupBy("path").agg(F.count("*").alias("rows"), *(f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))))
+def file_stats(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    """path, rows and min_C, max_C of files, from their footers; null where a file does not say."""
+    rows = [(f.path, f.rows, *(v for c in columns for v in f.stats.get(c, (None, None))[:2])) for f in read_footers(spark, paths)]
+    schema = spark.read.parquet(*paths).schema
+    texts = spark.createDataFrame(rows, ", ".join(["path string", "rows bigint", *(f"`{n}_{c}` string" for c in columns for n in ("min", "max"))]))
+    return texts.withColumns({f"{n}_{c}": F.col(f"{n}_{c}").cast(schema[c].dataType) for c in columns for n in ("min", "max")})
+
+
+def may_hold(column: str, kind: DataType, low, high) -> Column:
+    """Whether a file's ``stats`` leave room for values of a column from ``low`` to ``high``; a null bound is open. Files that do not
+    say stay."""
+    lo, hi = (F.col("stats")[column][k].cast(kind) for k in ("lo", "hi"))
+    fits = F.lit(True) if high is None else lo.isNull() | (lo <= F.lit(high))
+    return fits if low is None else fits & (hi.isNull() | (hi >= F.lit(low)))
 
 
 def count_from_metadata(manifest: DataFrame) -> DataFrame:
@@ -122,147 +148,3 @@ def merged_schema(schemas: list[StructType]) -> StructType:
                 raise ValueError(f"column {f.name} changes from {fields[f.name].dataType.simpleString()} to {f.dataType.simpleString()}")
             fields.setdefault(f.name, StructField(f.name, f.dataType))
     return StructType(list(fields.values()))
-
-
-class Catalog:
-    """Tables registered under ``root``: own data in schema/table/vN, the manifest in _manifest/vN, of which the greatest counts.
-
-    The manifest holds each file's columns, so that a table is read without opening files for its schema. Files may also
-    lie elsewhere: ``merge`` registers in place what pipelines wrote.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _manifest_version(self) -> int:
-        path, fs = hadoop_path(self.spark, f"{self.root}/_manifest")
-        if not fs.exists(path):
-            return 0
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return max((int(n[1:]) for n in names if n.startswith("v") and fs.exists(hadoop_path(self.spark, f"{self.root}/_manifest/{n}/_SUCCESS")[0])), default=0)
-
-    def manifest(self) -> DataFrame:
-        n = self._manifest_version()
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/_manifest/v{n}") if n else self.spark.createDataFrame([], MANIFEST)
-
-    def save(self, manifest: DataFrame) -> None:
-        """The next manifest; it has a row a file, so one task writes it."""
-        manifest.coalesce(1).write.parquet(f"{self.root}/_manifest/v{self._manifest_version() + 1}")
-
-    def _own(self, schema: str, table: str) -> Column:
-        return (F.col("schema") == schema) & (F.col("table") == table)
-
-    def _rows(self, df: DataFrame, schema: str, table: str, version: int, ts: str, mode: str, files: DataFrame | None = None) -> DataFrame:
-        """Manifest rows of the files that ``df`` reads, or of ``files`` (path, bytes), of which some may be empty: only metadata
-        and row counts are looked at."""
-        found = df.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count("*").alias("rows"))
-        if files is not None:
-            found = files.select("path", "bytes").join(found.select("path", "rows"), "path", "left").fillna(0, ["rows"])
-        constants = {"schema": schema, "table": table, "version": version, "mode": mode, "columns": df.schema.json()}
-        return found.withColumns({k: F.lit(v) for k, v in constants.items()} | {"ts": F.lit(ts).cast("timestamp_ntz")}).select(*self.spark.createDataFrame([], MANIFEST).columns)
-
-    def _next(self, manifest: DataFrame, schema: str, table: str) -> int:
-        return (manifest.where(self._own(schema, table)).agg(F.max("version")).first()[0] or 0) + 1
-
-    def add(self, schema: str, table: str, df: DataFrame, ts: str, mode: str = "append") -> int:
-        """Writes ``df`` as the table's next version and registers its files; the version."""
-        manifest = self.manifest()
-        version = self._next(manifest, schema, table)
-        path = f"{self.root}/{schema}/{table}/v{version}-{self._manifest_version() + 1}"
-        df.write.parquet(path)
-        self.save(manifest.unionByName(self._rows(self.spark.read.schema(df.schema).parquet(path), schema, table, version, ts, mode)))
-        return version
-
-    def table(self, schema: str, table: str, version: int | None = None, ts: str | None = None, where: Column | None = None) -> DataFrame:
-        """The table as of a version or time. Its list of files is resolved here (a path a file, as Spark's own list of a folder), the data is read lazily."""
-        files = visible(self.manifest().where(self._own(schema, table)), version, ts)
-        paths = [r.path for r in files.select("path").distinct().orderBy("path").collect()]
-        if not paths:
-            raise ValueError(f"no such table or version: {schema}.{table}")
-        columns = [r[0] for r in files.groupBy("columns").agg(F.min("version").alias("v")).orderBy("v").collect()]
-        df = self.spark.read.schema(merged_schema([StructType.fromJson(json.loads(c)) for c in columns])).parquet(*paths)
-        return df if where is None else df.where(where)
-
-    def compact(self, schema: str, table: str, ts: str, files: int = 1, order: list | None = None) -> int:
-        """Merges a table's files into fewer, in order, as a replacing version with the same rows."""
-        df = self.table(schema, table)
-        merged = df.repartitionByRange(files, *order).sortWithinPartitions(*order) if order else df.repartition(files)
-        return self.add(schema, table, merged, ts, mode="replace")
-
-    def merge(self, source: str, ts: str, modes: dict[str, str] | None = None, checks: dict[str, dict] | None = None, publish: bool = True) -> DataFrame:
-        """Registers what pipelines wrote under ``source`` as schema/table/run/files: a report of (schema, table, version, files, rows, status).
-
-        Files that no version lists are taken together as one new version of their table: all of them (append), or those of the
-        greatest run only (``modes``: replace). A table whose new files fail its ``checks`` (a spec of ``quality.check`` for each
-        table, or under ``*`` for all), or change a column's type, is rejected and nothing of it registered. Merging again finds
-        nothing new. With ``publish`` every registered table becomes a view ``schema_table`` for SQL.
-        """
-        place, _ = hadoop_path(self.spark, source)
-        within = lambda k: F.regexp_extract("path", "\\Q" + place.toUri().getPath().rstrip("/") + "\\E/([^/]+)/([^/]+)/", k)
-        run_of = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
-        manifest, rows, report = self.manifest(), [], []
-        found = new_files(list_files(self.spark, source, "*.parquet"), manifest).select("path", "bytes", within(1).alias("schema"), within(2).alias("table"), run_of.alias("run")).where("schema <> '' and table <> ''")
-        newest = {(r.schema, r.table): r.run for r in manifest.groupBy("schema", "table").agg(F.max(run_of).alias("run")).collect()}
-        for schema, table, run in found.groupBy("schema", "table").agg(F.max("run")).orderBy("schema", "table").collect():  # a row a table
-            mode = (modes or {}).get(table, "append")
-            if mode == "replace" and run <= newest.get((schema, table), ""):
-                continue  # an older run than the registered one
-            own = found.where(self._own(schema, table))
-            own = own if mode == "append" else own.where(F.col("run") == run)
-            paths = [r.path for r in own.select("path").orderBy("path").collect()]
-            df = self.spark.read.option("mergeSchema", True).parquet(*paths)
-            spec = (checks or {}).get("*", {}) | (checks or {}).get(table, {})
-            wrong = [r.check for r in quality.check(df, spec).where("status = 'fail'").collect()] if spec else []
-            known = [StructType.fromJson(json.loads(r[0])) for r in visible(manifest.where(self._own(schema, table))).groupBy("columns").agg(F.min("version").alias("v")).orderBy("v").collect()] if mode == "append" else []
-            try:
-                merged_schema([*known, df.schema])
-            except ValueError as error:
-                wrong.append(str(error))
-            version = self._next(manifest, schema, table)
-            if not wrong:
-                rows.append(self._rows(df, schema, table, version, ts, mode, own))
-            report.append((schema, table, version if not wrong else None, len(paths), df.count(), f"rejected: {', '.join(wrong)}" if wrong else "registered"))
-        if rows:
-            self.save(reduce(DataFrame.unionByName, rows, manifest))
-        if publish:
-            self.publish()
-        return self.spark.createDataFrame(report, "schema string, table string, version int, files int, rows bigint, status string")
-
-    def publish(self) -> list[str]:
-        """Every table's newest state as a view ``schema_table``; the names."""
-        names = []
-        for schema, table in self.manifest().select("schema", "table").distinct().orderBy("schema", "table").collect():
-            names.append(f"{schema}_{table}")
-            self.table(schema, table).createOrReplaceTempView(names[-1])
-        return names
-
-    def rollback(self, schema: str, table: str, to: int, ts: str) -> int:
-        """One more version of a table with the files of version ``to``; the version."""
-        manifest = self.manifest()
-        version = self._next(manifest, schema, table)
-        own = rollback(manifest.where(self._own(schema, table)), to, ts).where(F.col("version") == version)
-        self.save(manifest.unionByName(own))
-        return version
-
-    def expire(self, as_of: str, days: int = 30) -> int:
-        """Forgets files that no state of the last ``days`` shows; how many. They stay on storage until ``remove_orphans``."""
-        manifest = self.manifest()
-        cut = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {days} DAYS")
-        shown = visible(manifest).select("schema", "table", "version", "path").distinct()
-        reset = manifest.where((F.col("mode") == "replace") & (F.col("ts") < cut)).groupBy("schema", "table").agg(F.max("version").alias("_reset"))
-        # What a replacing version before the cut hides is hidden in all later states too.
-        kept = manifest.join(reset, ["schema", "table"], "left").where(F.col("_reset").isNull() | (F.col("version") >= F.col("_reset"))).drop("_reset")
-        kept = kept.unionByName(manifest.join(shown, ["schema", "table", "version", "path"], "left_semi")).distinct()
-        gone = manifest.count() - kept.count()
-        if gone:
-            self.save(kept)
-        return gone
-
-    def remove_orphans(self, as_of: str, days: int = 7, folder: str | None = None) -> int:
-        """Deletes data files under the catalog's root (or ``folder``) that no version lists and that are older than ``days``; how many."""
-        files = list_files(self.spark, folder or self.root, "*.parquet").where(~F.col("path").contains("/_manifest/"))
-        n = 0
-        for r in orphan_files(files, self.manifest(), as_of, days).select("path").toLocalIterator():
-            where, fs = hadoop_path(self.spark, r.path)
-            n += bool(fs.delete(where, False))
-        return n

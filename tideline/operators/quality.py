@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..sources.footers import Footer
 from .relate import duplicates
 
 REPORT = "check string, status string, observed string, expected string"
@@ -54,6 +55,88 @@ def check(df: DataFrame, spec: dict) -> DataFrame:
     return out.unionByName(df.sparkSession.createDataFrame(columns, REPORT)) if columns else out
 
 
+# The same checks from figures that are known before or while a table is read: footers of files, or metrics of a write.
+
+
+def figures(spec: dict, columns: list[str]) -> dict[str, Column]:
+    """The aggregates that a spec needs, by name; none is of distinct values, so a write can observe them."""
+    out = {"rows": F.count("*")}
+    nulls = [*spec.get("not_null", []), *(spec.get("null_columns", columns) if "max_null_pct" in spec else [])]
+    out |= {f"nulls:{c}": F.count_if(F.col(c).isNull()) for c in nulls}
+    ends = [*spec.get("single_value", []), *(spec["bbox"][:2] if "bbox" in spec else [])]
+    return out | {f"{n}:{c}": f(c) for c in ends for n, f in (("min", F.min), ("max", F.max))}
+
+
+def judged(spec: dict, columns: list[str], seen: dict) -> list[tuple[str, str, str, str]]:
+    """Rows of a report from the values of ``figures``. A single value is told by equal ends, so more are reported as "2+"."""
+    bad, rows, n = "warn" if spec.get("optional") else "fail", [], seen["rows"]
+    add = lambda name, ok, observed, expected: rows.append((name, "pass" if ok else bad, str(observed), str(expected)))
+    if "min_rows" in spec:
+        add("min_rows", n >= spec["min_rows"], n, spec["min_rows"])
+    for c in spec.get("null_columns", columns) if "max_null_pct" in spec else []:
+        pct = round(100.0 * seen[f"nulls:{c}"] / n, 1) if n else 0.0
+        add(f"max_null_pct:{c}", pct <= spec["max_null_pct"], pct, spec["max_null_pct"])
+    for c in spec.get("not_null", []):
+        add(f"not_null:{c}", not seen[f"nulls:{c}"], seen[f"nulls:{c}"], 0)
+    for c in spec.get("single_value", []):
+        low, high = seen[f"min:{c}"], seen[f"max:{c}"]
+        add(f"single_value:{c}", low is not None and low == high, "0" if low is None else "1" if low == high else "2+", 1)
+    if "bbox" in spec:
+        lat, lon, (south, west, north, east) = spec["bbox"]
+        ends = [seen[f"{n}:{c}"] for c in (lat, lon) for n in ("min", "max")]
+        inside = None not in ends and south <= float(ends[0]) and float(ends[1]) <= north and west <= float(ends[2]) and float(ends[3]) <= east
+        add("bbox", inside, ",".join(str(e) for e in ends), f"{south},{north},{west},{east}")
+    for name, wrong in (("required", set(spec.get("required", [])) - set(columns)), ("forbidden", set(spec.get("forbidden", [])) & set(columns))):
+        if name in spec:
+            add(f"{name}_columns", not wrong, ",".join(sorted(wrong)), "")
+    if "required" in spec and (extra := set(columns) - set(spec["required"])):
+        rows.append(("extra_columns", "warn", ",".join(sorted(extra)), ""))
+    return rows
+
+
+def _unique(df: DataFrame, spec: dict) -> list[tuple[str, str, str, str]]:
+    if "unique_cols" not in spec:
+        return []
+    n = duplicates(df, spec["unique_cols"]).count()
+    return [("unique", "pass" if not n else "warn" if spec.get("optional") else "fail", str(n), "0")]
+
+
+def check_files(df: DataFrame, footers: list[Footer], spec: dict) -> list[tuple[str, str, str, str]]:
+    """The report of ``spec`` on a table's files. What footers say is not read again: rows always, nulls and ends of columns where every
+    file has them. The rest takes one aggregation, and unique keys a grouping, of the columns named alone."""
+    if not spec:
+        return []
+    wanted, seen = figures(spec, df.columns), {"rows": sum(f.rows for f in footers)}
+    for name in wanted:
+        kind, _, c = name.partition(":")
+        if kind == "rows" or not all(c in f.stats or not f.rows for f in footers):
+            continue
+        have = [f.stats[c] for f in footers if f.rows]
+        if kind == "nulls":
+            seen[name] = sum(k for _, _, k in have)
+        elif dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+            ends = [float(s[kind == "max"]) for s in have if s[0] is not None]
+            seen[name] = (min if kind == "min" else max)(ends, default=None)
+    rest = [n for n in wanted if n not in seen]
+    if rest:
+        seen |= dict(zip(rest, df.agg(*(wanted[n] for n in rest)).first(), strict=True))
+    return judged(spec, df.columns, seen) + _unique(df, spec)
+
+
+class Watched:
+    """A table whose checks are computed by the job that writes it: write ``df``, then ask for the ``report``."""
+
+    def __init__(self, df: DataFrame, spec: dict):
+        self.spec, self._seen = spec, Observation()
+        self._wanted = figures(spec, df.columns)
+        self.df = df.observe(self._seen, *(c.alias(n) for n, c in self._wanted.items()))
+
+    def report(self, written: DataFrame) -> DataFrame:
+        """The report; unique keys are looked up in the table as it was written, by their columns alone."""
+        rows = judged(self.spec, self.df.columns, self._seen.get) + _unique(written, self.spec)
+        return self.df.sparkSession.createDataFrame(rows, REPORT)
+
+
 def check_contains(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     """The expected values that do not occur."""
     expected = df.sparkSession.createDataFrame([(v,) for v in values], f"{column} string")

@@ -13,7 +13,7 @@ def lookup(df: DataFrame, values: dict[str, str], key: Column, name: str) -> Dat
     return df.withColumn(name, F.create_map(*(F.lit(x) for kv in values.items() for x in kv))[key])
 
 
-def semi_join_contains(df: DataFrame, codes: DataFrame, text: str, code: str, most: int = 10_000) -> DataFrame:
+def semi_join_contains(df: DataFrame, codes: DataFrame, text: str, code: str, most: int = 64) -> DataFrame:
     """Rows whose lower-cased text contains any code. Up to ``most`` distinct codes are compared with every row where it is; of more,
     every text is cut to the pieces that are as long as codes, and these are joined, shuffled by Spark as any other keys."""
     codes = codes.select(F.col(code).alias("_code")).where(F.col(code).isNotNull()).distinct()
@@ -134,3 +134,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], by: str) -> DataFram
 def table_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows that came and went between two versions, with ``change``: insert or delete."""
     return new.exceptAll(old).withColumn("change", F.lit("insert")).unionByName(old.exceptAll(new).withColumn("change", F.lit("delete")))
+
+
+def row_changes(deleted: DataFrame | None, inserted: DataFrame | None, empty: DataFrame) -> DataFrame:
+    """``table_changes`` of the parts of two versions that differ; where one has no such part, the other's rows need no comparison."""
+    if deleted is not None and inserted is not None:
+        return table_changes(deleted, inserted)
+    rows, change = (inserted, "insert") if inserted is not None else (deleted if deleted is not None else empty, "delete")
+    return rows.withColumn("change", F.lit(change))

@@ -8,6 +8,7 @@ from ..functions import spatial
 from ..operators import manifest as M
 from ..operators import quality as C
 from ..operators import relate
+from ..operators.catalog import Catalog
 from ..session import scratch
 from ..sources import sinks
 from ..streaming import streams
@@ -81,8 +82,23 @@ def as_of_snapshot_date(spark, d):
 
 @query("SELECT c_custkey, 'insert' AS change FROM customer WHERE c_custkey % 10 = 0 UNION ALL SELECT c_custkey, 'delete' FROM customer WHERE c_custkey % 10 = 1")
 def table_changes(spark, d):
+    """A table is rewritten without some rows and appended to; rows of rewritten files cancel out."""
+    catalog = Catalog(spark, scratch(spark, "changes"))
     c = table(spark, d, "customer").select("c_custkey")
-    return relate.table_changes(c.where("c_custkey % 10 <> 0"), c.where("c_custkey % 10 <> 1"))
+    catalog.add("crm", "customers", c.where("c_custkey % 10 <> 0"), "2024-01-01 00:00:00")
+    catalog.add("crm", "customers", c.where("c_custkey % 10 > 1"), "2024-01-02 00:00:00", mode="replace")
+    catalog.add("crm", "customers", c.where("c_custkey % 10 = 0"), "2024-01-03 00:00:00")
+    return catalog.changes("crm", "customers", 1)
+
+
+@query("SELECT c_custkey, 'insert' AS change FROM customer WHERE c_custkey % 10 = 0")
+def appended_changes(spark, d):
+    """Appends alone: their files are the changes, and nothing else is read."""
+    catalog = Catalog(spark, scratch(spark, "appends"))
+    c = table(spark, d, "customer").select("c_custkey")
+    catalog.add("crm", "customers", c.where("c_custkey % 10 <> 0"), "2024-01-01 00:00:00")
+    catalog.add("crm", "customers", c.where("c_custkey % 10 = 0"), "2024-01-02 00:00:00")
+    return catalog.changes("crm", "customers", 1)
 
 
 @query(f"""SELECT schema, "table", count(*) AS files, sum(bytes)::BIGINT AS bytes, sum(rows)::BIGINT AS rows FROM {_FILES} GROUP BY ALL""")
@@ -102,8 +118,30 @@ def list_table_files(spark, d):
 
 @query("SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey % 2 DESC, o_orderkey DESC) = 1")
 def upsert(spark, d):
-    o = relate.dedup(table(spark, d, "orders").withColumn("new", F.col("o_orderkey") % 2), ["o_custkey", "new"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
-    return relate.upsert(o.where("new = 0"), o.where("new = 1"), ["o_custkey"], "o_orderdate").select("o_custkey", "o_orderkey", "o_totalprice")
+    """Merged into a catalog table by key, twice: the second time changes nothing."""
+    catalog = Catalog(spark, scratch(spark, "upsert"))
+    o = relate.dedup(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate", (F.col("o_orderkey") % 2).alias("new")), ["o_custkey", "new"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
+    catalog.add("sales", "latest", o.where("new = 0").repartitionByRange(8, "o_custkey"), "2024-01-01 00:00:00")
+    for day in ("02", "03"):
+        catalog.upsert("sales", "latest", o.where("new = 1"), ["o_custkey"], "o_orderdate", f"2024-01-{day} 00:00:00")
+    return catalog.table("sales", "latest").select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+_SQUARE = "o_custkey BETWEEN 1 AND (SELECT max(o_custkey) // 16 FROM orders)"
+
+
+@query(f"""WITH t AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders), n AS (SELECT o_orderkey, o_custkey, -o_totalprice AS o_totalprice FROM t WHERE {_SQUARE})
+SELECT * FROM n UNION ALL SELECT * FROM t WHERE NOT {_SQUARE} UNION ALL SELECT max(o_orderkey) + 1, NULL, 0 FROM t""")
+def upsert_touched_files(spark, d):
+    """New prices of one range of customers, and an order that is new: only the files that hold the range are rewritten."""
+    catalog = Catalog(spark, scratch(spark, "touched"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice").withColumn("seen", F.lit(1))
+    catalog.add("sales", "orders", o.repartitionByRange(16, "o_custkey").sortWithinPartitions("o_custkey"), "2024-01-01 00:00:00")
+    most = o.agg(F.max("o_custkey"), F.max("o_orderkey")).first()
+    new = o.where(F.col("o_custkey").between(1, most[0] // 16)).withColumns({"o_totalprice": -F.col("o_totalprice"), "seen": F.lit(2)})
+    added = spark.range(1).select(F.lit(most[1] + 1).alias("o_orderkey"), F.lit(None).cast("bigint").alias("o_custkey"), F.lit(0.0).cast(o.schema["o_totalprice"].dataType).alias("o_totalprice"), F.lit(2).alias("seen"))
+    catalog.upsert("sales", "orders", new.union(added), ["o_orderkey"], "seen", "2024-01-02 00:00:00")
+    return catalog.table("sales", "orders").drop("seen")
 
 
 @query(f"""SELECT schema, "table", version, path FROM (SELECT *, max(version) OVER (PARTITION BY schema, "table") AS newest FROM {_FILES}) WHERE ts >= TIMESTAMP '1998-01-31 00:00:00' - INTERVAL 30 DAY OR version = newest""")
@@ -119,15 +157,17 @@ def orphan_files(spark, d):
 
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def compact_files(spark, d):
-    catalog = M.Catalog(spark, scratch(spark, "compact"))
-    catalog.add("sales", "orders", table(spark, d, "orders").select("o_orderkey", "o_totalprice").repartition(12), "2024-01-01 00:00:00")
-    catalog.compact("sales", "orders", "2024-01-02 00:00:00", files=2, order=["o_orderkey"])
+    catalog = Catalog(spark, scratch(spark, "compact"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    catalog.add("sales", "orders", orders.repartitionByRange(12, "o_orderkey").sortWithinPartitions("o_orderkey"), "2024-01-01 00:00:00")
+    sizes = catalog.files("sales", "orders").agg(F.sum("bytes")).first()[0]
+    catalog.compact("sales", "orders", "2024-01-02 00:00:00", target=sizes // 3, order="o_orderkey")
     return catalog.table("sales", "orders")
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0")
 def rollback_version(spark, d):
-    catalog = M.Catalog(spark, scratch(spark, "rollback"))
+    catalog = Catalog(spark, scratch(spark, "rollback"))
     keys = table(spark, d, "orders").select("o_orderkey")
     catalog.add("sales", "orders", keys.where("o_orderkey % 2 = 0"), "2024-01-01 00:00:00")
     catalog.add("sales", "orders", keys.where("o_orderkey % 2 = 1"), "2024-01-02 00:00:00")
@@ -136,21 +176,27 @@ def rollback_version(spark, d):
 
 
 @query(f"""SELECT 'events' AS name, count(*) AS n, sum(event_id)::BIGINT AS ids, count(DISTINCT {_CELL}) AS cells FROM {POINTS}
-UNION ALL SELECT 'latest', count(*), sum(event_id)::BIGINT, 1 FROM {POINTS} WHERE event_id % 3 = 1 UNION ALL SELECT 'rejected', 1, 0, 0""")
+UNION ALL SELECT 'latest', count(*), sum(event_id)::BIGINT, 1 FROM {POINTS} WHERE event_id % 3 = 2 UNION ALL SELECT 'rejected', 1, 0, 0 UNION ALL SELECT 'skipped', 1, 0, 0""")
 def merge_catalog(spark, d):
     """From a pipeline's tables to SQL: two runs are written, found, checked, registered by mode and published; a table that
-    fails its check is not registered, and a second merge finds nothing new."""
-    lake, catalog = scratch(spark, "lake"), M.Catalog(spark, scratch(spark, "catalog"))
+    fails its check is not registered, a second merge finds nothing new, and after the table was merged into fewer files a newer run still
+    replaces it while one that comes late is reported."""
+    lake, catalog = scratch(spark, "lake"), Catalog(spark, scratch(spark, "catalog"))
     cells = spatial.with_cells(points(spark, d).select("event_id", "lat", "lon"), "lat", "lon", [5])
     for k, run in enumerate(("20240101T000000", "20240102T000000")):
         sinks.write_all({"events": cells.where(F.col("event_id") % 2 == k), "latest": cells.where(F.col("event_id") % 3 == k), "broken": cells.withColumn("lat", F.lit(None).cast("double"))}, lake, run, "feed")
     spec = {"*": {"min_rows": 1, "not_null": ["event_id", "lat"], "unique_cols": ["event_id"]}, "broken": {"unique_cols": ["event_id", "lat"]}}
     first = catalog.merge(lake, "2024-01-03 00:00:00", {"latest": "replace"}, spec)
-    again = catalog.merge(lake, "2024-01-04 00:00:00", {"latest": "replace"}, spec).where("status = 'registered' and table = 'events'")
+    again = catalog.merge(lake, "2024-01-04 00:00:00", {"latest": "replace"}, spec).where("status = 'registered'")
+    catalog.compact("feed", "latest", "2024-01-05 00:00:00")
+    for k, run in ((2, "20240103T000000"), (0, "20240101T120000")):
+        sinks.write_all({"latest": cells.where(F.col("event_id") % 3 == k)}, lake, run, "feed")
+        third = catalog.merge(lake, "2024-01-06 00:00:00", {"latest": "replace"}, spec)
+    skipped = third.where("status like 'skipped%' and run is null").agg(F.lit("skipped").alias("name"), F.count_distinct("table").alias("n"), F.lit(0).cast("bigint").alias("ids"), F.lit(0).cast("bigint").alias("cells"))
     rejected = first.where("status like 'rejected%'").agg(F.lit("rejected").alias("name"), F.count("*").alias("n"), F.lit(again.count()).cast("bigint").alias("ids"), F.lit(0).cast("bigint").alias("cells"))
     events = spark.sql("SELECT 'events' AS name, count(*) AS n, sum(event_id) AS ids, count(DISTINCT cell_r5) AS cells FROM feed_events")
     latest = spark.sql("SELECT 'latest' AS name, count(*) AS n, sum(event_id) AS ids, 1L AS cells FROM feed_latest")
-    return events.union(latest).union(rejected)
+    return events.union(latest).union(rejected).union(skipped)
 
 
 @query("SELECT s_suppkey AS id, s_name AS name, NULL::DOUBLE AS balance FROM supplier UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer")
@@ -161,10 +207,19 @@ def evolve_schema(spark, d):
 
 @query(f"SELECT event_id, lat FROM {POINTS} WHERE lat BETWEEN 12.0 AND 42.0")
 def prune_by_stats(spark, d):
-    path = scratch(spark, "stats")
-    points(spark, d).select("event_id", "lat").repartitionByRange(8, "lat").write.parquet(path)
-    files = M.prune_files(M.file_stats(spark, path, ["lat"]), lat=(12.0, 42.0))
-    return spark.read.parquet(*[r.path for r in files.select("path").collect()]).where("lat between 12.0 and 42.0")  # a path a file
+    """By bounds that registration read from the files' footers."""
+    catalog = Catalog(spark, scratch(spark, "stats"))
+    catalog.add("feed", "points", points(spark, d).select("event_id", "lat").repartitionByRange(8, "lat"), "2024-01-01 00:00:00")
+    return catalog.table("feed", "points", where={"lat": (12.0, 42.0)})
+
+
+@query(f"""SELECT 'points' AS "table", count(*) AS n_rows, min(lat) AS lat_lo, max(lat) AS lat_hi, 0::BIGINT AS lat_nulls, count(*) FILTER (WHERE value IS NULL) AS value_nulls FROM {POINTS}""")
+def bounds_from_metadata(spark, d):
+    """What footers say of a table's columns, put together from its files."""
+    catalog = Catalog(spark, scratch(spark, "bounds"))
+    catalog.add("feed", "points", points(spark, d).select("event_id", "lat", "value").repartition(6), "2024-01-01 00:00:00")
+    files = catalog.files("feed", "points").select("rows", F.col("stats")["lat"].alias("lat"), F.col("stats")["value"].alias("value"))
+    return files.agg(F.lit("points").alias("table"), F.sum("rows").alias("n_rows"), F.min(F.col("lat.lo").cast("double")).alias("lat_lo"), F.max(F.col("lat.hi").cast("double")).alias("lat_hi"), F.sum("lat.nulls").alias("lat_nulls"), F.sum("value.nulls").alias("value_nulls"))
 
 
 @query(f"""SELECT schema, "table", sum(rows)::BIGINT AS n_rows FROM ({_visible_sql('true')}) GROUP BY ALL""")
@@ -260,6 +315,16 @@ def run_status_rollup(spark, d):
     return C.run_status(e.select(F.col("user_id").alias("workspace")).distinct(), runs)
 
 
+@query(f"""SELECT 'min_rows' AS "check", CASE WHEN count(*) >= 100 THEN 'pass' ELSE 'fail' END AS status, CAST(count(*) AS VARCHAR) AS observed, '100' AS expected FROM events
+UNION ALL SELECT 'not_null:lat', 'pass', '0', '0' UNION ALL SELECT 'single_value:event_type', 'fail', '2+', '1' UNION ALL SELECT 'single_value:run', 'pass', '1', '1'
+UNION ALL SELECT 'bbox', 'pass', concat_ws(',', CAST(min(lat) AS VARCHAR), CAST(max(lat) AS VARCHAR), CAST(min(lon) AS VARCHAR), CAST(max(lon) AS VARCHAR)), '-90,90,-180,180' FROM {POINTS}
+UNION ALL SELECT 'unique', CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END, CAST(count(*) AS VARCHAR), '0' FROM (SELECT 1 FROM events GROUP BY event_id HAVING count(*) > 1)""")
+def check_while_writing(spark, d):
+    """A table's checks come with the job that writes it."""
+    spec = {"min_rows": 100, "not_null": ["lat"], "single_value": ["event_type", "run"], "bbox": ("lat", "lon", (-90, -180, 90, 180)), "unique_cols": ["event_id"]}
+    return sinks.write_checked(points(spark, d).select("event_id", "event_type", "lat", "lon", F.lit("r1").alias("run")), scratch(spark, "checked"), spec)
+
+
 # Streams
 
 
@@ -273,12 +338,13 @@ def _arrivals(spark, d, *columns):
 
 @query("SELECT event_id, value * 2 AS value FROM events WHERE value > 10")
 def stream_ingest_files(spark, d):
-    target, checkpoint = scratch(spark, "ingested"), scratch(spark, "offsets")
+    """Arrivals become versions of a catalog table; a second run finds nothing new."""
+    catalog, checkpoint = Catalog(spark, scratch(spark, "ingested")), scratch(spark, "offsets")
     stream = _arrivals(spark, d)
     shaped = lambda df: df.where("value > 10").select("event_id", (F.col("value") * 2).alias("value"))
-    streams.ingest(stream, target, checkpoint, shaped)
-    streams.ingest(stream, target, checkpoint, shaped)  # finds nothing new
-    return spark.read.parquet(target).select("event_id", "value")
+    for day in ("01", "02"):
+        streams.ingest_to(stream, catalog, "feed", "events", f"2024-02-{day} 00:00:00", checkpoint, "arrivals", shaped)
+    return catalog.table("feed", "events")
 
 
 @query("SELECT event_id, user_id FROM events")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import spatial
-from ..operators import raster, relate, shape
+from ..operators import manifest, raster, relate, shape
 from ..session import scratch
 from ..sources import readers
 from .base import POINTS, cell_sql, lat_sql, lon_sql, parent_sql, points, query, table
@@ -22,11 +22,11 @@ def left_join_using(spark, d):
     return joined.select("o_orderkey", "c_name", "c_nationkey", spatial.cell_id(F.col("lat"), F.col("lon"), 5).alias("cell"))
 
 
-@query("SELECT p_partkey FROM part WHERE EXISTS (SELECT 1 FROM region WHERE lower(p_name || ' ' || p_type) LIKE '%' || lower(left(r_name, 2)) || '%')")
+@query("SELECT p_partkey FROM part WHERE EXISTS (SELECT 1 FROM (SELECT lower(left(p_name, 4)) AS code FROM part WHERE p_partkey < 4) WHERE lower(p_type || ' ' || p_name) LIKE '%' || code || '%')")
 def semi_join_like(spark, d):
-    codes = table(spark, d, "region").select(F.lower(F.left("r_name", F.lit(2))).alias("code"))
-    parts = table(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("t"))
-    return relate.semi_join_contains(parts, codes, "t", "code").select("p_partkey")
+    parts = table(spark, d, "part")
+    codes = parts.where("p_partkey < 4").select(F.lower(F.left("p_name", F.lit(4))).alias("code"))
+    return relate.semi_join_contains(parts.select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("t")), codes, "t", "code").select("p_partkey")
 
 
 @query("SELECT o_orderkey, l_linenumber, o_orderstatus, l_quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity > 40")
@@ -44,9 +44,11 @@ def cell_join(spark, d):
     return relate.cell_join(fine, grid, "cell_r8", 8, "grid", 5).select("event_id", "grid", "people")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT DISTINCT o_orderpriority || '/' || strftime(o_orderdate, '%Y-%m') AS path FROM orders WHERE o_orderpriority || '/' || strftime(o_orderdate, '%Y-%m') NOT IN (SELECT o_orderpriority || '/' || strftime(o_orderdate, '%Y-%m') FROM orders WHERE o_orderdate < DATE '1996-03-01')")
 def anti_join_new_files(spark, d):
-    return table(spark, d, "customer").select("c_custkey").join(table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    """Months of orders stand for files; those before a day are registered."""
+    files = table(spark, d, "orders").select(F.concat_ws("/", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM")).alias("path"), "o_orderdate")
+    return manifest.new_files(files.select("path").distinct(), files.where("o_orderdate < DATE '1996-03-01'"))
 
 
 @query("SELECT vec_id, label, CAST(unnest(embedding) AS FLOAT) AS v FROM embeddings")

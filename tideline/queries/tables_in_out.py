@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import shape
-from ..operators.manifest import Catalog
+from ..operators.catalog import Catalog
 from ..session import scratch
 from ..sources import readers, sinks
 from .base import POINTS, hilbert_sql, points, query, table

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..session import hadoop_path
@@ -65,8 +67,11 @@ def scan_latest_partition(spark: SparkSession, path: str, column: str) -> DataFr
 
 
 def rows_to_table(spark: SparkSession, rows: list[tuple], schema: StructType | str) -> DataFrame:
-    """Small reference data such as lookups."""
-    return spark.createDataFrame(rows, schema)
+    """Small reference data such as lookups, as an Arrow table: it takes no Python worker to read."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(kind)
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)] if rows else [pa.array([], f.type) for f in arrow]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), kind)
 
 
 def generate(spark: SparkSession, n: int, seed: int = 0) -> DataFrame:

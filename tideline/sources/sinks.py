@@ -6,27 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spatial import hilbert_index, wkb_point
+from ..operators.quality import Watched
 
 
 def write_table(df: DataFrame, *roots: str, sort: list | None = None, on_empty: str = "write", rows_per_file: int = 0, mode: str = "error") -> bool:
     """Writes to every root; False if there was nothing to write and ``on_empty`` is "skip".
 
-    An empty table is otherwise written with its schema. With several roots the rows are computed once.
+    An empty table is otherwise written with its schema. With several roots the first is written and copied from, so that all hold the
+    same rows even where the input would not be the same if computed again.
     """
     if on_empty == "skip" and df.isEmpty():
         return False
     if sort:
         df = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
-    if len(roots) > 1:
-        df = df.persist()
-    for root in roots:
+    for k, root in enumerate(roots):
+        if k:
+            df = df.sparkSession.read.schema(df.schema).parquet(roots[0])
         writer = df.write.mode(mode).option("compression", "zstd").option("parquet.compression.codec.zstd.level", "15")
         (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).parquet(root)
-    if len(roots) > 1:
-        df.unpersist()
     return True
 
 
+def write_checked(df: DataFrame, path: str, spec: dict, **options) -> DataFrame:
+    """Writes a table and reports its checks (``quality.check``'s), which the same job computes while it writes."""
+    watched = Watched(df, spec)
+    write_table(watched.df, path, **options)
+    return watched.report(df.sparkSession.read.schema(df.schema).parquet(path))
+
+
 def with_geometry(df: DataFrame, lon: str, lat: str) -> DataFrame:
     """Adds ``geometry`` (WKB) and bounds ``xmin ymin xmax ymax``, whose file statistics let readers skip."""
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.catalog import Catalog
 from ..operators.relate import latest
 from ..session import hadoop_path
 
@@ -31,6 +32,19 @@ def ingest(stream: DataFrame, target: str, checkpoint: str, shape: Callable[[Dat
     _run(stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start())
 
 
+def ingest_to(stream: DataFrame, catalog: Catalog, schema: str, table: str, ts: str, checkpoint: str, source: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    """Registers newly arrived rows as versions of a catalog table, each once.
+
+    ``source`` names the stream, and a batch is committed under its number. A batch that is tried again after its files were written
+    but before they were registered writes anew, and the old files belong to no version; one that was registered is left as it is.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        Catalog(batch.sparkSession, catalog.root).commit(schema, table, shape(batch), ts, f"stream:{source}", f"{number:012d}")
+
+    _run(stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start())
+
+
 def append_to(df: DataFrame, target: str, checkpoint: str) -> None:
     _run(df.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
 
