@@ -6,6 +6,10 @@ from oracle import SF, duck, rows_of
 from tideline.queries import ORACLES, QUERIES
 
 
+#: Queries whose right answer at the smallest scale is no row.
+EMPTY: set[str] = set()
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     names, rows = rows_of(QUERIES[name](spark, SF).toArrow())
@@ -14,8 +18,7 @@ def test_query(spark, name):
         expected_names, expected = duck(ORACLES[name])
         assert names == expected_names
         assert rows == expected
-    else:
-        assert rows
+    assert rows or name in EMPTY
 
 
 def test_entry_collects_queries():

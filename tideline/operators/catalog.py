@@ -11,15 +11,18 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ..session import hadoop_path, scratch
 from ..sources.footers import Footer, read_footers
 from ..sources.readers import list_files, rows_to_table
-from . import quality
+from . import quality, sketches
 from .manifest import MANIFEST, arrival, file_changes, may_hold, merged_schema, new_files, orphan_files, rollback, visible
 from .relate import dedup, row_changes
 
+PROFILE = "path string, column_name string, column_type string, count bigint, nulls bigint, lo double, hi double, mean double, m2 double, distinct binary, ranks binary"
+
+
 def read_from() -> Column:
     """A row's file as manifests have it: metadata columns encode special characters, and write the empty authority of local files out."""
     return F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^file:///", "file:/")
@@ -122,6 +125,28 @@ class Catalog:
         columns = self._schema(self._state(schema, table, since).unionByName(self._state(schema, table, upto)))
         return row_changes(*(self._read(columns, by[k]) if by[k] else None for k in ("delete", "insert")), self._read(columns, []))
 
+    def profile(self, schema: str, table: str, columns: list[str] | None = None) -> DataFrame:
+        """The profile (``sketches.merged``) of a table's newest state. Sketches of files are kept under _profile; only files without one,
+        and columns that they have none of, are read."""
+        df, home = self.table(schema, table), f"{self.root}/_profile/{schema}/{table}"
+        columns = columns or [f.name for f in df.schema if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+        where, fs = hadoop_path(self.spark, home)
+        names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+        parts = [f"{home}/{n}" for n in names if fs.exists(hadoop_path(self.spark, f"{home}/{n}/_SUCCESS")[0])]
+        kept = self.spark.read.schema(PROFILE).parquet(*parts) if parts else self.spark.createDataFrame([], PROFILE)
+        files = self._state(schema, table).select("path").distinct()
+        wanted = files.crossJoin(rows_to_table(self.spark, [(c,) for c in columns], "column_name string"))  # a few names
+        missing: dict[tuple, list[str]] = {}
+        for r in wanted.join(kept, ["path", "column_name"], "left_anti").groupBy("path").agg(F.array_sort(F.collect_set("column_name")).alias("names")).collect():
+            missing.setdefault(tuple(r.names), []).append(r.path)
+        for k, (own, paths) in enumerate(sorted(missing.items())):  # one pass for each set of columns, usually one
+            rows = self._read(df.schema, sorted(paths)).withColumn("path", read_from())
+            made = sketches.sketch(rows.select("path", *own), list(own), "path")
+            made.coalesce(1 + len(paths) // 1000).write.parquet(f"{home}/p{len(names) + k}")
+            parts.append(f"{home}/p{len(names) + k}")
+        kept = self.spark.read.schema(PROFILE).parquet(*parts) if parts else kept
+        return sketches.merged(kept.where(F.col("column_name").isin(columns)).join(files, "path", "left_semi"))
+
     # Writing
 
     def _write(self, df: DataFrame, schema: str, table: str, version: int) -> list[Footer]:

@@ -33,10 +33,24 @@ def cell_join(events: DataFrame, grid: DataFrame, cell: str, res: int, grid_cell
     return events.withColumn("_cell", lifted).join(grid.withColumnRenamed(grid_cell, "_cell"), "_cell", how).withColumnRenamed("_cell", grid_cell if grid_cell not in events.columns else f"{grid_cell}_{grid_res}")
 
 
-def rollup_cells(df: DataFrame, lat: str, lon: str, resolutions: list[int], **aggregates: Column) -> DataFrame:
-    """The same aggregates at several resolutions in one pass: each row is expanded to a cell per resolution."""
-    cells = F.array(*(F.struct(F.lit(r).alias("res"), cell_id(F.col(lat), F.col(lon), r).alias("cell")) for r in resolutions if r in BITS))
-    return df.select("*", F.explode(cells).alias("_c")).select("*", "_c.res", "_c.cell").drop("_c").groupBy("res", "cell").agg(*(c.alias(n) for n, c in aggregates.items()))
+#: How partial aggregates are made from rows, and merged.
+_PARTIAL = {"count": (F.count, F.sum), "sum": (F.sum, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+
+
+def rollup_cells(df: DataFrame, lat: str, lon: str, resolutions: list[int], **aggregates: tuple[str, str]) -> DataFrame:
+    """(res, cell, aggregates) at several resolutions. ``aggregates``: name=(kind, column), kind being count ("*" counts rows), sum, min, max or avg.
+
+    Rows are aggregated once, at the finest resolution; as cells nest, coarser ones merge its partial results, so only cells, not rows,
+    are repeated. Rows without a position have the null cell.
+    """
+    finest = max(resolutions, key=BITS.__getitem__)
+    wanted = {}
+    for name, (kind, column) in aggregates.items():
+        wanted |= {name: (kind, column)} if kind != "avg" else {f"_sum_{name}": ("sum", column), f"_n_{name}": ("count", column)}
+    fine = df.groupBy(cell_id(F.col(lat), F.col(lon), finest).alias("_fine")).agg(*(_PARTIAL[kind][0](column).alias(name) for name, (kind, column) in wanted.items()))
+    cells = F.array(*(F.struct(F.lit(r).alias("res"), (F.col("_fine") if r == finest else cell_parent(F.col("_fine"), finest, r)).alias("cell")) for r in resolutions))
+    lifted = fine.select(F.explode(cells).alias("_c"), *wanted).groupBy("_c.res", "_c.cell").agg(*(_PARTIAL[kind][1](name).alias(name) for name, (kind, _) in wanted.items()))
+    return lifted.select("res", "cell", *((F.col(f"_sum_{n}") / F.nullif(f"_n_{n}", F.lit(0)) if kind == "avg" else F.col(n)).alias(n) for n, (kind, _) in aggregates.items()))
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

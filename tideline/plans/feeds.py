@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars, spatial
-from ..operators import raster, relate, shape
+from ..operators import polygons, raster, relate, shape
 
 PROTECTED = ["ArticleContent", "ArticleTitle", "ArticleAuthor"]
 
@@ -216,11 +216,21 @@ def grid_clip(tables: dict[str, DataFrame], cell: str, res: int, box: tuple) ->
     return out
 
 
-def infrastructure(features: DataFrame, rules: dict, keys: list[str], box: tuple) -> dict[str, DataFrame]:
-    """Features (feature_id, tags, coords) inside a box by category, all categories in one pass."""
+def infrastructure_features(features: DataFrame, rules: dict, keys: list[str], box: tuple, region: DataFrame | None = None) -> DataFrame:
+    """Features (feature_id, tags, coords) inside a box, and inside the polygons of ``region`` (rings) if given, with a row for each
+    category: one pass for all categories, which ``sinks.write_split`` writes as a table each."""
     p = spatial.representative_point(F.col("coords"))
     placed = features.withColumn("_p", p).withColumns({"lon": F.col("_p.x"), "lat": F.col("_p.y")}).drop("_p").where(spatial.in_bbox(F.col("lat"), F.col("lon"), box))
-    rows = spatial.with_cells(shape.tags_to_columns(shape.classify_tags(placed, rules), keys), "lat", "lon", [5, 8]).drop("tags")
+    if region is not None:
+        each = region.select("rings").distinct().withColumn("region", F.xxhash64("rings"))
+        cover = polygons.cover(each, "region", 5)
+        placed = polygons.within(placed, "lat", "lon", cover, 5)
+    return spatial.with_cells(shape.tags_to_columns(shape.classify_tags(placed, rules), keys), "lat", "lon", [5, 8]).drop("tags")
+
+
+def infrastructure(features: DataFrame, rules: dict, keys: list[str], box: tuple, region: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The features as a DataFrame for each category, in the order of the curve; to write them all, ``infrastructure_features`` reads once."""
+    rows = infrastructure_features(features, rules, keys, box, region)
     return {category: shape.hilbert_sort(rows.where(F.col("category") == category).drop("category"), "lon", "lat", ["feature_id"]) for category in rules}
 
 

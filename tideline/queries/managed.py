@@ -227,6 +227,17 @@ def count_from_metadata(spark, d):
     return M.count_from_metadata(_manifest(spark, d))
 
 
+@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, round(avg({c}), 4) AS avg, round(stddev_samp({c}), 4) AS std, count(*) AS count, 0.0::DOUBLE AS null_percentage FROM orders" for c in ("o_orderkey", "o_totalprice")))
+def catalog_profile(spark, d):
+    """Profiled, appended to and profiled again: the second time only the new files are read."""
+    catalog = Catalog(spark, scratch(spark, "profile"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    for k in (0, 1):
+        catalog.add("sales", "orders", o.where(F.col("o_orderkey") % 2 == k), f"2024-01-0{k + 1} 00:00:00")
+        out = catalog.profile("sales", "orders")
+    return out.select("column_name", "min", "max", F.round("avg", 4).alias("avg"), F.round("std", 4).alias("std"), "count", "null_percentage")
+
+
 # Quality
 
 

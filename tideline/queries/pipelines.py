@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import spatial
 from ..plans import feeds
+from ..session import scratch
+from ..sources import sinks
 from .base import POINTS, cell_sql, hilbert_sql, lat_sql, lon_sql, points, query, table
 from .columns import _SEGMENTS, _TRACK, _lines, _orbit_columns, user_series
 from .relations import _PIXELS, _box_sql, _pixels
@@ -222,9 +227,10 @@ def pipe_grid_clip(spark, d):
 SELECT CAST(event_id AS VARCHAR), 'clicks', CAST(user_id AS VARCHAR), {cell_sql('lat', 'lon', 5)} FROM {POINTS} WHERE {_BOX} AND event_type = 'click'""")
 def pipe_infrastructure(spark, d):
     features = points(spark, d).select(F.col("event_id").cast("string").alias("feature_id"), F.create_map(F.lit("kind"), F.col("event_type"), F.lit("operator"), F.col("user_id").cast("string")).alias("tags"), F.array(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))).alias("coords"))
-    tables = feeds.infrastructure(features, {"typed": {"kind": True}, "clicks": {"kind": ["click"]}}, ["operator"], BOX)
-    parts = [df.select("feature_id", F.lit(name).alias("category"), "operator", "cell_r5") for name, df in tables.items()]
-    return parts[0].union(parts[1])
+    rows = feeds.infrastructure_features(features, {"typed": {"kind": True}, "clicks": {"kind": ["click"]}}, ["operator"], BOX).withColumn("h", spatial.hilbert_index(F.col("lon"), F.col("lat")))
+    tables = sinks.write_split(rows, scratch(spark, "infrastructure"), "r1", "category", sort=["h", "feature_id"])
+    parts = [spark.read.parquet(path).select("feature_id", F.lit(name).alias("category"), "operator", "cell_r5") for name, path in tables.items()]
+    return reduce(DataFrame.union, parts)
 
 
 _T = f"""px AS {_PIXELS}, l AS ({_box_sql({'m': 'b.value', 's': 'b.value * b.value'})}), o AS (SELECT scene, band, var_pop(value) AS o FROM px GROUP BY ALL),

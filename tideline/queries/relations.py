@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import spatial
-from ..operators import manifest, raster, relate, shape
+from ..operators import manifest, polygons, raster, relate, shape, sketches
 from ..session import scratch
 from ..sources import readers
 from .base import POINTS, cell_sql, lat_sql, lon_sql, parent_sql, points, query, table
@@ -115,6 +115,14 @@ def summarize(spark, d):
     return out.select("column_name", "min", "max", F.round("avg", 4).alias("avg"), F.round("std", 4).alias("std"), "count", "null_percentage")
 
 
+@query(" UNION ALL ".join(f"SELECT event_type, '{c}' AS column_name, '{kind}' AS column_type, min({v})::DOUBLE AS min, max({v})::DOUBLE AS max, round(avg({v}), 4) AS avg, round(stddev_samp({v}), 4) AS std, count(*) AS count, 0.0::DOUBLE AS null_percentage FROM events GROUP BY event_type" for c, kind, v in (("value", "double", "value"), ("user_id", "bigint", "user_id"))))
+def merged_profiles(spark, d):
+    """Sketches of every day's events, merged by type; distinct counts and quartiles are within the sketches' error, so not compared here."""
+    days = sketches.sketch(table(spark, d, "events").withColumn("day", F.to_date("ts")), ["value", "user_id"], "event_type", "day")
+    out = sketches.merged(days, "event_type")
+    return out.select("event_type", "column_name", "column_type", "min", "max", F.round("avg", 4).alias("avg"), F.round("std", 4).alias("std"), "count", "null_percentage")
+
+
 @query("SELECT event_type, round(sum(CASE WHEN event_id % 10 > 1 THEN value END), 4) AS total, count(*) FILTER (WHERE event_id % 10 <= 1) AS odd FROM events GROUP BY event_type")
 def conditional_sum(spark, d):
     v = F.expr("CASE WHEN event_id % 10 = 0 THEN double('Infinity') WHEN event_id % 10 = 1 THEN double('NaN') ELSE value END")
@@ -141,9 +149,23 @@ def cell_aggregate(spark, d):
     return relate.cell_aggregate(df, "cell", "value", 50.0).withColumns({"lat": spatial.cell_lat(F.col("cell"), 5), "lon": spatial.cell_lon(F.col("cell"), 5)})
 
 
-@query(" UNION ALL ".join(f"SELECT {r}::INTEGER AS res, {cell_sql('lat', 'lon', r)} AS cell, count(*) AS n, round(sum(value), 4) AS total FROM {POINTS} GROUP BY 2" for r in (5, 8, 10)))
+@query(" UNION ALL ".join(f"SELECT {r}::INTEGER AS res, {cell_sql('lat', 'lon', r)} AS cell, count(*) AS n, round(sum(value), 4) AS total, max(value) AS top, round(avg(value), 4) AS mean FROM {POINTS} GROUP BY 2" for r in (5, 8, 10)))
 def multires_rollup(spark, d):
-    return relate.rollup_cells(points(spark, d), "lat", "lon", [5, 8, 10], n=F.count("*"), total=F.round(F.sum("value"), 4))
+    out = relate.rollup_cells(points(spark, d), "lat", "lon", [5, 8, 10], n=("count", "*"), total=("sum", "value"), top=("max", "value"), mean=("avg", "value"))
+    return out.select("res", "cell", "n", F.round("total", 4).alias("total"), "top", F.round("mean", 4).alias("mean"))
+
+
+_POLYGONS = "(SELECT n_nationkey AS k, unnest([struct_pack(x1 := x - 9, y1 := y, x2 := x, y2 := y - 7), struct_pack(x1 := x, y1 := y - 7, x2 := x + 11, y2 := y), struct_pack(x1 := x + 11, y1 := y, x2 := x, y2 := y + 6), struct_pack(x1 := x, y1 := y + 6, x2 := x - 9, y2 := y), struct_pack(x1 := x - 2, y1 := y - 2, x2 := x - 2, y2 := y + 2), struct_pack(x1 := x - 2, y1 := y + 2, x2 := x + 3, y2 := y), struct_pack(x1 := x + 3, y1 := y, x2 := x - 2, y2 := y - 2)]) AS e FROM (SELECT n_nationkey, ((n_nationkey * 37) % 320 - 160)::DOUBLE + 0.013::DOUBLE AS x, ((n_nationkey * 23) % 150 - 75)::DOUBLE + 0.007::DOUBLE AS y FROM nation))"
+
+
+@query(f"SELECT event_id, k FROM {POINTS}, {_POLYGONS} GROUP BY event_id, k HAVING sum(CASE WHEN (e.y1 > lat) <> (e.y2 > lat) AND lon < (e.x2 - e.x1) * (lat - e.y1) / (e.y2 - e.y1) + e.x1 THEN 1 ELSE 0 END) % 2 = 1")
+def points_in_polygons(spark, d):
+    """Each nation's diamond, with a triangle as its hole; some overlap."""
+    x = ((F.col("n_nationkey") * 37) % 320 - 160).cast("double") + 0.013
+    y = ((F.col("n_nationkey") * 23) % 150 - 75).cast("double") + 0.007
+    ring = lambda *ends: F.array(*(F.struct((x + dx).alias("x"), (y + dy).alias("y")) for dx, dy in ends))
+    table_ = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.array(ring((-9, 0), (0, -7), (11, 0), (0, 6)), ring((-2, -2), (-2, 2), (3, 0))).alias("rings"))
+    return polygons.points_in_polygons(points(spark, d).select("event_id", "lat", "lon"), "lat", "lon", table_, "k").select("event_id", "k")
 
 
 _PIXELS = "(SELECT CAST(vec_id AS VARCHAR) AS scene, CASE WHEN vec_id % 2 = 0 THEN 'pre' ELSE 'post' END AS period, CASE WHEN p < 32 THEN 'vv' ELSE 'vh' END AS band, (p % 32) // 8 AS y, p % 8 AS x, v::DOUBLE AS value FROM (SELECT vec_id, unnest(range(0, 64)) AS p, unnest(embedding) AS v FROM embeddings))"

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spatial import hilbert_index, wkb_point
 from ..operators.quality import Watched
+from ..session import hadoop_path
 
 
 def write_table(df: DataFrame, *roots: str, sort: list | None = None, on_empty: str = "write", rows_per_file: int = 0, mode: str = "error") -> bool:
@@ -57,3 +61,30 @@ def write_all(tables: dict[str, DataFrame], root: str, run: str, schema: str = "
         if write_table(df, path, **options):
             out[name] = path
     return out
+
+
+def write_split(df: DataFrame, root: str, run: str, by: str, schema: str = "main", sort: list | None = None) -> dict[str, str]:
+    """One table with a text column ``by`` as a table for each of its values, ``root/schema/value/run``, by a single job: {value: path}.
+
+    The job writes folders of a staging area, which are then moved to their places. Rows whose ``by`` is null or no name of a folder are an error.
+    """
+    spark = df.sparkSession
+    stage = f"{root}/_staging-{uuid.uuid4().hex}"
+    rows = df.withColumn("_split", F.col(by)).drop(by)
+    rows = rows.repartitionByRange("_split", *(sort or [])).sortWithinPartitions("_split", *(sort or []))
+    rows.write.partitionBy("_split").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "15").parquet(stage)
+    where, fs = hadoop_path(spark, stage)
+    found = {s.getPath().getName().removeprefix("_split="): s.getPath() for s in fs.listStatus(where) if s.isDirectory()}
+    odd = [n for n in found if not re.fullmatch(r"\w[\w.-]*", n) or n == "__HIVE_DEFAULT_PARTITION__"]
+    if odd:
+        fs.delete(where, True)
+        raise ValueError(f"no names of tables: {', '.join(sorted(odd))}")
+    out = {}
+    for name, path in found.items():  # a folder a table
+        to, _ = hadoop_path(spark, f"{root}/{schema}/{name}/{run}")
+        fs.mkdirs(to.getParent())
+        if fs.exists(to) or not fs.rename(path, to):
+            raise ValueError(f"{to.toString()} is there already")
+        out[name] = f"{root}/{schema}/{name}/{run}"
+    fs.delete(where, True)
+    return out
