@@ -253,11 +253,38 @@ def test_packing_awkward(spark):
 
 def test_patterns_place_most_remainders():
     rng = np.random.default_rng(2)
-    for n, least in ((20_000, 0.85), (200_000, 0.95)):
-        histogram = collections.Counter(rng.integers(1, 1024, n).tolist())
+    for n, even, short in ((1000, 0.8, 0.99), (20_000, 0.95, 0.999), (200_000, 0.98, 0.999)):
+        for least, lengths in ((even, rng.integers(1, 1024, n)), (short, np.minimum(1023, rng.geometric(0.004, n)))):
+            histogram = collections.Counter(lengths.tolist())
+            plan = packing.Plan(histogram, 1024)
+            placed = sum(k * plan.placed[k] for k in histogram) / sum(k * c for k, c in histogram.items())
+            assert placed > least, (n, placed)
+
+
+def test_patterns_place_most_remainders_of_documents(spark):
+    """At least nine tenths of the remainders' tokens are placed by patterns, and padding stays below two in a hundred."""
+    for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        rows = queries.op3_packing(spark, sf).toPandas()
+        per_doc = rows.groupby("doc_id").doc_tokens.first()
+        histogram = {k: c for k, c in collections.Counter((per_doc % 1024).tolist()).items()}
         plan = packing.Plan(histogram, 1024)
-        placed = sum(k * plan.placed[k] for k in histogram) / sum(k * c for k, c in histogram.items())
-        assert placed > least
+        assert sum(k * plan.placed[k] for k in plan.placed) >= 0.9 * sum(k * c for k, c in histogram.items())
+        sizes = rows.groupby("sequence_id").length.sum()
+        padded = sum(0 if n & (n - 1) == 0 else 1024 - n for n in sizes)
+        assert padded < 0.02 * sizes.sum()
+
+
+def test_best_fill_within_counts():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        left = {int(k): int(rng.integers(1, 4)) for k in rng.integers(1, 30, rng.integers(1, 6))}
+        pattern = packing.best_fill(left, 40)
+        assert all(0 < n <= left[k] for k, n in pattern.items()) and pattern[max(left)] >= 1
+        items = [k for k, n in left.items() for _ in range(n - (k == max(left)))]
+        loose = packing.best_fill(left, 40, 3)
+        assert all(0 < n <= left[k] for k, n in loose.items()) and sum(k * n for k, n in loose.items()) >= min(37, sum(k * n for k, n in pattern.items()))
+        best = max(t for r in range(len(items) + 1) for c in itertools.combinations(items, r) for t in (sum(c) + max(left),) if t <= 40)
+        assert sum(k * n for k, n in pattern.items()) == best
 
 
 def test_encoder_of_long_runs_and_odd_white_space():

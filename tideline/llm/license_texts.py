@@ -1,4 +1,5 @@
-"""Phrases, notices and whole texts of public licenses, each with the label that it gives."""
+"""Phrases, notices and texts of public licenses, each with the label that it gives. Of the Apache and GNU licenses only the
+notices that files carry are here, not the licenses themselves, which are several thousand words long."""
 
 #: The base phrases.
 BASE = {
@@ -74,11 +75,11 @@ and all copyright interest in the software to the public domain. We make this de
 to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
 present and future rights to this software under copyright law. """
     + _MIT_WARRANTY.replace("AUTHORS OR COPYRIGHT\nHOLDERS", "AUTHORS"),
-    "apache-2.0-text": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+    "apache-2.0-file-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
 License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed
 to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND,
 either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
-    "gpl-3.0-text": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+    "gpl-3.0-file-notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
 published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is
 distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
 FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU

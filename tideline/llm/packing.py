@@ -4,12 +4,11 @@ Documents become token ids with an end id. Whole sequences are cut off a documen
 shorter than a sequence, is its remainder. The histogram of remainder lengths (at most ``size`` - 1 numbers) is
 a cutting-stock problem: patterns are multisets of lengths that fit a sequence, a linear program chooses how
 often to use each, and a knapsack dynamic program over the dual prices finds the next pattern worth adding.
-Uses are rounded down, then up by one in the order of their fractions while documents last, and only patterns that leave at most
-``slack`` tokens free are used. At most one use of each pattern (of which there are fewer than ``size``) is lost in rounding, so the more
-documents there are the more of them patterns place: about 89 % of the remainders' tokens of 20,000 documents, 96 % of 200,000. Documents are then
-ranked within their length by a salted count, and ranks are dealt to the pattern's places by arithmetic. The
-remainders that no pattern takes are laid end to end and cut at sequence bounds; their last, partial sequence
-is cut into powers of two, which need no padding.
+Uses are rounded down, and only patterns that leave at most ``slack`` tokens free are used. What rounding leaves, about one use of each pattern (of which there are fewer than ``size``), is a small
+residual problem of its own: the longest remainder that is left is filled up by a knapsack over the counts that are left, until
+no fill comes within ``slack``. So patterns place nearly all remainders, of few documents too. Documents are then ranked within their
+length by a salted count, and ranks are dealt to the pattern's places by arithmetic. The remainders that no pattern takes are laid end to
+end and cut at sequence bounds; their last, partial sequence is cut into powers of two, which need no padding.
 
 The driver sees only the histogram. Salts are dealt to rows by their place and kept in a table, so equal rows are spread.
 
@@ -145,6 +144,30 @@ def column_generation(histogram: dict[int, int], size: int, rounds: int = 300, g
     return [({int(lengths[i]): n for i, n in columns[k].items()}, float(x[k])) for k in range(m) if x[k] > 0]
 
 
+def best_fill(left: dict[int, int], size: int, slack: int = 0) -> dict[int, int]:
+    """A multiset within the counts ``left``, with one of the longest length: of the first total within ``slack`` of ``size`` that is found
+    as shorter and shorter lengths come in, which saves short ones for others, or else of the greatest total.
+
+    Reachable totals are the bits of one number; a length is added in copies of 1, 2, 4 ... of its count."""
+    longest = max(left)
+    room, reached, steps = size - longest, 1, []
+    enough = ((2 << room) - 1) >> max(0, room - slack) << max(0, room - slack)
+    for length in sorted((k for k in left if k <= room), reverse=True):
+        rest, copies = left[length] - (length == longest), 1
+        while rest > 0 and length * copies <= room and not reached & enough:
+            copies = min(copies, rest)
+            steps.append((length, copies, reached))
+            reached |= reached << length * copies
+            rest, copies = rest - copies, copies * 2
+    total = (reached & ((2 << room) - 1)).bit_length() - 1
+    picked = {longest: 1}
+    for length, copies, before in reversed(steps):
+        if not before >> total & 1:
+            picked[length] = picked.get(length, 0) + copies
+            total -= length * copies
+    return picked
+
+
 class Plan:
     """Where the remainder of each (length, rank) goes."""
 
@@ -153,19 +176,29 @@ class Plan:
         left = {k: n for k, n in histogram.items() if 0 < k < size}
         places: dict[int, list] = {k: [] for k in left}
         self.sequences = 0
-        solved = sorted(column_generation(left, size, rounds), key=lambda p: (-(p[1] % 1), sorted(p[0].items())))
-        for pattern, use in [(p, int(use + 1e-6)) for p, use in solved] + [(p, 1) for p, use in solved if use % 1 > 1e-6]:
-            fill = sum(k * n for k, n in pattern.items())
-            times = min([use, *(left[k] // n for k, n in pattern.items())])
-            if size - fill > slack or times < 1:
-                continue
+
+        def use(pattern: dict[int, int], most: float) -> bool:
+            times = int(min(most, *(left[k] // n for k, n in pattern.items())))
+            if size - sum(k * n for k, n in pattern.items()) > slack or times < 1:
+                return False
             offset = 0
             for length, copies in sorted(pattern.items(), reverse=True):
-                first = histogram[length] - left[length]
-                places[length].append((first, copies, self.sequences, offset))
+                places[length].append((histogram[length] - left[length], copies, self.sequences, offset))
                 left[length] -= copies * times
                 offset += copies * length
             self.sequences += times
+            return True
+
+        solved = sorted(column_generation(left, size, rounds), key=lambda p: sorted(p[0].items()))
+        for pattern, uses in solved:
+            use(pattern, int(uses + 1e-6))
+        rest = {k: n for k, n in left.items() if n}
+        while rest:
+            longest = max(rest)
+            use(best_fill(rest, size, slack), np.inf)
+            if left[longest] == rest[longest]:  # nothing fills it up
+                del rest[longest]
+            rest = {k: left[k] for k in rest if left[k]}
         # Interval tables by length: first rank, copies in a sequence, first sequence, first offset.
         self.places = {k: np.array(v, np.int64).reshape(-1, 4) for k, v in places.items()}
         self.placed = {k: histogram[k] - n for k, n in left.items()}
