@@ -751,6 +751,31 @@ def test_near_duplicates_that_no_pivot_links(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == expected and len({c for _, c in expected.values()}) > 10
 
 
+def template_docs(n):
+    """Documents of one template with four slots of 12 values."""
+    rng = np.random.default_rng(7)
+    frame = [f"common{k}" for k in range(120)]
+    out = []
+    for i in range(n):
+        words = list(frame)
+        for slot, value in enumerate(rng.integers(0, 12, 4)):
+            words[15 + 30 * slot : 20 + 30 * slot] = [f"s{slot}v{value}w{k}" for k in range(5)]
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_pairs_of_a_template_do_not_grow_with_its_square(spark, monkeypatch):
+    counts, similar = [], neardup.similar_pairs
+    monkeypatch.setattr(neardup, "similar_pairs", lambda pairs, *rest: (counts[-1].append(pairs.count()), similar(pairs, *rest))[1])
+    for n in (400, 1200):
+        docs = template_docs(n)
+        counts.append([])
+        out = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs_of(spark, docs)).collect()}
+        assert out == {d: c for d, (_, c) in brute_components(docs).items()}
+    small, large = map(sum, counts)
+    assert large < 3.5 * small, counts
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 101), (7, 7), (None, 3)] + [(200, 200 + k) for k in range(50)]
     out = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

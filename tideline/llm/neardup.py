@@ -1,8 +1,9 @@
 """Near-duplicate documents by HyperMinHash.
 
 Each document's distinct shingle hashes are dealt into registers by their high bits. A register keeps the leading
-zeros of its smallest hash and the bits that follow them (six and 26 bits). Bands of four registers find candidates;
-for the estimate the registers are kept without their last 16 bits, as two bytes instead of the eight of a hash.
+zeros of its smallest hash and the bits that follow them (six and 26 bits), four bytes instead of the eight of a hash. These registers
+are what is stored, what bands of four find candidates by, and what estimates are made of. With ten bits instead of 26 a set of three
+shingles, whose bands repeat one or two registers, shared a band with 0.05 of 40,000 others by chance; with 18 with 0.0002, with 26 with none.
 
 Small sets leave registers empty. In a band an empty register takes the value and number of another one: of those
 that a fixed random sequence of this register's own visits, the first that is filled. Two sets see the same value
@@ -13,15 +14,18 @@ there as often as at a filled register, so all sizes are banded alike, by one ki
    bucket, the smallest and the greatest id: first the collision-corrected estimate of the registers must be within
    five standard errors of the threshold, then the full sets are compared. Links found so give components.
 3. A bucket of more than three members that still lie in different components may hide a link between two of them
-   that neither pivot has. The members of such buckets go on to an exact join: every document's shingles in the
+   that neither pivot has. Its members meet two more pivots, ``TURNS`` times at most, drawn by a hash among members and met only
+   by those of other components: documents made from one template, of which each is linked with some others, grow together so.
+4. The members of buckets that still lie apart go on to an exact join: every document's shingles in the
    order of their frequency among these documents, of which the first n - ceil(0.75 n) + 1 must hold one of any
    partner's, and so early that enough can follow in both. Pairs of different components for which sizes and places
    allow a link, and that pass the estimate, are compared in full. A shingle that all members of a group share comes
-   late in the order, so groups that share much and link little give few pairs.
+   late in the order, so groups that share much and link little give few pairs. Of each shingle the commonest component's
+   members meet only those of others, not each other.
 
-Nothing is gathered by bucket or cluster: candidates are pairs, at most two for each member and bucket in step 2, and
-full sets are sent to pairs. The set of a pivot that many documents have is sent in as many copies as there are
-``PIVOT_ROWS`` of them, and each copy serves a part. Step 3 compares only documents that the pivots left apart.
+Nothing is gathered by bucket or cluster: candidates are pairs, at most two for each member and bucket in step 2 and in each turn of step
+3, and full sets are sent to pairs. The set of a pivot that many documents have is sent in as many copies as there are
+``PIVOT_ROWS`` of them, and each copy serves a part. Step 4 compares only documents that the pivots left apart.
 
 With 40 bands of 4 registers a pair at similarity 0.75 misses all buckets with probability of about 1e-6, at
 0.8 with 5e-9. Unrelated documents share a band with probability 1e-13 or less.
@@ -47,9 +51,11 @@ from .tables import written
 
 BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
-#: Bits of the mantissa in a band's key and in the stored registers.
-MANTISSA, KEPT = 26, 10
-EMPTY = 65535
+#: Bits of the mantissa of a register; the code of one without a shingle.
+MANTISSA = 26
+EMPTY = (1 << 32) - 1
+#: Turns of further pivots in buckets whose members lie apart.
+TURNS = 3
 #: Pairs that one copy of a pivot's set serves.
 PIVOT_ROWS = 128
 _EDGES = np.array([(i << 64) // REGISTERS for i in range(REGISTERS)], dtype=np.uint64)
@@ -80,8 +86,8 @@ def registers(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def stored(codes: np.ndarray, there: np.ndarray) -> np.ndarray:
-    """Two bytes a register: the codes without their last bits."""
-    return np.where(there, np.minimum(codes >> np.uint64(MANTISSA - KEPT), EMPTY - 1), EMPTY).astype(np.uint16)
+    """Four bytes a register."""
+    return np.where(there, np.minimum(codes, EMPTY - 1), EMPTY).astype(np.uint32)
 
 
 def band_keys(codes: np.ndarray, there: np.ndarray) -> np.ndarray:
@@ -109,7 +115,7 @@ def corrected(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tup
     filled = (a != EMPTY) | (b != EMPTY)
     total = np.maximum(filled.sum(axis=-1), 1)
     same = ((a == b) & filled).sum(axis=-1)
-    chance = 0.169919487159739 * 2.0**-KEPT * 4.0 * n * m / np.maximum(n + m, 1) ** 2
+    chance = 0.169919487159739 * 2.0**-MANTISSA * 4.0 * n * m / np.maximum(n + m, 1) ** 2
     return np.maximum(0.0, (same / total - chance) / (1 - chance)), np.sqrt(0.75 * 0.25 / total), total - same
 
 
@@ -160,7 +166,7 @@ def similar_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, pe
 
     def estimate(batches):
         for b in batches:
-            one, two = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("registers", "other_registers"))
+            one, two = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, REGISTERS) for c in ("registers", "other_registers"))
             n, m = (b.column(c).to_numpy().astype(float) for c in ("n_shingles", "other_n_shingles"))
             near = pa.array(alike(one, two, n, m, percent / 100))
             yield [b.column(c).filter(near) for c in ("a", "b", "parts")]
@@ -210,29 +216,54 @@ def candidate_pairs(meets: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.ceil(F.max("members") / PIVOT_ROWS).alias("parts"))
 
 
-def pairs_left(meets: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """Pairs (a, b, parts) of different components (``found``: rep, component) that buckets of more than three members may
+def apart(meets: DataFrame, state: DataFrame) -> DataFrame:
+    """(bucket, rep, members, component) of the buckets of more than three members whose members lie in different components."""
+    split = meets.where("members > 3").select("bucket", "rep", "members").join(state, "rep")
+    buckets = split.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("members").alias("members")).where("low < high").select("bucket", "members")
+    return of_buckets(split, buckets).select("bucket", "rep", "members", "component")
+
+
+def drawn_pairs(split: DataFrame, turn: int) -> DataFrame:
+    """(a, b, parts): members of ``apart`` buckets with two that a hash draws, where these are of other components."""
+    one, by = F.struct("rep", "component"), F.xxhash64("rep", F.lit(turn))
+    drawn = split.groupBy("bucket").agg(F.min_by(one, by).alias("p"), F.max_by(one, by).alias("q"), F.first("members").alias("members"))
+    parts = F.ceil(F.col("members") / PIVOT_ROWS)
+    copied = drawn.select("bucket", "p", "q", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("copy"))
+    met = split.withColumn("copy", F.pmod(F.xxhash64("rep"), parts).cast("int")).join(copied, ["bucket", "copy"])
+    pairs = met.select(F.col("rep").alias("a"), "component", "members", F.explode(F.array("p", "q")).alias("p")).where("component <> p.component")
+    return pairs.groupBy("a", F.col("p.rep").alias("b")).agg(F.ceil(F.max("members") / PIVOT_ROWS).alias("parts"))
+
+
+def joined(state: DataFrame, links: DataFrame) -> DataFrame:
+    """``state`` (rep, component) after more links: only the components that these touch are gone through again."""
+    ends = links.join(state.select(F.col("rep").alias("a"), F.col("component").alias("x")), "a").join(state.select(F.col("rep").alias("b"), F.col("component").alias("y")), "b")
+    merged = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("least"))
+    return written(state.join(merged, "component", "left").select("rep", F.coalesce("least", "component").alias("component")), "state")
+
+
+def pairs_left(meets: DataFrame, state: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """Pairs (a, b, parts) of different components (``state``: rep, component) that buckets of more than three members may
     hide; None if there is no such bucket."""
-    split = meets.where("members > 3").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    apart = split.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("members").alias("members")).where("low < high").select("bucket", "members")
-    left = written(of_buckets(split, apart).select("rep", "component").distinct(), "left")
+    left = written(apart(meets, state).select("rep", "component").distinct(), "left")
     if left.isEmpty():
         return None
 
     shingles = full_sets(docs, left.select("rep"), k, packed=False).join(left, "rep").select("rep", "component", F.explode("shingles").alias("token"))
     shingles = written(shingles, "tokens")
-    common = shingles.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("n > 1").select("token", "n", (F.col("low") < F.col("high")).alias("across"))
-    ranked = shingles.join(common, "token", "left").groupBy("rep", "component").agg(F.count("*").alias("size"), F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token", "across"))).alias("order"))
+    held = shingles.groupBy("token", "component").agg(F.count("*").alias("n"))
+    common = held.groupBy("token").agg(F.sum("n").alias("n"), (F.count("*") > 1).alias("across"), F.max_by("component", F.struct("n", "component")).alias("major")).where("n > 1")
+    ranked = shingles.join(common, "token", "left").groupBy("rep", "component").agg(F.count("*").alias("size"), F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token", "across", "major"))).alias("order"))
     first = F.slice("order", F.lit(1), (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).cast("int"))
-    prefix = written(ranked.select("rep", "component", "size", F.posexplode(first).alias("place", "t")).where("t.across").select("rep", "component", "size", "place", "t.token", "t.n"), "prefixes")
+    prefix = written(ranked.select("rep", "component", "size", F.posexplode(first).alias("place", "t")).where("t.across").select("rep", "component", "size", "place", "t.token", "t.n", (F.col("component") == F.col("t.major")).alias("major")), "prefixes")
     # Of two linked sets the common shingles are ``least`` or more, so after their first common one each has that many less one;
     # the smaller set then has it in a shorter prefix.
     small = prefix.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * 2 * percent / (100 + percent)))
-    x, y = (df.select("token", "n", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "size", "place"))) for df, s in ((small, "x"), (prefix, "y")))
+    x, y = (df.select("token", "n", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "size", "place", "major"))) for df, s in ((small, "x"), (prefix, "y")))
     least = F.ceil((F.col("size_x") + F.col("size_y")) * percent / (100 + percent))
     smaller = (F.col("size_x") < F.col("size_y")) | ((F.col("size_x") == F.col("size_y")) & (F.col("rep_x") < F.col("rep_y")))
     near = smaller & (100 * F.col("size_x") >= percent * F.col("size_y")) & (F.col("component_x") != F.col("component_y")) & (F.col("place_x") <= F.col("size_x") - least) & (F.col("place_y") <= F.col("size_y") - least)
-    return x.join(y.drop("n"), "token").where(near).groupBy(F.col("rep_y").alias("a"), F.col("rep_x").alias("b")).agg(F.ceil(F.max("n") / PIVOT_ROWS).alias("parts"))
+    met = x.where("not major_x").join(y.drop("n"), "token").where(near).unionByName(x.where("major_x").join(y.drop("n").where("not major_y"), "token").where(near))
+    return met.groupBy(F.col("rep_y").alias("a"), F.col("rep_x").alias("b")).agg(F.ceil(F.max("n") / PIVOT_ROWS).alias("parts"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
@@ -247,14 +278,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     meets = written(bands.join(shared, "bucket"), "meets")
 
     links = similar_pairs(written(candidate_pairs(meets), "pairs"), reps, docs, k, percent)
-    found = written(components(links), "found").select(F.col("node").alias("rep"), "component")
-    left = pairs_left(meets, found, reps, docs, k, percent)
+    found = components(links).select(F.col("node").alias("rep"), "component")
+    state = written(meets.select("rep").distinct().join(found, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component")), "state")
+    for turn in range(TURNS):
+        split = written(apart(meets, state), "apart")
+        if split.isEmpty():
+            break
+        more = similar_pairs(written(drawn_pairs(split, turn), "pairs"), reps, docs, k, percent)
+        if more.isEmpty():
+            break
+        state = joined(state, more)
+    left = pairs_left(meets, state, reps, docs, k, percent)
     if left is not None:
         more = similar_pairs(written(left, "pairs"), reps, docs, k, percent)
         if not more.isEmpty():
-            found = components(links.union(more)).select(F.col("node").alias("rep"), "component")
+            state = joined(state, more)
 
-    final = reps.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("least"))
+    final = reps.select("set_key", "rep").join(state, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("least"))
     out = sketch.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
