@@ -121,3 +121,32 @@ def test_profile_reads_new_files_only(spark, monkeypatch):
     assert sorted((len(f), c) for f, c in seen[1:]) == [(1, ["id", "more"]), (3, ["more"])]
     seen.clear()
     assert catalog.profile("s", "t", ["id"]).count() == 1 and not seen
+
+
+def test_feeds_have_what_their_checks_name(spark, monkeypatch):
+    """Every pipeline's tables have the columns of their checks; the tables are those of the registered queries."""
+    from oracle import SF
+
+    from tideline.queries import QUERIES
+
+    made = {}
+
+    def watch(name, fn):
+        def run(*args, **options):
+            out = fn(*args, **options)
+            made.setdefault(name, {}).update({t: df.columns for t, df in out.items()})
+            return out
+
+        return run
+
+    for name in feeds.CHECKS:
+        monkeypatch.setattr(feeds, name, watch(name, getattr(feeds, name)))
+    for name in QUERIES:
+        if name.startswith("pipe_"):
+            QUERIES[name](spark, SF)
+    assert set(made) == set(feeds.CHECKS)
+    for name, specs in feeds.CHECKS.items():
+        assert set(specs) == set(made[name]), name
+        for table, spec in specs.items():
+            named = {*spec.get("unique_cols", []), *spec.get("not_null", []), *spec.get("bbox", ())[:2]}
+            assert named <= set(made[name][table]) and not set(spec.get("forbidden", [])) & set(made[name][table]), (name, table)

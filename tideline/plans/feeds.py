@@ -250,3 +250,37 @@ def minimal(rows: DataFrame) -> dict[str, DataFrame]:
     """id, name and a position."""
     return {"data": rows.select("id", "name", "lat", "lon").orderBy("id")}
 
+
+_WORLD = (-90, -180, 90, 180)
+
+
+def _keyed(*keys: str, place: tuple[str, str] | None = None, **more) -> dict:
+    """A spec: rows there, keys unique and not null, and places on the globe."""
+    return {"min_rows": 1, "unique_cols": list(keys), "not_null": list(keys)} | ({"bbox": (*place, _WORLD)} if place else {}) | more
+
+
+_LATLON = ("latitude", "longitude")
+_CITY = ("city", "country_code", "latitude", "longitude")
+
+#: What each feed promises of its tables: {feed: {table: spec}}, for ``sinks.write_checked`` and ``Catalog.merge``.
+CHECKS: dict[str, dict[str, dict]] = {
+    "news_events": {"events": _keyed("globaleventid", "snapshot_date", place=_LATLON, forbidden=PROTECTED)},
+    "weather": {
+        "weather_hourly": _keyed(*_CITY, "time", "snapshot_time", place=_LATLON),
+        "weather_daily": _keyed(*_CITY, "date", "snapshot_time", place=_LATLON),
+        "air_quality": _keyed(*_CITY, "time", "snapshot_time", place=_LATLON, optional=True),
+    },
+    "flights": {"states": _keyed("icao24", "snapshot_time", place=_LATLON), "flights": _keyed("icao24", "first_seen", optional=True)},
+    "sanctions": {"region_sanctions": _keyed("id", "snapshot_date")},
+    "fires": {"active_fires": _keyed("sensor", *_LATLON, "acq_date", "acq_time", "snapshot_time", place=_LATLON)},
+    "natural_events": {"events": _keyed("event_id", "snapshot_time", place=_LATLON), "rejects": {"min_rows": 0}},
+    "earthquakes": {"events": _keyed("event_id", "snapshot_time", place=_LATLON)},
+    "signals": {"signals": _keyed("country_code", "datasource", "subtype", "timestamp", "snapshot_time")},
+    "satellites": {"satellites": _keyed("norad_cat_id", "snapshot_time")},
+    "chokepoints": {"chokepoints": _keyed("portid", place=("lat", "lon")), "daily_transits": _keyed("portid", "date")},
+    "cables": {"cables": _keyed("id"), "landing_points": _keyed("id", place=("lat", "lon"))},
+    "oil_flows": {"monthly_flows": _keyed("ref_area", "time_period", "energy_product", "flow_breakdown")},
+    "outbreaks": {"outbreaks": _keyed("id")},
+    "damage": {"damage_cells": _keyed("cell_r7", "event_date")},
+    "minimal": {"data": _keyed("id", place=("lat", "lon"))},
+}

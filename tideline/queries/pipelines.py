@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import spatial
+from ..operators.catalog import Catalog
 from ..plans import feeds
 from ..session import scratch
 from ..sources import sinks
@@ -255,6 +256,21 @@ def pipe_minimal(spark, d):
     return feeds.minimal(points(spark, d).select(F.col("event_id").alias("id"), F.format_string("item_%04d", "event_id").alias("name"), "lat", "lon"))["data"]
 
 
+@query("""SELECT 'registered' AS status, 1::BIGINT AS tables, count(*) AS n_rows FROM events UNION ALL SELECT 'rejected: unique', 1, count(*) + 1 FROM events
+UNION ALL SELECT 'rejected: min_rows, bbox', 1, 0""")
+def checked_feed(spark, d):
+    """What a feed promises of its tables decides what is registered of three lakes: as promised, with a row twice, and empty."""
+    rows = points(spark, d).select(F.col("event_id").alias("id"), F.format_string("item_%04d", "event_id").alias("name"), "lat", "lon")
+    catalog, out = Catalog(spark, scratch(spark, "checked")), None
+    first = rows.orderBy("id").limit(1)
+    for name, df in (("whole", rows), ("twice", rows.unionByName(first)), ("empty", rows.where("false"))):
+        lake = scratch(spark, name)
+        sinks.write_all(feeds.minimal(df), lake, "r1", name)
+        report = catalog.merge(lake, RUN, checks=feeds.CHECKS["minimal"], publish=False)
+        out = report if out is None else out.unionByName(report)
+    return out.groupBy("status").agg(F.count("*").alias("tables"), F.sum("rows").alias("n_rows"))
+
+
 @query(hilbert_sql(POINTS, "event_id, lat, lon").replace("SELECT event_id, lat, lon, h", f"SELECT cell, CAST(count(*) AS BIGINT) AS n, min(h) AS first_h", 1).replace(" FROM (", f" FROM (SELECT *, {cell_sql('lat', 'lon', 5)} AS cell FROM (", 1) + f") WHERE {_BOX} GROUP BY cell")
 def fires_by_cell(spark, d):
     """The flagship: points inside a box, cells at three resolutions, Hilbert order, counts by cell."""
