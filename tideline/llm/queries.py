@@ -112,12 +112,10 @@ FROM r GROUP BY conv_id
 """
 
 
-def op2_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of a byte-level BPE vocabulary, bytes and words. Three batches and one of them again: all documents come, toxic
-    ones go, and of those labelled as of low quality the words are counted anew, with marks as tokens of their own."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    counts = written(rollups.token_counts(docs).union(rollups.vocabulary_tokens(docs, vocabulary(), "byte-bpe-50k", ranks())), "counts")
-    marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+def _rollups(spark: SparkSession, sf_dir: str, counts: DataFrame) -> DataFrame:
+    """Three batches and one of them again: all documents come, toxic ones go, and of those labelled as of low quality the words are
+    counted anew, with marks as tokens of their own."""
+    marked = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     first = counts.where("tokenizer_version <> 'words-2'")
     poor = counts.join(marked.where("toxic = 0 and quality = 0"), "doc_id", "left_semi")
     ledger = rollups.Ledger(spark)
@@ -129,6 +127,17 @@ def op2_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.totals()
 
 
+def op2_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of a byte-level BPE vocabulary, bytes and words."""
+    docs = table(spark, sf_dir, "documents")
+    return _rollups(spark, sf_dir, written(rollups.token_counts(docs).union(rollups.vocabulary_tokens(docs, vocabulary(), "byte-bpe-50k", ranks())), "counts"))
+
+
+def rollups_of_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches of the tokenizers that are rules, which SQL can say."""
+    return _rollups(spark, sf_dir, written(rollups.token_counts(table(spark, sf_dir, "documents")), "counts"))
+
+
 #: The rows of the versions that SQL can say; those of the vocabulary are tested against its tokenizer.
 OP2_SQL = r"""
 WITH m AS (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
@@ -185,7 +194,8 @@ def _levels() -> str:
 
 
 OP12_SQL = rf"""
-WITH d AS (SELECT doc_id, w, len(w) AS n, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents)),
+WITH d AS (SELECT doc_id, w, len(w) AS n, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents)),
 p AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a, 3 + (h // 10) % 8 AS k FROM d),
 x AS (SELECT doc_id, i, w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // k) END] AS word FROM (SELECT doc_id, w, n, a, k, unnest(range(n)) AS i FROM p)),
 t0 AS MATERIALIZED (SELECT doc_id, i, hash(word) AS g FROM x), {_levels()},
@@ -228,7 +238,9 @@ WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce
 m AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM k, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM m),
 f AS MATERIALIZED (SELECT conv_id, place, turn, role, text, left(role, 1) AS initial, CASE WHEN last = '' THEN 1 WHEN place > min(place) OVER (PARTITION BY conv_id, role, text) THEN 2 WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
-  FROM (SELECT *, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM o)),
+  FROM (SELECT *, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last FROM o)),
 w AS (SELECT DISTINCT conv_id, 0::BIGINT AS place, '00000000|' AS n0, NULL::VARCHAR AS s0, NULL::VARCHAR AS u0, NULL::VARCHAR AS a0 FROM f UNION ALL {_step()}),
 e AS (SELECT conv_id, list_min([n0, a0, {_END.format('u0', 5, 'I')}, {_END.format('s0', 10, 'II')}]) AS way FROM w QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY place DESC) = 1),
 z AS (SELECT conv_id, CAST(left(way, 8) AS BIGINT) AS cost, substr(way, 10) AS audit FROM e),
@@ -246,6 +258,7 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN z USING (conv_id)
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_rollups": op2_token_rollups,
+    "rollups_of_rules": rollups_of_rules,
     "op3_packing": op3_packing,
     "op4_decontaminate": op4_decontaminate,
     "op5_url_filter": op5_url_filter,
@@ -258,4 +271,4 @@ QUERIES = {
     "op12_periodic_runs": op12_periodic_runs,
     "op13_conversation_repair": op13_conversation_repair,
 }
-ORACLES = {"op4_decontaminate": OP4_SQL, "op6_chat_formatting": OP6_SQL, "op7_substring_dedup": OP7_SQL, "op9_near_duplicates": OP9_SQL, "op12_periodic_runs": OP12_SQL, "op13_conversation_repair": OP13_SQL}
+ORACLES = {"rollups_of_rules": OP2_SQL, "op4_decontaminate": OP4_SQL, "op6_chat_formatting": OP6_SQL, "op7_substring_dedup": OP7_SQL, "op9_near_duplicates": OP9_SQL, "op12_periodic_runs": OP12_SQL, "op13_conversation_repair": OP13_SQL}
