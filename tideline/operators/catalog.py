@@ -266,26 +266,29 @@ class Catalog:
         within = lambda k: F.regexp_extract("path", "\\Q" + home + "\\E/([^/]+)/([^/]+)/(?:(.*)/)?[^/]+$", k)
         manifest, added, report = self.manifest(), None, []
         found = new_files(list_files(self.spark, source, "*.parquet"), manifest).select("path", within(1).alias("schema"), within(2).alias("table"), within(3).alias("run")).where("schema <> '' and table <> ''")
-        newest = {(r.schema, r.table): r.run for r in manifest.where(F.col("source") == home).groupBy("schema", "table").agg(F.max("run").alias("run")).collect()}
-        for schema, table, run in found.groupBy("schema", "table").agg(F.max("run")).orderBy("schema", "table").collect():  # a row a table
-            mode = (modes or {}).get(table, "append")
-            own = {r.path: r.run for r in found.where(self._own(schema, table)).select("path", "run").collect()}
+        arrived: dict[tuple, dict[str, str]] = {}
+        for r in found.collect():
+            arrived.setdefault((r.schema, r.table), {})[r.path] = r.run
+        known = {(r.schema, r.table): r for r in manifest.groupBy("schema", "table").agg(F.max("version").alias("version"), F.max(F.when(F.col("source") == home, F.col("run"))).alias("run")).collect()}
+        for (schema, table), own in sorted(arrived.items()):
+            before = known.get((schema, table))
+            mode, run = (modes or {}).get(table, "append"), max(own.values())
             if mode == "replace":
-                before = newest.get((schema, table))
-                old = {p for p, k in own.items() if k < run or (before is not None and k < before)}
+                newest = before.run if before else None
+                old = {p for p, k in own.items() if k < run or (newest is not None and k < newest)}
                 if old:
                     report.append((schema, table, None, None, len(old), None, "skipped: an older run"))
-                own = {p: k for p, k in own.items() if k == run and p not in old}
+                own = {p: k for p, k in own.items() if p not in old}
                 if not own:
                     continue
-                mode = "append" if run == before else mode  # late files of the registered run
+                mode = "append" if run == newest else mode  # late files of the registered run
             footers = read_footers(self.spark, sorted(own))
-            version = self._next(manifest, schema, table)
+            version = (before.version if before else 0) + 1
             part = self._rows(footers, schema, table, version, ts, mode, home, own)
-            known = self._state(schema, table) if mode == "append" else manifest.where("false")
+            kinds = [self._schema(self._state(schema, table))] if before and mode == "append" else []
             wrong = []
             try:
-                columns = self._schema(known.unionByName(part.withColumn("version", F.lit(version))))
+                columns = merged_schema(kinds + [self._schema(part)])
             except ValueError as error:
                 wrong.append(str(error))
             else:
