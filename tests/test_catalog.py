@@ -126,7 +126,7 @@ def test_upsert_equals_the_plain_merge(spark):
     rng = random.Random(4)
     schema = "k int, j string, v int, t int"
     rows_of = lambda n: list({(r[0], r[1]): r for r in ((rng.choice([None, *range(12)]), rng.choice(["a", "b", None]), rng.randint(0, 3), rng.choice([None, 1, 2, 3])) for _ in range(n))}.values())
-    for _ in range(3):
+    for _ in range(2):
         catalog = new(spark)
         old = spark.createDataFrame(rows_of(20), schema)
         catalog.add("s", "t", old.repartition(3), DAY(1))
