@@ -14,7 +14,7 @@ there as often as at a filled register, so all sizes are banded alike, by one ki
    bucket, the smallest and the greatest id: first the collision-corrected estimate of the registers must be within
    five standard errors of the threshold, then the full sets are compared. Links found so give components.
 3. A bucket of more than three members that still lie in different components may hide a link between two of them
-   that neither pivot has. Its members meet two more pivots, ``TURNS`` times at most, drawn by a hash among members and met only
+   that neither pivot has. Its members meet one more pivot, ``TURNS`` times at most, drawn by a hash among members and met only
    by those of other components: documents made from one template, of which each is linked with some others, grow together so.
 4. The members of buckets that still lie apart go on to an exact join: every document's shingles in the
    order of their frequency among these documents, of which the first n - ceil(0.75 n) + 1 must hold one of any
@@ -23,8 +23,8 @@ there as often as at a filled register, so all sizes are banded alike, by one ki
    late in the order, so groups that share much and link little give few pairs. Of each shingle the commonest component's
    members meet only those of others, not each other.
 
-Nothing is gathered by bucket or cluster: candidates are pairs, at most two for each member and bucket in step 2 and in each turn of step
-3, and full sets are sent to pairs. The set of a pivot that many documents have is sent in as many copies as there are
+Nothing is gathered by bucket or cluster: candidates are pairs, at most two for each member and bucket in step 2, one in each turn of step 3,
+and full sets are sent to pairs. The set of a pivot that many documents have is sent in as many copies as there are
 ``PIVOT_ROWS`` of them, and each copy serves a part. Step 4 compares only documents that the pivots left apart.
 
 With 40 bands of 4 registers a pair at similarity 0.75 misses all buckets with probability of about 1e-6, at
@@ -55,7 +55,7 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 26
 EMPTY = (1 << 32) - 1
 #: Turns of further pivots in buckets whose members lie apart.
-TURNS = 3
+TURNS = 1
 #: Pairs that one copy of a pivot's set serves.
 PIVOT_ROWS = 128
 _EDGES = np.array([(i << 64) // REGISTERS for i in range(REGISTERS)], dtype=np.uint64)
@@ -224,14 +224,13 @@ def apart(meets: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def drawn_pairs(split: DataFrame, turn: int) -> DataFrame:
-    """(a, b, parts): members of ``apart`` buckets with two that a hash draws, where these are of other components."""
-    one, by = F.struct("rep", "component"), F.xxhash64("rep", F.lit(turn))
-    drawn = split.groupBy("bucket").agg(F.min_by(one, by).alias("p"), F.max_by(one, by).alias("q"), F.first("members").alias("members"))
+    """(a, b, parts): members of ``apart`` buckets with the one that a hash draws, where it is of another component."""
+    drawn = split.groupBy("bucket").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", F.lit(turn))).alias("p"), F.first("members").alias("members"))
     parts = F.ceil(F.col("members") / PIVOT_ROWS)
-    copied = drawn.select("bucket", "p", "q", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("copy"))
+    copied = drawn.select("bucket", "p", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("copy"))
     met = split.withColumn("copy", F.pmod(F.xxhash64("rep"), parts).cast("int")).join(copied, ["bucket", "copy"])
-    pairs = met.select(F.col("rep").alias("a"), "component", "members", F.explode(F.array("p", "q")).alias("p")).where("component <> p.component")
-    return pairs.groupBy("a", F.col("p.rep").alias("b")).agg(F.ceil(F.max("members") / PIVOT_ROWS).alias("parts"))
+    pairs = met.where("component <> p.component").select(F.col("rep").alias("a"), F.col("p.rep").alias("b"), "members")
+    return pairs.groupBy("a", "b").agg(F.ceil(F.max("members") / PIVOT_ROWS).alias("parts"))
 
 
 def joined(state: DataFrame, links: DataFrame) -> DataFrame:
