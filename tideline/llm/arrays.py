@@ -9,7 +9,7 @@ from __future__ import annotations
 import ctypes
 import re
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +53,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _S31)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
+def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
     """64-bit hashes of words, the same in every process."""
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    digest = partial(xxhash.xxh3_64_intdigest, seed=seed) if seed else xxhash.xxh3_64_intdigest
+    return np.fromiter(map(digest, words), np.uint64, len(words))
 
 
 def windows(h: np.ndarray, length: int) -> np.ndarray:

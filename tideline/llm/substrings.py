@@ -13,8 +13,9 @@ with two bits for each hash: it repeats in another document, and it starts in a
 batch's smallest. So a passage that a third of all documents share costs one entry for each batch, a group of
 copies is never gathered anywhere, and texts are shuffled once (the exchange of the batches is reused by every level).
 Before the last length a hash is its range and 24 bits, of which the gaps to the one before are sent: two bytes instead
-of eight. A few in a hundred meet another window's hash by chance and go on to the next length, where it shows. At the last length
-hashes have 64 bits: of W distinct candidate windows about W*W/2**65 collide; each would cost some words of one document.
+of eight. A few in a hundred meet another window's hash by chance and go on to the next length, where it shows. At the last length,
+which decides, a window has two hashes of 64 bits, made of independent hashes of its words: of W distinct candidate windows about
+W*W/2**129 collide, fewer than one in a billion corpora of 10**15 candidates each. Second hashes are made only in documents that hold a candidate.
 
 Results of edge cases. Null, blank and short texts have no windows and lose nothing. A row whose doc_id is null is neither
 judged nor a source. Rows that repeat an id do not remove each other's words, and may lie in different batches, as may equal rows from
@@ -37,6 +38,8 @@ from .arrays import release, schema_of, utf8, windows, word_hashes
 BATCH_CHARS, RANGE_CHARS = 3_000_000, 2_000_000
 #: Words of the shortest windows, and bits of a hash within its range before the last length.
 SHORTEST, CODE_BITS = 4, 24
+#: Seed of the second hash of a word.
+SECOND = 13
 
 _SKIP = 65535
 #: The range under which a batch keeps note of its own candidates is -1 - batch.
@@ -66,6 +69,16 @@ def codes_of(packed: bytes) -> np.ndarray:
     return (np.cumsum(step, dtype=np.int64)[step != _SKIP] - 1).astype(np.uint64)
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows of keys: (the order that sorts them, where in it another key begins, the number of each row's key)."""
+    order = np.lexsort(keys.T[::-1])
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[order[1:]] != keys[order[:-1]]).any(axis=1)
+    group = np.empty(len(keys), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return order, new, group
+
+
 class Batch:
     """Words of a batch of documents as one flat array of hashes."""
 
@@ -91,30 +104,42 @@ class Batch:
         at = np.arange(len(self.word), dtype=np.int64)
         return at[at + length <= self.end]
 
+    def second(self, at: np.ndarray) -> np.ndarray:
+        """Second hashes of the words of all documents that hold a position of ``at``; the others' are zero."""
+        out = np.zeros(len(self.word), np.uint64)
+        for k in np.unique(np.searchsorted(self.ends, at, side="right")).tolist():
+            out[self.ends[k - 1] if k else 0 : self.ends[k]] = word_hashes(utf8(self.rows[k][1]).split(), SECOND)
+        return out
+
     def keys(self, level: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(distinct keys in the order of their ranges, the index into them of each window at ``at``)."""
-        key = windows(self.word, self.plan[level])[at] if len(at) else np.zeros(0, np.uint64)
+        """(distinct keys in the order of their ranges, the index into them of each window at ``at``). A key of the last length is a
+        row of two hashes."""
+        length = self.plan[level]
+        key = windows(self.word, length)[at]
         if level < len(self.plan) - 1:
-            key = self.range_of(key) << np.uint64(CODE_BITS) | key & np.uint64((1 << CODE_BITS) - 1)
-        return np.unique(key, return_inverse=True)
+            return np.unique(self.range_of(key) << np.uint64(CODE_BITS) | key & np.uint64((1 << CODE_BITS) - 1), return_inverse=True)
+        pairs = np.stack([key, windows(self.second(at), length)[at]], axis=1)
+        order, new, index = grouped(pairs)
+        return pairs[order[new]], index
 
     def range_of(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes >> np.uint64(32)) * self.ranges) >> np.uint64(32)
 
     def cuts(self, level: int, keys: np.ndarray) -> list[tuple[int, int, int]]:
         """(range, first, end) of the slices of sorted keys."""
-        found, at = np.unique(self.range_of(keys) if level == len(self.plan) - 1 else keys >> np.uint64(CODE_BITS), return_index=True)
+        found, at = np.unique(self.range_of(keys[:, 0]) if level == len(self.plan) - 1 else keys >> np.uint64(CODE_BITS), return_index=True)
         return list(zip(found.tolist(), at.tolist(), [*at[1:].tolist(), len(keys)], strict=True))
 
     def told(self, level: int, answers: dict) -> tuple[np.ndarray, ...]:
-        """Of a level's candidates: (positions, whether each repeats, whether it starts in a document before the batch's first with it)."""
+        """Of a level's candidates: (positions, numbers of their keys, whether each repeats, whether it starts in a document before the
+        batch's first with it)."""
         at = np.flatnonzero(np.unpackbits(np.frombuffer(answers[-1][0], np.uint8), count=len(self.word)))
         keys, index = self.keys(level, at)
         out = (np.zeros(len(keys), bool), np.zeros(len(keys), bool))
         for r, a, b in self.cuts(level, keys):
             for bits, packed in zip(out, answers[r], strict=True):
                 bits[a:b] = np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a) if packed else 0
-        return at, out[0][index], out[1][index]
+        return at, index, out[0][index], out[1][index]
 
 
 def _table(rows: list[tuple], ddl: str) -> pa.Table:
@@ -145,17 +170,12 @@ def _answer(rows: pa.Table, last: bool) -> pa.Table:
     """Of one hash range: what each batch's hashes are told. A batch's note goes back as it is."""
     if rows.column("hash_range")[0].as_py() < 0:
         return _table([(b, -1, packed, b"") for b, packed in zip(rows.column("batch").to_pylist(), rows.column("hashes").to_pylist(), strict=True)], _ANSWER)
-    hashes = [np.frombuffer(x, np.uint64) if last else codes_of(x) for x in rows.column("hashes").to_pylist()]
+    hashes = [np.frombuffer(x, np.uint64).reshape(-1, 2) if last else codes_of(x)[:, None] for x in rows.column("hashes").to_pylist()]
     sizes = [len(x) for x in hashes]
-    flat = np.concatenate(hashes)
+    order, new, group = grouped(np.concatenate(hashes))
     many = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(rows.column("many").to_pylist(), sizes, strict=True)]).astype(bool)
-    order = np.argsort(flat, kind="stable")
-    new = np.ones(len(flat), bool)
-    new[1:] = flat[order[1:]] != flat[order[:-1]]
-    group = np.empty(len(flat), np.int64)
-    group[order] = np.cumsum(new) - 1
     starts = np.flatnonzero(new)
-    repeats = ((np.diff([*starts, len(flat)]) > 1) | np.logical_or.reduceat(many[order], starts))[group]
+    repeats = ((np.diff([*starts, len(order)]) > 1) | np.logical_or.reduceat(many[order], starts))[group]
     if last:
         firsts = np.concatenate([np.frombuffer(x, np.int64) for x in rows.column("firsts").to_pylist()])
         earlier = np.minimum.reduceat(firsts[order], starts)[group] < firsts
@@ -195,7 +215,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
                 return _table([], _SENT)
             batch = Batch(t, plan, ranges)
             batch.hash_words()
-            at, repeats, _ = batch.told(level - 1, answers)
+            at, _, repeats, _ = batch.told(level - 1, answers)
             alive = np.zeros(len(batch.word) + 1, bool)
             alive[at[repeats]] = True
             begins = batch.starts(plan[level])
@@ -222,10 +242,9 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = False, c
         covered = None
         if answers:
             batch.hash_words()
-            at, _, earlier = batch.told(last, answers)
+            at, index, _, earlier = batch.told(last, answers)
             # A repeat inside the batch: the window also starts in a document of the batch with a smaller id.
-            keys, index = batch.keys(last, at)
-            least = np.full(len(keys), np.iinfo(np.int64).max)
+            least = np.full(len(at), np.iinfo(np.int64).max)
             np.minimum.at(least, index, batch.doc[at])
             gone = at[earlier | (batch.doc[at] > least[index])]
             edge = np.zeros(len(batch.word) + 1, np.int64)
