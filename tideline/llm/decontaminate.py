@@ -32,6 +32,8 @@ from .tables import written
 
 #: Places of a shift table (bytes), and bits of the table of whole windows; powers of two.
 SLOTS, BITS = 1 << 21, 1 << 26
+#: Parts of these tables that one task merges.
+FAN = 8
 
 _hash = xxhash.xxh3_64_intdigest
 
@@ -62,7 +64,7 @@ def strings_of(benchmark: DataFrame, window: int) -> DataFrame:
 
 
 def search_tables(strings: DataFrame, slots: int, bits: int) -> tuple[dict[int, bytes], bytes]:
-    """({length: shift table}, bits of whole windows): made in parts and merged one by one in a single task, in constant memory."""
+    """({length: shift table}, bits of whole windows): made in parts, of which a task merges about ``FAN`` into one, again and again."""
     kinds = "length int, cells binary"
 
     def part(batches):
@@ -89,7 +91,11 @@ def search_tables(strings: DataFrame, slots: int, bits: int) -> tuple[dict[int,
             yield [[n], [cells.tobytes()]]
 
     parts = map_batches(strings.select("length", "words"), part, kinds)
-    cells = {r.length: bytes(r.cells) for r in map_batches(parts.repartition(1), merge, kinds).collect()}
+    n = strings.rdd.getNumPartitions()
+    while n > 1:
+        n = -(-n // FAN)
+        parts = map_batches(parts.repartition(n), merge, kinds)
+    cells = {r.length: bytes(r.cells) for r in parts.collect()}
     return {n: c for n, c in sorted(cells.items()) if n}, cells.get(0, bytes(bits // 8))
 
 
