@@ -9,6 +9,8 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -379,6 +381,16 @@ def test_decontamination_takes_one_pass(spark):
     assert {r.doc_id: (r.n_hit, r.item_ids) for r in out.collect()} == {0: (39, ["0"]), 1: (39, ["7"]), 2: (39, ["2999"]), 3: (0, [])}
 
 
+def test_search_tables_of_many_parts_are_those_of_one(spark):
+    """Two rounds of merging, with empty parts and strings of several lengths, end in the tables that a single task makes."""
+    items = [(i, " ".join(f"q{i % 90}w{k}" for k in range(1 + i % 14))) for i in range(300)]
+    strings = tables.written(decontaminate.strings_of(spark.createDataFrame(items, "item_id bigint, text string"), 10), "strings")
+    one, many = (decontaminate.search_tables(strings.repartition(n), 1 << 10, 1 << 12) for n in (1, decontaminate.FAN**2 + 1))
+    assert one == many and list(one[0]) == list(range(1, 11)) and any(one[1])
+    none = decontaminate.search_tables(strings.where("false"), 1 << 10, 1 << 12)
+    assert none == ({}, bytes(1 << 9))
+
+
 # 5 urls
 
 
@@ -562,6 +574,29 @@ def test_substrings_against_brute_force(spark, k):
     assert all(r.source == "s" and (r.n_removed or r.text == texts[r.doc_id]) for r in out)
 
 
+def test_substrings_at_the_last_length_compare_two_hashes(monkeypatch):
+    """With a first hash that is the same for all words, windows of different words are still told apart, inside a batch and between batches."""
+    first = substrings.word_hashes
+    monkeypatch.setattr(substrings, "word_hashes", lambda words, seed=0: first(words, seed) if seed else np.full(len(words), 7, np.uint64))
+    plan = [4, 8, 13]
+    shared = " ".join(f"s{i}" for i in range(13))
+    texts = {1: f"a {shared}", 2: " ".join(f"b{i}" for i in range(20)), 3: f"{shared} c d", 4: "x y"}
+    batches = {}
+    for number, docs in enumerate(((1, 2), (3, 4))):
+        batch = substrings.Batch(pa.table({"doc_id": list(docs), "text": [texts[d] for d in docs]}), plan, 1)
+        batch.hash_words()
+        batches[number] = batch, substrings._sent(batch, number, 2, batch.starts(13))
+    sent = pa.concat_tables([t for _, t in batches.values()])
+    own, notes = (sent.filter(mask) for mask in (pc.greater_equal(sent["hash_range"], 0), pc.less(sent["hash_range"], 0)))
+    told = pa.concat_tables([substrings._answer(own, True), substrings._answer(notes, True)])
+    repeating, later = set(), set()
+    for number, (batch, _) in batches.items():
+        at, _, repeats, earlier = batch.told(2, substrings._answers(told.filter(pc.equal(told["batch"], number))))
+        repeating |= {(int(batch.doc[p]), int(p)) for p in at[repeats]}
+        later |= {(int(batch.doc[p]), int(p)) for p in at[earlier]}
+    assert repeating == {(1, 1), (3, 0)} and later == {(3, 0)}
+
+
 def test_substrings_over_batches_and_repeated_ids(spark, monkeypatch):
     monkeypatch.setattr(substrings, "BATCH_CHARS", 500)
     monkeypatch.setattr(substrings, "RANGE_CHARS", 250)
