@@ -575,9 +575,9 @@ def test_substrings_against_brute_force(spark, k):
 
 
 def test_substrings_at_the_last_length_compare_two_hashes(monkeypatch):
-    """With a first hash that is the same for all words, windows of different words are still told apart, inside a batch and between batches."""
-    first = substrings.word_hashes
-    monkeypatch.setattr(substrings, "word_hashes", lambda words, seed=0: first(words, seed) if seed else np.full(len(words), 7, np.uint64))
+    """Where the first hash is the same for all windows, they are still told apart, inside a batch and between batches."""
+    real, of_words = substrings.windows, []
+    monkeypatch.setattr(substrings, "windows", lambda h, n: np.full_like(real(h, n), 7) if any(h is w for w in of_words) else real(h, n))
     plan = [4, 8, 13]
     shared = " ".join(f"s{i}" for i in range(13))
     texts = {1: f"a {shared}", 2: " ".join(f"b{i}" for i in range(20)), 3: f"{shared} c d", 4: "x y"}
@@ -585,6 +585,7 @@ def test_substrings_at_the_last_length_compare_two_hashes(monkeypatch):
     for number, docs in enumerate(((1, 2), (3, 4))):
         batch = substrings.Batch(pa.table({"doc_id": list(docs), "text": [texts[d] for d in docs]}), plan, 1)
         batch.hash_words()
+        of_words.append(batch.word)
         batches[number] = batch, substrings._sent(batch, number, 2, batch.starts(13))
     sent = pa.concat_tables([t for _, t in batches.values()])
     own, notes = (sent.filter(mask) for mask in (pc.greater_equal(sent["hash_range"], 0), pc.less(sent["hash_range"], 0)))

@@ -14,8 +14,9 @@ batch's smallest. So a passage that a third of all documents share costs one ent
 copies is never gathered anywhere, and texts are shuffled once (the exchange of the batches is reused by every level).
 Before the last length a hash is its range and 24 bits, of which the gaps to the one before are sent: two bytes instead
 of eight. A few in a hundred meet another window's hash by chance and go on to the next length, where it shows. At the last length,
-which decides, a window has two hashes of 64 bits, made of independent hashes of its words: of W distinct candidate windows about
-W*W/2**129 collide, fewer than one in a billion corpora of 10**15 candidates each. Second hashes are made only in documents that hold a candidate.
+which decides, a window has two hashes of 64 bits, the second made of its words' hashes mixed anew: of W distinct candidate windows about
+W*W/2**129 collide, fewer than one in a hundred corpora of 10**18 candidates each. Two words with one hash of 64 bits matter only where all
+their neighbours are equal too.
 
 Results of edge cases. Null, blank and short texts have no windows and lose nothing. A row whose doc_id is null is neither
 judged nor a source. Rows that repeat an id do not remove each other's words, and may lie in different batches, as may equal rows from
@@ -32,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import release, schema_of, utf8, windows, word_hashes
+from .arrays import mix, release, schema_of, utf8, windows, word_hashes
 
 #: Characters of text in a batch, and of text for each range of hashes, on average.
 BATCH_CHARS, RANGE_CHARS = 3_000_000, 2_000_000
 #: Words of the shortest windows, and bits of a hash within its range before the last length.
 SHORTEST, CODE_BITS = 4, 24
-#: Seed of the second hash of a word.
-SECOND = 13
+#: Added to the hash of a word before it is mixed anew.
+SECOND = np.uint64(0xA0761D6478BD642F)
 
 _SKIP = 65535
 #: The range under which a batch keeps note of its own candidates is -1 - batch.
@@ -69,12 +70,20 @@ def codes_of(packed: bytes) -> np.ndarray:
     return (np.cumsum(step, dtype=np.int64)[step != _SKIP] - 1).astype(np.uint64)
 
 
-def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows of keys: (the order that sorts them, where in it another key begins, the number of each row's key)."""
-    order = np.lexsort(keys.T[::-1])
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[order[1:]] != keys[order[:-1]]).any(axis=1)
-    group = np.empty(len(keys), np.int64)
+def grouped(first: np.ndarray, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of keys of one or two hashes: (an order by them, where in it another key begins, the number of each key)."""
+
+    def changes(hashes):
+        found = np.ones(len(hashes), bool)
+        found[1:] = hashes[order[1:]] != hashes[order[:-1]]
+        return found
+
+    order = np.argsort(first, kind="stable")  # what batches send is in order already
+    new = changes(first)
+    if second is not None and (changes(second) > new).any():  # one first hash, two windows
+        order = np.lexsort((second, first))
+        new = changes(first) | changes(second)
+    group = np.empty(len(first), np.int64)
     group[order] = np.cumsum(new) - 1
     return order, new, group
 
@@ -104,13 +113,6 @@ class Batch:
         at = np.arange(len(self.word), dtype=np.int64)
         return at[at + length <= self.end]
 
-    def second(self, at: np.ndarray) -> np.ndarray:
-        """Second hashes of the words of all documents that hold a position of ``at``; the others' are zero."""
-        out = np.zeros(len(self.word), np.uint64)
-        for k in np.unique(np.searchsorted(self.ends, at, side="right")).tolist():
-            out[self.ends[k - 1] if k else 0 : self.ends[k]] = word_hashes(utf8(self.rows[k][1]).split(), SECOND)
-        return out
-
     def keys(self, level: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(distinct keys in the order of their ranges, the index into them of each window at ``at``). A key of the last length is a
         row of two hashes."""
@@ -118,9 +120,10 @@ class Batch:
         key = windows(self.word, length)[at]
         if level < len(self.plan) - 1:
             return np.unique(self.range_of(key) << np.uint64(CODE_BITS) | key & np.uint64((1 << CODE_BITS) - 1), return_inverse=True)
-        pairs = np.stack([key, windows(self.second(at), length)[at]], axis=1)
-        order, new, index = grouped(pairs)
-        return pairs[order[new]], index
+        second = windows(mix(self.word + SECOND), length)[at]
+        order, new, index = grouped(key, second)
+        distinct = order[new]
+        return np.stack([key[distinct], second[distinct]], axis=1), index
 
     def range_of(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes >> np.uint64(32)) * self.ranges) >> np.uint64(32)
@@ -170,9 +173,10 @@ def _answer(rows: pa.Table, last: bool) -> pa.Table:
     """Of one hash range: what each batch's hashes are told. A batch's note goes back as it is."""
     if rows.column("hash_range")[0].as_py() < 0:
         return _table([(b, -1, packed, b"") for b, packed in zip(rows.column("batch").to_pylist(), rows.column("hashes").to_pylist(), strict=True)], _ANSWER)
-    hashes = [np.frombuffer(x, np.uint64).reshape(-1, 2) if last else codes_of(x)[:, None] for x in rows.column("hashes").to_pylist()]
+    hashes = [np.frombuffer(x, np.uint64).reshape(-1, 2) if last else codes_of(x) for x in rows.column("hashes").to_pylist()]
     sizes = [len(x) for x in hashes]
-    order, new, group = grouped(np.concatenate(hashes))
+    flat = np.concatenate(hashes)
+    order, new, group = grouped(*(np.ascontiguousarray(h) for h in (flat.T if last else [flat])))
     many = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(rows.column("many").to_pylist(), sizes, strict=True)]).astype(bool)
     starts = np.flatnonzero(new)
     repeats = ((np.diff([*starts, len(order)]) > 1) | np.logical_or.reduceat(many[order], starts))[group]
